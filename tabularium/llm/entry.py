@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, minhash, sharding
+from . import chat, minhash, sharding, substring
 from .shared import columns, table
 
 
@@ -19,6 +19,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = columns(table(spark, sf_dir, "documents"), doc_id="long", text="string")
+    left = substring.deduplicated(docs)
+    return left.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_kept_sha256").alias("kept_sha256"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
@@ -28,7 +34,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op8_minhash": op8_minhash, "op10_chat": op10_chat}
+    return {"op1_sharding": op1_sharding, "op6_substring": op6_substring, "op8_minhash": op8_minhash, "op10_chat": op10_chat}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -45,13 +45,14 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
 
 @dataclass
 class Words:
-    """``buf``: bytes of all texts end to end; word ``i`` is ``buf[start[i]:end[i]]`` of text ``doc[i]``; ``first[d]:first[d+1]`` are the words of text ``d``."""
+    """``buf``: bytes of all texts end to end; word ``i`` is ``buf[start[i]:end[i]]`` of text ``doc[i]``; ``first[d]:first[d+1]`` are the words of text ``d``, whose bytes begin at ``offset[d]``."""
 
     buf: np.ndarray
     start: np.ndarray
     end: np.ndarray
     doc: np.ndarray
     first: np.ndarray
+    offset: np.ndarray
 
     @property
     def counts(self) -> np.ndarray:
@@ -82,7 +83,7 @@ def words(column: pa.Array, lower: bool = False) -> Words:
     at, to = np.flatnonzero(start), np.flatnonzero(last) + 1
     first = np.searchsorted(at, offsets, "left")
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    return Words(_LOWER[buf] if lower else buf, at, to, doc, first)
+    return Words(_LOWER[buf] if lower else buf, at, to, doc, first, offsets)
 
 
 def word_hashes(w: Words) -> np.ndarray:
