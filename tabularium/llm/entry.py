@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, minhash, sharding, substring
+from . import chat, langid, minhash, sharding, substring
 from .shared import columns, table
 
 
@@ -19,6 +19,13 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out()))
+    found = langid.predict(columns(docs, doc_id="long", text="string"), model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_rejected").alias("rejected"))
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = columns(table(spark, sf_dir, "documents"), doc_id="long", text="string")
     left = substring.deduplicated(docs)
@@ -34,7 +41,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op6_substring": op6_substring, "op8_minhash": op8_minhash, "op10_chat": op10_chat}
+    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op6_substring": op6_substring, "op8_minhash": op8_minhash, "op10_chat": op10_chat}
 
 
 def oracle_sql() -> dict[str, str]:
