@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, minhash, sharding, substring
+from . import bpe, chat, langid, minhash, sharding, substring
 from .shared import columns, table
 
 
@@ -26,6 +26,14 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_rejected").alias("rejected"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = columns(table(spark, sf_dir, "documents"), doc_id="long", text="string")
+    found = bpe.encoded(docs, bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN, ids=False)
+    return found.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("n_tokens", "ids_sha256", "decoded_sha256")])
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = columns(table(spark, sf_dir, "documents"), doc_id="long", text="string")
     left = substring.deduplicated(docs)
@@ -41,7 +49,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op6_substring": op6_substring, "op8_minhash": op8_minhash, "op10_chat": op10_chat}
+    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op4_bpe": op4_bpe, "op6_substring": op6_substring, "op8_minhash": op8_minhash, "op10_chat": op10_chat}
 
 
 def oracle_sql() -> dict[str, str]:
