@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, minhash, sharding, substring, warc
+from . import bpe, chat, langid, minhash, sharding, spotsigs, substring, warc
 from .shared import columns, table
 
 
@@ -39,6 +39,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("n_tokens", "ids_sha256", "decoded_sha256")])
 
 
+def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compared(table(spark, sf_dir, "documents"))
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = columns(table(spark, sf_dir, "documents"), doc_id="long", text="string")
     left = substring.deduplicated(docs)
@@ -54,7 +58,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op3_warc": op3_warc, "op4_bpe": op4_bpe, "op6_substring": op6_substring, "op8_minhash": op8_minhash, "op10_chat": op10_chat}
+    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op3_warc": op3_warc, "op4_bpe": op4_bpe, "op5_spotsigs": op5_spotsigs, "op6_substring": op6_substring, "op8_minhash": op8_minhash, "op10_chat": op10_chat}
 
 
 def oracle_sql() -> dict[str, str]:
