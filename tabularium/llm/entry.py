@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, minhash, sharding, spotsigs, substring, warc
+from . import bpe, chat, decontaminate, langid, minhash, sharding, spotsigs, substring, warc
 from .shared import columns, table
 
 
@@ -49,6 +49,10 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_kept_sha256").alias("kept_sha256"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
@@ -58,7 +62,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op3_warc": op3_warc, "op4_bpe": op4_bpe, "op5_spotsigs": op5_spotsigs, "op6_substring": op6_substring, "op8_minhash": op8_minhash, "op10_chat": op10_chat}
+    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op3_warc": op3_warc, "op4_bpe": op4_bpe, "op5_spotsigs": op5_spotsigs, "op6_substring": op6_substring, "op7_decontaminate": op7_decontaminate, "op8_minhash": op8_minhash, "op10_chat": op10_chat}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -21,6 +21,8 @@ _LONG = 48
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Another meaning of words: runs of ASCII letters and digits and of all bytes above ASCII.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -68,9 +70,9 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, (offsets - offsets[0]) if len(column) else np.zeros(1, np.int64)
 
 
-def words(column: pa.Array, lower: bool = False) -> Words:
+def words(column: pa.Array, lower: bool = False, separators: np.ndarray = _SPACE) -> Words:
     buf, offsets = buffers(column)
-    space = _SPACE[buf]
+    space = separators[buf]
     begins = np.zeros(len(buf) + 1, bool)
     begins[offsets] = True  # a text's first byte begins a word, whatever ends the text before
     open_ = ~space
