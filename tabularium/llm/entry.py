@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, minhash, sharding, spotsigs, substring, warc
+from . import bpe, chat, decontaminate, langid, minhash, quality, sharding, spotsigs, substring, warc
 from .shared import columns, table
 
 
@@ -57,12 +57,16 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op3_warc": op3_warc, "op4_bpe": op4_bpe, "op5_spotsigs": op5_spotsigs, "op6_substring": op6_substring, "op7_decontaminate": op7_decontaminate, "op8_minhash": op8_minhash, "op10_chat": op10_chat}
+    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op3_warc": op3_warc, "op4_bpe": op4_bpe, "op5_spotsigs": op5_spotsigs, "op6_substring": op6_substring, "op7_decontaminate": op7_decontaminate, "op8_minhash": op8_minhash, "op9_quality": op9_quality, "op10_chat": op10_chat}
 
 
 def oracle_sql() -> dict[str, str]:
