@@ -5,8 +5,8 @@ item that a document holds lies within one of them. The score of an item for a p
 distinct words, divided by what the item's own text would get (so 1 is the whole item, whatever its length). All items of a
 score of ``SCORE`` or more are retrieved:
 
-* a vectorised bound first adds up each distinct word's largest impact on any item; passages below the threshold can't
-  retrieve anything;
+* a vectorised bound first adds up, for each item, the impacts of the passage's rare words, and all the item's common words;
+  passages without an item at the threshold can't retrieve anything;
 * the others run block-max WAND over postings in item order: the pivot is where the summed list maxima reach the threshold, its blocks'
   maxima decide whether it is scored or skipped.
 
@@ -75,6 +75,8 @@ class Index:
     impacts: np.ndarray
     most: np.ndarray
     passage: int
+    rare: np.ndarray
+    common: np.ndarray
     question: list[np.ndarray]
     answer: list[np.ndarray]
     block_max: list[np.ndarray] = field(default_factory=list)
@@ -150,7 +152,9 @@ def build(ids: list[int | None], texts: list[str | None]) -> Index:
     blocks = [np.maximum.reduceat(impact[a:b], np.arange(0, b - a, BLOCK)) for a, b in zip(start[:-1], start[1:], strict=True)]
     parts = [question_answer(x or "") for x in texts]
     longest = max(16, int(counts.max()) if len(counts) else 0)
-    return Index(list(ids), terms, start, d, impact, most, longest, _shingles([q for q, _ in parts]), _shingles([a for _, a in parts]), blocks)
+    rare = df <= max(8, n // 20)
+    common = np.bincount(d[~rare[t]], impact[~rare[t]], len(texts))
+    return Index(list(ids), terms, start, d, impact, most, longest, rare, common, _shingles([q for q, _ in parts]), _shingles([a for _, a in parts]), blocks)
 
 
 def _overlap(part: np.ndarray, text: np.ndarray) -> float:
@@ -158,7 +162,10 @@ def _overlap(part: np.ndarray, text: np.ndarray) -> float:
 
 
 def _passages(index: Index, w: Words, h: np.ndarray, least: float) -> Iterator[tuple[int, int, int, list[int]]]:
-    """(document, first word, last word + 1, distinct terms) of the passages whose bound reaches the threshold."""
+    """(document, first word, last word + 1, distinct terms) of the passages that may hold an item.
+
+    The bound of an item for a passage: what the passage's rare words add to it, exactly, plus all common words of the item,
+    there or not. Passages without an item at the threshold can't retrieve anything."""
     if not len(h) or not len(index.terms):
         return
     bits = np.zeros(1 << 18, bool)
@@ -167,31 +174,31 @@ def _passages(index: Index, w: Words, h: np.ndarray, least: float) -> Iterator[t
     term = np.minimum(np.searchsorted(index.terms, h[at]), len(index.terms) - 1)
     good = index.terms[term] == h[at]
     at, term = at[good], term[good]
-    if not len(at):
-        return
-    step = index.passage
-    within = at - w.first[w.doc[at]]
+    step, n = index.passage, len(index.ids)
     per_doc = w.counts // step + 1
     base = np.cumsum(per_doc) - per_doc
-    window = base[w.doc[at]] + within // step  # a passage covers the steps of its number and of the next
-    order = np.argsort(term, kind="stable")
-    last = np.full(len(at), -1)
-    same = term[order][1:] == term[order][:-1]
-    last[order[1:][same]] = order[:-1][same]
-    before = np.where(last >= 0, window[last], -2)  # the step in which the word came last
-    weight = index.most[term]
-    total = int(per_doc.sum())
-    bound = np.bincount(window[before < window], weight[before < window], total + 1)  # of the passage that the step begins
-    second = (before < window - 1) & (within >= step)
-    bound += np.bincount(window[second] - 1, weight[second], total + 1)  # as first of the passage that the step ends
-    hot = np.flatnonzero(bound >= least)
+    rare = index.rare[term]
+    spot, t = at[rare], term[rare]
+    within = spot - w.first[w.doc[spot]]
+    own = base[w.doc[spot]] + within // step  # a passage covers the steps of its number and of the next
+    late = within >= step
+    pairs = np.unique(np.concatenate([own * len(index.terms) + t, (own[late] - 1) * len(index.terms) + t[late]]))
+    passage, t = pairs // len(index.terms), pairs % len(index.terms)
+    length = index.start[t + 1] - index.start[t]
+    posting = np.repeat(index.start[t] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+    cells, cell = np.unique(np.repeat(passage, length) * n + index.items[posting], return_inverse=True)
+    bound = np.bincount(cell, index.impacts[posting], len(cells)) + index.common[cells % n]
+    hot = np.unique(cells[bound >= least - 1e-9] // n)
+    if (index.common >= least - 1e-9).any():  # items of common words alone
+        hot = np.arange(int(per_doc.sum()))
     doc_of = np.repeat(np.arange(len(per_doc)), per_doc)
     for p in hot:
         d = int(doc_of[p])
         a = int(w.first[d] + (p - base[d]) * step)
         b = int(min(a + 2 * step, w.first[d + 1]))
         lo, hi = np.searchsorted(at, [a, b])
-        yield d, a, b, np.unique(term[lo:hi]).tolist()
+        if lo < hi:
+            yield d, a, b, np.unique(term[lo:hi]).tolist()
 
 
 def _matches(index: Index, part: pa.RecordBatch, least: float, overlap: float) -> list[dict[int, tuple]]:
