@@ -21,7 +21,6 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .shared import columns
 
@@ -171,4 +170,5 @@ def formatted(conversations: DataFrame, template: Template = CHATML) -> DataFram
 
 
 def digest(conversations: DataFrame) -> DataFrame:
-    return formatted(with_probe(conversations)).select("*", F.lit("chatml").alias("template"))
+    """Digests of all conversations and the probe, read back from their formatted segments."""
+    return formatted(with_probe(conversations))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, decontaminate, langid, minhash, quality, sharding, spotsigs, substring, warc
+from .oracle import ORACLES
 from .shared import columns, table
 
 
@@ -62,7 +63,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.digest(table(spark, sf_dir, "conversations"))
+    return chat.digest(table(spark, sf_dir, "conversations")).drop("first_error")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -70,4 +71,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
