@@ -41,7 +41,7 @@ def semantic_chunks(reply: Column, text: Column) -> Column:
     """Chunks of a client's reply (JSON array of strings), or null: unreadable, empty, not all strings, or too few words."""
     parsed = F.from_json(reply, "array<string>", {"mode": "PERMISSIVE"})
     total = F.aggregate(parsed, F.lit(0), lambda a, c: a + T.word_count(c))
-    strings = F.coalesce(F.forall(parsed, lambda c: c.isNotNull()), F.lit(False)) & ~F.coalesce(reply, F.lit("")).rlike(r'[\[,]\s*(?:-?\d|true|false|\{|\[)')
+    strings = F.coalesce(F.schema_of_variant(F.try_parse_json(reply)) == "ARRAY<STRING>", F.lit(False))
     good = strings & (F.size(parsed) > 0) & (total >= T.word_count(text) * F.lit(vocab.SEMANTIC_SHARE))
     return F.when(good, F.filter(F.transform(parsed, lambda c: F.struct(T.utrim(c).alias("text"), F.lit(False).alias("has_overlap"))), lambda c: c["text"] != ""))
 
