@@ -11,7 +11,7 @@
    of which neither is the centre, no group of any size enters one task whole, and copies are never expanded into pairs.
 5. Components over the confirmed links give each class the smallest doc_id that it can reach.
 
-With 40 bands of 8 bins a pair at the threshold of 0.85 misses every bucket with probability 3e-6, and may then still meet in
+With 48 bands of 6 bins a pair misses every bucket with probability 5e-7 at 0.8 and 2e-10 at 0.85, and may then still meet in
 its family. Spark sees rows only in proportion to documents, except for the block pairs of families over ``BLOCK_BYTES``.
 
 Defined cases: a text without words (or null) has an empty set, no link and itself as component; rows with one doc_id
@@ -32,7 +32,7 @@ from .components import components
 from .shared import columns, stored
 from .wordhash import Words, gram_hashes, mix, slices, whole, word_hashes, words
 
-SHINGLE, BANDS, ROWS = 5, 40, 8
+SHINGLE, BANDS, ROWS = 5, 48, 6
 BINS = BANDS * ROWS
 #: Shingle bytes of one block of a family; a task holds two blocks.
 BLOCK_BYTES = 16 << 20
