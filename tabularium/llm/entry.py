@@ -13,7 +13,7 @@ from .shared import columns, table
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = columns(table(spark, sf_dir, "documents"), doc_id="long", text="string")
+    docs = columns(table(spark, sf_dir, "documents", "doc_id"), doc_id="long", text="string")
     text = F.coalesce("text", F.lit(""))
     keys = docs.select("doc_id", (F.octet_length(text) + F.lit(sharding.OVERHEAD)).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     placed = sharding.assign(keys, "doc_id", sharding.Ring(40), tiebreak=["size", "text_crc32"])
@@ -21,45 +21,45 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", "doc_id")
     model = langid.train(docs.filter(~langid.held_out()))
     found = langid.predict(columns(docs, doc_id="long", text="string"), model)
     return found.select("doc_id", langid.held_out().alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_rejected").alias("rejected"))
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    back = warc.round_trip(spark, table(spark, sf_dir, "pages", "page_id"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    docs = columns(table(spark, sf_dir, "documents"), doc_id="long", text="string")
+    docs = columns(table(spark, sf_dir, "documents", "doc_id"), doc_id="long", text="string")
     found = bpe.encoded(docs, bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN, ids=False)
     return found.select("doc_id", *[F.col(f"_{c}").alias(c) for c in ("n_tokens", "ids_sha256", "decoded_sha256")])
 
 
 def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.compared(table(spark, sf_dir, "documents"))
+    return spotsigs.compared(table(spark, sf_dir, "documents", "doc_id"))
 
 
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = columns(table(spark, sf_dir, "documents"), doc_id="long", text="string")
+    docs = columns(table(spark, sf_dir, "documents", "doc_id"), doc_id="long", text="string")
     left = substring.deduplicated(docs)
     return left.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_kept_sha256").alias("kept_sha256"))
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.judged(table(spark, sf_dir, "documents", "doc_id"), table(spark, sf_dir, "benchmark"))
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id"), percent=85)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.classified(table(spark, sf_dir, "documents", "doc_id"), table(spark, sf_dir, "labels"))
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,8 +29,10 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    """A table; with a ``key``, one that is too small to occupy all cores is dealt out to them."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if key and df.rdd.getNumPartitions() < cores else df
 
 
 def columns(df: DataFrame, **types: str) -> DataFrame:
