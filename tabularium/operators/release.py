@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab
+from .confidence import rounded
 
 
 def statistics(found: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -44,7 +45,7 @@ def ledger_totals(ledger: DataFrame, *by: str) -> DataFrame:
 def batch_summary(results: DataFrame) -> DataFrame:
     """A row for each law and one (law_id null) over all: articles and chunks of the laws that went well, the cost of all."""
     ok = F.col("status") == "ok"
-    return results.rollup("law_id").agg(F.sum(F.when(ok, F.coalesce("articles_found", F.lit(0))).otherwise(0)).alias("articles"), F.sum(F.when(ok, F.coalesce("chunks", F.lit(0))).otherwise(0)).alias("chunks"), F.round(F.sum("cost_usd"), 4).alias("cost_usd"), F.count_if(ok).alias("ok"), F.count("*").alias("laws"))
+    return results.rollup("law_id").agg(F.sum(F.when(ok, F.coalesce("articles_found", F.lit(0))).otherwise(0)).alias("articles"), F.sum(F.when(ok, F.coalesce("chunks", F.lit(0))).otherwise(0)).alias("chunks"), rounded(F.sum("cost_usd")).alias("cost_usd"), F.count_if(ok).alias("ok"), F.count("*").alias("laws"))
 
 
 def gated(results: DataFrame) -> DataFrame:

@@ -23,8 +23,13 @@ case when (doc_id + i) % 25 = 0 and n > 3 then null else concat(
   case when doc_id % 13 = 0 and i % 2 = 0 then '  .\n\n\n\n' else '' end, case when doc_id % 41 = 0 and i % 3 = 0 then ' فقد قضت' else '' end) end"""
 
 
+KEYS = {"documents": "doc_id", "pages": "page_id", "events": "event_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the folder; one that is too small to occupy all cores is dealt out to them by its key."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df.repartition(cores, KEYS[name]) if name in KEYS and df.rdd.getNumPartitions() < cores else df
 
 
 def corpus_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +37,8 @@ def corpus_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n").alias("ls")).withColumn("n", F.size("ls"))
     docs = docs.withColumn("sh", F.expr("if(doc_id % 3 = 0 and n > 3, 2, 0)"))
     piece = _PIECE.replace("\n  ", " ").replace("{i}", "i")
-    body = F.expr(f"array_join(filter(transform(ls, (l, j) -> get(transform(array(j + 1), i -> {piece}), 0)), p -> p is not null), '\\n')")
+    docs = docs.withColumn("b", F.expr(f"array_join(filter(transform(ls, (l, j) -> get(transform(array(j + 1), i -> {piece}), 0)), p -> p is not null), '\\n')"))
+    body = F.col("b")
     head = F.expr("case when doc_id % 29 = 0 then 'menu نص القانون ' when doc_id % 7 = 0 then concat(repeat('تمهيد ', 200), '\n') when doc_id % 31 = 0 then 'ما5 و ما 6\n' else '' end")
     foot = F.expr("case when doc_id % 29 = 0 then '\nCreative Commons x' else '' end")
     text = F.concat(head, F.when(F.expr("doc_id % 37 = 0"), F.concat(body, F.lit("\n"), body)).otherwise(body), foot)

@@ -210,7 +210,7 @@ _SELECTS: dict[str, str | tuple[str, str]] = {
     "models_used": "select law_id, coalesce(enrichment_model, 'unknown') enrichment_model, count(*) n from enriched group by all",
     "cost_by_stage": "select stage, count(*) calls, sum(input_tokens)::bigint input_tokens, sum(output_tokens)::bigint output_tokens, sum(image_pages)::bigint image_pages, round(sum(cost), 6) cost_usd from ledger group by stage",
     "cost_by_key": "select api_key_suffix, count(*) calls, sum(input_tokens)::bigint input_tokens, sum(output_tokens)::bigint output_tokens, sum(image_pages)::bigint image_pages, round(sum(cost), 6) cost_usd from ledger group by api_key_suffix",
-    "batch_summary": "select law_id, sum(case when ok then a else 0 end)::bigint articles, sum(case when ok then c else 0 end)::bigint chunks, round(sum(cost), 4) cost_usd, count(*) filter (where ok) ok, count(*) laws from (select law_id, count(*) a, sum(image_pages) c, sum(cost) cost, law_id::bigint % 11 <> 0 and law_id::bigint % 7 <> 0 and law_id::bigint % 5 <> 0 and law_id::bigint % 3 <> 0 ok from ledger group by law_id) group by rollup (law_id)",
+    "batch_summary": "select law_id, sum(case when ok then a else 0 end)::bigint articles, sum(case when ok then c else 0 end)::bigint chunks, floor(sum(cost) * 10000 + 0.5000001::double) / 10000 cost_usd, count(*) filter (where ok) ok, count(*) laws from (select law_id, count(*) a, sum(image_pages) c, sum(cost) cost, law_id::bigint % 11 <> 0 and law_id::bigint % 7 <> 0 and law_id::bigint % 5 <> 0 and law_id::bigint % 3 <> 0 ok from ledger group by law_id) group by rollup (law_id)",
     "upsert_merge": "select doc_id, law_id, char_count, case when doc_id % 2 = 0 then 2 else 1 end::bigint as version from articles where doc_id % 2 = 0 or doc_id % 3 <> 0",
     "unique_violations": "select law_id, article_number, count(*) n from articles group by all having count(*) > 1",
     "page_ranges": "select page_id, page_id % 9 = 0 or (n >= 10 and (c % 20000) / n::double < 150) truncated, s::bigint start, least(s + 15, n)::bigint stop from (select page_id, length(html) c, length(html) // 300 n, unnest(range(0, length(html) // 300, 15)) s from pages)",
