@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markers, text, vocab
 from ..operators import assemble, chunk, cleanup, confidence, corpus_checks, enrich, refs, release, review, split, split_checks
+from ..sources.stages import stored
 from . import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,8 +37,11 @@ def found(s: SparkSession, d: str) -> DataFrame:
     return split.articles(laws(s, d), repealed="repealed_articles")
 
 
-def report(s: SparkSession, d: str) -> DataFrame:
-    return split.report(laws(s, d), found(s, d), X.registry(s, d))
+def split_once(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(articles, report, registry) from one scan of the texts: hits and articles are stage tables."""
+    scanned = stored(laws(s, d).select("law_id", "orphan", "hits", "repealed_articles"), "hits")
+    articles = stored(split.articles(scanned, repealed="repealed_articles"), "articles")
+    return articles, split.report(scanned, articles, X.registry(s, d)), X.registry(s, d)
 
 
 @query
@@ -120,7 +124,7 @@ def marker_kind_histogram(s, d):
 
 @query
 def split_report(s, d):
-    return report(s, d)
+    return split_once(s, d)[1]
 
 
 @query
@@ -140,13 +144,13 @@ def empty_oversized(s, d):
 
 @query
 def count_deviation(s, d):
-    return split_checks.counts(report(s, d)).select("law_id", "code")
+    return split_checks.counts(split_once(s, d)[1]).select("law_id", "code")
 
 
 @query
 def split_gate(s, d):
-    f, reg = found(s, d), X.registry(s, d)
-    return split_checks.gate(split_checks.all_issues(f, report(s, d), reg), reg)
+    articles, report, reg = split_once(s, d)
+    return split_checks.gate(split_checks.all_issues(articles, report, reg), reg)
 
 
 @query
@@ -182,6 +186,7 @@ def cross_refs(s, d):
 @query
 def cross_refs_resolved(s, d):
     rows = found(s, d).withColumn("ordinal", F.col("article_number") * 100000 + F.col("sequence_index")).withColumn("cross_refs", refs.cross_refs(F.col("text")))
+    rows = stored(rows.select("law_id", "article_id", "article_number", "article_type", "ordinal", "cross_refs"), "refs")
     return refs.resolved(rows).select("article_id", "ref_no", F.array_join("target_article_ids", ",").alias("targets"))
 
 
@@ -329,7 +334,7 @@ def chunk_repealed(s, d):
 @query
 def release_stats(s, d):
     chunks = chunk.chunked(X.articles(s, d).select("article_id", "law_id", "text"))
-    return release.statistics(assembled(s, d), chunks)
+    return release.statistics(assembled(s, d), chunks.select("law_id", "word_count"))
 
 
 @query
