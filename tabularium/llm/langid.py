@@ -28,6 +28,8 @@ from .shared import columns
 
 BUCKETS, DIM, ORDERS = 1 << 15, 16, (1, 2, 3, 4)
 FIT_ROWS, EPOCHS, RATE, BATCH, REJECT, CEILING = 300, 12, 8.0, 16, 0.0005, 0.4
+#: Least number of steps, so that a small sample is passed over more often.
+STEPS = 900
 #: Neutral subwords that every text is taken to have besides its own: a text of a few letters gets no certain score.
 PRIOR = 12
 UNKNOWN = "und"
@@ -124,8 +126,9 @@ def _fit(rows: list[tuple[int, np.ndarray, np.ndarray]], langs: list[str], seed:
         p = np.exp(z - z.max(axis=1, keepdims=True))
         return p / p.sum(axis=1, keepdims=True)
 
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, -(-STEPS * BATCH // max(1, len(train))))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         shuffled = rng.permutation(train)
         for at in range(0, len(shuffled), BATCH):
             part = shuffled[at : at + BATCH]

@@ -124,7 +124,7 @@ def _file_system(folder: str) -> tuple[pafs.FileSystem, str]:
 
 
 def decided(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(page_id, url, html, payload_digest, refers_to): refers_to is null for responses."""
+    """(page_id, url, html, refers_to): refers_to is null for responses."""
     rows = columns(pages, page_id="long", url="string", html="string").withColumn("html", F.coalesce("html", F.lit("")))
     sha = F.sha1(F.col("html").cast("binary"))
     small = rows.select("page_id", sha.alias("sha"), F.octet_length("html").alias("n")).filter(F.col("n") >= min_bytes)
