@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import text as T
 from ..functions import vocab
+from ..sources.stages import stored
 
 METADATA = "article_id string, topic string, keywords array<string>, article_summary string, article_category string, legal_entities array<string>, concepts array<string>, applicable_to array<string>"
 
@@ -91,6 +92,48 @@ def parsed(replies: DataFrame, concepts: Column | None = None) -> DataFrame:
     return coerced(replies.select(items.alias("i")).select("i.*"), concepts)
 
 
+def single_prompts(work: DataFrame) -> DataFrame:
+    """(law_id, batch, count, prompt) with one article each, as the last resort."""
+    text = T.utrim(F.coalesce("text", F.lit("")))
+    prompt = F.concat(F.lit('<article id="'), "article_id", F.lit('" type="'), F.coalesce("article_type", F.lit("main")), F.lit('" law="'), "law_id", F.lit('">\n'), text, F.lit("\n  </article>"))
+    return work.select("law_id", F.col("sequence_index").cast("long").alias("batch"), F.lit(1).cast("long").alias("count"), prompt.alias("prompt"))
+
+
+def semantic_prompts(long: DataFrame, limit: int = vocab.CHUNK_WORDS) -> DataFrame:
+    """(article_id, prompt) that ask a client to cut long articles into parts of ``limit`` words at most."""
+    text = T.utrim(F.coalesce("text", F.lit("")))
+    head = F.concat(F.lit('<article id="'), "article_id", F.lit('" law="'), "law_id", F.lit('" words="'), T.word_count(text).cast("string"), F.lit('" limit="'), F.lit(str(limit)), F.lit('">\n'))
+    return long.filter(T.word_count(text) > limit).select("article_id", F.concat(head, text, F.lit("\n</article>")).alias("prompt"))
+
+
+def cascade(work: DataFrame, laws: DataFrame, client: Callable = stub_client, size: int = vocab.BATCH_SIZE, model: str = "primary", concepts: Column | None = None) -> DataFrame:
+    """Metadata of all articles of a work list: whole batches, then halves of batches that failed altogether, then one by one; what is still
+    missing is a row with an error. Each level's answers are a stage table, so no call is made twice.
+
+    Of a batch that was answered in part, the rest goes one by one at once."""
+    batches = batched(work, size)
+    first = stored(called(prompts(batches, laws), client), "replies")
+    got = parsed(first, concepts)
+    left = batches.join(got.select("article_id"), "article_id", "left_anti")
+    broken = first.filter(F.col("error").isNotNull() | F.col("reply").isNull()).select("law_id", "batch")
+    parts = halves(left.join(broken, ["law_id", "batch"], "left_semi"))
+    second = stored(called(prompts(parts.withColumn("batch", F.col("batch") * 1_000_000 + F.col("part")), laws), client), "replies")
+    got = got.unionByName(parsed(second, concepts))
+    third = stored(called(single_prompts(batches.join(got.select("article_id"), "article_id", "left_anti")), client), "replies")
+    alone = parsed(third, concepts)
+    done = got.unionByName(alone).withColumns({"enrichment_model": F.lit(model), "enrichment_status": F.lit("completed"), "enrichment_error": F.lit(None).cast("string")})
+    asked = third.select("law_id", F.col("batch").alias("sequence_index"), "error").join(work.select("law_id", "article_id", F.col("sequence_index").cast("long").alias("sequence_index")), ["law_id", "sequence_index"])
+    lost = asked.join(alone.select("article_id"), "article_id", "left_anti")
+    # An answer that can't be read leaves an error without the state; a call that failed is marked failed.
+    status = F.when(F.col("error").isNull(), F.lit("")).otherwise(F.lit("failed"))
+    empty = F.array().cast("array<string>")
+    rows = lost.select(
+        "article_id", F.lit("").alias("topic"), empty.alias("keywords"), F.lit("").alias("article_summary"), F.lit("").alias("article_category"), empty.alias("legal_entities"), empty.alias("concepts"),
+        empty.alias("applicable_to"), F.lit(model).alias("enrichment_model"), status.alias("enrichment_status"), F.coalesce("error", F.lit("unreadable reply")).alias("enrichment_error"),
+    )
+    return done.unionByName(rows)
+
+
 def merged(found: DataFrame, fresh: DataFrame, cache: DataFrame) -> DataFrame:
     """Articles with metadata: fresh before cached before none (error ``not_reached``)."""
     names = ["topic", "article_category", "enrichment_model", "enrichment_status", "enrichment_error"]

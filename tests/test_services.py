@@ -168,6 +168,24 @@ def test_enrichment_flow(spark):
     assert set(rows) == {"a2", "a3", "a4", "a5", "a6"} and rows["a4"]["keywords"] == ["نص", "المادة", "4"]
 
 
+def test_enrichment_cascade(spark):
+    found = spark.createDataFrame([("L", f"a{i}", i, "main", "bad" if i == 3 else "worse" if i == 5 else f"نص {i}") for i in range(9)], "law_id string, article_id string, sequence_index int, article_type string, text string")
+
+    def client(frames):
+        for f in enrich.stub_client(frames):
+            broken = f["prompt"].str.contains("bad")
+            f.loc[broken, "error"] = "refused"
+            f.loc[broken, "reply"] = None
+            f.loc[f["prompt"].str.contains("worse") & ~broken, "reply"] = "no json"
+            yield f
+
+    got = {r["article_id"]: (r["enrichment_status"], r["enrichment_error"]) for r in enrich.cascade(found, found.select("law_id").distinct(), client, size=4).collect()}
+    assert len(got) == 9 and got["a3"] == ("failed", "refused") and got["a5"] == ("", "unreadable reply")
+    assert all(v == ("completed", None) for k, v in got.items() if k not in ("a3", "a5"))
+    long = spark.createDataFrame([("L", "x", "كلمة " * 300), ("L", "y", "كلمة")], "law_id string, article_id string, text string")
+    assert [r["article_id"] for r in enrich.semantic_prompts(long).collect()] == ["x"]
+
+
 def test_assembly(spark):
     rows = spark.createDataFrame(
         [("a1", "L", 2, "main", False, 0), ("a2", "L", 1, "main", False, 1), ("a1", "L", 3, "main", False, 2), ("a3", "L", 1, "issuance", False, 3), ("a4", "L", None, "main", True, 4)],
