@@ -50,13 +50,19 @@ def chunked(found: DataFrame, reply: str | None = None) -> DataFrame:
     """One row for each chunk of the articles that have text, with the article's columns. A reply, if given, is for long articles only."""
     text = T.utrim(F.coalesce("text", F.lit("")))
     rows = found.withColumn("_t", text).filter("_t <> ''")
-    ruled = rule_chunks(F.col("_t"))
-    semantic = F.when(T.word_count(F.col("_t")) > vocab.CHUNK_WORDS, semantic_chunks(F.col(reply), F.col("_t"))) if reply else F.lit(None).cast("array<struct<text:string,has_overlap:boolean>>")
-    rows = rows.withColumn("_s", semantic).withColumn("_c", F.coalesce("_s", ruled))
+    named = lambda chunks, method: F.transform(chunks, lambda c: F.struct(c["text"].alias("text"), c["has_overlap"].alias("has_overlap"), F.lit(method).alias("method")))
+    parts = named(rule_chunks(F.col("_t")), "rule_based")
+    if reply:
+        long = T.word_count(F.col("_t")) > vocab.CHUNK_WORDS
+        parts = F.coalesce(named(F.when(long, semantic_chunks(F.col(reply), F.col("_t"))), "semantic"), parts)
+    whole = T.let(parts, lambda p: F.transform(p, lambda c: F.struct(c["text"].alias("text"), c["has_overlap"].alias("has_overlap"), c["method"].alias("method"), F.size(p).alias("total"))))
     keep = [c for c in found.columns if c not in {"text", "word_count", "char_count", reply}]
-    out = rows.select(*keep, F.when(F.col("_s").isNotNull(), "semantic").otherwise("rule_based").alias("chunk_method"), F.size("_c").cast("long").alias("chunk_total"), F.posexplode("_c").alias("chunk_index", "_x"))
+    out = rows.select(*keep, F.posexplode(whole).alias("chunk_index", "_x"))
     chunk_id = F.format_string("%s_C%03d", "article_id", F.col("chunk_index") + 1)
-    return out.select(chunk_id.alias("chunk_id"), *keep, F.col("chunk_index").cast("long").alias("chunk_index"), "chunk_total", "chunk_method", F.col("_x.text").alias("text"), F.col("_x.has_overlap").alias("has_overlap"), T.word_count(F.col("_x.text")).cast("long").alias("word_count"), F.length("_x.text").cast("long").alias("char_count"))
+    return out.select(
+        chunk_id.alias("chunk_id"), *keep, F.col("chunk_index").cast("long").alias("chunk_index"), F.col("_x.total").cast("long").alias("chunk_total"), F.col("_x.method").alias("chunk_method"), F.col("_x.text").alias("text"),
+        F.col("_x.has_overlap").alias("has_overlap"), T.word_count(F.col("_x.text")).cast("long").alias("word_count"), F.length("_x.text").cast("long").alias("char_count"),
+    )
 
 
 def report(chunks: DataFrame, by: str = "law_id") -> DataFrame:
