@@ -171,8 +171,10 @@ def test_enrichment_flow(spark):
 def test_enrichment_cascade(spark):
     found = spark.createDataFrame([("L", f"a{i}", i, "main", "bad" if i == 3 else "worse" if i == 5 else f"نص {i}") for i in range(9)], "law_id string, article_id string, sequence_index int, article_type string, text string")
 
+    stub = enrich.stub_client
+
     def client(frames):
-        for f in enrich.stub_client(frames):
+        for f in stub(frames):
             broken = f["prompt"].str.contains("bad")
             f.loc[broken, "error"] = "refused"
             f.loc[broken, "reply"] = None
