@@ -7,7 +7,7 @@ byte string whose size the rank file alone bounds.
 
 The folded words travel to all executors (bounded), where texts are encoded; a word that is not among them gets the same merges
 from a heap, kept in a bounded memory of the task. So no text and no occurrence of a word is shuffled, and which words
-are folded where changes the time only. (Folding every distinct word by Spark costs some 50 to 100 microseconds a word, and a join back to
+are folded where changes the time only. (Folding every distinct word by Spark costs some 120 microseconds a word, and a join back to
 all occurrences; see the README.) Decoding concatenates the binary piece of each id.
 
 Defined cases: null and empty texts have no tokens and decode to nothing; special tokens are ordinary text; repeated rows
