@@ -1,13 +1,13 @@
 """Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text, and perplexity thresholds by language.
 
-The tokens are characters in a closed alphabet of ``SYMBOLS``: the commonest characters of the trusted text, a shift mark before
-capitals, and one symbol for all others, so that there are ``SYMBOLS ** ORDER`` n-grams at most. Every whole trusted text
-is counted; each task counts densely, and the counts are added up by n-gram, sharded by key. That bounded table makes the model:
-continuation counts of the lower orders, three discounts an order from the counts of counts, interpolation down to the
-uniform distribution. It is broadcast (67 MB, whatever the corpus) and every whole text is scored against it.
+The tokens are characters: every code point is a symbol of its own, capitals are a shift mark and their small form. No character is merged
+with another, whatever its script or how rare it is. Every whole trusted text is counted; each task counts what occurs, and the
+counts are added up by n-gram, sharded by key. That sparse table makes the model: continuation counts of the lower
+orders, three discounts an order from the counts of counts, interpolation down to the uniform distribution over all symbols. It is as
+large as the number of distinct n-grams of trusted text, is broadcast, and every whole text is scored against it.
 
 (Joining the n-grams of every document to sharded counts, as words or as characters by blocks of documents, moves the
-corpus's n-grams once to the counts and once back; the README has the figures. The closed alphabet makes the join a look-up.)
+corpus's n-grams once to the counts and once back; the README has the figures. A broadcast table makes the join a look-up.)
 
 A document is kept if its perplexity is at most the ``KEEP`` quantile of the trusted documents in its language. A language
 without trusted documents takes the quantile over all of them.
@@ -20,6 +20,7 @@ repeats or contradicts another makes a document trusted if any of its labels doe
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,12 @@ from pyspark.sql import functions as F
 
 from .shared import columns, stored
 
-SYMBOLS, ORDER, KEEP, STRETCH = 64, 4, 0.9975, 1 << 20
-_BEGIN, _OTHER, _SHIFT, _FIRST = 0, 1, 2, 3
+ORDER, KEEP, STRETCH = 4, 0.9975, 1 << 20
+#: A symbol is a code point, the shift mark or the begin mark: 21 bits, so that an n-gram of three is one key of 63.
+BITS, SHIFT, BEGIN = 21, 0x110000, 0x110001
+UNIFORM = 1 / 0x110001
+#: Symbols of the dense table in ``kneser_ney``, which the sparse model is tested against.
+SYMBOLS = 64
 
 
 def _plane() -> tuple[np.ndarray, np.ndarray]:
@@ -41,36 +46,46 @@ def _plane() -> tuple[np.ndarray, np.ndarray]:
     return upper, lower
 
 
-class Alphabet:
-    def __init__(self, chars: list[int]) -> None:
+class Symbols:
+    def __init__(self) -> None:
         self.upper, self.lower = _plane()
-        self.symbol = np.full((1 << 16) + 1, _OTHER, np.uint32)
-        self.symbol[chars[: SYMBOLS - _FIRST]] = np.arange(_FIRST, _FIRST + len(chars[: SYMBOLS - _FIRST]))
 
-    def small(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Code points in small form (65,536 for all beyond the basic plane), and which were capitals."""
-        code = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), 1 << 16)
+    def of(self, text: str) -> np.ndarray:
+        """Code points in small form, with a shift mark before each that was a capital."""
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         inside = np.minimum(code, 0xFFFF)
         capital = self.upper[inside] & (code < 1 << 16)
-        return np.where(capital, self.lower[inside], code), capital
-
-    def grams(self, text: str) -> Iterator[np.ndarray]:
-        """Keys of all n-grams of a text, in stretches; the text begins with ORDER - 1 begin symbols."""
-        tail = np.full(ORDER - 1, _BEGIN, np.uint32)
+        symbols = np.where(capital, self.lower[inside], code)
+        if capital.any():
+            spot = np.cumsum(1 + capital) - 1
+            wide = np.full(int(spot[-1]) + 1, SHIFT, np.uint32)
+            wide[spot] = symbols
+            symbols = wide
+        return symbols
+
+    def runs(self, text: str) -> Iterator[np.ndarray]:
+        """Symbols of a text in stretches, each behind the ORDER - 1 symbols before it; the text begins with begin marks."""
+        tail = np.full(ORDER - 1, BEGIN, np.uint32)
         for at in range(0, len(text), STRETCH):
-            code, capital = self.small(text[at : at + STRETCH])
-            symbols = self.symbol[code]
-            if capital.any():
-                spot = np.cumsum(1 + capital) - 1
-                wide = np.full(int(spot[-1]) + 1, _SHIFT, np.uint32)
-                wide[spot] = symbols
-                symbols = wide
-            run = np.concatenate([tail, symbols])
+            run = np.concatenate([tail, self.of(text[at : at + STRETCH])])
             tail = run[len(run) - ORDER + 1 :]
-            keys = run[: len(run) - ORDER + 1].copy()
-            for k in range(1, ORDER):
-                keys = keys * np.uint32(SYMBOLS) + run[k : len(run) - ORDER + 1 + k]
-            yield keys
+            yield run
+
+
+def grams(run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(context, symbol) of all n-grams of a run; a context is the ORDER - 1 symbols before."""
+    wide, m = run.astype(np.int64), len(run) - ORDER + 1
+    context = wide[:m]
+    for k in range(1, ORDER - 1):
+        context = context << BITS | wide[k : m + k]
+    return context, wide[ORDER - 1 :]
+
+
+def distinct(context: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams and how often each occurs."""
+    contexts, rank = np.unique(context, return_inverse=True)
+    key, n = np.unique(rank << BITS | symbol, return_counts=True)
+    return contexts[key >> BITS], key & (1 << BITS) - 1, n
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[str]:
@@ -79,35 +94,28 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[str]:
             yield from (t for t in batch.column("text").slice(k, 256).to_pylist() if t)
 
 
-def alphabet(trusted: DataFrame) -> list[int]:
-    """The commonest characters, in small form, by count over all trusted texts."""
+def gram_counts(trusted: DataFrame) -> DataFrame:
+    """(context, symbol, n) over all trusted texts, sharded by n-gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, total = Alphabet([]), np.zeros((1 << 16) + 1, np.int64)
-        for text in _texts(batches):
-            for at in range(0, len(text), STRETCH):
-                total += np.bincount(own.small(text[at : at + STRETCH])[0], minlength=len(total))
-        some = np.flatnonzero(total[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], ["code", "n"])
-
-    counts = trusted.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    return [r["code"] for r in counts.orderBy(F.desc("n"), "code").limit(SYMBOLS - _FIRST).collect()]
+        own, held, size = Symbols(), [], 0
 
+        def flush() -> pa.RecordBatch:
+            found = distinct(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["context", "symbol", "n"])
 
-def gram_counts(trusted: DataFrame, chars: list[int]) -> DataFrame:
-    """(gram, n) over all trusted texts, sharded by gram."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, total = Alphabet(chars), np.zeros(SYMBOLS**ORDER, np.uint32)
         for text in _texts(batches):
-            for keys in own.grams(text):
-                np.add.at(total, keys, np.uint32(1))
-        some = np.flatnonzero(total)
-        for k in range(0, len(some), 1 << 16):
-            part = some[k : k + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part].astype(np.int64))], ["gram", "n"])
+            for stretch in own.runs(text):
+                held.append(grams(stretch))
+                size += len(held[-1][1])
+                if size >= STRETCH:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
 
-    return trusted.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    rows = trusted.select("text").mapInArrow(run, "context long, symbol long, n long")
+    return rows.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
 
 def discounts(counts: np.ndarray) -> tuple[float, float, float]:
@@ -121,7 +129,8 @@ def discounts(counts: np.ndarray) -> tuple[float, float, float]:
 
 
 def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log2 P(last symbol | the others) of all ``SYMBOLS ** ORDER`` n-grams, float32, from the counts of those that occur."""
+    """log2 P(last symbol | the others) of all ``SYMBOLS ** ORDER`` n-grams over a closed alphabet, float32, from the counts of those
+    that occur: the dense form of ``Model``."""
     table = np.zeros(SYMBOLS**ORDER, np.float32)
     table[grams] = counts
     tables, d = [table], [discounts(counts)]
@@ -143,21 +152,98 @@ def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.log2(p, out=p)
 
 
-def perplexities(documents: DataFrame, chars: list[int], logs: np.ndarray) -> DataFrame:
+@dataclass
+class Level:
+    """N-grams of one order: sorted keys with log2 P, sorted contexts with log2 of the weight that they leave to the order below."""
+
+    keys: np.ndarray
+    logs: np.ndarray
+    contexts: np.ndarray
+    weights: np.ndarray
+
+
+def _level(keys: np.ndarray, counts: np.ndarray, lower: np.ndarray) -> tuple[Level, np.ndarray]:
+    """From sorted keys (context, symbol), their counts and the probability of each in the order below; and P of each."""
+    contexts, rank = np.unique(keys >> BITS, return_inverse=True)
+    d1, d2, d3 = discounts(counts)
+    cut = d1 * (counts == 1) + d2 * (counts == 2) + d3 * (counts >= 3)
+    total = np.bincount(rank, counts)
+    weight = np.bincount(rank, cut) / total
+    p = np.maximum(counts - cut, 0) / total[rank] + weight[rank] * lower
+    with np.errstate(divide="ignore"):
+        return Level(keys, np.log2(p).astype(np.float32), contexts, np.log2(weight).astype(np.float32)), p
+
+
+def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key is, and whether it is there at all."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == keys
+
+
+@dataclass
+class Model:
+    contexts: np.ndarray  # of the whole order; a key of that order is (rank of the context, symbol)
+    levels: list[Level]  # longest first
+    uniform: float = UNIFORM
+
+    @classmethod
+    def fitted(cls, context: np.ndarray, symbol: np.ndarray, counts: np.ndarray, uniform: float = UNIFORM) -> Model:
+        """From distinct n-grams and how often each occurs."""
+        if not len(counts):
+            return cls(np.zeros(0, np.int64), [], uniform)
+        contexts, rank = np.unique(context, return_inverse=True)
+        key = rank << BITS | symbol
+        order = np.argsort(key)
+        keys, ns = [key[order]], [counts[order].astype(np.float64)]
+        shorter, into = (context[order] << BITS | symbol[order]) & (1 << BITS * (ORDER - 1)) - 1, []
+        for k in range(ORDER - 1, 0, -1):  # continuation counts: in how many contexts a shorter gram follows something
+            found, inverse, n = np.unique(shorter & (1 << BITS * k) - 1, return_inverse=True, return_counts=True)
+            keys, ns, into, shorter = [*keys, found], [*ns, n.astype(np.float64)], [*into, inverse], found
+        levels, p = [], None
+        for k in range(ORDER - 1, -1, -1):
+            lower = np.full(len(keys[k]), uniform) if p is None else p[into[k]]
+            level, p = _level(keys[k], ns[k], lower)
+            levels.insert(0, level)
+        return cls(contexts, levels, uniform)
+
+    def logs(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """log2 P(symbol | context): of the longest gram that occurs, behind the weights of the contexts above it."""
+        out = np.zeros(len(symbol))
+        left = np.arange(len(symbol))
+        for k, level in enumerate(self.levels):
+            length = ORDER - k
+            if k == 0:
+                rank, known = _find(self.contexts, context)
+                key = np.where(known, rank << BITS | symbol, -1)
+            else:
+                key = (context << BITS | symbol) & (1 << BITS * length) - 1
+            at, there = _find(level.keys, key)
+            out[left[there]] += level.logs[at[there]]
+            left, context, symbol, key = left[~there], context[~there], symbol[~there], key[~there]
+            at, there = _find(level.contexts, key >> BITS)
+            out[left[there]] += level.weights[at[there]]
+        out[left] += np.log2(self.uniform)
+        return out
+
+
+def perplexities(documents: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang, n_symbols, perplexity) of each document, from its whole text."""
-    shared = documents.sparkSession.sparkContext.broadcast(logs)
+    shared = documents.sparkSession.sparkContext.broadcast(model)
     schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_symbols", pa.int64()), ("perplexity", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, table = Alphabet(chars), shared.value
+        own, model = Symbols(), shared.value
         for batch in batches:
             for k in range(0, len(batch), 256):
                 part = batch.slice(k, 256)
                 n, value = [], []
                 for text in part.column("text").to_pylist():
                     m, s = 0, 0.0
-                    for keys in own.grams(text or ""):
-                        m, s = m + len(keys), s + float(table[keys].sum(dtype=np.float64))
+                    for stretch in own.runs(text or ""):
+                        found = model.logs(*grams(stretch))
+                        m, s = m + len(found), s + float(found.sum())
                     n.append(m)
                     value.append(2 ** (-s / m) if m else None)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(n, pa.int64()), pa.array(value, pa.float64())], schema=schema)
@@ -182,10 +268,9 @@ def classified(documents: DataFrame, labels: DataFrame, keep: float = KEEP) -> D
     good = columns(labels, doc_id="long", quality="int", toxic="int").filter("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
     good = good.select("doc_id").distinct()
     trusted = likely(docs.select("doc_id", "text").filter("text is not null"), good).join(good.hint("merge"), "doc_id").select("text")  # a semi join would be moved below the bitmap
-    chars = alphabet(trusted)
-    counts = gram_counts(trusted, chars).toPandas()  # SYMBOLS ** ORDER rows at most
-    logs = kneser_ney(counts["gram"].to_numpy(np.int64), counts["n"].to_numpy(np.float64))
-    scored = stored(perplexities(docs, chars, logs), "perplexities")
+    counts = gram_counts(trusted).toArrow()  # a row for each distinct n-gram of trusted text
+    model = Model.fitted(*(counts.column(c).to_numpy() for c in ("context", "symbol", "n")))
+    scored = stored(perplexities(docs, model), "perplexities")
     ours = scored.join(good, "doc_id", "left_semi").filter("perplexity is not null")
     quantile = lambda rows: rows.agg(F.percentile_approx("perplexity", keep, 100_000).alias("threshold"))
     by_lang = {r["lang"]: r["threshold"] for r in quantile(ours.groupBy("lang")).collect()}  # one row a language

@@ -363,6 +363,31 @@ def test_quality_keeps_trusted_kind_and_drops_noise(spark):
     assert quality.classified(docs.limit(0), labels).count() == 0
 
 
+def test_sparse_model_equals_the_dense_table():
+    rng = np.random.default_rng(13)
+    found, n = np.unique(rng.integers(0, 20, (4000, 4)) ** 2 % 64, axis=0), quality.SYMBOLS
+    counts = rng.integers(1, 9, len(found)).astype(float)
+    logs = quality.kneser_ney(found @ [n**3, n**2, n, 1], counts)
+    context = lambda g: g[:, 0] << 2 * quality.BITS | g[:, 1] << quality.BITS | g[:, 2]
+    model = quality.Model.fitted(context(found), found[:, 3], counts, 1 / n)
+    asked = np.concatenate([found, rng.integers(0, n, (5000, 4))])
+    assert np.allclose(model.logs(context(asked), asked[:, 3]), logs[asked @ [n**3, n**2, n, 1]], atol=1e-4)
+    assert np.allclose(quality.Model.fitted(*[np.zeros(0, np.int64)] * 3).logs(context(asked), asked[:, 3]), np.log2(quality.UNIFORM))
+
+
+def test_quality_separates_a_minority_in_another_script(spark):
+    rng = random.Random(14)
+    many = ["".join(chr(0x4E00 + rng.randrange(90)) for _ in range(3000)) + " " * 100 for _ in range(60)]
+    words = ["река", "течёт", "между", "камнями", "тихо", "утром"]
+    good = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(30)]
+    letters = sorted(set("".join(words)))
+    bad = [" ".join("".join(rng.choice(letters) for _ in rng.choice(words)) for _ in range(60)) for _ in range(10)]
+    docs = spark.createDataFrame([(i, t, "zh" if i < 60 else "ru") for i, t in enumerate([*many, *good, *bad])], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in quality.classified(docs, labels).collect()}
+    assert sum(got[i]["kept"] for i in range(60, 90)) >= 27 and not any(got[i]["kept"] for i in range(90, 100))
+
+
 def test_bitmap_prefilter_loses_nothing(spark):
     docs, ids = frame(spark, ["t"] * 3000), spark.range(0, 3000, 3).select(F.col("id").alias("doc_id"))
     left = {r["doc_id"] for r in quality.likely(docs, ids).collect()}
