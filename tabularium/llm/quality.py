@@ -9,8 +9,10 @@ large as the number of distinct n-grams of trusted text, is broadcast, and every
 (Joining the n-grams of every document to sharded counts, as words or as characters by blocks of documents, moves the
 corpus's n-grams once to the counts and once back; the README has the figures. A broadcast table makes the join a look-up.)
 
-A document is kept if its perplexity is at most the ``KEEP`` quantile of the trusted documents in its language. A language
-without trusted documents takes the quantile over all of them.
+A document is kept if its perplexity is at most the threshold of its language: a quantile of the trusted documents' scores, each by a
+model that was fitted without its fold (``FOLDS``, dealt by text, so that exact copies share one). Of the quantiles ``KEEPS`` it is the one that drops
+the most documents labelled quality 0 beyond the trusted ones that it drops too, the highest if several do; ``KEEP`` where none is labelled so.
+A language without trusted documents takes the threshold over all of them.
 
 Defined cases: null and empty texts have no perplexity and aren't kept; documents without lang form a language of their own;
 without any trusted text all scores are those of the uniform distribution, and nothing but empty texts is dropped; a label that
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,8 @@ from pyspark.sql import functions as F
 
 from .shared import columns, stored
 
-ORDER, KEEP, STRETCH = 4, 0.9975, 1 << 20
+ORDER, STRETCH, FOLDS = 4, 1 << 20, 4
+KEEP, KEEPS = 0.99, (0.95, 0.98, 0.985, 0.99, 0.995, 0.9975)
 #: A symbol is a code point, the shift mark or the begin mark: 21 bits, so that an n-gram of three is one key of 63.
 BITS, SHIFT, BEGIN = 21, 0x110000, 0x110001
 UNIFORM = 1 / 0x110001
@@ -88,34 +92,37 @@ def distinct(context: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.nd
     return contexts[key >> BITS], key & (1 << BITS) - 1, n
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[str]:
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int]]:
     for batch in batches:
         for k in range(0, len(batch), 256):
-            yield from (t for t in batch.column("text").slice(k, 256).to_pylist() if t)
+            part = batch.slice(k, 256)
+            yield from ((t, f) for t, f in zip(part.column("text").to_pylist(), part.column("fold").to_pylist(), strict=True) if t)
 
 
 def gram_counts(trusted: DataFrame) -> DataFrame:
-    """(context, symbol, n) over all trusted texts, sharded by n-gram."""
+    """(context, symbol, n0, n1 ..) over all trusted texts, a count for each fold, sharded by n-gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held, size = Symbols(), [], 0
+        own, held, size = Symbols(), [[] for _ in range(FOLDS)], 0
 
-        def flush() -> pa.RecordBatch:
-            found = distinct(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["context", "symbol", "n"])
+        def flush() -> Iterator[pa.RecordBatch]:
+            for fold, some in enumerate(held):
+                if some:
+                    found = distinct(*(np.concatenate(x) for x in zip(*some, strict=True)))
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*found, np.full(len(found[0]), fold))], ["context", "symbol", "n", "fold"])
+                    some.clear()
 
-        for text in _texts(batches):
+        for text, fold in _texts(batches):
             for stretch in own.runs(text):
-                held.append(grams(stretch))
-                size += len(held[-1][1])
+                held[fold].append(grams(stretch))
+                size += len(held[fold][-1][1])
                 if size >= STRETCH:
-                    yield flush()
-                    held, size = [], 0
-        if held:
-            yield flush()
+                    yield from flush()
+                    size = 0
+        yield from flush()
 
-    rows = trusted.select("text").mapInArrow(run, "context long, symbol long, n long")
-    return rows.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    rows = trusted.select("text", "fold").mapInArrow(run, "context long, symbol long, n long, fold long")
+    return rows.groupBy("context", "symbol").agg(*[F.sum(F.when(F.col("fold") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(FOLDS)])
 
 
 def discounts(counts: np.ndarray) -> tuple[float, float, float]:
@@ -262,19 +269,50 @@ def likely(documents: DataFrame, ids: DataFrame, bits: int = 24) -> DataFrame:
     return rows.filter(F.call_function("shiftright", byte, bit).bitwiseAND(F.lit(1)) == 1).select(documents.columns)
 
 
-def classified(documents: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
-    """One row for each document: perplexity, the threshold of its language, and whether it is kept."""
+def threshold(trusted: list[float], bad: list[tuple[float, float]], keep: float | None = None) -> float | None:
+    """From the scores of trusted documents at ``KEEPS`` and, for each of them, the share of documents labelled quality 0 that it drops and the
+    share of trusted ones."""
+    if not trusted:
+        return None
+    if keep is None and bad:
+        return max(zip(bad, trusted, strict=True), key=lambda x: (round(x[0][0] - x[0][1], 9), x[1]))[1]
+    return trusted[0] if keep is not None else trusted[KEEPS.index(KEEP)]
+
+
+def classified(documents: DataFrame, labels: DataFrame, keep: float | None = None) -> DataFrame:
+    """One row for each document: perplexity, the threshold of its language, and whether it is kept. A quantile ``keep`` holds for all languages."""
     docs = columns(documents, doc_id="long", text="string", lang="string")
-    good = columns(labels, doc_id="long", quality="int", toxic="int").filter("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
-    good = good.select("doc_id").distinct()
-    trusted = likely(docs.select("doc_id", "text").filter("text is not null"), good).join(good.hint("merge"), "doc_id").select("text")  # a semi join would be moved below the bitmap
+    marks = columns(labels, doc_id="long", quality="int", toxic="int").filter("doc_id is not null")
+    good = marks.filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
+    poor = marks.filter("quality = 0").select("doc_id").distinct().join(good, "doc_id", "left_anti")
+    texts = likely(docs.filter("text is not null"), good).join(good.hint("merge"), "doc_id")  # a semi join would be moved below the bitmap
+    trusted = stored(texts.select("doc_id", "text", "lang", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).alias("fold")), "trusted")
     counts = gram_counts(trusted).toArrow()  # a row for each distinct n-gram of trusted text
-    model = Model.fitted(*(counts.column(c).to_numpy() for c in ("context", "symbol", "n")))
-    scored = stored(perplexities(docs, model), "perplexities")
-    ours = scored.join(good, "doc_id", "left_semi").filter("perplexity is not null")
-    quantile = lambda rows: rows.agg(F.percentile_approx("perplexity", keep, 100_000).alias("threshold"))
-    by_lang = {r["lang"]: r["threshold"] for r in quantile(ours.groupBy("lang")).collect()}  # one row a language
-    overall = quantile(ours.groupBy()).first()["threshold"]
+    context, symbol, *parts = (counts.column(c).to_numpy() for c in ("context", "symbol", *(f"n{k}" for k in range(FOLDS))))
+    total = sum(parts)
+
+    def fitted(n: np.ndarray) -> Model:
+        return Model.fitted(context[n > 0], symbol[n > 0], n[n > 0])
+
+    scored = stored(perplexities(docs, fitted(total)), "perplexities")
+    ours = [perplexities(trusted.filter(F.col("fold") == k).select("doc_id", "text", "lang"), fitted(total - parts[k])) for k in range(FOLDS)]
+    ours = stored(reduce(DataFrame.unionByName, ours), "held-out").filter("perplexity is not null")
+    theirs = scored.join(poor, "doc_id", "left_semi").filter("perplexity is not null")
+    quantiles = KEEPS if keep is None else (keep,)
+
+    def limits(by: list[str]) -> dict[str | None, float | None]:
+        at = {r["lang"] if by else None: r["q"] for r in ours.groupBy(*by).agg(F.percentile_approx("perplexity", list(quantiles), 100_000).alias("q")).collect()}  # one row a language
+        table = ours.sparkSession.createDataFrame([(k, q) for k, q in at.items() if q], "known string, q array<double>")
+        over = [F.avg((F.col("perplexity") > F.get("q", F.lit(i))).cast("double")).alias(f"a{i}") for i in range(len(quantiles))]
+
+        def dropped(rows: DataFrame) -> dict[str | None, list[float]]:
+            match = F.col("lang").eqNullSafe(F.col("known")) if by else F.lit(True)
+            return {r["known"]: list(r)[1:] for r in rows.join(F.broadcast(table), match).groupBy("known").agg(*over).collect()}
+
+        mine, others = dropped(ours), dropped(theirs)
+        return {k: threshold(q or [], list(zip(others[k], mine[k], strict=True)) if k in others else [], keep) for k, q in at.items()}
+
+    by_lang, overall = limits(["lang"]), limits([])[None]
     table = scored.sparkSession.createDataFrame([*by_lang.items(), ("", None)], "known string, threshold double").filter("threshold is not null")
     out = scored.join(F.broadcast(table), F.col("lang").eqNullSafe(F.col("known")), "left")
     limit = F.coalesce(F.col("threshold"), F.lit(overall).cast("double"), F.lit(float("inf")))

@@ -388,6 +388,18 @@ def test_quality_separates_a_minority_in_another_script(spark):
     assert sum(got[i]["kept"] for i in range(60, 90)) >= 27 and not any(got[i]["kept"] for i in range(90, 100))
 
 
+def test_quality_threshold_stands_an_odd_trusted_document(spark):
+    rng = random.Random(15)
+    text = lambda words: " ".join(rng.choice(words) for _ in range(60))
+    good = [text(["the", "small", "river", "runs", "over", "stones"]) for _ in range(150)]
+    odd = ["".join(rng.choice("qxzj#@%&") for _ in range(200)) for _ in range(1)]
+    bad = [text(["eht", "llams", "revir", "snur", "revo", "senots"]) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*good, *odd, *bad])], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([*((i, 1, 0) for i in range(151)), *((i, 0, 0) for i in range(151, 161))], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in quality.classified(docs, labels).collect()}
+    assert sum(got[i]["kept"] for i in range(150)) >= 145 and not any(got[i]["kept"] for i in range(151, 171))
+
+
 def test_bitmap_prefilter_loses_nothing(spark):
     docs, ids = frame(spark, ["t"] * 3000), spark.range(0, 3000, 3).select(F.col("id").alias("doc_id"))
     left = {r["doc_id"] for r in quality.likely(docs, ids).collect()}
