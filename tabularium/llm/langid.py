@@ -6,8 +6,10 @@ prediction embedding and layer are multiplied once, so a text costs one look-up
 
 The fit uses a bounded sample: at most about ``FIT_ROWS`` labelled rows a language, picked by a hash of doc_id and text, each as
 counts of its buckets (so at most ``BUCKETS`` numbers a row, however long the text). A fifth of the sample is kept from the
-fit and calibrates it: a temperature, 1 or more, that minimises its log loss, and the rejection threshold, the ``REJECT``
-quantile of the score that it gives the right language, ``CEILING`` at most. A text below the threshold, or without letters, is rejected.
+fit and calibrates it: a temperature, 1 or more, that minimises its log loss, and the rejection threshold. What is rejected is not a matter
+of the score, which only compares the learned languages: a text's familiarity is the mean log likelihood of its subwords in its likeliest
+language over that of evenly spread ones, and the threshold is ``SHARE`` of the ``REJECT`` quantile of the check rows' familiarity. It means the same
+for one language or many, and no label of a check row enters it. A text below the threshold, or without letters, is rejected.
 
 Prediction reads whole texts and nothing else. Defined cases: null texts and texts without a letter are ``und`` with
 score 0; rows without lang are not learned from; with no labelled row at all every text is ``und``; repeated rows and
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from .shared import columns
 
 BUCKETS, DIM, ORDERS = 1 << 15, 16, (1, 2, 3, 4)
-FIT_ROWS, EPOCHS, RATE, BATCH, REJECT, CEILING = 300, 12, 8.0, 16, 0.0005, 0.4
+FIT_ROWS, EPOCHS, RATE, BATCH, REJECT, SHARE, SPREAD = 300, 12, 8.0, 16, 0.05, 0.6, 0.1
 #: Least number of steps, so that a small sample is passed over more often.
 STEPS = 900
 #: Neutral subwords that every text is taken to have besides its own: a text of a few letters gets no certain score.
@@ -91,17 +93,20 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float
+    familiar: np.ndarray  # (BUCKETS, langs): log likelihood of a subword over that of evenly spread ones
 
-    def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Calibrated probabilities of all languages, and which texts have letters."""
+    def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Calibrated probabilities of all languages, which texts have letters, and the familiarity of each in its likeliest language."""
         total, n = np.zeros((len(texts), max(1, len(self.langs)))), np.zeros(len(texts))
+        near = np.zeros_like(total)
         for i, b in subwords(texts):
             if len(b) and self.langs:
                 total[i] += np.bincount(b, minlength=BUCKETS) @ self.table if len(b) > BUCKETS else self.table[b].sum(axis=0, dtype=np.float64)
+                near[i] += np.bincount(b, minlength=BUCKETS) @ self.familiar if len(b) > BUCKETS else self.familiar[b].sum(axis=0, dtype=np.float64)
             n[i] += len(b)
         z = (total / (n + PRIOR)[:, None] + (self.bias if self.langs else 0)) / self.temperature
         p = np.exp(z - z.max(axis=1, keepdims=True))
-        return p / p.sum(axis=1, keepdims=True), n > 0
+        return p / p.sum(axis=1, keepdims=True), n > 0, near[np.arange(len(texts)), p.argmax(axis=1)] / np.maximum(n, 1)
 
 
 def _fit(rows: list[tuple[int, np.ndarray, np.ndarray]], langs: list[str], seed: int = 7) -> Model:
@@ -143,14 +148,20 @@ def _fit(rows: list[tuple[int, np.ndarray, np.ndarray]], langs: list[str], seed:
             step = back[owner] * wts[:, None]
             np.add.at(emb, ids, -rate * step)
     table = (emb @ layer).astype(np.float32)
+    seen = np.zeros((BUCKETS, k))
+    for i in train:
+        y, ids, wts = rows[i]
+        seen[ids, y] += wts / wts.sum()
+    seen /= np.maximum(seen.sum(axis=0), 1e-12)
+    familiar = np.log((1 - SPREAD) * seen * BUCKETS + SPREAD).astype(np.float32)
     if not held:
-        return Model(langs, table, bias, 1.0, 0.0)
+        return Model(langs, table, bias, 1.0, -np.inf, familiar)
     ids, wts, owner, y = gather(check)
     z = np.stack([np.bincount(owner, wts * table[ids, c], held) for c in range(k)], axis=1) + bias
     losses = [(-np.log(np.maximum(softmax(z / t)[np.arange(held), y], 1e-12)).mean(), t) for t in np.geomspace(1, 8, 40)]
     temperature = min(losses)[1]
-    right = softmax(z / temperature)[np.arange(held), y]
-    return Model(langs, table, bias, float(temperature), float(min(np.quantile(right, REJECT), CEILING)))
+    near = [float(rows[i][2] @ familiar[rows[i][1], best] / rows[i][2].sum()) for i, best in zip(check, z.argmax(axis=1), strict=True)]
+    return Model(langs, table, bias, float(temperature), float(SHARE * np.quantile(near, REJECT)), familiar)
 
 
 def train(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
@@ -159,7 +170,7 @@ def train(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     langs = sorted(counts)
     if not langs:
-        return Model([], np.zeros((BUCKETS, 1), np.float32), np.zeros(1), 1.0, 0.0)
+        return Model([], np.zeros((BUCKETS, 1), np.float32), np.zeros(1), 1.0, 0.0, np.zeros((BUCKETS, 1), np.float32))
     shares = F.create_map(*[x for lang in langs for x in (F.lit(lang), F.lit(int(min(1.0, fit_rows / counts[lang]) * (1 << 30))))])
     spread = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(1 << 30))
     sample = rows.filter(spread < F.element_at(shares, F.col("lang"))).select("lang", "text")
@@ -182,16 +193,16 @@ def train(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """``documents`` with _lang (the likeliest, or ``und``), _score and _rejected; nothing but ``text`` is looked at."""
     names = documents.columns
-    shared = documents.sparkSession.sparkContext.broadcast((model.langs, model.table, model.bias, model.temperature, model.threshold))  # BUCKETS x languages numbers
+    shared = documents.sparkSession.sparkContext.broadcast((model.langs, model.table, model.bias, model.temperature, model.threshold, model.familiar))  # twice BUCKETS x languages numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
-            p, some = own.scores(batch.column("text").to_pylist())
+            p, some, near = own.scores(batch.column("text").to_pylist())
             some &= bool(own.langs)
             best, score = p.argmax(axis=1), np.where(some, p.max(axis=1), 0.0)
             langs = [own.langs[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)]
-            rejected = ~some | (score < own.threshold)
+            rejected = ~some | (near < own.threshold)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(score), pa.array(rejected)], [*names, "_lang", "_score", "_rejected"])
 
     schema = documents.schema

@@ -94,6 +94,22 @@ def test_language_id_learns_and_rejects(spark):
     assert all(0 <= r["_score"] <= 1 for r in got.values())
 
 
+@pytest.mark.parametrize("n", [1, 2, 4])
+def test_language_id_rejects_unlearned_languages(n):
+    rng = random.Random(n)
+    letters = ("abcde", "efghi", "йклмн", "opqrs", "tuvwx", "αβγδε")
+    text = lambda k: " ".join("".join(rng.choice(letters[k]) for _ in range(5)) for _ in range(30))
+
+    def row(y, k):
+        ids, counts = np.unique(np.concatenate([b for _, b in langid.subwords([text(k)])]), return_counts=True)
+        return y, ids, counts.astype(float)
+
+    wrong = [row(0, n - 1) for _ in range(2)]  # a few labels are wrong
+    model = langid._fit([row(k, k) for k in range(n) for _ in range(60)] + wrong, [f"l{k}" for k in range(n)])
+    rejected = lambda k: float((model.scores([text(k) for _ in range(40)])[2] < model.threshold).mean())
+    assert all(rejected(k) == 0 for k in range(n)) and all(rejected(k) == 1 for k in range(n, 6))
+
+
 def test_language_id_without_labels(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     got = langid.predict(docs, langid.train(docs)).collect()
