@@ -2,12 +2,17 @@
 
 The tokens are characters: every code point is a symbol of its own, capitals are a shift mark and their small form. No character is merged
 with another, whatever its script or how rare it is. Every whole trusted text is counted; each task counts what occurs, and the
-counts are added up by n-gram, sharded by key. That sparse table makes the model: continuation counts of the lower
-orders, three discounts an order from the counts of counts, interpolation down to the uniform distribution over all symbols. It is as
-large as the number of distinct n-grams of trusted text, is broadcast, and every whole text is scored against it.
+counts are added up by n-gram, sharded by key.
 
-(Joining the n-grams of every document to sharded counts, as words or as characters by blocks of documents, moves the
-corpus's n-grams once to the counts and once back; the README has the figures. A broadcast table makes the join a look-up.)
+The model is built by Spark from these counts, in tables sharded by n-gram: continuation counts of the lower orders are counts of the distinct
+longer n-grams, three discounts an order come from the counts of counts, contexts are summed, and each order's probability is
+joined to that of the order below, down to the uniform distribution over all symbols. A row of the finished table is what an n-gram adds to the
+log probability of its last symbol beyond the order below; a row without a symbol is what its context adds to symbols that never followed it.
+So the log probability of a symbol is a plain sum over the orders of what the table holds, and any shard of contexts gives a part of that sum.
+
+Documents are joined to the count table shard by shard: a shard of ``SHARD_ROWS`` rows at most, whatever the corpus, is broadcast, every task looks
+up the distinct n-grams of its texts in it, and the partial sums of all shards are added up by document. No text is moved for that, and
+no more than a shard passes through the driver. (A shuffle of the documents' own n-grams to the shards and back moves them twice; the README has the figures.)
 
 A document is kept if its perplexity is at most the threshold of its language: a quantile of the trusted documents' scores, each by a
 model that was fitted without its fold (``FOLDS``, dealt by text, so that exact copies share one). Of the quantiles ``KEEPS`` it is the one that drops
@@ -16,29 +21,33 @@ A language without trusted documents takes the threshold over all of them.
 
 Defined cases: null and empty texts have no perplexity and aren't kept; documents without lang form a language of their own;
 without any trusted text all scores are those of the uniform distribution, and nothing but empty texts is dropped; a label that
-repeats or contradicts another makes a document trusted if any of its labels does; extra columns are ignored.
+repeats or contradicts another makes a document trusted if any of its labels does; repeated rows are scored alike; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import columns, stored
+from .wordhash import slices
 
 ORDER, STRETCH, FOLDS = 4, 1 << 20, 4
 KEEP, KEEPS = 0.99, (0.95, 0.98, 0.985, 0.99, 0.995, 0.9975)
-#: A symbol is a code point, the shift mark or the begin mark: 21 bits, so that an n-gram of three is one key of 63.
+#: Rows of the model that are broadcast at once; more make more passes over the documents.
+SHARD_ROWS = 1 << 21
+#: A symbol is a code point, the shift mark or the begin mark: 21 bits, so that a context of three is one key of 63.
 BITS, SHIFT, BEGIN = 21, 0x110000, 0x110001
 UNIFORM = 1 / 0x110001
-#: Symbols of the dense table in ``kneser_ney``, which the sparse model is tested against.
-SYMBOLS = 64
+#: Discounts where the counts of counts give none: there are too few of them, or one would be 0 and leave no weight to the order below.
+FALLBACK = (0.5, 1.0, 1.5)
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _plane() -> tuple[np.ndarray, np.ndarray]:
@@ -50,135 +59,125 @@ def _plane() -> tuple[np.ndarray, np.ndarray]:
     return upper, lower
 
 
-class Symbols:
+class Grams:
+    """Cuts texts into n-grams, many texts at once."""
+
     def __init__(self) -> None:
         self.upper, self.lower = _plane()
 
-    def of(self, text: str) -> np.ndarray:
-        """Code points in small form, with a shift mark before each that was a capital."""
-        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        inside = np.minimum(code, 0xFFFF)
-        capital = self.upper[inside] & (code < 1 << 16)
-        symbols = np.where(capital, self.lower[inside], code)
+    def of(self, texts: list[str | None], stretch: int = STRETCH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(index of a text, context, symbol) of all n-grams of whole texts, in parts of about ``stretch`` symbols; the context of a
+        symbol is the ORDER - 1 symbols before it, and a text begins with begin marks."""
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            for at in range(0, len(text or ""), stretch):
+                body = text[at : at + stretch]
+                held.append((i, at, text[max(0, at - ORDER + 1) : at].rjust(ORDER - 1, "\0") + body))
+                size += len(body)
+                if size >= stretch:
+                    yield self._cut(held)
+                    held, size = [], 0
+        if held:
+            yield self._cut(held)
+
+    def _cut(self, pieces: list[tuple[int, int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        code = np.frombuffer("".join(p for *_, p in pieces).encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+        size = np.array([len(p) for *_, p in pieces])
+        first = np.cumsum(size) - size
+        before = (first[:, None] + np.arange(ORDER - 1)[None, :]).ravel()
+        owner = np.repeat(np.array([i for i, *_ in pieces]), size)
+        owner[before] = -1  # only a context here
+        fresh = np.repeat(np.array([at == 0 for _, at, _ in pieces]), ORDER - 1)
+        code[before[fresh]] = BEGIN
+        capital = self.upper[np.minimum(code, 0xFFFF)] & (code < 1 << 16)
+        symbol = np.where(capital, self.lower[np.minimum(code, 0xFFFF)], code).astype(np.int64)
         if capital.any():
             spot = np.cumsum(1 + capital) - 1
-            wide = np.full(int(spot[-1]) + 1, SHIFT, np.uint32)
-            wide[spot] = symbols
-            symbols = wide
-        return symbols
-
-    def runs(self, text: str) -> Iterator[np.ndarray]:
-        """Symbols of a text in stretches, each behind the ORDER - 1 symbols before it; the text begins with begin marks."""
-        tail = np.full(ORDER - 1, BEGIN, np.uint32)
-        for at in range(0, len(text), STRETCH):
-            run = np.concatenate([tail, self.of(text[at : at + STRETCH])])
-            tail = run[len(run) - ORDER + 1 :]
-            yield run
-
-
-def grams(run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(context, symbol) of all n-grams of a run; a context is the ORDER - 1 symbols before."""
-    wide, m = run.astype(np.int64), len(run) - ORDER + 1
-    context = wide[:m]
-    for k in range(1, ORDER - 1):
-        context = context << BITS | wide[k : m + k]
-    return context, wide[ORDER - 1 :]
-
-
-def distinct(context: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct n-grams and how often each occurs."""
-    contexts, rank = np.unique(context, return_inverse=True)
-    key, n = np.unique(rank << BITS | symbol, return_counts=True)
-    return contexts[key >> BITS], key & (1 << BITS) - 1, n
+            wide = np.full(int(spot[-1]) + 1, SHIFT, np.int64)
+            wide[spot] = symbol
+            symbol, owner = wide, np.repeat(owner, 1 + capital)
+        context = symbol[: len(symbol) - ORDER + 1]
+        for k in range(1, ORDER - 1):
+            context = context << BITS | symbol[k : len(symbol) - ORDER + 1 + k]
+        keep = owner[ORDER - 1 :] >= 0
+        return owner[ORDER - 1 :][keep], context[keep], symbol[ORDER - 1 :][keep]
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int]]:
-    for batch in batches:
-        for k in range(0, len(batch), 256):
-            part = batch.slice(k, 256)
-            yield from ((t, f) for t, f in zip(part.column("text").to_pylist(), part.column("fold").to_pylist(), strict=True) if t)
+def distinct(context: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each n-gram the number of its kind, and where each kind occurs first. Kinds are told apart by 64-bit hashes."""
+    kind, _ = pd.factorize((context.astype(np.uint64) * _M1) ^ (symbol.astype(np.uint64) * _M2))
+    first = np.empty(int(kind.max()) + 1 if len(kind) else 0, np.int64)
+    first[kind[::-1]] = np.arange(len(kind) - 1, -1, -1)
+    return kind, first
 
 
 def gram_counts(trusted: DataFrame) -> DataFrame:
     """(context, symbol, n0, n1 ..) over all trusted texts, a count for each fold, sharded by n-gram."""
+    schema = pa.schema([(c, pa.int64()) for c in ("context", "symbol", "n", "fold")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held, size = Symbols(), [[] for _ in range(FOLDS)], 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for fold, some in enumerate(held):
-                if some:
-                    found = distinct(*(np.concatenate(x) for x in zip(*some, strict=True)))
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*found, np.full(len(found[0]), fold))], ["context", "symbol", "n", "fold"])
-                    some.clear()
-
-        for text, fold in _texts(batches):
-            for stretch in own.runs(text):
-                held[fold].append(grams(stretch))
-                size += len(held[fold][-1][1])
-                if size >= STRETCH:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+        own = Grams()
+        for batch in batches:
+            for part in slices(batch, "text", STRETCH):
+                folds = np.asarray(part.column("fold"))
+                for owner, context, symbol in own.of(part.column("text").to_pylist()):
+                    for fold in range(FOLDS):
+                        mine = np.flatnonzero(folds[owner] == fold)
+                        kind, first = distinct(context[mine], symbol[mine])
+                        at, n = mine[first], np.bincount(kind, minlength=len(first))
+                        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (context[at], symbol[at], n, np.full(len(n), fold))], schema=schema)
 
     rows = trusted.select("text", "fold").mapInArrow(run, "context long, symbol long, n long, fold long")
     return rows.groupBy("context", "symbol").agg(*[F.sum(F.when(F.col("fold") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(FOLDS)])
 
 
-def discounts(counts: np.ndarray) -> tuple[float, float, float]:
-    """D1, D2 and D3+ from the counts of counts; without enough of them, absolute discounting by what there is."""
-    n = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-    if not n[0] or not n[1]:
-        return (0.5, 0.5, 0.5)
-    y = n[0] / (n[0] + 2 * n[1])
-    d = [k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] else k * y for k in (1, 2, 3)]
-    return tuple(min(max(x, 0.0), float(k)) for k, x in zip((1, 2, 3), d, strict=True))
-
-
-def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log2 P(last symbol | the others) of all ``SYMBOLS ** ORDER`` n-grams over a closed alphabet, float32, from the counts of those
-    that occur: the dense form of ``Model``."""
-    table = np.zeros(SYMBOLS**ORDER, np.float32)
-    table[grams] = counts
-    tables, d = [table], [discounts(counts)]
-    for order in range(ORDER - 1, 0, -1):  # continuation counts: in how many contexts a shorter gram follows something
-        tables.append((tables[-1].reshape(SYMBOLS, -1) > 0).sum(axis=0).astype(np.float32))
-        d.append(discounts(tables[-1][tables[-1] > 0]))
-    p = np.full(SYMBOLS, 1.0 / SYMBOLS, np.float32)
-    for table, (d1, d2, d3) in zip(reversed(tables), reversed(d), strict=True):
-        out = np.empty(len(table), np.float32)
-        step = max(SYMBOLS, len(table) // SYMBOLS)
-        for at in range(0, len(table), step):  # in parts, for the driver's memory; each repeats the lower order's contexts
-            rows = table[at : at + step].reshape(-1, SYMBOLS).astype(np.float64)
-            total = rows.sum(axis=1, keepdims=True)
-            cut = d1 * (rows == 1) + d2 * (rows == 2) + d3 * (rows >= 3)
-            lower = np.resize(p, rows.size).reshape(rows.shape)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                out[at : at + step] = np.where(total > 0, (np.maximum(rows - cut, 0) + cut.sum(axis=1, keepdims=True) * lower) / total, lower).ravel()
-        p = out
-    return np.log2(p, out=p)
-
-
-@dataclass
-class Level:
-    """N-grams of one order: sorted keys with log2 P, sorted contexts with log2 of the weight that they leave to the order below."""
-
-    keys: np.ndarray
-    logs: np.ndarray
-    contexts: np.ndarray
-    weights: np.ndarray
-
-
-def _level(keys: np.ndarray, counts: np.ndarray, lower: np.ndarray) -> tuple[Level, np.ndarray]:
-    """From sorted keys (context, symbol), their counts and the probability of each in the order below; and P of each."""
-    contexts, rank = np.unique(keys >> BITS, return_inverse=True)
-    d1, d2, d3 = discounts(counts)
-    cut = d1 * (counts == 1) + d2 * (counts == 2) + d3 * (counts >= 3)
-    total = np.bincount(rank, counts)
-    weight = np.bincount(rank, cut) / total
-    p = np.maximum(counts - cut, 0) / total[rank] + weight[rank] * lower
-    with np.errstate(divide="ignore"):
-        return Level(keys, np.log2(p).astype(np.float32), contexts, np.log2(weight).astype(np.float32)), p
+def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
+    """D1, D2 and D3+ from the counts of counts."""
+    if not min(n1, n2, n3, n4):
+        return FALLBACK
+    y = n1 / (n1 + 2 * n2)
+    found = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
+    return found if all(0 < d <= k for k, d in zip((1, 2, 3), found, strict=True)) else FALLBACK
+
+
+def _shorter(length: int) -> Column:
+    """The last ``length`` symbols of a context."""
+    return F.col("context").bitwiseAND(F.lit((1 << BITS * length) - 1))
+
+
+def model_table(counts: DataFrame) -> DataFrame:
+    """(model, length, context, symbol, value): log2 of what each n-gram adds to the probability by the order below; with a null symbol, log2 of
+    the weight that its context leaves to that order. Model k lacks the texts of fold k, model ``FOLDS`` lacks none."""
+    total = sum((F.col(f"n{k}") for k in range(FOLDS)), F.lit(0).cast("long"))
+    models = [F.struct(F.lit(k).alias("model"), (total - F.col(f"n{k}") if k < FOLDS else total).alias("n")) for k in range(FOLDS + 1)]
+    level = counts.select("context", "symbol", F.inline(F.array(*models))).filter("n > 0").select("model", "context", "symbol", "n")
+    levels = [level.withColumn("length", F.lit(ORDER))]
+    for k in range(ORDER - 1, 0, -1):  # continuation counts: in how many contexts a shorter gram follows something
+        level = level.select("model", _shorter(k - 1).alias("context"), "symbol").groupBy("model", "context", "symbol").agg(F.count("*").alias("n"))
+        levels.append(level.withColumn("length", F.lit(k)))
+    grams = stored(reduce(DataFrame.unionByName, levels), "grams")
+    spark, ones = grams.sparkSession, [F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]
+    found = [(r[0], r[1], *discounts(*r[2:])) for r in grams.groupBy("model", "length").agg(*ones).collect()]  # (FOLDS + 1) * ORDER rows
+    table = spark.createDataFrame(found, "model int, length int, d1 double, d2 double, d3 double")
+    cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    cutted = grams.join(F.broadcast(table), ["model", "length"]).select("model", "length", "context", "symbol", "n", cut.alias("cut"))
+    contexts = cutted.groupBy("model", "length", "context").agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("weight"))
+    contexts = stored(contexts, "contexts")
+    joined = cutted.join(contexts, ["model", "length", "context"])
+    joined = stored(joined.select("model", "length", "context", "symbol", (F.greatest(F.col("n") - F.col("cut"), F.lit(0.0)) / F.col("total")).alias("own"), "weight"), "weights")
+    done, below = [], None
+    for k in range(1, ORDER + 1):
+        here = joined.filter(F.col("length") == k)
+        if below is None:
+            here = here.withColumn("lower", F.lit(UNIFORM))
+        else:
+            keyed = here.withColumn("suffix", _shorter(k - 2))
+            here = keyed.join(below, (keyed["model"] == below["m"]) & (keyed["suffix"] == below["c"]) & (keyed["symbol"] == below["s"])).drop("m", "c", "s", "suffix")
+        here = here.withColumn("p", F.col("own") + F.col("weight") * F.col("lower"))
+        below = here.select(F.col("model").alias("m"), F.col("context").alias("c"), F.col("symbol").alias("s"), F.col("p").alias("lower"))
+        done.append(here.select("model", "length", "context", "symbol", F.log2(F.col("p") / F.col("lower")).alias("value")))
+    defaults = contexts.select("model", "length", "context", F.lit(None).cast("long").alias("symbol"), F.log2("weight").alias("value"))
+    return reduce(DataFrame.unionByName, [*done, defaults])
 
 
 def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,73 +188,71 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nda
     return at, sorted_keys[at] == keys
 
 
-@dataclass
-class Model:
-    contexts: np.ndarray  # of the whole order; a key of that order is (rank of the context, symbol)
-    levels: list[Level]  # longest first
-    uniform: float = UNIFORM
-
-    @classmethod
-    def fitted(cls, context: np.ndarray, symbol: np.ndarray, counts: np.ndarray, uniform: float = UNIFORM) -> Model:
-        """From distinct n-grams and how often each occurs."""
-        if not len(counts):
-            return cls(np.zeros(0, np.int64), [], uniform)
-        contexts, rank = np.unique(context, return_inverse=True)
-        key = rank << BITS | symbol
-        order = np.argsort(key)
-        keys, ns = [key[order]], [counts[order].astype(np.float64)]
-        shorter, into = (context[order] << BITS | symbol[order]) & (1 << BITS * (ORDER - 1)) - 1, []
-        for k in range(ORDER - 1, 0, -1):  # continuation counts: in how many contexts a shorter gram follows something
-            found, inverse, n = np.unique(shorter & (1 << BITS * k) - 1, return_inverse=True, return_counts=True)
-            keys, ns, into, shorter = [*keys, found], [*ns, n.astype(np.float64)], [*into, inverse], found
-        levels, p = [], None
-        for k in range(ORDER - 1, -1, -1):
-            lower = np.full(len(keys[k]), uniform) if p is None else p[into[k]]
-            level, p = _level(keys[k], ns[k], lower)
-            levels.insert(0, level)
-        return cls(contexts, levels, uniform)
+class Shard:
+    """Some contexts of a model with all that follows them: for each length sorted contexts with their weights, and sorted n-grams, by rank of the
+    context, with what they add."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        length, context, value = (rows.column(c).to_numpy() for c in ("length", "context", "value"))
+        symbol = rows.column("symbol").fill_null(-1).to_numpy()
+        self.levels = []
+        for k in range(1, ORDER + 1):
+            bare, full = np.flatnonzero((length == k) & (symbol < 0)), np.flatnonzero((length == k) & (symbol >= 0))
+            bare = bare[np.argsort(context[bare])]
+            key = _find(context[bare], context[full])[0] << BITS | symbol[full]
+            order = np.argsort(key)
+            self.levels.append((context[bare], value[bare], key[order], value[full[order]]))
 
     def logs(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """log2 P(symbol | context): of the longest gram that occurs, behind the weights of the contexts above it."""
+        """What this shard adds to log2 P(symbol | context)."""
         out = np.zeros(len(symbol))
-        left = np.arange(len(symbol))
-        for k, level in enumerate(self.levels):
-            length = ORDER - k
-            if k == 0:
-                rank, known = _find(self.contexts, context)
-                key = np.where(known, rank << BITS | symbol, -1)
-            else:
-                key = (context << BITS | symbol) & (1 << BITS * length) - 1
-            at, there = _find(level.keys, key)
-            out[left[there]] += level.logs[at[there]]
-            left, context, symbol, key = left[~there], context[~there], symbol[~there], key[~there]
-            at, there = _find(level.contexts, key >> BITS)
-            out[left[there]] += level.weights[at[there]]
-        out[left] += np.log2(self.uniform)
+        for k, (contexts, weights, keys, values) in enumerate(self.levels):
+            rank, here = _find(contexts, context & (1 << BITS * k) - 1)
+            at, known = _find(keys, np.where(here, rank << BITS | symbol, -1))
+            if known.any():
+                out[known] += values[at[known]]
+            rest = here & ~known
+            if rest.any():
+                out[rest] += weights[rank[rest]]
         return out
 
 
-def perplexities(documents: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang, n_symbols, perplexity) of each document, from its whole text."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_symbols", pa.int64()), ("perplexity", pa.float64())])
+_SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("body", pa.int64()), ("n_symbols", pa.int64()), ("logs", pa.float64())])
+
+
+def _partial(documents: DataFrame, shard: Shard) -> DataFrame:
+    """(doc_id, lang, body, n_symbols, logs): what a shard adds to the log probability of each whole text."""
+    shared = documents.sparkSession.sparkContext.broadcast(shard)  # SHARD_ROWS rows at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, model = Symbols(), shared.value
+        own, mine = Grams(), shared.value
         for batch in batches:
-            for k in range(0, len(batch), 256):
-                part = batch.slice(k, 256)
-                n, value = [], []
-                for text in part.column("text").to_pylist():
-                    m, s = 0, 0.0
-                    for stretch in own.runs(text or ""):
-                        found = model.logs(*grams(stretch))
-                        m, s = m + len(found), s + float(found.sum())
-                    n.append(m)
-                    value.append(2 ** (-s / m) if m else None)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(n, pa.int64()), pa.array(value, pa.float64())], schema=schema)
-
-    return documents.mapInArrow(run, "doc_id long, lang string, n_symbols long, perplexity double")
+            for part in slices(batch, "text", STRETCH):
+                n, logs = np.zeros(len(part), np.int64), np.zeros(len(part))
+                for owner, context, symbol in own.of(part.column("text").to_pylist()):
+                    kind, first = distinct(context, symbol)
+                    value = mine.logs(context[first], symbol[first])[kind]
+                    n += np.bincount(owner, minlength=len(part))
+                    logs += np.bincount(owner, value, len(part))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), part.column("body"), pa.array(n), pa.array(logs)], schema=_SCORED)
+
+    rows = documents.select("doc_id", "lang", "text", F.xxhash64("text").alias("body"))
+    return rows.mapInArrow(run, "doc_id long, lang string, body long, n_symbols long, logs double")
+
+
+def perplexities(documents: DataFrame, table: DataFrame, model: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(doc_id, lang, n_symbols, perplexity) of each document, from its whole text, by one model of a stored ``model_table``."""
+    rows = table.filter(F.col("model") == model).select("length", "context", "symbol", "value")
+    shards = max(1, -(-rows.count() * 5 // (shard_rows * 4)))  # a shard may hold a quarter more than its share
+    of = F.pmod(F.xxhash64("length", "context"), F.lit(shards))
+    if shards == 1:
+        found = _partial(documents, Shard(rows.toArrow()))
+    else:
+        parts = [stored(_partial(documents, Shard(rows.filter(of == k).toArrow())), "partial") for k in range(shards)]
+        sums = reduce(DataFrame.unionByName, parts).groupBy("doc_id", "lang", "body", "n_symbols").agg((F.sum("logs") * shards / F.count("*")).alias("logs"), (F.count("*") / shards).cast("int").alias("copies"))
+        found = sums.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    mean = F.lit(float(np.log2(UNIFORM))) + F.col("logs") / F.col("n_symbols")
+    return found.select("doc_id", "lang", "n_symbols", F.when(F.col("n_symbols") > 0, F.pow(F.lit(2.0), -mean)).alias("perplexity"))
 
 
 def likely(documents: DataFrame, ids: DataFrame, bits: int = 24) -> DataFrame:
@@ -279,7 +276,7 @@ def threshold(trusted: list[float], bad: list[tuple[float, float]], keep: float
     return trusted[0] if keep is not None else trusted[KEEPS.index(KEEP)]
 
 
-def classified(documents: DataFrame, labels: DataFrame, keep: float | None = None) -> DataFrame:
+def classified(documents: DataFrame, labels: DataFrame, keep: float | None = None, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row for each document: perplexity, the threshold of its language, and whether it is kept. A quantile ``keep`` holds for all languages."""
     docs = columns(documents, doc_id="long", text="string", lang="string")
     marks = columns(labels, doc_id="long", quality="int", toxic="int").filter("doc_id is not null")
@@ -287,15 +284,9 @@ def classified(documents: DataFrame, labels: DataFrame, keep: float | None = Non
     poor = marks.filter("quality = 0").select("doc_id").distinct().join(good, "doc_id", "left_anti")
     texts = likely(docs.filter("text is not null"), good).join(good.hint("merge"), "doc_id")  # a semi join would be moved below the bitmap
     trusted = stored(texts.select("doc_id", "text", "lang", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).alias("fold")), "trusted")
-    counts = gram_counts(trusted).toArrow()  # a row for each distinct n-gram of trusted text
-    context, symbol, *parts = (counts.column(c).to_numpy() for c in ("context", "symbol", *(f"n{k}" for k in range(FOLDS))))
-    total = sum(parts)
-
-    def fitted(n: np.ndarray) -> Model:
-        return Model.fitted(context[n > 0], symbol[n > 0], n[n > 0])
-
-    scored = stored(perplexities(docs, fitted(total)), "perplexities")
-    ours = [perplexities(trusted.filter(F.col("fold") == k).select("doc_id", "text", "lang"), fitted(total - parts[k])) for k in range(FOLDS)]
+    table = stored(model_table(stored(gram_counts(trusted), "gram-counts")), "model")
+    scored = stored(perplexities(docs, table, FOLDS, shard_rows), "perplexities")
+    ours = [perplexities(trusted.filter(F.col("fold") == k), table, k, shard_rows) for k in range(FOLDS)]
     ours = stored(reduce(DataFrame.unionByName, ours), "held-out").filter("perplexity is not null")
     theirs = scored.join(poor, "doc_id", "left_semi").filter("perplexity is not null")
     quantiles = KEEPS if keep is None else (keep,)

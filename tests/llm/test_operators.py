@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import math
 import random
 import re
 from collections import Counter
@@ -358,12 +359,126 @@ def test_components_of_a_long_path(spark):
 # quality
 
 
+def symbols_of(text):
+    out = []
+    for ch in text:
+        small = ch.lower()
+        capital = ch.isupper() and len(small) == 1 and ord(ch) < 1 << 16 and ord(small) < 1 << 16
+        out += ["shift", small] if capital else [ch]
+    return out
+
+
+class BruteKneserNey:
+    """Interpolated modified Kneser-Ney by dictionaries, one n-gram at a time."""
+
+    def __init__(self, texts, order=4, alphabet=0x110001):
+        self.order, self.alphabet, self.levels = order, alphabet, []
+        grams = Counter()
+        for text in texts:
+            run = ["begin"] * (order - 1) + symbols_of(text)
+            grams.update(tuple(run[k : k + order]) for k in range(len(run) - order + 1))
+        for _ in range(order):
+            of = Counter(grams.values())
+            n1, n2, n3, n4 = (of[k] for k in (1, 2, 3, 4))
+            d = (0.5, 1.0, 1.5)
+            if min(n1, n2, n3, n4):
+                y = n1 / (n1 + 2 * n2)
+                found = 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3
+                d = found if all(0 < x <= k for k, x in zip((1, 2, 3), found)) else d
+            total, cut = Counter(), Counter()
+            for g, c in grams.items():
+                total[g[:-1]] += c
+                cut[g[:-1]] += d[min(c, 3) - 1]
+            self.levels.append((grams, d, total, cut))
+            grams = Counter(g[1:] for g in grams)
+
+    def p(self, gram, level=0):
+        if level == self.order:
+            return 1 / self.alphabet
+        grams, d, total, cut = self.levels[level]
+        lower = self.p(gram[1:], level + 1)
+        if gram[:-1] not in total:
+            return lower
+        c = grams[gram]
+        return (max(c - d[min(c, 3) - 1], 0) if c else 0) / total[gram[:-1]] + cut[gram[:-1]] / total[gram[:-1]] * lower
+
+    def perplexity(self, text):
+        run = ["begin"] * (self.order - 1) + symbols_of(text)
+        logs = [math.log2(self.p(tuple(run[k : k + self.order]))) for k in range(len(run) - self.order + 1)]
+        return 2 ** (-sum(logs) / len(logs))
+
+
+def brute_quality(docs, labels, folds, keeps=quality.KEEPS):
+    """docs: {doc_id: (text, lang)}; folds: {text: fold}. Perplexity, threshold and kept of each."""
+    good = {i for i, q, t in labels if q == 1 and not t}
+    poor = {i for i, q, t in labels if q == 0} - good
+    trusted = {i: docs[i] for i in good if i in docs and docs[i][0]}
+    whole = BruteKneserNey([t for t, _ in trusted.values()])
+    without = [BruteKneserNey([t for t, _ in trusted.values() if folds[t] != k]) for k in range(quality.FOLDS)]
+    score = {i: whole.perplexity(t) if t else None for i, (t, _) in docs.items()}
+    ours = {i: without[folds[t]].perplexity(t) for i, (t, _) in trusted.items()}
+
+    def limit(mine, bad):
+        if not mine:
+            return None
+        at = [sorted(mine)[max(1, math.ceil(q * len(mine) - 1e-9)) - 1] for q in keeps]
+        share = lambda xs, x: sum(v > x for v in xs) / len(xs)
+        return max(at, key=lambda x: (round(share(bad, x) - share(mine, x), 9), x)) if bad else at[keeps.index(quality.KEEP)]
+
+    bad = {i: score[i] for i in poor if score.get(i) is not None}
+    by = {lang: limit([ours[i] for i in ours if docs[i][1] == lang], [x for i, x in bad.items() if docs[i][1] == lang]) for lang in {x for _, x in docs.values()}}
+    overall = limit(list(ours.values()), list(bad.values()))
+    out = {}
+    for i, (_, lang) in docs.items():
+        least = by[lang] if by[lang] is not None else overall if overall is not None else math.inf
+        out[i] = (score[i], least, score[i] is not None and score[i] <= least)
+    return out
+
+
+@pytest.mark.parametrize("shard_rows", [1 << 21, 8000])
+def test_quality_equals_brute_force(spark, shard_rows):
+    rng = random.Random(16)
+    words = {"en": ["the", "Small", "river", "runs", "over", "stones"], "zh": ["山", "水下", "人云", "石", "火木"], None: ["река", "Течёт", "тихо", "🙂", "🙃🚀"]}
+    docs = {}
+    for k in range(90):
+        lang = ("en", "zh", None)[k % 3]
+        docs[k] = (" ".join(rng.choice(words[lang]) for _ in range(rng.randint(3, 40))), lang)
+    for k in range(90, 110):
+        docs[k] = ("".join(chr(rng.choice([rng.randrange(0x4E00, 0x9000), rng.randrange(0x1F600, 0x1F640), rng.randrange(97, 123)])) for _ in range(60)), ("en", "zh", None, "xx")[k % 4])
+    docs |= {200: (None, "en"), 201: ("", "zh"), 202: ("İ\x00 \U0010ffff Ǆ", "yy"), 203: docs[0], 204: ("The small" * 700, "en")}
+    labels = [(k, 1, 0) for k in range(60)] + [(k, 0, k % 2) for k in range(90, 100)] + [(3, 0, 0), (5, 1, 1), (None, 1, 0), (203, 1, None)]
+    table = spark.createDataFrame([(i, t, g, "clash") for i, (t, g) in docs.items()], "doc_id long, text string, lang string, perplexity string")
+    folds = {r["text"]: r["f"] for r in table.select("text", F.pmod(F.xxhash64("text"), F.lit(quality.FOLDS)).alias("f")).collect()}
+    want = brute_quality(docs, labels, folds)
+    got = {r["doc_id"]: r for r in quality.classified(table, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), shard_rows=shard_rows).collect()}
+    assert set(got) == set(want)
+    for i, (score, limit, kept) in want.items():
+        assert (got[i]["perplexity"] is None) == (score is None) and got[i]["kept"] == kept, i
+        assert got[i]["threshold"] == pytest.approx(limit, rel=1e-9) and (score is None or got[i]["perplexity"] == pytest.approx(score, rel=1e-9)), i
+    normal = [got[k]["perplexity"] for k in range(60)]
+    assert min(got[k]["perplexity"] for k in range(90, 110)) > 10 * max(normal)  # noise in Chinese and emoji beats no trusted text
+
+
 def test_kneser_ney_sums_to_one():
-    rng = np.random.default_rng(11)
-    grams = np.unique(rng.integers(0, quality.SYMBOLS**quality.ORDER, 5000))
-    logs = quality.kneser_ney(grams, rng.integers(1, 9, len(grams)).astype(float))
-    sums = np.exp2(logs.astype(float)).reshape(-1, quality.SYMBOLS).sum(axis=1)
-    assert np.allclose(sums, 1, atol=1e-4)
+    model = BruteKneserNey(["abab", "abcabd", "Bad cab"], alphabet=7)
+    kinds = ["a", "b", "c", "d", " ", "shift", "begin"]
+    for context in (("begin",) * 3, ("a", "b", "a"), ("d", "d", "d")):
+        assert sum(model.p((*context, x)) for x in kinds) == pytest.approx(1)
+
+
+def test_repeated_rows_keep_their_scores_over_many_shards(spark):
+    docs = spark.createDataFrame([(1, "abc", "en"), (1, "abc", "en"), (1, "abd", "en"), (None, "abc", None), (None, "abc", None)], "doc_id long, text string, lang string")
+    counts = quality.gram_counts(spark.createDataFrame([("abc abd", 0), ("bcd", 1)], "text string, fold long"))
+    table = quality.model_table(counts)
+    one, many = (sorted((r["doc_id"] or 0, r["n_symbols"], round(r["perplexity"], 9)) for r in quality.perplexities(docs, table, quality.FOLDS, n).collect()) for n in (1 << 20, 4))
+    assert one == many and len(one) == 5
+
+
+def test_grams_of_long_texts_are_those_of_the_whole():
+    own, rng = quality.Grams(), random.Random(17)
+    texts = [None, "", "Ab", *("".join(rng.choice("aBcÄ🙂 ") for _ in range(rng.randint(1, 300))) for _ in range(20))]
+    whole, parts = ([np.concatenate(x) for x in zip(*own.of(texts, n), strict=True)] for n in (1 << 20, 7))
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
 
 
 def test_quality_keeps_trusted_kind_and_drops_noise(spark):
@@ -379,18 +494,6 @@ def test_quality_keeps_trusted_kind_and_drops_noise(spark):
     assert quality.classified(docs.limit(0), labels).count() == 0
 
 
-def test_sparse_model_equals_the_dense_table():
-    rng = np.random.default_rng(13)
-    found, n = np.unique(rng.integers(0, 20, (4000, 4)) ** 2 % 64, axis=0), quality.SYMBOLS
-    counts = rng.integers(1, 9, len(found)).astype(float)
-    logs = quality.kneser_ney(found @ [n**3, n**2, n, 1], counts)
-    context = lambda g: g[:, 0] << 2 * quality.BITS | g[:, 1] << quality.BITS | g[:, 2]
-    model = quality.Model.fitted(context(found), found[:, 3], counts, 1 / n)
-    asked = np.concatenate([found, rng.integers(0, n, (5000, 4))])
-    assert np.allclose(model.logs(context(asked), asked[:, 3]), logs[asked @ [n**3, n**2, n, 1]], atol=1e-4)
-    assert np.allclose(quality.Model.fitted(*[np.zeros(0, np.int64)] * 3).logs(context(asked), asked[:, 3]), np.log2(quality.UNIFORM))
-
-
 def test_quality_separates_a_minority_in_another_script(spark):
     rng = random.Random(14)
     many = ["".join(chr(0x4E00 + rng.randrange(90)) for _ in range(3000)) + " " * 100 for _ in range(60)]
