@@ -26,12 +26,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import free, stored
 
 #: Distinct words folded by Spark at most; longest of them in bytes; words that a task remembers besides.
 FOLDED, LONGEST, REMEMBERED, STRETCH = 1 << 16, 64, 1 << 18, 1 << 20
 
 
+#: What ``encoded`` adds.
+ADDED = ("_ids", "_n_tokens", "_ids_sha256", "_decoded_sha256")
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and ids of a rank file: base64 and number on each line."""
     with open(path, "rb") as f:
@@ -43,18 +47,6 @@ def java_pattern(pattern: str) -> str:
     return "(?U)" + pattern
 
 
-def pairs(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (left id << 16 | right id) and ids of all pairs of tokens that make a token."""
-    keys, ids = [], []
-    for piece, rank in ranks.items():
-        for k in range(1, len(piece)):
-            left, right = ranks.get(piece[:k]), ranks.get(piece[k:])
-            if left is not None and right is not None:
-                keys.append(left << 16 | right)
-                ids.append(rank)
-    return np.array(keys, np.int64), np.array(ids, np.int64)
-
-
 def _h(key: bytes) -> int:
     """What ``xxhash64(binary)`` gives, unsigned."""
     return xxhash.xxh64_intdigest(key, 42)
@@ -232,7 +224,7 @@ class Encoder:
 
 def encoded(documents: DataFrame, ranks: dict[bytes, int], pattern: str, ids: bool = True) -> DataFrame:
     """``documents``, all columns, with ``_ids`` (decimal, joined by one space; null unless ``ids``), ``_n_tokens``, ``_ids_sha256`` and, decoded from the ids, ``_decoded_sha256``."""
-    names = documents.columns
+    names, added = documents.columns, free(documents.columns, *ADDED)
     texts = documents.select(F.col("text").cast("string").alias("text"))
     known = fold_words(frequent_words(texts, pattern), ranks)
     shared = documents.sparkSession.sparkContext.broadcast((ranks, pattern, known))  # the rank file and FOLDED words
@@ -245,8 +237,8 @@ def encoded(documents: DataFrame, ranks: dict[bytes, int], pattern: str, ids: bo
                 found = [encoder.encode(text or "") for text in part.column("text").to_pylist()]
                 tokens = [x.count(" ") + 1 if x else 0 for x in found]
                 sha, back = [hashlib.sha256(x.encode()).hexdigest() for x in found], [hashlib.sha256(encoder.decode(x)).hexdigest() for x in found]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found if ids else [None] * len(found), pa.string()), pa.array(tokens, pa.int64()), pa.array(sha), pa.array(back)], [*names, "_ids", "_n_tokens", "_ids_sha256", "_decoded_sha256"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found if ids else [None] * len(found), pa.string()), pa.array(tokens, pa.int64()), pa.array(sha), pa.array(back)], [*names, *added])
 
     schema = documents.schema
-    schema = type(schema)(list(schema.fields)).add("_ids", "string").add("_n_tokens", "long").add("_ids_sha256", "string").add("_decoded_sha256", "string")
+    schema = type(schema)(list(schema.fields)).add(added[0], "string").add(added[1], "long").add(added[2], "string").add(added[3], "string")
     return documents.withColumn("text", F.col("text").cast("string")).mapInArrow(run, schema)

@@ -2,7 +2,7 @@
 
 Every node ends with the smallest id that it can reach. Each step is one written table in the shared folder, so lineage
 stays short and no step is lost with an executor. Hot nodes: both steps take the smallest neighbour by a partial
-aggregate and a join, never a collected list.
+aggregate and a join that leaves the edges of hot nodes where they are, never a collected list.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import hot_join, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -19,8 +19,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     else:
         both = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    moved = both.join(least, "u")
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+    moved = hot_join(both, least, "u", "n")
     if large:
         return moved.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
     own = least.select(F.col("u").alias("a"), F.col("m").alias("b"))

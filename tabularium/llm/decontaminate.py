@@ -1,7 +1,7 @@
 """Benchmark decontamination: a BM25 inverted index of the test items, queried by every training passage with block-max WAND.
 
-Passages are overlapping windows of a document, twice as long as the longest item and one such length apart, so that an
-item that a document holds lies within one of them. The score of an item for a passage is the BM25 sum over the passage's
+Items are indexed by length class (up to 16, 64, 256 .. words). The passages of a class are overlapping windows of a document, twice the class's
+length and one length apart, so that an item that a document holds lies within one of them. The score of an item for a passage is the BM25 sum over the passage's
 distinct words, divided by what the item's own text would get (so 1 is the whole item, whatever its length). All items of a
 score of ``SCORE`` or more are retrieved:
 
@@ -13,11 +13,12 @@ score of ``SCORE`` or more are retrieved:
 A retrieved item is verified on the document around the passage: its question (all sentences but the last) and its answer (the last
 one; halves of a single sentence) must both recur, at ``OVERLAP`` of their 3-word shingles or more.
 
-The index is broadcast in blocks of ``BLOCK_BYTES`` of item text at most: a larger benchmark takes one pass over the documents for each
-block, and none of its items is left out.
+Document frequencies, the number of items and their mean length are counted by Spark over all items, so an item's score depends on no other choice.
+The index is broadcast in parts of about ``BLOCK_BYTES`` of item text: a larger benchmark takes one pass over the documents for each
+part, written between passes, so that a task holds one part only; none of its items is left out, and the result is that of a single part.
 
 Defined cases: null and empty texts hold nothing; items without words never match, repeated items match all alike; an empty
-benchmark leaves every document clean; repeated rows are judged alike; extra columns are kept by ``clean`` and ignored otherwise.
+benchmark leaves every document clean; repeated rows are judged alike; extra columns are kept by ``clean``, whatever their names, and ignored otherwise.
 """
 
 from __future__ import annotations
@@ -31,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import columns
+from .shared import columns, free, stored
 from .wordhash import PUNCTUATION, Words, gram_hashes, slices, whole, word_hashes, words
 
 K1, B, SCORE, OVERLAP, SHINGLE = 1.2, 0.75, 0.5, 0.6, 3
 BLOCK, BLOCK_BYTES = 16, 8 << 20
-FOUND = "item_id long, score double, question_overlap double, answer_overlap double"
+#: What ``search`` adds, and its type.
+FOUND = "_found"
+_KIND = "array<struct<item_id:bigint,score:double,question_overlap:double,answer_overlap:double>>"
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
@@ -135,26 +138,82 @@ class Index:
         return found
 
 
-def build(ids: list[int | None], texts: list[str | None]) -> Index:
+@dataclass
+class Counts:
+    """What all items together give: how many have words, their mean length, and in how many each term occurs (sorted terms)."""
+
+    items: int
+    mean: float
+    terms: np.ndarray
+    df: np.ndarray
+
+
+def length_class(n: int) -> int:
+    """The passage length of items of ``n`` words: 16, 64, 256 .. words."""
+    length = 16
+    while length < n:
+        length *= 4
+    return length
+
+
+def profile(items: DataFrame) -> DataFrame:
+    """(item_id, text, words, length, terms): number of words, length class and distinct term hashes of each item."""
+    schema = pa.schema([("item_id", pa.int64()), ("text", pa.string()), ("words", pa.int64()), ("length", pa.int64()), ("terms", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w, h = _tokens(batch.column("text").to_pylist())
+            terms = [np.unique(h[a:b]).view(np.int64) for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
+            n = w.counts
+            yield pa.RecordBatch.from_arrays([batch.column("item_id"), batch.column("text"), pa.array(n, pa.int64()), pa.array([length_class(x) for x in n], pa.int64()), pa.array(terms, pa.list_(pa.int64()))], schema=schema)
+
+    return items.mapInArrow(run, "item_id long, text string, words long, length long, terms array<long>")
+
+
+def build(ids: list[int | None], texts: list[str | None], counts: Counts, passage: int) -> Index:
+    """The index of some items, with the counts of all."""
     w, h = _tokens(texts)
     terms, term = np.unique(h, return_inverse=True)
-    counts = w.counts
-    n, mean = max(1, int((counts > 0).sum())), max(1.0, float(counts[counts > 0].mean()) if (counts > 0).any() else 1.0)
     pair, tf = np.unique(term.astype(np.int64) * len(texts) + w.doc, return_counts=True)
     t, d = pair // max(1, len(texts)), pair % max(1, len(texts))
-    df = np.bincount(t, minlength=len(terms))
-    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-    impact = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * counts[d] / mean))
-    own = np.bincount(d, impact, len(texts))
-    impact = impact / own[d]
+    df = counts.df[np.searchsorted(counts.terms, terms)]
+    idf = np.log(1 + (counts.items - df + 0.5) / (df + 0.5))
+    impact = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * w.counts[d] / counts.mean))
+    impact = impact / np.bincount(d, impact, len(texts))[d]
     start = np.searchsorted(t, np.arange(len(terms) + 1))
     most = np.maximum.reduceat(impact, start[:-1]) if len(impact) else np.zeros(0)
     blocks = [np.maximum.reduceat(impact[a:b], np.arange(0, b - a, BLOCK)) for a, b in zip(start[:-1], start[1:], strict=True)]
     parts = [question_answer(x or "") for x in texts]
-    longest = max(16, int(counts.max()) if len(counts) else 0)
-    rare = df <= max(8, n // 20)
+    rare = df <= max(8, counts.items // 20)
     common = np.bincount(d[~rare[t]], impact[~rare[t]], len(texts))
-    return Index(list(ids), terms, start, d, impact, most, longest, rare, common, _shingles([q for q, _ in parts]), _shingles([a for _, a in parts]), blocks)
+    return Index(list(ids), terms, start, d, impact, most, passage, rare, common, _shingles([q for q, _ in parts]), _shingles([a for _, a in parts]), blocks)
+
+
+def indexes(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[Index]]:
+    """The indexes of each pass: of length classes, or of parts of one, of about ``block_bytes`` of text together."""
+    items = stored(profile(columns(benchmark, item_id="long", text="string").filter("text is not null")), "items").filter("words > 0")
+    total = items.agg(F.count("*").alias("n"), F.avg("words").alias("mean")).first()
+    frequencies = stored(items.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")), "terms")
+    pieces = []
+    for row in items.groupBy("length").agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")).orderBy("length").collect():  # a row for each power of 4
+        parts = -(-row["bytes"] // block_bytes)
+        pieces += [(row["length"], k, parts, row["bytes"] / parts) for k in range(parts)]
+    held, size = [], 0
+    for length, k, parts, n in pieces:
+        if held and size + n > block_bytes:
+            yield held
+            held, size = [], 0
+        own = items.filter((F.col("length") == length) & (F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k))
+        rows = own.select("item_id", "text").orderBy("item_id", "text").collect()  # about block_bytes of text
+        if not rows:
+            continue
+        known = own.select(F.explode("terms").alias("term")).distinct().join(frequencies, "term").toArrow()  # the terms of these rows
+        terms, df = known.column("term").to_numpy().astype(np.int64).view(np.uint64), known.column("df").to_numpy()
+        order = np.argsort(terms)
+        held.append(build([r["item_id"] for r in rows], [r["text"] for r in rows], Counts(total["n"], total["mean"], terms[order], df[order]), length))
+        size += n
+    if held:
+        yield held
 
 
 def _overlap(part: np.ndarray, text: np.ndarray) -> float:
@@ -201,11 +260,9 @@ def _passages(index: Index, w: Words, h: np.ndarray, least: float) -> Iterator[t
             yield d, a, b, np.unique(term[lo:hi]).tolist()
 
 
-def _matches(index: Index, part: pa.RecordBatch, least: float, overlap: float) -> list[dict[int, tuple]]:
-    """For each row its verified items: item -> (score, question overlap, answer overlap), the best passage of each."""
-    w = words(part.column("text"), lower=True, separators=PUNCTUATION)
-    h = word_hashes(w)
-    out: list[dict[int, tuple]] = [{} for _ in range(len(part))]
+def _matches(index: Index, w: Words, h: np.ndarray, least: float, overlap: float) -> list[dict[int, tuple]]:
+    """For each text its verified items: item -> (score, question overlap, answer overlap), the best passage of each."""
+    out: list[dict[int, tuple]] = [{} for _ in range(len(w.first) - 1)]
     for d, a, b, terms in _passages(index, w, h, least):
         for item, score in index.search(terms, least):
             lo, hi = max(int(w.first[d]), a - index.passage), min(int(w.first[d + 1]), b + index.passage)
@@ -217,35 +274,30 @@ def _matches(index: Index, part: pa.RecordBatch, least: float, overlap: float) -
     return out
 
 
-def search(documents: DataFrame, benchmark: DataFrame, least: float = SCORE, overlap: float = OVERLAP) -> DataFrame:
-    """``documents``, all columns, with ``_found``: the benchmark items that each holds, best first."""
-    items = columns(benchmark, item_id="long", text="string")
-    sized = items.select("item_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).alias("n"))
-    total = sized.agg(F.sum("n").alias("n")).first()["n"] or 0
-    blocks = max(1, -(-int(total) * 2 // BLOCK_BYTES) if total > BLOCK_BYTES else 1)
-    names, kept = documents.columns, documents.withColumn("text", F.col("text").cast("string"))
-    kept = kept.withColumn("_found", F.array().cast(f"array<struct<{FOUND.replace(' long', ':bigint').replace(' double', ':double')}>>"))
-    for k in range(blocks):
-        rows = sized.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()  # about BLOCK_BYTES / 2
-        index = build([r["item_id"] for r in rows], [r["text"] for r in rows])
-        kept = _searched(kept, names, index, least, overlap)
+def search(documents: DataFrame, benchmark: DataFrame, least: float = SCORE, overlap: float = OVERLAP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``documents``, all columns, with ``_found`` (see ``free``): the benchmark items that each holds, best first."""
+    name = free(documents.columns, FOUND)[0]
+    kept = documents.withColumn("text", F.col("text").cast("string")).withColumn(name, F.array().cast(_KIND))
+    for k, some in enumerate(indexes(benchmark, block_bytes)):
+        kept = _searched(stored(kept, "searched") if k else kept, name, some, least, overlap)
     return kept
 
 
-def _searched(documents: DataFrame, names: list[str], index: Index, least: float, overlap: float) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(vars(index))
+def _searched(documents: DataFrame, name: str, some: list[Index], least: float, overlap: float) -> DataFrame:
+    shared = documents.sparkSession.sparkContext.broadcast([vars(index) for index in some])  # about BLOCK_BYTES of item text
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Index(**shared.value)
+        own = [Index(**x) for x in shared.value]
         for batch in batches:
             for part in slices(batch, "text", 8 << 20):
-                before = part.column("_found").to_pylist()
-                found = []
-                for old, new in zip(before, _matches(own, part, least, overlap), strict=True):
-                    more = [{"item_id": own.ids[i], "score": s, "question_overlap": q, "answer_overlap": a} for i, (s, q, a) in new.items()]
-                    found.append(sorted([*old, *more], key=lambda x: (-x["score"], x["item_id"] is None, x["item_id"] or 0)))
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], pa.array(found, kind)], [*names, "_found"])
+                w = words(part.column("text"), lower=True, separators=PUNCTUATION)
+                h, found = word_hashes(w), part.column(name).to_pylist()
+                for index in own:
+                    for row, new in zip(found, _matches(index, w, h, least, overlap), strict=True):
+                        row += [{"item_id": index.ids[i], "score": s, "question_overlap": q, "answer_overlap": a} for i, (s, q, a) in new.items()]
+                found = [sorted(x, key=lambda x: (-x["score"], x["item_id"] is None, x["item_id"] or 0)) for x in found]
+                yield pa.RecordBatch.from_arrays([pa.array(found, kind) if c == name else part.column(c) for c in part.schema.names], part.schema.names)
 
     return documents.mapInArrow(run, documents.schema)
 
@@ -253,13 +305,14 @@ def _searched(documents: DataFrame, names: list[str], index: Index, least: float
 def judged(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document: whether it holds benchmark items, which, and how surely."""
     found = search(columns(documents, doc_id="long", text="string"), benchmark)
-    best = F.try_element_at("_found", F.lit(1))
+    best = F.try_element_at(FOUND, F.lit(1))
     return found.select(
-        "doc_id", (F.size("_found") > 0).alias("contaminated"), F.size("_found").cast("long").alias("n_items"), F.transform("_found", lambda x: x["item_id"]).alias("item_ids"),
+        "doc_id", (F.size(FOUND) > 0).alias("contaminated"), F.size(FOUND).cast("long").alias("n_items"), F.transform(FOUND, lambda x: x["item_id"]).alias("item_ids"),
         best["score"].alias("score"), best["question_overlap"].alias("question_overlap"), best["answer_overlap"].alias("answer_overlap"),
     )
 
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item."""
-    return search(documents, benchmark).filter(F.size("_found") == 0).drop("_found")
+    name = free(documents.columns, FOUND)[0]
+    return search(documents, benchmark).filter(F.size(name) == 0).drop(name)

@@ -12,8 +12,8 @@ language over that of evenly spread ones, and the threshold is ``SHARE`` of the
 for one language or many, and no label of a check row enters it. A text below the threshold, or without letters, is rejected.
 
 Prediction reads whole texts and nothing else. Defined cases: null texts and texts without a letter are ``und`` with
-score 0; rows without lang are not learned from; with no labelled row at all every text is ``und``; repeated rows and
-extra columns change nothing.
+score 0; rows without lang are not learned from; with no labelled row at all every text is ``und``; more than ``LANGUAGES`` values of lang
+are refused; repeated rows and extra columns, whatever their names, change nothing.
 """
 
 from __future__ import annotations
@@ -26,9 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import columns
+from .shared import columns, free
 
 BUCKETS, DIM, ORDERS = 1 << 15, 16, (1, 2, 3, 4)
+#: Most values of lang; a column with more is no label.
+LANGUAGES = 4096
+#: What ``predict`` adds.
+ADDED = ("_lang", "_score", "_rejected")
 FIT_ROWS, EPOCHS, RATE, BATCH, REJECT, SHARE, SPREAD = 300, 12, 8.0, 16, 0.05, 0.6, 0.1
 #: Least number of steps, so that a small sample is passed over more often.
 STEPS = 900
@@ -52,8 +56,8 @@ def subwords(texts: list[str | None], most: int = 1 << 20) -> Iterator[tuple[int
 
 
 def _letters() -> np.ndarray:
-    """Whether a code point of the basic plane is a letter; those above count as letters."""
-    return np.array([chr(c).isalpha() if not 0xD800 <= c < 0xE000 else False for c in range(1 << 16)])
+    """Whether a code point, of any plane, is a letter."""
+    return np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
 
 
 _TABLE: list[np.ndarray] = []
@@ -62,7 +66,7 @@ _TABLE: list[np.ndarray] = []
 def is_letter(code: np.ndarray) -> np.ndarray:
     if not _TABLE:
         _TABLE.append(_letters())
-    return np.where(code < (1 << 16), _TABLE[0][np.minimum(code, 0xFFFF)], True)
+    return _TABLE[0][code]
 
 
 def _buckets(text: str) -> np.ndarray:
@@ -167,7 +171,9 @@ def _fit(rows: list[tuple[int, np.ndarray, np.ndarray]], langs: list[str], seed:
 def train(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """labelled: text, lang and doc_id (which only spreads the sample)."""
     rows = columns(labelled, doc_id="long", text="string", lang="string").filter("text is not null and lang is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} values of lang")
     langs = sorted(counts)
     if not langs:
         return Model([], np.zeros((BUCKETS, 1), np.float32), np.zeros(1), 1.0, 0.0, np.zeros((BUCKETS, 1), np.float32))
@@ -191,8 +197,8 @@ def train(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with _lang (the likeliest, or ``und``), _score and _rejected; nothing but ``text`` is looked at."""
-    names = documents.columns
+    """``documents`` with _lang (the likeliest, or ``und``), _score and _rejected (see ``free`` for clashing names); nothing but ``text`` is looked at."""
+    names, added = documents.columns, free(documents.columns, *ADDED)
     shared = documents.sparkSession.sparkContext.broadcast((model.langs, model.table, model.bias, model.temperature, model.threshold, model.familiar))  # twice BUCKETS x languages numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,10 +209,10 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
             best, score = p.argmax(axis=1), np.where(some, p.max(axis=1), 0.0)
             langs = [own.langs[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)]
             rejected = ~some | (near < own.threshold)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(score), pa.array(rejected)], [*names, "_lang", "_score", "_rejected"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(score), pa.array(rejected)], [*names, *added])
 
     schema = documents.schema
-    return documents.mapInArrow(run, type(schema)(list(schema.fields)).add("_lang", "string").add("_score", "double").add("_rejected", "boolean"))
+    return documents.mapInArrow(run, type(schema)(list(schema.fields)).add(added[0], "string").add(added[1], "double").add(added[2], "boolean"))
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -81,8 +81,8 @@ def band_keys(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, band keys) of each document."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    """(doc_id, hash of the text, n_shingles, digest of the set, band keys) of each document."""
+    schema = pa.schema([("doc_id", pa.int64()), ("body", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,9 +91,9 @@ def signatures(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
                 keys, sizes = band_keys(grams, first).view(np.int64), np.diff(first)
                 digests = [hashlib.blake2b(grams[a:b].tobytes(), digest_size=16).digest() for a, b in zip(first[:-1], first[1:], strict=True)]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists], schema=schema)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("body"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("body")).mapInArrow(run, "doc_id long, body long, n_shingles long, digest binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
@@ -196,6 +196,10 @@ def confirmed(members: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, percent: int = 85, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``documents``: doc_id, n_shingles, component_id, kept."""
+    return _judged(documents, percent, block_bytes).drop("body")
+
+
+def _judged(documents: DataFrame, percent: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     docs = columns(documents, doc_id="long", text="string")
     signed = stored(signatures(docs), "signatures")
     full = signed.filter("n_shingles > 0")
@@ -219,13 +223,18 @@ def near_duplicates(documents: DataFrame, percent: int = 85, block_bytes: int =
     # A doc_id on several rows with different texts joins their classes.
     named = classes.select("digest", "rep").join(linked.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("digest", F.coalesce("component", "rep").alias("component"))
-    out = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    out = signed.select("doc_id", "body", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+    return out.select("doc_id", "body", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
 
 def kept_documents(documents: DataFrame, percent: int = 85) -> DataFrame:
-    """The rows of ``documents`` that stay: one document of each component, all columns as they were."""
-    kept = near_duplicates(documents, percent).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = documents.join(kept, documents["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
-    return rows
+    """The rows of ``documents`` that stay: one document of each component, all columns as they were. Of equal texts without doc_id that
+    no document with an id holds, one row stays."""
+    kept = _judged(documents, percent).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("body").alias("kept_body")).distinct()
+    named, bare = kept.filter("kept_id is not null"), kept.filter("kept_id is null")
+    body = F.xxhash64(documents["text"].cast("string"))
+    rows = documents.join(named, (documents["doc_id"].cast("long") == named["kept_id"]) & (body == named["kept_body"]), "left_semi")
+    others = documents.filter(documents["doc_id"].cast("long").isNull())
+    others = others.join(bare, F.xxhash64(others["text"].cast("string")) == bare["kept_body"], "left_semi").dropDuplicates(["text"])
+    return rows.unionByName(others)

@@ -10,7 +10,7 @@ whole runs of keys, so its plan has at most one entry for each arc and one more
 bounded plan is joined back to the keys, each of which knows its rank within its arc. No text is shuffled.
 
 Defined cases: a null key has one fixed ring position and sorts first; rows that repeat a key are ranked by size and
-checksum; null and empty texts have 0 bytes; an empty table gives no rows; extra columns are ignored.
+checksum; null and empty texts have 0 bytes; an empty table gives no rows; extra columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import free
+
 RING = 1 << 62
 #: Bytes that a row takes besides its text.
 OVERHEAD = 16
@@ -77,11 +79,13 @@ def ring_position(key: Column) -> Column:
 
 
 def assign(keys: DataFrame, key: str, ring: Ring, tiebreak: list[str] = (), slack: float = 0.0) -> DataFrame:
-    """``keys`` with ``shard`` and ``slot`` (gapless from 0 within a shard). ``keys`` needs no text column."""
+    """``keys`` with ``shard`` and ``slot`` (gapless from 0 within a shard; see ``free`` where ``keys`` has such columns). ``keys`` needs no text column."""
     spark = keys.sparkSession
     points = ring.points()
     cells = spark.createDataFrame(_cells(points), "_cell int, _from int, _spots array<long>")
-    placed = keys.withColumn("_position", ring_position(F.col(key))).withColumn("_cell", F.shiftrightunsigned("_position", 50).cast("int"))
+    names, shard, slot = keys.columns, *free(keys.columns, "shard", "slot")
+    keys = keys.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))  # so that no column's name can clash
+    placed = keys.withColumn("_position", ring_position(F.col("_row")[key])).withColumn("_cell", F.shiftrightunsigned("_position", 50).cast("int"))
     before = F.size(F.filter("_spots", lambda p: p < F.col("_position")))
     placed = placed.join(F.broadcast(cells), "_cell")  # 4,096 rows
     placed = placed.withColumn("_arc", ((F.col("_from") + before) % F.lit(len(points))).cast("int")).drop("_cell", "_from", "_spots")
@@ -89,14 +93,14 @@ def assign(keys: DataFrame, key: str, ring: Ring, tiebreak: list[str] = (), slac
     arcs = [counts.get(i, 0) for i in range(len(points))]
     plan = sweep(arcs, [s for _, s in points], capacities(sum(arcs), ring.shards, slack))
     runs = spark.createDataFrame(plan, "_arc int, _lo long, _hi long, shard int, _first long")
-    order = Window.partitionBy("_arc").orderBy(F.col("_position"), F.col(key), *[F.col(c) for c in tiebreak])
+    order = Window.partitionBy("_arc").orderBy(F.col("_position"), *[F.col("_row")[c] for c in (key, *tiebreak)])
     ranked = placed.withColumn("_rank", F.row_number().over(order).cast("long") - 1)
     runs = runs.groupBy("_arc").agg(F.collect_list(F.struct("_lo", "_hi", "shard", "_first")).alias("_runs"))
     hit = F.filter("_runs", lambda r: (r["_lo"] <= F.col("_rank")) & (F.col("_rank") < r["_hi"]))[0]
     return (
         ranked.join(F.broadcast(runs), "_arc")  # one row for each arc at most
         .withColumn("_hit", hit)
-        .select(*keys.columns, F.col("_hit.shard").alias("shard"), (F.col("_hit._first") + F.col("_rank") - F.col("_hit._lo")).alias("slot"))
+        .select("_row.*", F.col("_hit.shard").alias(shard), (F.col("_hit._first") + F.col("_rank") - F.col("_hit._lo")).alias(slot))
     )
 
 

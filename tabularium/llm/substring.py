@@ -12,7 +12,8 @@ anchors are some 20 times fewer than windows).
 3. Each document gets the word ranges covered by windows that also start in a smaller doc_id.
 
 Windows are judged on the input texts. Ids are compared, never positions: a passage that repeats only within one
-document stays. A hot passage costs one row a task and window: the smallest id is a partial aggregate.
+document stays. A hot passage costs one row a task and window: the smallest id is a partial aggregate, and what tasks hold of a hot
+anchor is brought together in two steps, by anchor and hash of the id first, so that no task reads it whole.
 
 Defined cases: null and empty texts have no words; a text of fewer words than a window loses none; rows with equal
 doc_id are no smaller than each other; a row without doc_id counts as larger than all; extra columns are ignored or, in ``deduplicated``, kept.
@@ -21,19 +22,24 @@ doc_id are no smaller than each other; a row without doc_id counts as larger tha
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import columns
+from .shared import columns, free
 from .wordhash import Words, gram_hashes, mix, slices, whole, word_hashes, words
 
 WINDOW, ANCHOR = 50, 8
 #: Cells of the sketch: two rows of one-byte counters that stop at 255. Bounds the memory of a task and the broadcast.
 SKETCH_BITS = 24
+#: An anchor that the sketch estimates in so many documents is hot: its windows are judged in two steps.
+HOT = 64
+#: What ``deduplicated`` works with and, but for the first, adds.
+ADDED = ("_ranges", "_n_words", "_n_removed", "_kept_sha256")
 _SEEDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _LARGEST = (1 << 63) - 1
 
@@ -132,11 +138,12 @@ def _covered(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-_PAIRS = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("body", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("hashes", pa.binary())])
+_PAIRS = pa.schema([("anchor", pa.int64()), ("salt", pa.int64()), ("id", pa.int64()), ("body", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("hashes", pa.binary())])
+_CANDIDATES = "anchor long, salt long, id long, body long, start long, stop long, hashes binary"
 _RANGES = pa.schema([("id", pa.int64()), ("body", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
 
 
-def _candidates(docs: DataFrame, counters, window: int, anchor: int, bits: int) -> DataFrame:
+def _candidates(docs: DataFrame, counters, window: int, anchor: int, bits: int, salts: int) -> DataFrame:
     """Windows estimated in two documents or more, as runs; those that a smaller document of the same batch holds need no
     grouping and come without hashes."""
 
@@ -151,11 +158,12 @@ def _candidates(docs: DataFrame, counters, window: int, anchor: int, bits: int)
                 pick = np.flatnonzero(seen >= 2)
                 if not len(pick):
                     continue
-                keys, at = keys[pick], at[pick]
+                keys, at, hot = keys[pick], at[pick], seen[pick] >= HOT
                 h1, h2 = gram_hashes(h, window)[at], gram_hashes(mix(h ^ _SEEDS[1]), window)[at]
                 text = w.doc[at]
                 ids, bodies = np.asarray(part.column("id"))[text], np.asarray(part.column("body"))[text]
                 start = at - w.first[text]
+                salt = np.where(hot, (mix(ids.astype(np.uint64)) % np.uint64(salts)).astype(np.int64), -1)
                 done = _covered(h1, h2, ids)
                 for local in (True, False):
                     k = np.flatnonzero(done == local)
@@ -169,57 +177,77 @@ def _candidates(docs: DataFrame, counters, window: int, anchor: int, bits: int)
                     else:
                         raw = np.stack([h1[k], h2[k]], axis=1).tobytes()
                         grams = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(np.append(begin, len(k)).astype(np.int32) * 16), pa.py_buffer(raw)])
-                    out = [pa.array(keys[first].view(np.int64)), pa.array(ids[first]), pa.array(bodies[first]), pa.array(start[first]), pa.array(start[first] + (end - begin)), grams]
+                    out = [pa.array(keys[first].view(np.int64)), pa.array(salt[first]), pa.array(ids[first]), pa.array(bodies[first]), pa.array(start[first]), pa.array(start[first] + (end - begin)), grams]
                     yield pa.RecordBatch.from_arrays(out, schema=_PAIRS)
 
-    return docs.mapInArrow(run, "anchor long, id long, body long, start long, stop long, hashes binary")
+    return docs.mapInArrow(run, _CANDIDATES)
 
 
-def _resolved(candidates: DataFrame, window: int, most: int = 1 << 20) -> DataFrame:
-    """Word ranges [start, stop) of covered windows. Equal windows have equal anchors, so they meet in one task."""
+def _resolved(candidates: DataFrame, window: int, last: bool, most: int = 1 << 20) -> DataFrame:
+    """Covered windows, as ranges of starts without hashes; equal windows have equal anchors, so they meet in one task.
 
-    def flush(rows: list[tuple]) -> pa.RecordBatch:
-        ids, bodies, starts, hashes = zip(*rows, strict=True)
-        n = np.array([len(x) // 16 for x in hashes])
-        pair = np.frombuffer(b"".join(hashes), np.uint64).reshape(-1, 2)
+    Windows of hot anchors are first dealt out by (anchor, hash of the id): there all but those of the smallest id are found to be covered, and what
+    is left, at most the windows of one document for each salt, goes on to the ``last`` step."""
+
+    def runs_of(rows: list[tuple], pair: np.ndarray, k: np.ndarray, row: np.ndarray, pos: np.ndarray, hashed: bool) -> pa.RecordBatch:
+        begin = _runs(pos[k], row[k])
+        end = np.append(begin[1:], len(k))
+        first = row[k[begin]]
+        cols = [np.array([rows[i][c] for i in first], np.int64) for c in range(4)]
+        hashes = [pair[k[x:y]].tobytes() for x, y in zip(begin, end, strict=True)] if hashed else pa.nulls(len(begin), pa.binary())
+        start = pos[k[begin]]
+        return pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(start), pa.array(start + (end - begin)), hashes if not hashed else pa.array(hashes, pa.binary())], schema=_PAIRS)
+
+    def flush(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        n = np.array([len(r[5]) // 16 for r in rows])
+        pair = np.frombuffer(b"".join(r[5] for r in rows), np.uint64).reshape(-1, 2)
         row = np.repeat(np.arange(len(n)), n)
-        pos = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.array(starts)[row]
-        k = np.flatnonzero(_covered(pair[:, 0], pair[:, 1], np.array(ids)[row]))
-        begin = _runs(pos[k], row[k]) if len(k) else k
-        end = np.append(begin[1:], len(k)) if len(k) else k
-        first = k[begin]
-        cols = [np.array(ids)[row[first]], np.array(bodies)[row[first]], pos[first], pos[first] + (end - begin) + window - 1]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=_RANGES)
+        pos = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.array([r[4] for r in rows])[row]
+        gone = _covered(pair[:, 0], pair[:, 1], np.array([r[2] for r in rows])[row])
+        if gone.any():
+            yield runs_of(rows, pair, np.flatnonzero(gone), row, pos, False)
+        left = np.flatnonzero(~gone & (np.array([r[1] for r in rows])[row] >= 0))
+        if not last and len(left):
+            yield runs_of(rows, pair, left, row, pos, True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held, last = [], 0, None
+        rows, held, before = [], 0, None
         for batch in batches:
             local = batch.filter(pa.compute.is_null(batch.column("hashes")))
             if len(local):
-                yield pa.RecordBatch.from_arrays([local.column("id"), local.column("body"), local.column("start"), pa.compute.add(local.column("stop"), window - 1)], schema=_RANGES)
+                yield local
             rest = batch.filter(pa.compute.is_valid(batch.column("hashes")))
-            for key, i, body, start, hashes in zip(*(rest.column(c).to_pylist() for c in ("anchor", "id", "body", "start", "hashes")), strict=True):
-                if held >= most and key != last:
-                    yield flush(rows)
+            for anchor, salt, i, body, start, hashes in zip(*(rest.column(c).to_pylist() for c in ("anchor", "salt", "id", "body", "start", "hashes")), strict=True):
+                key = anchor if last else (anchor, salt)
+                if held >= most and key != before:
+                    yield from flush(rows)
                     rows, held = [], 0
-                rows.append((i, body, start, hashes))
-                held, last = held + len(hashes) // 16, key
+                rows.append((anchor, salt, i, body, start, hashes))
+                held, before = held + len(hashes) // 16, key
         if rows:
-            yield flush(rows)
+            yield from flush(rows)
 
-    return candidates.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "id long, body long, start long, stop long")
+    place = F.when(F.col("hashes").isNull(), F.xxhash64("id", "body")).otherwise(F.col("anchor")).alias("place")  # what is decided only passes
+    keys = ["place"] if last else ["place", "salt"]
+    dealt = candidates.select("*", place).repartition(*keys).sortWithinPartitions(*keys).drop("place")
+    return dealt.mapInArrow(run, _CANDIDATES)
 
 
-def _keyed(documents: DataFrame) -> DataFrame:
-    return documents.withColumns({"_id": F.coalesce("doc_id", F.lit(_LARGEST)), "_body": F.xxhash64(F.coalesce("text", F.lit("")))})
+def _id_and_body(documents: DataFrame) -> tuple[Column, Column]:
+    """What tells a row: its id (rows without one: the largest) and a hash of its text."""
+    return F.coalesce(documents["doc_id"].cast("long"), F.lit(_LARGEST)), F.xxhash64(F.coalesce(documents["text"].cast("string"), F.lit("")))
 
 
 def repeated_ranges(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, bits: int = SKETCH_BITS) -> DataFrame:
-    """(_id, _body, ranges): word ranges to remove from the document with that id and text; the ranges may overlap."""
-    docs = _keyed(columns(documents, doc_id="long", text="string"))
+    """(id, body, ranges): word ranges to remove from the document with that id and text; the ranges may overlap."""
+    docs = columns(documents, doc_id="long", text="string")
+    key, body = _id_and_body(docs)
     counters = _broadcast(sketch(docs.select("text"), window, anchor, bits), bits)
-    found = _resolved(_candidates(docs.select(F.col("_id").alias("id"), F.col("_body").alias("body"), "text"), counters, window, anchor, bits), window)
-    return found.groupBy(F.col("id").alias("_id"), F.col("body").alias("_body")).agg(F.collect_list(F.struct("start", "stop")).alias("_ranges"))
+    salts = max(16, math.isqrt(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1)
+    found = _candidates(docs.select(key.alias("id"), body.alias("body"), "text"), counters, window, anchor, bits, salts)
+    found = _resolved(_resolved(found, window, last=False), window, last=True)
+    span = F.struct("start", (F.col("stop") + window - 1).alias("stop"))
+    return found.groupBy("id", "body").agg(F.collect_list(span).alias("ranges"))
 
 
 def _removed(w: Words, d: int, ranges: list[dict]) -> np.ndarray:
@@ -234,16 +262,18 @@ def _removed(w: Words, d: int, ranges: list[dict]) -> np.ndarray:
 def deduplicated(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, bits: int = SKETCH_BITS) -> DataFrame:
     """``documents``, all columns, with what is left as ``text`` (white space as it was; unchanged if nothing goes), and ``_n_words``,
     ``_n_removed`` and ``_kept_sha256`` (of the words left, joined by one space)."""
+    names, added = documents.columns, free(documents.columns, *ADDED)
     ranges = repeated_ranges(documents, window, anchor, bits)
-    names = documents.columns
-    joined = _keyed(documents.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})).join(ranges, ["_id", "_body"], "left").select(*names, "_ranges")
+    key, body = _id_and_body(documents)
+    joined = documents.join(ranges, (key == ranges["id"]) & (body == ranges["body"]), "left")
+    joined = joined.select(*[documents[c].cast("string").alias(c) if c == "text" else documents[c] for c in names], ranges["ranges"].alias(added[0]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 w = words(part.column("text"))
                 texts, counts, removed, digests = [], [], [], []
-                for d, (text, found) in enumerate(zip(part.column("text").to_pylist(), part.column("_ranges").to_pylist(), strict=True)):
+                for d, (text, found) in enumerate(zip(part.column("text").to_pylist(), part.column(added[0]).to_pylist(), strict=True)):
                     body = (text or "").encode()
                     pieces = body.split()
                     gone = _removed(w, d, found)
@@ -258,7 +288,7 @@ def deduplicated(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHO
                     removed.append(n)
                     digests.append(hashlib.sha256(b" ".join(pieces)).hexdigest())
                 kept = [pa.array(texts, pa.string()) if c == "text" else part.column(c) for c in names]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests)], [*names, "_n_words", "_n_removed", "_kept_sha256"])
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests)], [*names, *added[1:]])
 
-    schema = joined.drop("_ranges").schema.add("_n_words", "long").add("_n_removed", "long").add("_kept_sha256", "string")
+    schema = joined.drop(added[0]).schema.add(added[1], "long").add(added[2], "long").add(added[3], "string")
     return joined.mapInArrow(run, schema)

@@ -4,12 +4,12 @@ Every record is one gzip member. The reader takes an archive as a stream: it dec
 bytes come in, reads the header block, frames the content by Content-Length, and verifies the block digest and, where the payload
 is there, the payload digest. Neither holds more than one record.
 
-Archives lie in the shared folder. Each task writes under a name of its attempt and renames at the end, so a task that
-runs twice leaves one archive; the manifest of archives is a written table.
+Archives lie in the shared folder. Each task writes archives named by its attempt and lists them in the manifest, a written table: of a task
+that runs twice the manifest names the archives of the attempt that Spark committed, and no attempt touches those of another.
 
 Of pages with equal payloads the one with the smallest page_id is a ``response``, the others are ``revisit`` records of
 it, which keep the stored response's HTTP header but no payload. Equal payloads are found by digest: one partial aggregate and one join
-on (page_id, digest) rows without payloads, whose hot digest Spark splits or this module salts; pages then move once, by page_id.
+on (page_id, digest) rows without payloads, which leaves the rows of hot digests where they are; pages then move once, by page_id.
 
 Defined cases: null html is an empty payload; rows with the smallest page_id and equal payloads are all responses; a row without
 page_id is written with an empty id, after all others; extra columns are ignored.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -29,12 +30,12 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import columns, run_dir
+from .shared import columns, hot_join, run_dir
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: An archive of more bytes is closed and the next one begun.
 ROTATE = 256 << 20
-CHUNK, SALTS = 1 << 16, 16
+CHUNK = 1 << 16
 FIELDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, target_uri string, verified boolean, archive string"
 
 
@@ -89,6 +90,8 @@ def parse(member: bytes) -> tuple[dict[str, str], bytes]:
     if not sep or not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    if not re.fullmatch(r"\d+", fields.get("content-length", "")):
+        raise ValueError("a record without content length")
     n = int(fields["content-length"])
     if body[n:] != b"\r\n\r\n" or len(body) != n + 4:
         raise ValueError("content length and record don't agree")
@@ -96,24 +99,38 @@ def parse(member: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def _page(urn: str | None) -> int | None:
-    tail = (urn or "").strip("<>").rpartition(":")[2]
-    return int(tail) if tail else None
+    """The page of a record id of this writer; ids of others name no page."""
+    found = re.fullmatch(r"<?urn:page:(-?\d+)>?", urn or "")
+    return int(found[1]) if found else None
+
+
+def _agrees(named: str | None, data: bytes) -> bool | None:
+    """Whether a named digest is that of the data; None if there is none, or one by another algorithm."""
+    kind, _, value = (named or "").partition(":")
+    return value.upper() == digest(data) if kind.lower() == "sha1" and len(value) == 32 else None
 
 
 def read_records(stream: BinaryIO) -> Iterator[dict]:
-    """Records of one archive in order, with verified digests and, for responses, the payload."""
+    """Records of one archive in order, of any kind and any writer, with the payload where the record holds it.
+
+    ``verified`` is false if a digest or the HTTP length doesn't agree, null if the record names no digest that can be checked. The payload is what
+    follows the HTTP header, or the whole block of records of other contents. A revisit has the length that its HTTP header states."""
     for member in members(stream):
         fields, block = parse(member)
-        http, _, payload = block.partition(b"\r\n\r\n")
-        lengths = [int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
-        whole = fields["warc-type"] == "response"
-        named = fields["warc-payload-digest"].removeprefix("sha1:")
-        good = fields["warc-block-digest"] == f"sha1:{digest(block)}"
+        kind = fields.get("warc-type", "")
+        http, payload = b"", block
+        if fields.get("content-type", "").lower().replace(" ", "").startswith("application/http"):
+            http, _, payload = block.partition(b"\r\n\r\n")
+        lengths = [int(x.split(b":")[1]) for x in http.split(b"\r\n") if re.fullmatch(rb"content-length: *\d+ *", x.lower())]
+        whole, named = kind != "revisit", fields.get("warc-payload-digest")
+        checks = [_agrees(fields.get("warc-block-digest"), block)]
         if whole:
-            good = good and digest(payload) == named and lengths == [len(payload)]
+            checks += [_agrees(named, payload), False if lengths and lengths != [len(payload)] else None]
+        known = [x for x in checks if x is not None]
         yield {
-            "page_id": _page(fields["warc-record-id"]), "payload_bytes": lengths[0], "payload_digest": named, "record_type": fields["warc-type"],
-            "refers_to": _page(fields.get("warc-refers-to")), "target_uri": fields.get("warc-target-uri") or None, "verified": good, "payload": payload if whole else None,
+            "page_id": _page(fields.get("warc-record-id")), "payload_bytes": len(payload) if whole or not lengths else lengths[0], "payload_digest": named.rpartition(":")[2] if named else None,
+            "record_type": kind, "refers_to": _page(fields.get("warc-refers-to")), "target_uri": fields.get("warc-target-uri") or None, "verified": all(known) if known else None,
+            "payload": payload if whole else None,
         }
 
 
@@ -128,10 +145,8 @@ def decided(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     rows = columns(pages, page_id="long", url="string", html="string").withColumn("html", F.coalesce("html", F.lit("")))
     sha = F.sha1(F.col("html").cast("binary"))
     small = rows.select("page_id", sha.alias("sha"), F.octet_length("html").alias("n")).filter(F.col("n") >= min_bytes)
-    first = small.groupBy("sha").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last"), F.count("*").alias("n")).filter("n > 1 and first is not null").select("sha", "first")
-    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    salted = small.select("page_id", "sha", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int").alias("salt"))
-    refers = salted.join(first.select("sha", "first", salt), ["sha", "salt"]).filter("page_id is null or page_id <> first").select(F.col("page_id").alias("_page"), "sha", "first").distinct()
+    first = small.groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null")
+    refers = hot_join(small.select("page_id", "sha"), first, "sha", "n").filter("page_id is null or page_id <> first").select(F.col("page_id").alias("_page"), "sha", "first").distinct()
     keyed = rows.withColumn("sha", sha)
     joined = keyed.join(refers, keyed["page_id"].eqNullSafe(refers["_page"]) & (keyed["sha"] == refers["sha"]), "left")
     return joined.select("page_id", "url", "html", F.col("first").alias("refers_to"))
@@ -152,14 +167,13 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, rotate: in
 
         def closed() -> pa.RecordBatch:
             out.close()
-            fs.move(f"{base}/.{name}.{attempt}", f"{base}/{name}")
             return pa.RecordBatch.from_pylist([{"archive": name, "records": records, "bytes": size}], schema=schema)
 
         for batch in batches:
             for page, url, html, refers in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to")), strict=True):
                 if out is None:
-                    name, records, size = f"part-{task:06d}-{serial:04d}.warc.gz", 0, 0
-                    out, serial = fs.open_output_stream(f"{base}/.{name}.{attempt}", compression=None), serial + 1
+                    name, records, size = f"part-{task:06d}-{serial:04d}-{attempt}.warc.gz", 0, 0
+                    out, serial = fs.open_output_stream(f"{base}/{name}", compression=None), serial + 1
                 payload = html.encode()
                 data = record(page, url, payload, digest(payload), refers)
                 out.write(data)

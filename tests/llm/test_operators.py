@@ -1,6 +1,7 @@
 """Operators against brute-force versions, on small rows with nulls, empty and long texts, ties, repeats, empty tables and clashing columns."""
 
 import base64
+import gzip
 import hashlib
 import io
 import math
@@ -56,8 +57,10 @@ def placed_one_by_one(keys, ring, room):
 @pytest.mark.parametrize("n", [0, 1, 37, 500])
 def test_sharding_equals_the_sequential_walk(spark, n):
     ring = sharding.Ring(7, 5)
-    keys = spark.createDataFrame([(i * 17 - 5, "x") for i in range(n)], "k long, shard string").drop("shard")
-    got = {r["k"]: (r["shard"], r["slot"]) for r in sharding.assign(keys, "k", ring).collect()}
+    keys = spark.createDataFrame([(i * 17 - 5, "x", None, 1) for i in range(n)], "k long, shard string, _arc int, _row int")
+    rows = sharding.assign(keys, "k", ring).collect()
+    assert all((r["shard"], r["_arc"], r["_row"]) == ("x", None, 1) for r in rows)
+    got = {r["k"]: (r["_shard"], r["_slot"]) for r in rows}
     positions = [(r["p"], r["k"]) for r in keys.select("k", sharding.ring_position(F.col("k")).alias("p")).collect()]
     assert got == placed_one_by_one(positions, ring, sharding.capacities(n, 7))
     counts = Counter(s for s, _ in got.values())
@@ -161,6 +164,36 @@ def test_warc_reader_finds_damage():
         list(warc.read_records(io.BytesIO(good[:-9])))
 
 
+def test_warc_reader_takes_foreign_records():
+    def member(head, block):
+        raw = b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+        return gzip.compress(raw)
+
+    uid = ("WARC-Record-ID", "<urn:uuid:11111111-2222-3333-4444-555555555555>")
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>"
+    stream = b"".join([
+        member([("WARC-Type", "warcinfo"), uid, ("Content-Type", "application/warc-fields")], b"software: x\r\n"),
+        member([("WARC-Type", "request"), uid, ("Content-Type", "application/http; msgtype=request")], b"GET / HTTP/1.1\r\n\r\n"),
+        member([("WARC-Type", "response"), uid, ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", "sha256:abc"), ("WARC-Block-Digest", f"sha1:{warc.digest(http)}")], http),
+        member([("WARC-Type", "metadata"), ("WARC-Block-Digest", f"sha1:{warc.digest(b'other')}")], b"k: v"),
+        warc.record(9, "u", b"own", warc.digest(b"own"), None),
+    ])
+    got = list(warc.read_records(io.BytesIO(stream)))
+    assert [(r["record_type"], r["page_id"], r["payload"], r["verified"]) for r in got] == [
+        ("warcinfo", None, b"software: x\r\n", None), ("request", None, b"", None), ("response", None, b"<p>", True), ("metadata", None, b"k: v", False), ("response", 9, b"own", True)]
+    with pytest.raises(ValueError):
+        list(warc.read_records(io.BytesIO(gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\n\r\n\r\n\r\n"))))
+
+
+def test_warc_archives_are_named_by_attempt(spark, tmp_path):
+    pages = spark.createDataFrame([(k, "u", f"p{k}") for k in range(50)], "page_id long, url string, html string")
+    first = warc.write_archives(pages, str(tmp_path / "w"), rotate=300)
+    names = {r["archive"] for r in first.collect()}
+    for name in ("part-000000-0000-other.warc.gz", "part-000000-0000.warc.gz"):  # what an attempt that Spark didn't commit left behind
+        (tmp_path / "w" / "archives" / name).write_bytes(b"broken")
+    assert len(names) > 1 and warc.read_archives(first, str(tmp_path / "w")).count() == 50
+
+
 # BPE
 
 
@@ -292,7 +325,11 @@ def test_decontamination_finds_items_and_leaves_others(spark):
 def test_block_max_wand_equals_full_scores():
     rng = random.Random(9)
     words = [f"w{k}" for k in range(60)]
-    index = decontaminate.build(list(range(90)), [" ".join(rng.choice(words) for _ in range(rng.randint(3, 25))) for _ in range(90)])
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(3, 25))) for _ in range(90)]
+    w, h = decontaminate._tokens(texts)
+    df = Counter(x for a, b in zip(w.first, w.first[1:]) for x in set(h[a:b].tolist()))
+    terms = np.array(sorted(df), np.uint64)
+    index = decontaminate.build(list(range(90)), texts, decontaminate.Counts(90, float(w.counts.mean()), terms, np.array([df[x] for x in terms.tolist()])), 64)
     for _ in range(60):
         query = sorted(rng.sample(range(len(index.terms)), rng.randint(1, 25)))
         scores = np.zeros(90)
@@ -302,6 +339,54 @@ def test_block_max_wand_equals_full_scores():
         assert {i for i, _ in index.search(query, least)} == set(np.flatnonzero(scores >= least - 1e-12).tolist())
 
 
+def bm25_found(texts, items, least=decontaminate.SCORE, overlap=decontaminate.OVERLAP):
+    """Brute force: every passage of every text against every item, word by word."""
+    cut = lambda t: re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", "".join(c.lower() if c < "\x80" else c for c in t or ""))
+    grams = lambda w, n=3: {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
+    bags = [(i, t, Counter(cut(t))) for i, t in items if cut(t)]
+    df, total = Counter(w for *_, bag in bags for w in bag), len(bags)
+    mean = sum(sum(bag.values()) for *_, bag in bags) / max(1, total)
+    idf = {w: math.log(1 + (total - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    out = []
+    for text in texts:
+        words, found = cut(text), Counter()
+        for i, t, bag in bags:
+            size = sum(bag.values())
+            impact = {w: idf[w] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * size / mean)) for w, n in bag.items()}
+            step = decontaminate.length_class(size)
+            for at in range(0, len(words), step):
+                if sum(impact.get(w, 0) for w in set(words[at : at + 2 * step])) < (least - 1e-9) * sum(impact.values()):
+                    continue
+                near = words[max(0, at - step) : at + 3 * step]
+                have = set().union(*(grams(near, n) for n in (1, 2, 3)))
+                parts = [cut(x) for x in decontaminate.question_answer(t)]
+                parts = [grams(x, min(3, len(x))) if x else set() for x in parts]
+                if all(len(x & have) >= overlap * len(x) for x in parts) and any(parts):
+                    found[i, t] = 1
+        out.append(sorted(i for i, _ in found))
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 23, 900])
+def test_decontamination_equals_brute_force(spark, block_bytes):
+    rng = random.Random(18)
+    pool = ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(150)]
+    make = lambda n: " ".join(rng.choice(pool) + rng.choice(["", "", ",", "."]) for _ in range(n))
+    items = [(k, make(rng.choice([4, 12, 20, 40, 90]))) for k in range(30)] + [(30, None), (31, ""), (None, make(15)), (5, make(15)), (7, "... !?")]
+    items.append(items[3])
+    texts = [*ODD, *(make(rng.randint(1, 400)) for _ in range(25))]
+    for k in range(45):  # whole items and pieces of them
+        words = items[rng.randrange(30)][1].split()
+        part = words if k % 2 else words[rng.randint(0, len(words) // 2) :]
+        texts.append(" ".join([make(rng.randint(0, 150)), *part, make(rng.randint(0, 150))]))
+    table = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, _found string")
+    rows = decontaminate.search(table, spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes).collect()
+    got = {r["doc_id"]: sorted((x["item_id"] for x in r["__found"]), key=lambda x: (x is None, x or 0)) for r in rows}
+    want = bm25_found(texts, [(-1 if i is None else i, t) for i, t in dict.fromkeys(items)])
+    assert sum(map(len, want)) > 20 and all(r["_found"] == "x" for r in rows)
+    assert [set(-1 if i is None else i for i in got[k]) for k in range(len(texts))] == [set(x) for x in want]
+
+
 # near-duplicates
 
 
@@ -345,6 +430,8 @@ def test_near_duplicates_of_odd_tables(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
     rows = minhash.near_duplicates(frame(spark, ["a b c", "a b c", "a b c", "other", None], [4, 4, None, None, None])).collect()
     assert Counter((r["doc_id"], r["component_id"], r["kept"]) for r in rows) == Counter({(4, 4, True): 2, (None, 4, False): 1, (None, None, True): 2})
+    kept = minhash.kept_documents(frame(spark, ["a b c", "a b c", "a b c", "z", "z", None, "z y", "z y"], [4, 4, None, None, None, None, 7, 9]))
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter({(4, "a b c"): 2, (None, "z"): 1, (None, None): 1, (7, "z y"): 1})
     kept = minhash.kept_documents(frame(spark, ["a b c", "a b c", "z"], [1, 2, 3]))
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3] and kept.columns == frame(spark, []).columns
 
@@ -557,3 +644,61 @@ def test_chat_escapes_are_reversible():
         text = "".join(rng.choice("<|\\>n\n") for _ in range(rng.randint(0, 12)))
         assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
         assert chat.unescape_role(chat.escape_role(text)) == text and "\n" not in chat.escape_role(text)
+
+
+# clashing names
+
+
+def test_extra_columns_of_any_name_come_back_unchanged(spark):
+    import public_tokenizers
+
+    extra = [*langid.ADDED, *bpe.ADDED, *substring.ADDED, "_found", "_kept", "kept_id", "kept_body", "id", "body", "ranges", "hashes", "anchor", "family", "digest"]
+    texts = [*ODD, "the same words here again and again", "the same words here again and again"]
+    rows = [(i if i < 9 else None, t, "en", *(f"{c}{i}" for c in extra)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"`{c}` string" for c in extra))
+    bench = spark.createDataFrame([(1, "the same words here again and again")], "item_id long, text string")
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    plain = lambda df: sorted(map(repr, df.select("doc_id", *extra).collect()))
+    for found in (langid.predict(docs, langid.train(docs)), bpe.encoded(docs, ranks, public_tokenizers.PATTERN), substring.deduplicated(docs), decontaminate.search(docs, bench)):
+        assert plain(found) == plain(docs)
+        assert plain(type(docs).limit(found, 0)) == []
+    kept = minhash.kept_documents(docs)
+    assert kept.columns == docs.columns and set(plain(kept)) < set(plain(docs))
+    assert decontaminate.clean(docs, bench).columns == docs.columns and decontaminate.clean(docs, bench).count() == len(texts) - 2
+    shards = sharding.assign(docs.drop("text"), "doc_id", sharding.Ring(3, 4), tiebreak=["lang"])
+    assert plain(shards) == plain(docs)
+
+
+def test_symbols_are_no_letters(spark):
+    texts = ["🙂🙃", "🚀", "𝟘𝟙", "𝔸𝔹", "中文"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*texts, "plain words"])], "doc_id long, text string, lang string")
+    got = {r["text"]: r["_lang"] for r in langid.predict(docs, langid.train(docs)).collect()}
+    assert [got[t] for t in texts] == ["und", "und", "und", "en", "en"]
+
+
+def test_a_hot_anchor_is_judged_in_two_steps(spark, monkeypatch):
+    monkeypatch.setattr(substring, "HOT", 3)
+    rng = random.Random(19)
+    hot = prose(rng, 40)
+    texts = [" ".join([prose(rng, rng.randint(0, 20)), hot, prose(rng, rng.randint(0, 20)), hot if k % 7 == 0 else ""]) for k in range(60)] + ODD
+    ids = [*rng.sample(range(500), 58), 501, 501, *range(600, 600 + len(ODD))]
+    got = substring.deduplicated(frame(spark, texts, ids).repartition(9), window=12, anchor=4, bits=16).select("doc_id", "_n_words", "_n_removed", "_kept_sha256").collect()
+    assert Counter(map(tuple, got)) == Counter((i, *w) for i, w in zip(ids, removed(texts, ids, 12), strict=True))
+
+
+def test_components_of_hot_nodes(spark, monkeypatch):
+    from tabularium.llm import shared
+
+    monkeypatch.setattr(shared.hot_join, "__defaults__", (3, 2))
+    rng = random.Random(20)
+    edges = [(0, k) for k in range(1, 40)] + [(50, k) for k in range(51, 80)] + [(39, 60), (90, 91)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(150)]
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    root = {k: k for e in edges for k in e}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    assert got == {k: find(k) for e in edges if e[0] != e[1] for k in e}
