@@ -4,7 +4,7 @@ A text is lower-cased and reduced to words (runs of letters and digits). Each oc
 one signature: the anchor and the next ``CHAIN`` content words, anchors between them left out. The fingerprint is the
 set of signatures (40-bit hashes, sorted). Sets are compared by Jaccard; sets whose lengths differ so much that
 the threshold is out of reach are never intersected, and length classes (``length_class``) tell which sets can be
-near at all: those of one class or of the next.
+near at all: those of one class or of the next. ``near_pairs`` compares a whole corpus so, ``compared`` each document with two texts.
 
 Defined cases: a text with words but no complete chain has one signature, of its whole word sequence; a null text and one
 without words have the empty set, which is like another empty set (1) and unlike all others (0); equal texts have equal
@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import columns
+from .shared import columns, hot_join, stored
 
 #: Common function words of English, French, German and Spanish.
 ANCHORS = (
@@ -29,8 +29,8 @@ ANCHORS = (
     "al como con del el ella las lo los más no para pero por sin su sus una y"
 ).split()
 CHAIN, LEAST = 2, 0.8
-#: Text bytes of one bucket of neighbouring documents, and buckets at most (their bounds are literals of the plan).
-BUCKET_BYTES, BUCKETS = 8 << 20, 2048
+#: Text bytes of one bucket of neighbouring documents, and most quantiles of ids (literals of the plan; larger tables cut each cell further).
+BUCKET_BYTES, CELLS = 8 << 20, 2048
 
 _MARK = "\u0001"
 
@@ -91,27 +91,43 @@ def _search(value: Column, bounds: list[int]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1)), start, step)["lo"]
 
 
+def _bucket(docs: DataFrame) -> Column:
+    """The bucket of a doc_id, in order of ids: cells between approximate quantiles, ``CELLS`` at most, each cut in as many equal ranges of ids
+    as keep a bucket near ``BUCKET_BYTES``, however large the table."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
+    cells = min(CELLS, max(1, -(-size // BUCKET_BYTES)))
+    if cells == 1:
+        return F.lit(0).cast("long")
+    parts = -(-size // (cells * BUCKET_BYTES))
+    shares = [k / cells for k in range(cells + 1)]
+    found = docs.agg(F.percentile_approx("doc_id", shares, 100 * cells).alias("p")).first()["p"]
+    if found is None:
+        return F.lit(0).cast("long")
+    bounds = sorted(set(found))
+    cell = _search(F.col("doc_id"), bounds)  # ids of cell k are above bound k - 1 and up to bound k
+    if parts == 1:
+        return F.coalesce(cell.cast("long"), F.lit(0).cast("long"))
+    table = F.array(*[F.lit(b).cast("long") for b in bounds])
+    low, high = F.get(table, F.greatest(cell - 1, F.lit(0))), F.get(table, F.least(cell, F.lit(len(bounds) - 1)))
+    part = F.floor((F.col("doc_id") - low).cast("double") / (high - low + 1).cast("double") * parts)
+    return F.coalesce(cell * F.lit(parts).cast("long") + F.least(F.greatest(part, F.lit(0)), F.lit(parts - 1)), F.lit(0).cast("long"))
+
+
 def with_next(documents: DataFrame) -> DataFrame:
-    """(doc_id, text, sigs, next_text, next_sigs): each document and the next by descending doc_id; after the last comes the first.
+    """(doc_id, text, next_text): each document and the next by descending doc_id; after the last comes the first.
 
-    Buckets of neighbouring ids, cut at approximate quantiles, are sorted each by itself; the first document of the next bucket is added
-    to the end of each, so one shuffle serves all and no task sorts more than a bucket."""
+    Buckets of neighbouring ids are sorted each by itself; the first document of the next bucket is added to the end of each, so one
+    shuffle of the texts serves all and no task sorts more than a bucket. The next bucket is found among one row a bucket."""
     docs = columns(documents, doc_id="long", text="string").withColumn("text", F.coalesce("text", F.lit("")))
-    spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"]
-    wanted = min(BUCKETS, max(1, -(-(size or 0) // BUCKET_BYTES)))
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / wanted for k in range(1, wanted)], 100 * wanted).alias("p")).first()["p"] if wanted > 1 else None
-    bucket = F.coalesce(_search(F.col("doc_id"), sorted(set(cuts or []))), F.lit(0))
-    placed = docs.withColumn("bucket", bucket)
-    heads = placed.groupBy("bucket").agg(F.max("doc_id").alias("head")).orderBy(F.desc("bucket")).collect()  # BUCKETS rows at most
-    follows = [(here["bucket"], there["head"]) for here, there in zip(heads, [*heads[1:], *heads[:1]], strict=True)]
-    tails = spark.createDataFrame(follows, "tail_of int, head long")
-    tails = docs.join(F.broadcast(tails), F.col("doc_id").eqNullSafe(F.col("head"))).select("doc_id", "text", F.col("tail_of").alias("bucket"), F.lit(1).alias("tail"))
+    placed = docs.withColumn("bucket", _bucket(docs))
+    heads = placed.groupBy("bucket").agg(F.max("doc_id").alias("head"))
+    order = Window.orderBy(F.desc("bucket"))  # a row a bucket
+    around = F.coalesce(F.lead(F.struct("head")).over(order), F.first(F.struct("head")).over(order))["head"]
+    tails = heads.select(F.col("bucket").alias("tail_of"), around.alias("head"))
+    tails = docs.join(tails, F.col("doc_id").eqNullSafe(F.col("head"))).select("doc_id", "text", F.col("tail_of").alias("bucket"), F.lit(1).alias("tail"))
     rows = placed.select("doc_id", "text", "bucket", F.lit(0).alias("tail")).unionByName(tails)
-    rows = rows.select("*", signatures(F.col("text")).alias("sigs"))
     order = Window.partitionBy("bucket").orderBy("tail", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
-    following = F.lead(F.struct("text", "sigs")).over(order)
-    return rows.select("*", following.alias("following")).filter("tail = 0").select("doc_id", "text", "sigs", F.col("following.text").alias("next_text"), F.col("following.sigs").alias("next_sigs"))
+    return rows.select("*", F.lead("text").over(order).alias("next_text")).filter("tail = 0").select("doc_id", "text", "next_text")
 
 
 def compared(documents: DataFrame) -> DataFrame:
@@ -120,9 +136,43 @@ def compared(documents: DataFrame) -> DataFrame:
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
-    found = pairs.select("doc_id", n.cast("long").alias("n_chars"), "sigs", "next_sigs", edited.alias("edited"))
+    found = pairs.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), signatures(F.col("text")).alias("sigs"), signatures(F.col("next_text")).alias("next_sigs"))
     found = found.select("doc_id", "n_chars", "sigs", "next_sigs", F.sha2("edited", 256).alias("edited_sha256"), signatures(F.col("edited")).alias("edited_sigs"))
     return found.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("sigs")).alias("fingerprint"), fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
         likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"), likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"), length_class(F.col("sigs")).alias("length_class"),
     )
+
+
+def near_pairs(documents: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
+    """All pairs of different fingerprints in the corpus with a likeness of ``least`` or more, exactly: (a, b, likeness), and the membership
+    (doc_id, rep) of all documents, whose equal fingerprints share a representative.
+
+    1. Equal fingerprints are one set, represented by its smallest doc_id (a partial aggregate: copies cost nothing further).
+    2. Sets are partitioned by length class: two sets as like as that are of one class or of neighbouring ones.
+    3. Within a partition only sets that share one of their rarest signatures meet: of a set of n, the n - ceil(least * n) + 1 rarest over the
+       corpus. A pair meets in the partition of its smaller class, in each signature that both prefixes hold.
+    4. A pair whose lengths alone keep it below ``least`` goes no further; the others are compared by their whole sets.
+
+    Rows grow with the pairs that share a rare signature: a family of m different texts that are all alike makes m * (m - 1) / 2 true pairs."""
+    docs = columns(documents, doc_id="long", text="string").filter("doc_id is not null")
+    signed = docs.select("doc_id", signatures(F.col("text")).alias("sigs")).filter(F.size("sigs") > 0)
+    keyed = stored(signed.select("doc_id", "sigs", F.sha2(fingerprint(F.col("sigs")), 256).alias("digest")), "spots")
+    sets = keyed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sigs").alias("sigs"))
+    members = keyed.select("doc_id", "digest").join(sets.select("digest", "rep"), "digest").select("doc_id", "rep")
+    sets = stored(sets.select("digest", "rep", "sigs", F.size("sigs").alias("n"), length_class(F.col("sigs"), least).alias("class")), "sets")
+    each = sets.select("rep", "n", "class", F.explode("sigs").alias("sig"))
+    counts = each.groupBy("sig").agg(F.count("*").alias("df")).filter("df > 1")
+    ranked = hot_join(each, counts, "sig", "df")
+    alone = F.col("n") - F.col("shared")  # signatures that no other set holds are the rarest, and meet nothing
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1
+    held = ranked.groupBy("rep", "n", "class").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("own"), F.count("*").alias("shared"))
+    rare = held.select("rep", "n", "class", F.explode(F.slice("own", F.lit(1), F.greatest(prefix - alone, F.lit(0)).cast("int"))["sig"]).alias("sig"))
+    here = rare.select("sig", F.col("class").alias("meet"), F.col("rep").alias("a"), F.col("n").alias("n_a"), F.lit(True).alias("own"))
+    there = rare.select("sig", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("meet"), F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("class").alias("class_b"))
+    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    ordered = (F.col("class_b") > F.col("meet")) | (F.col("a") < F.col("b"))
+    met = here.join(there, ["sig", "meet"]).filter(ordered & (small >= large * F.lit(least) - 1e-9)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    whole = met.join(sets.select(F.col("rep").alias("a"), F.col("sigs").alias("sigs_a")), "a").join(sets.select(F.col("rep").alias("b"), F.col("sigs").alias("sigs_b")), "b")
+    found = whole.select("a", "b", likeness(F.col("sigs_a"), F.col("sigs_b"), least).alias("likeness"))
+    return found.filter(F.col("likeness") >= F.lit(least) - 1e-12), members

@@ -235,8 +235,10 @@ def spots(text):
     return out or ({tuple(found)} if found else set())
 
 
-def test_spotsigs_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(spotsigs, "BUCKET_BYTES", 4000)
+@pytest.mark.parametrize("cells", [2048, 3])
+def test_spotsigs_equal_brute_force(spark, monkeypatch, cells):
+    monkeypatch.setattr(spotsigs, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(spotsigs, "CELLS", cells)
     rng = random.Random(5)
     texts = [*ODD, *(prose(rng, rng.randint(1, 60)) for _ in range(60))]
     ids = [3 * i - 20 for i in range(len(texts))]
@@ -260,6 +262,31 @@ def test_spotsigs_single_empty_and_repeated(spark):
     assert spotsigs.compared(frame(spark, ["a b c", "a b c", None], [1, 1, None])).count() == 3
 
 
+def test_spotsigs_corpus_join_equals_brute_force(spark):
+    rng = random.Random(21)
+    texts = [*ODD, *(prose(rng, rng.randint(1, 90)) for _ in range(30))]
+    for _ in range(60):
+        words = texts[rng.randrange(10, 40)].split()
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = rng.choice(["the", "new", "of", f"w{rng.random()}"])
+        texts.append(" ".join(words[rng.randint(0, 3) :]))
+    texts += texts[-9:]
+    for least in (0.8, 0.5):
+        found, members = spotsigs.near_pairs(frame(spark, texts), least)
+        sets = {i: frozenset(spots(t or "")) for i, t in enumerate(texts)}
+        rep = {}
+        for i, x in sets.items():
+            rep.setdefault(x, i)
+        assert {(r["doc_id"], r["rep"]) for r in members.collect()} == {(i, rep[x]) for i, x in sets.items() if x}
+        some = sorted(i for x, i in rep.items() if x)
+        want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in some for b in some if a < b}
+        want = {k: v for k, v in want.items() if v >= least}
+        got = {(r["a"], r["b"]): r["likeness"] for r in found.collect()}
+        assert len(want) > 10 and got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    found, members = spotsigs.near_pairs(frame(spark, []))
+    assert found.count() == members.count() == 0
+
+
 def test_spotsigs_pruning(spark):
     a, b = F.array(*[F.lit(k) for k in range(10)]), F.array(*[F.lit(k) for k in range(5)])
     assert spark.range(1).select(spotsigs.likeness(a, b, 0.8), spotsigs.likeness(a, b)).first()[:] == (None, 0.5)
