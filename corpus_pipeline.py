@@ -8,7 +8,7 @@ Each stage takes (spark, docs, sf_dir) and works on all rows that the stage befo
 4. benchmark decontamination: documents that hold a benchmark item go;
 5. byte-level BPE: token ids of what is left.
 
-All but the last return the columns of ``documents``. SQL can't express them (a fitted model, hashed words, a tokenizer),
+All but the last return the columns of ``documents``, further columns included, whatever their names. SQL can't express them (a fitted model, hashed words, a tokenizer),
 so ``ORACLE_SQL`` is None and the tests compare ``run`` with brute-force versions.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.llm import bpe, decontaminate, langid, minhash, substring
-from tabularium.llm.shared import stored, table
+from tabularium.llm.shared import free, stored, table
 
 #: Of the near-dedup stage: 100 * intersection >= NEAR * union of the sets of 5-word shingles.
 NEAR = 80
@@ -27,7 +27,8 @@ NEAR = 80
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs.filter(~langid.held_out()))
-    return langid.predict(docs, model).filter("not _rejected").select(docs.columns)
+    *_, rejected = free(docs.columns, *langid.ADDED)
+    return langid.predict(docs, model).filter(~F.col(rejected)).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +36,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = substring.deduplicated(docs)
+    left, (_, _, removed, _) = substring.deduplicated(docs), free(docs.columns, *substring.ADDED)
     if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        left = left.withColumn("n_chars", F.when(F.col(removed) > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return left.select(docs.columns)
 
 
@@ -47,9 +48,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    found = bpe.encoded(docs, ranks, public_tokenizers.PATTERN)
-    ids = F.when(F.col("_ids") == "", F.array().cast("array<int>")).otherwise(F.split("_ids", " ").cast("array<int>"))
-    return found.select("doc_id", "lang", F.col("_n_tokens").alias("n_tokens"), ids.alias("ids"), F.col("_ids_sha256").alias("ids_sha256"), F.col("_decoded_sha256").alias("decoded_sha256"))
+    found, (ids, n, sha, back) = bpe.encoded(docs, ranks, public_tokenizers.PATTERN), free(docs.columns, *bpe.ADDED)
+    numbers = F.when(F.col(ids) == "", F.array().cast("array<int>")).otherwise(F.split(ids, " ").cast("array<int>"))
+    return found.select("doc_id", "lang", F.col(n).alias("n_tokens"), numbers.alias("ids"), F.col(sha).alias("ids_sha256"), F.col(back).alias("decoded_sha256"))
 
 
 STAGES = [
