@@ -91,9 +91,12 @@ class KeyPool:
         self.log.append((masked(key), masked(self.states[self.at].key), reason))
 
     def limit(self, key: str, daily: bool = False) -> None:
-        """Rest a key: a minute and some, or until a minute after the next midnight (UTC), a day at least."""
+        """Rest a key: a minute and some, or until a minute after the next midnight (UTC), a day at least. A key that rests already
+        isn't limited again: two calls that hit one limit rotate once."""
         with self.lock:
             state, now = next(s for s in self.states if s.key == key), self.clock()
+            if state.until > now:
+                return
             rest = max(DAY, DAY - now % DAY + AFTER_MIDNIGHT) if daily else MINUTE_COOLDOWN
             state.until, state.daily = now + rest, daily
             self._rotate(key, "daily" if daily else "minute")

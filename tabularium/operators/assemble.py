@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,12 +11,18 @@ from ..functions import vocab
 
 
 def keep_last(rows: DataFrame, key: str = "article_id", order: str = "ordinal") -> DataFrame:
-    """The last row of each key, in the place of its first: one partial aggregate, no window over hot keys."""
+    """The last row of each key, of several last ones the greatest, in the place of its first: one partial aggregate, no window over hot keys."""
     others = F.struct(*[c for c in rows.columns if c not in (key, order)])
-    out = rows.groupBy(key).agg(F.max_by(others, F.col(order)).alias("_r"), F.min(order).alias(order), F.count("*").alias("copies"))
+    out = rows.groupBy(key).agg(F.max_by(others, F.struct(order, others)).alias("_r"), F.min(order).alias(order), F.count("*").alias("copies"))
     return out.select(key, "_r.*", order, "copies")
 
 
+def one_of_each(rows: DataFrame, key: str, *first: str) -> DataFrame:
+    """One row of each key: the greatest by the columns ``first``, then by all others. Whatever the order of rows, the same one."""
+    names = [*first, *[c for c in rows.columns if c not in (key, *first)]]
+    return rows.groupBy(key).agg(F.max(F.struct(*names)).alias("_r")).select(*[F.col(key) if c == key else F.col(f"_r.{c}") for c in rows.columns])
+
+
 def flagged(rows: DataFrame, registry: DataFrame) -> DataFrame:
     """``is_repealed`` from the registry's numbers, whatever the type; ``newly_flagged`` where the row didn't say so."""
     out = rows.join(registry.select("law_id", "repealed_articles"), "law_id", "left")
@@ -24,8 +32,22 @@ def flagged(rows: DataFrame, registry: DataFrame) -> DataFrame:
 
 def ordered(rows: DataFrame) -> DataFrame:
     """``release_rank`` in a law: main before issuance, then by number (none counts as 0), then as before."""
-    by = Window.partitionBy("law_id").orderBy((F.col("article_type") == "issuance").cast("int"), F.coalesce("article_number", F.lit(0)), "ordinal")
-    return rows.withColumn("release_rank", F.row_number().over(by))
+    late, number = (F.col("article_type") == "issuance").cast("int"), F.coalesce("article_number", F.lit(0))
+    return ranked(rows.withColumns({"_late": late, "_number": number}), "release_rank", "law_id", "_late", "_number", "ordinal", "article_id").drop("_late", "_number")
+
+
+def ranked(rows: DataFrame, name: str, group: str, *order: str) -> DataFrame:
+    """``rows`` with their rank, from 1, in a group. Only the group and the order are sorted; rows that agree in all of them get ranks of their own too."""
+    keys = rows.groupBy(group, *order).agg(F.count("*").alias("_copies"))
+    by = Window.partitionBy(group).orderBy(*order)
+    keys = keys.withColumn("_before", F.sum("_copies").over(by.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_copies"))
+    keys = keys.select(*[F.col(c).alias(f"_{k}") for k, c in enumerate((group, *order))], "_before", "_copies")
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{k}")) for k, c in enumerate((group, *order))])
+    found = rows.join(keys, match).select(*rows.columns, "_before", "_copies")
+    once = found.filter("_copies = 1").withColumn(name, (F.col("_before") + 1).cast("int"))
+    within = Window.partitionBy(group, *order).orderBy(F.lit(1))
+    again = found.filter("_copies > 1").withColumn(name, (F.col("_before") + F.row_number().over(within)).cast("int"))
+    return once.unionByName(again).drop("_before", "_copies")
 
 
 def with_provenance(rows: DataFrame, registry: DataFrame, confidence: DataFrame) -> DataFrame:

@@ -12,14 +12,14 @@ COUNTERS = ["presentation_forms_normalized", "nfc_changed", "tatweel_removed", "
 
 def clean(raw: DataFrame, text: str = "raw_text") -> DataFrame:
     """Each step's result becomes the next step's input; a counter is what the step changed or removed."""
-    step = raw.withColumn("_0", F.coalesce(F.col(text), F.lit(""))).withColumns({"_2": T.composed("_0"), "_forms": T.forms_changed("_0"), "_nfc": T.nfc_changed("_0")})
+    step = raw.withColumn("_0", F.coalesce(F.col(text), F.lit(""))).withColumn("_u", T.composed(F.col("_0"))).withColumn("_2", F.coalesce("_u.text", "_0"))
     step = step.withColumn("_3", F.regexp_replace("_2", T.TATWEEL, "")).withColumn("_4", F.regexp_replace("_3", T.DIACRITICS, ""))
     step = step.withColumn("_6", F.translate("_4", "أإآٱى", "ااااي")).withColumn("_7", F.regexp_replace("_6", T.CONTROL, ""))
     step = step.withColumn("_8", F.regexp_replace("_7", T.BLANKS, " ")).withColumn("_9", F.regexp_replace("_8", T.NEWLINES, "\n\n")).withColumn("text", T.utrim(F.col("_9")))
     n = F.length
     return step.select(
         *[x for x in raw.columns if x != text], "text", n("_0").alias("chars_before"), n("text").alias("chars_after"), (n("_0") - n("text")).alias("chars_removed"),
-        F.col("_forms").alias("presentation_forms_normalized"), F.col("_nfc").alias("nfc_changed"), (n("_2") - n("_3")).alias("tatweel_removed"), (n("_3") - n("_4")).alias("diacritics_removed"),
+        F.coalesce("_u.forms", F.lit(0)).alias("presentation_forms_normalized"), F.coalesce("_u.nfc", F.lit(0)).alias("nfc_changed"), (n("_2") - n("_3")).alias("tatweel_removed"), (n("_3") - n("_4")).alias("diacritics_removed"),
         T.count_of(F.col("_4"), "[أإآٱ]").alias("hamza_normalised"), T.count_of(F.col("_4"), "ى").alias("yeh_normalised"),
         (n("_6") - n("_7")).alias("control_removed"), (n("_7") - n("_8")).alias("spaces_collapsed"), (n("_8") - n("_9")).alias("newlines_collapsed"),
     )

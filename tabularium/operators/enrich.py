@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from ..functions import text as T
 from ..functions import vocab
 from ..sources.stages import stored
+from .assemble import ranked
 
 METADATA = "article_id string, topic string, keywords array<string>, article_summary string, article_category string, legal_entities array<string>, concepts array<string>, applicable_to array<string>"
 
@@ -32,8 +33,8 @@ def work_list(found: DataFrame, cache: DataFrame, force: bool = False) -> DataFr
 
 def batched(work: DataFrame, size: int = vocab.BATCH_SIZE) -> DataFrame:
     """Work with ``batch``: consecutive articles of a law, ``size`` each."""
-    at = F.row_number().over(Window.partitionBy("law_id").orderBy("sequence_index")) - 1
-    return work.withColumn("batch", F.floor(at / size).cast("long"))
+    at = ranked(work, "_at", "law_id", "sequence_index", "article_id")
+    return at.withColumn("batch", F.floor((F.col("_at") - 1) / size).cast("long")).drop("_at")
 
 
 def halves(failed: DataFrame) -> DataFrame:
@@ -119,11 +120,13 @@ def cascade(work: DataFrame, laws: DataFrame, client: Callable = stub_client, si
     parts = halves(left.join(broken, ["law_id", "batch"], "left_semi"))
     second = stored(called(prompts(parts.withColumn("batch", F.col("batch") * 1_000_000 + F.col("part")), laws), client), "replies")
     got = got.unionByName(parsed(second, concepts))
-    third = stored(called(single_prompts(batches.join(got.select("article_id"), "article_id", "left_anti")), client), "replies")
+    rest = batches.join(got.select("article_id"), "article_id", "left_anti")
+    third = stored(called(single_prompts(rest), client), "replies")
     alone = parsed(third, concepts)
     done = got.unionByName(alone).withColumns({"enrichment_model": F.lit(model), "enrichment_status": F.lit("completed"), "enrichment_error": F.lit(None).cast("string")})
-    asked = third.select("law_id", F.col("batch").alias("sequence_index"), "error").join(work.select("law_id", "article_id", F.col("sequence_index").cast("long").alias("sequence_index")), ["law_id", "sequence_index"])
-    lost = asked.join(alone.select("article_id"), "article_id", "left_anti")
+    # The id is in the prompt, so that equal places in a law can't be mixed up.
+    asked = third.select(F.regexp_extract("prompt", '^<article id="([^"]*)"', 1).alias("article_id"), "error")
+    lost = asked.join(alone.select("article_id"), "article_id", "left_anti").groupBy("article_id").agg(F.max("error").alias("error"))
     # An answer that can't be read leaves an error without the state; a call that failed is marked failed.
     status = F.when(F.col("error").isNull(), F.lit("")).otherwise(F.lit("failed"))
     empty = F.array().cast("array<string>")

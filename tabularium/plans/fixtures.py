@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vocab
+from ..operators.assemble import ranked
 
 LATIN, ARABIC = "abcdefghijklmnopqrstuvwxyzéèêçóñ", "أبتثجحخدإرزسشصضطظعغفقكلىئهَـٌّآو"
 
@@ -56,8 +57,7 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cheap article table: a source is a law, a document an article; numbers and ids repeat now and then."""
-    table(spark, sf_dir, "documents").createOrReplaceTempView("_documents")
-    rows = spark.sql("select *, cast(row_number() over (partition by source order by doc_id) as int) rn from _documents")
+    rows = ranked(table(spark, sf_dir, "documents"), "rn", "source", "doc_id")
     words = F.size(F.filter(F.split("text", r"\s+"), lambda w: w != ""))
     return rows.select(
         "doc_id", F.col("source").alias("law_id"), F.expr("concat(source, '_', lpad(cast(if(doc_id % 50 = 3 and rn > 1, rn - 1, rn) as string), 6, '0'))").alias("article_id"), F.expr("if(doc_id % 20 = 7 and rn > 1, rn - 1, rn)").alias("article_number"),
@@ -84,7 +84,11 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles(spark, sf_dir).join(metadata(spark, sf_dir), "doc_id")
+    """All articles; those without metadata were never attempted."""
+    known = metadata(spark, sf_dir).withColumn("_known", F.lit(True))
+    out = articles(spark, sf_dir).join(known, "doc_id", "left")
+    none = F.when(F.col("_known").isNull(), F.lit("not_reached")).otherwise(F.col("enrichment_error"))
+    return out.withColumn("enrichment_error", none).drop("_known")
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

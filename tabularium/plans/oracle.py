@@ -88,12 +88,13 @@ CTES: dict[str, str] = {
     "laws": "select source law_id, count(*) n, case when length(source) % 2 = 0 then source end txt_filename from documents group by source",
     "metadata": f"""select doc_id, case when doc_id % 11 = 0 then '  ' else text[:100] end topic, case when doc_id % 13 = 0 then [] else string_split(text, ' ')[1:3] end keywords, text[:50] article_summary, {_CAT}[doc_id % 10 + 1] article_category, ['x'] legal_entities,
       case when toxic = 1 then 'failed call' end enrichment_error, case doc_id % 3 when 0 then 'completed' when 1 then 'failed' else '' end enrichment_status, case doc_id % 4 when 0 then null when 1 then 'm1' else 'm2' end enrichment_model from documents join labels using (doc_id)""",
-    "enriched": "select a.*, m.* exclude (doc_id) from articles a join metadata m using (doc_id)",
+    "enriched": "select a.*, m.* exclude (doc_id) replace (case when m.doc_id is null then 'not_reached' else m.enrichment_error end as enrichment_error) from articles a left join metadata m on a.doc_id = m.doc_id",
+    "attempted": "select * from enriched where coalesce(enrichment_error, '') <> 'not_reached'",
     "trusted": "select * from enriched where enrichment_status = 'completed' or (coalesce(enrichment_status, '') = '' and coalesce(enrichment_model, '') <> '' and coalesce(enrichment_error, '') = '')",
     "merged": """select a.doc_id, a.law_id, a.article_id, case when f.article_id is not null then 'fresh' when c.article_id is not null then 'cache' else 'none' end metadata_source, case when f.article_id is not null then f.topic when c.article_id is not null then c.topic else '' end topic,
       case when f.article_id is not null then f.article_category when c.article_id is not null then c.article_category else '' end article_category, case when f.article_id is not null then f.enrichment_error when c.article_id is not null then c.enrichment_error else 'not_reached' end enrichment_error
-      from articles a left join (select * from enriched where doc_id % 5 = 1 qualify row_number() over (partition by article_id order by doc_id desc) = 1) f using (article_id)
-      left join (select * from (select * from enriched qualify row_number() over (partition by article_id order by doc_id desc) = 1) where enrichment_status = 'completed' or (coalesce(enrichment_status, '') = '' and coalesce(enrichment_model, '') <> '' and coalesce(enrichment_error, '') = '')) c using (article_id)""",
+      from articles a left join (select * from attempted where doc_id % 5 = 1 qualify row_number() over (partition by article_id order by doc_id desc) = 1) f using (article_id)
+      left join (select * from (select * from attempted qualify row_number() over (partition by article_id order by doc_id desc) = 1) where enrichment_status = 'completed' or (coalesce(enrichment_status, '') = '' and coalesce(enrichment_model, '') <> '' and coalesce(enrichment_error, '') = '')) c using (article_id)""",
     "corpus_found": f"""select law_id, article_id, unnest(case when coalesce(enrichment_error, '') <> '' then [{{'code': 'V003', 'field': 'enrichment_error', 'severity': 'error'}}] else list_filter([
       case when trim(coalesce(topic, '')) = '' then {{'code': 'V001', 'field': 'topic', 'severity': 'error'}} end, case when trim(coalesce(article_summary, '')) = '' then {{'code': 'V001', 'field': 'article_summary', 'severity': 'error'}} end,
       case when trim(coalesce(article_category, '')) = '' then {{'code': 'V001', 'field': 'article_category', 'severity': 'error'}} end, case when len(keywords) = 0 then {{'code': 'V005', 'field': 'keywords', 'severity': 'warning'}} end,
@@ -160,7 +161,7 @@ _ARTICLE_CHUNKS = "select doc_id::varchar id, law_id, text from articles"
 _MEAN = "case when {1} > 0 then round({0} / {1}::double, 1) else 0.0::double end"
 
 _SELECTS: dict[str, str | tuple[str, str]] = {
-    "cleanup_audit": "select law_id, length(raw_text)::bigint chars_before, length(text)::bigint chars_after, (length(raw_text) - length(text))::bigint chars_removed, 0::bigint presentation_forms_normalized, (length(raw_text) - length(t3))::bigint tatweel_removed, (length(t3) - length(t4))::bigint diacritics_removed, (length(t4) - length(regexp_replace(t4, '[أإآٱ]', '', 'g')))::bigint hamza_normalised, (length(t4) - length(replace(t4, 'ى', '')))::bigint yeh_normalised, (length(t6) - length(t7))::bigint control_removed, (length(t7) - length(t8))::bigint spaces_collapsed, (length(t8) - length(t9))::bigint newlines_collapsed from clean",
+    "cleanup_audit": "select law_id, length(raw_text)::bigint chars_before, length(text)::bigint chars_after, (length(raw_text) - length(text))::bigint chars_removed, 0::bigint presentation_forms_normalized, (abs(length(raw_text) - length(nfc_normalize(raw_text))) + len(list_filter(list_zip(regexp_extract_all(raw_text, '(?s).'), regexp_extract_all(nfc_normalize(raw_text), '(?s).'), true), lambda x: x[1] <> x[2])))::bigint nfc_changed, (length(raw_text) - length(t3))::bigint tatweel_removed, (length(t3) - length(t4))::bigint diacritics_removed, (length(t4) - length(regexp_replace(t4, '[أإآٱ]', '', 'g')))::bigint hamza_normalised, (length(t4) - length(replace(t4, 'ى', '')))::bigint yeh_normalised, (length(t6) - length(t7))::bigint control_removed, (length(t7) - length(t8))::bigint spaces_collapsed, (length(t8) - length(t9))::bigint newlines_collapsed from clean",
     "clean_text_hash": "select law_id, md5(text) text_md5 from clean",
     "normalize_text": rf"select law_id, md5({_TRIM.format(rf'''regexp_replace(regexp_replace(regexp_replace(translate(t4, 'أإآٱىئ', 'اااايي'), '{_CONTROL}', '', 'g'), '[ \t\r\f]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')''')}) text_md5 from c2",
     "char_density": f"select law_id, round((length(raw_text) - length(regexp_replace(raw_text, '{_ARABIC}', '', 'g'))) / length(raw_text)::double, 6) arabic, round((length(raw_text) - length(replace(raw_text, chr(65533), ''))) / length(raw_text)::double, 6) replacement from corpus_raw",
@@ -191,13 +192,13 @@ _SELECTS: dict[str, str | tuple[str, str]] = {
     "chunks_semantic_fallback": rf"select doc_id::varchar article_id, case when m then 'semantic' else 'rule_based' end chunk_method, case when m then k else 0 end semantic_chunks from (select doc_id, doc_id % 4 = 3 and {_WC.format('text')} > 250 m, (case when {_TRIM.format('''substring(text, 1, length(text) // 2)''')} <> '' then 1 else 0 end + case when {_TRIM.format('''substring(text, length(text) // 2 + 1)''')} <> '' then 1 else 0 end)::bigint k from documents)",
     "enrich_worklist": "select article_id, doc_id from articles where article_id not in (select article_id from trusted)",
     "enrich_batches": rf"""select law_id, batch, count(*) count, length(p)::bigint prompt_chars, md5(p) prompt_md5 from (select law_id, batch, count(*) c, '<articles law="' || law_id || '" count="' || count(*) || '">' || chr(10) || string_agg('  <article id="' || article_id || '" type="' || article_type || '" words="' || word_count || '">' || chr(10) || {_TRIM.format('text')} || chr(10) || '  </article>', chr(10) order by sequence_index) || chr(10) || '</articles>' p from (select *, (row_number() over (partition by law_id order by sequence_index) - 1) // 150 batch from articles) group by law_id, batch) group by all""".replace("count(*) count, length", "any_value(c) count, length").replace(" group by all", " group by law_id, batch, p"),
-    "enrich_subbatches": "select law_id, batch, part, count(*) n, min(doc_id) first_doc from (select *, (row_number() over (partition by law_id, batch order by sequence_index) - 1) // greatest(2, count(*) over (partition by law_id, batch) // 2) part, count(*) over (partition by law_id, batch) c from (select *, (row_number() over (partition by law_id order by sequence_index) - 1) // 150 batch from articles) where doc_id % 3 = 0) where c > 1 group by law_id, batch, part",
+    "enrich_subbatches": "select law_id, batch, part, count(*) n, min(doc_id) first_doc from (select *, (row_number() over (partition by law_id, batch order by sequence_index) - 1) // greatest(2, count(*) over (partition by law_id, batch) // 2) part, count(*) over (partition by law_id, batch) c from (select *, (row_number() over (partition by law_id order by sequence_index) - 1) // 150 batch from articles) where batch % 3 = 0) where c > 1 group by law_id, batch, part",
     "metadata_coercion": "select doc_id::varchar article_id, topic, array_to_string(list_transform(keywords, lambda k: k[:80]), '|') keywords, article_summary, case when article_category = 'غير' then 'أخرى' else article_category end article_category, case when doc_id % 4 = 0 then 'consent' else 'consent|void_contract' end concepts, 'civil|digital' applicable_to from metadata where doc_id % 17 <> 0",
     "enriched_merge": "select doc_id, article_id, metadata_source, topic, article_category, enrichment_error from merged",
     "enrichment_report": "select law_id, count(*) total_articles, count(*) filter (where metadata_source = 'fresh' and coalesce(enrichment_error, '') = '') enriched, count(*) filter (where metadata_source = 'cache') skipped_cache, count(*) filter (where metadata_source = 'fresh' and coalesce(enrichment_error, '') <> '') failed from merged group by law_id",
     "enrichment_replies": "select article_id, count(*) n, 'أخرى' article_category from articles group by article_id",
-    "review_articles": ("select e.article_id, e.law_id, article_number, article_number_raw, article_type, article_category, topic, array_to_string(keywords, ' | ') keywords, 'x' legal_entities, article_summary, is_repealed, e.word_count, e.char_count, coalesce(c.n, 0) chunk_count, coalesce(enrichment_error, '') enrichment_error, '' review_status, '' review_notes, md5(e.text) \"text\" from enriched e left join (select article_id, count(*) n from chunks join enriched on id = doc_id::varchar group by article_id) c using (article_id)", _ENRICHED_CHUNKS),
-    "review_chunks": ("select article_id || '_C' || lpad((chunk_index + 1)::varchar, 3, '0') chunk_id, article_id, chunk_index, count(*) over (partition by id) chunk_total, array_to_string(keywords, ' | ') keywords, 'x' legal_entities, article_category, '' review_status, md5(c.text) text_md5 from chunks c join enriched e on id = doc_id::varchar", _ENRICHED_CHUNKS),
+    "review_articles": ("select e.article_id, e.law_id, article_number, article_number_raw, article_type, article_category, topic, coalesce(array_to_string(keywords, ' | '), '') keywords, coalesce(array_to_string(legal_entities, ' | '), '') legal_entities, article_summary, is_repealed, e.word_count, e.char_count, coalesce(c.n, 0) chunk_count, coalesce(enrichment_error, '') enrichment_error, '' review_status, '' review_notes, md5(e.text) \"text\" from enriched e left join (select article_id, count(*) n from chunks join enriched on id = doc_id::varchar group by article_id) c using (article_id)", _ENRICHED_CHUNKS),
+    "review_chunks": ("select article_id || '_C' || lpad((chunk_index + 1)::varchar, 3, '0') chunk_id, article_id, chunk_index, count(*) over (partition by id) chunk_total, coalesce(array_to_string(keywords, ' | '), '') keywords, coalesce(array_to_string(legal_entities, ' | '), '') legal_entities, article_category, '' review_status, md5(c.text) text_md5 from chunks c join enriched e on id = doc_id::varchar", _ENRICHED_CHUNKS),
     "review_stats": ("select e.law_id, count(*) total_articles, count(*) filter (where article_type = 'issuance') issuance_articles, count(*) filter (where article_type <> 'issuance') main_articles, count(*) filter (where coalesce(enrichment_error, '') <> '') enrichment_errors, sum(coalesce(c.n, 0))::bigint total_chunks, count(*) filter (where c.n > 1) multi_chunk_articles, count(*) filter (where coalesce(c.n, 0) <= 1) single_chunk_articles from enriched e left join (select article_id, count(*) n from chunks join enriched on id = doc_id::varchar group by article_id) c using (article_id) group by e.law_id", _ENRICHED_CHUNKS),
     "corpus_issues": "select law_id, article_id, code, field, severity from corpus_found",
     "issue_summary": "select code, count(*) n, count(*) filter (where severity = 'error') errors, count(*) filter (where severity = 'warning') warnings from corpus_found group by code",
@@ -213,6 +214,7 @@ _SELECTS: dict[str, str | tuple[str, str]] = {
     "batch_summary": "select law_id, sum(case when ok then a else 0 end)::bigint articles, sum(case when ok then c else 0 end)::bigint chunks, floor(sum(cost) * 10000 + 0.5000001::double) / 10000 cost_usd, count(*) filter (where ok) ok, count(*) laws from (select law_id, count(*) a, sum(image_pages) c, sum(cost) cost, law_id::bigint % 11 <> 0 and law_id::bigint % 7 <> 0 and law_id::bigint % 5 <> 0 and law_id::bigint % 3 <> 0 ok from ledger group by law_id) group by rollup (law_id)",
     "upsert_merge": "select doc_id, law_id, char_count, case when doc_id % 2 = 0 then 2 else 1 end::bigint as version from articles where doc_id % 2 = 0 or doc_id % 3 <> 0",
     "unique_violations": "select law_id, article_number, count(*) n from articles group by all having count(*) > 1",
+    "unicode_composition": "select doc_id, length(c)::bigint chars, md5(c) text_md5, c <> t changed from (select doc_id, t, nfc_normalize(t) c from (select doc_id, coalesce(case doc_id % 3 when 0 then replace(text, 'e', 'e' || chr(769)) when 1 then replace(text, 'a', chr(1575) || chr(1619) || chr(1617) || chr(1614)) else text end, '') t from documents))",
     "page_ranges": "select page_id, page_id % 9 = 0 or (n >= 10 and (c % 20000) / n::double < 150) truncated, s::bigint start, least(s + 15, n)::bigint stop from (select page_id, length(html) c, length(html) // 300 n, unnest(range(0, length(html) // 300, 15)) s from pages)",
     "error_classify": "select ['daily_quota', 'rate_limit', 'invalid_key', 'rate_limit', 'transient', 'other'][event_id % 6 + 1] class, count(*) n from events group by all",
     "source_resolution": "select law_id, coalesce(txt_filename, pdf_filename) source, doc_id % 6 <> 1 there, case when txt_filename is not null then 'a|' || law_id else pdf_filename end keys, case when txt_filename is not null then '****a|****' || right(law_id, 3) else '****pdf' end masked from registry",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markers, text, vocab
 from ..operators import assemble, chunk, cleanup, confidence, corpus_checks, enrich, refs, release, review, split, split_checks
+from ..sources import readers
 from ..sources.stages import stored
 from . import fixtures as X
 
@@ -46,7 +47,7 @@ def split_once(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
 
 @query
 def cleanup_audit(s, d):
-    return cleaned(s, d).select("law_id", "chars_before", "chars_after", "chars_removed", *[c for c in cleanup.COUNTERS if c != "nfc_changed"])
+    return cleaned(s, d).select("law_id", "chars_before", "chars_after", "chars_removed", *cleanup.COUNTERS)
 
 
 @query
@@ -94,6 +95,15 @@ def presentation_forms_route(s, d):
     return rows.select("doc_id", F.round(share, 6).alias("share"), (share >= 0.01).alias("folded"), (b >= 0.01).alias("folded_early"))
 
 
+@query
+def unicode_composition(s, d):
+    """Letters taken apart, presentation forms and plain texts, composed."""
+    apart = F.when(F.expr("doc_id % 3 = 0"), F.replace("text", F.lit("e"), F.lit("e\u0301"))).when(F.expr("doc_id % 3 = 1"), F.replace("text", F.lit("a"), F.lit("\u0627\u0653\u0651\u064e"))).otherwise(F.col("text"))
+    rows = X.table(s, d, "documents").select("doc_id", F.coalesce(apart, F.lit("")).alias("t"))
+    done = rows.withColumn("c", text.nfc(F.col("t")))
+    return done.select("doc_id", F.length("c").alias("chars"), F.md5("c").alias("text_md5"), (F.col("c") != F.col("t")).alias("changed"))
+
+
 @query
 def articles_split(s, d):
     return found(s, d).select("article_id", "law_id", "article_number", "article_number_raw", "article_type", F.md5("text").alias("text_md5"), "is_repealed", "sequence_index", "marker_kind", "word_count", "char_count")
@@ -235,7 +245,7 @@ def enrich_batches(s, d):
 
 @query
 def enrich_subbatches(s, d):
-    failed = enrich.batched(X.articles(s, d)).filter("doc_id % 3 = 0")
+    failed = enrich.batched(X.articles(s, d)).filter("batch % 3 = 0")  # every third batch failed
     return enrich.halves(failed).groupBy("law_id", "batch", "part").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
 
 
@@ -250,8 +260,8 @@ def metadata_coercion(s, d):
 
 
 def _merged(s: SparkSession, d: str) -> DataFrame:
-    cache = X.enriched(s, d)
-    fresh = cache.filter("doc_id % 5 = 1")
+    cache = X.enriched(s, d).filter("coalesce(enrichment_error, '') <> 'not_reached'")
+    fresh = cache.filter("doc_id % 5 = 1")  # what a run has just asked for
     one = lambda df: df.groupBy("article_id").agg(F.max_by(F.struct("topic", "article_category", "enrichment_model", "enrichment_status", "enrichment_error"), "doc_id").alias("m")).select("article_id", "m.*")
     return enrich.merged(X.articles(s, d).select("doc_id", "law_id", "article_id"), one(fresh), one(cache))
 
@@ -381,8 +391,8 @@ def unique_violations(s, d):
 def page_ranges(s, d):
     pages = X.table(s, d, "pages").select("page_id", F.expr("cast(length(html) / 300 as int)").alias("n"), F.length("html").alias("chars"))
     cut = text.looks_truncated(F.col("chars") % 20000, F.col("n"), F.when(F.expr("page_id % 9 = 0"), "MAX_TOKENS").otherwise("STOP"))
-    rows = pages.filter("n > 0").select("page_id", "n", cut.alias("truncated"), F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(vocab.OCR_PAGES))).alias("start"))
-    return rows.select("page_id", "truncated", "start", F.least(F.col("start") + vocab.OCR_PAGES, F.col("n")).alias("stop"))
+    ranges = readers.page_ranges(pages.select(F.col("page_id").alias("name"), F.col("n").alias("page_count")))
+    return ranges.join(pages.select(F.col("page_id").alias("name"), cut.alias("truncated")), "name").withColumnRenamed("name", "page_id")
 
 
 @query
@@ -395,6 +405,6 @@ def error_classify(s, d):
 @query
 def source_resolution(s, d):
     reg = X.registry(s, d)
-    there = reg.filter(F.expr("cast(substring(law_id, 2) as int) % 6 <> 1")).select("law_id").withColumn("there", F.lit(True))
+    there = reg.filter(F.expr("cast(substring(law_id, 2) as int) % 6 <> 1")).select(readers.source_name().alias("name"))
     keys = text.key_list(F.when(F.col("txt_filename").isNotNull(), F.concat(F.lit(" a, ,"), F.col("law_id"))), F.col("pdf_filename"))
-    return reg.join(there, "law_id", "left").select("law_id", F.coalesce("txt_filename", "pdf_filename").alias("source"), F.coalesce("there", F.lit(False)).alias("there"), F.array_join(keys, "|").alias("keys"), F.array_join(F.transform(keys, text.mask_key), "|").alias("masked"))
+    return readers.with_sources(reg, there).select("law_id", "source", F.col("source_exists").alias("there"), F.array_join(keys, "|").alias("keys"), F.array_join(F.transform(keys, text.mask_key), "|").alias("masked"))

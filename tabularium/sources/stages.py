@@ -13,6 +13,8 @@ LOCAL_SHARED = "/tmp/checkpoints/tabularium"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, from ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("a cluster needs spark.checkpoint.dir, a folder that driver and executors share")
     return (named or LOCAL_SHARED).rstrip("/")
 
 
@@ -21,8 +23,16 @@ def run_dir(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/tabularium/{tag}-{uuid.uuid4().hex}"
 
 
+def temporary(spark: SparkSession, path: str) -> None:
+    """Have a folder removed when the application ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here and survives lost executors."""
+    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here and survives lost executors. The table goes when the
+    application ends."""
     path = run_dir(df.sparkSession, tag)
     df.write.parquet(path)
+    temporary(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

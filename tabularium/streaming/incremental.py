@@ -24,7 +24,7 @@ def merged_into(found: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Each batch is upserted by article id; a batch that runs again writes the same rows."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        sinks.upsert(batch.dropDuplicates(["article_id"]), path, "article_id")
+        sinks.upsert(batch, path, "article_id")
 
     return found.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -150,11 +150,55 @@ def test_sinks(spark, tmp_path):
     table = str(tmp_path / "table")
     sinks.upsert(rows, table, "text")
     sinks.upsert(rows.limit(1).withColumn("n", F.lit(9)), table, "text")
-    assert sorted(r["n"] for r in spark.read.parquet(sinks.current(spark, table)).collect()) == [1, 2, 9]
+    assert sorted(r["n"] for r in sinks.current(spark, table, "text").collect()) == [1, 2, 9]
     sent = sinks.upsert_service(rows, lambda: len, "text", batch=2)
     assert sent.agg(F.sum("written")).first()[0] == 3
 
 
+def test_upsert_outlives_broken_and_repeated_batches(spark, tmp_path):
+    table = str(tmp_path / "t")
+    rows = lambda ids, n: spark.createDataFrame([(i, n) for i in ids], "id int, n int")
+    read = lambda: {r["id"]: r["n"] for r in sinks.current(spark, table, "id").collect()}
+    assert sinks.current(spark, table, "id") is None
+    sinks.upsert(rows(range(10), 0), table, "id")
+    broken = tmp_path / "t" / "v=1"  # a write that broke off: one file and no mark
+    rows([1], 5).coalesce(1).write.parquet(str(broken))
+    (broken / "_SUCCESS").unlink()
+    assert read() == dict.fromkeys(range(10), 0)
+    sinks.upsert(rows([10], 1), table, "id")
+    sinks.upsert(rows([10], 1), table, "id")  # the same batch again
+    sinks.upsert(spark.createDataFrame([(3, 7), (3, 8), (3, 6)], "id int, n int"), table, "id")
+    assert read() == {**dict.fromkeys(range(10), 0), 10: 1, 3: 8}
+    want = read()
+    for k in range(2 * sinks.MERGED_AT):
+        sinks.upsert(rows([100 + k], k), table, "id")
+        want[100 + k] = k
+    assert read() == want and len(list((tmp_path / "t").glob("*"))) < 3 * sinks.MERGED_AT
+    assert any(p.name.startswith("base=") for p in (tmp_path / "t").glob("*")) and not (tmp_path / "t" / "v=0").exists()
+
+
+def test_arrays_of_large_laws_are_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ARRAY_ROWS", 2)
+    with pytest.raises(ValueError):
+        sinks.json_arrays(spark.createDataFrame([("A", k) for k in range(3)], "law_id string, n int"), str(tmp_path / "a"), "n")
+
+
+def test_a_resting_key_is_limited_once():
+    p, clock = pool("k1", "k2")
+    p.limit("k1")
+    until, log = p.states[0].until, list(p.log)
+    clock.now += 1
+    p.limit("k1")
+    p.limit("k1", daily=True)
+    assert (p.states[0].until, p.log, p.states[0].failures) == (until, log, 1)
+
+
+def test_ranks_sort_ids_only(spark):
+    rows = spark.createDataFrame([("A", 3, "x"), ("A", 1, "y"), ("A", 1, "y"), ("A", None, "z"), (None, 2, "w"), ("B", 5, "v")], "law_id string, n int, text string")
+    got = sorted((r["law_id"] or "", r["r"], r["text"]) for r in assemble.ranked(rows, "r", "law_id", "n").collect())
+    assert got == [("", 1, "w"), ("A", 1, "z"), ("A", 2, "y"), ("A", 3, "y"), ("A", 4, "x"), ("B", 1, "v")]
+
+
 def test_enrichment_flow(spark):
     found = spark.createDataFrame([("L", f"a{i}", i, "main", f"نص المادة {i}") for i in range(7)], "law_id string, article_id string, sequence_index int, article_type string, text string")
     cache = spark.createDataFrame([("a0", "completed", "m", None), ("a1", "", "m", ""), ("a2", "", None, None), ("a3", "failed", "m", "x")], "article_id string, enrichment_status string, enrichment_model string, enrichment_error string")
@@ -220,5 +264,5 @@ def test_stream_cleans_splits_and_merges(spark, tmp_path):
         query = incremental.merged_into(incremental.article_stream(incremental.raw_stream(spark, raw)), table, cp)
         query.awaitTermination()
         assert query.exception() is None and k >= 0
-    rows = {r["article_id"]: r["text"] for r in spark.read.parquet(sinks.current(spark, table)).collect()}
+    rows = {r["article_id"]: r["text"] for r in sinks.current(spark, table, "article_id").collect()}
     assert rows == {"L_001": "جديد", "L_002": "نص"}
