@@ -101,13 +101,13 @@ class Model:
 
     def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Calibrated probabilities of all languages, which texts have letters, and the familiarity of each in its likeliest language."""
-        total, n = np.zeros((len(texts), max(1, len(self.langs)))), np.zeros(len(texts))
-        near = np.zeros_like(total)
+        k, both, n = max(1, len(self.langs)), np.hstack([self.table, self.familiar]).astype(np.float64), np.zeros(len(texts))
+        sums = np.zeros((len(texts), 2 * k))
         for i, b in subwords(texts):
             if len(b) and self.langs:
-                total[i] += np.bincount(b, minlength=BUCKETS) @ self.table if len(b) > BUCKETS else self.table[b].sum(axis=0, dtype=np.float64)
-                near[i] += np.bincount(b, minlength=BUCKETS) @ self.familiar if len(b) > BUCKETS else self.familiar[b].sum(axis=0, dtype=np.float64)
+                sums[i] += np.bincount(b, minlength=BUCKETS) @ both if len(b) > BUCKETS else np.ones(len(b)) @ both[b]
             n[i] += len(b)
+        total, near = sums[:, :k], sums[:, k:]
         z = (total / (n + PRIOR)[:, None] + (self.bias if self.langs else 0)) / self.temperature
         p = np.exp(z - z.max(axis=1, keepdims=True))
         return p / p.sum(axis=1, keepdims=True), n > 0, near[np.arange(len(texts)), p.argmax(axis=1)] / np.maximum(n, 1)
