@@ -231,10 +231,12 @@ def _judged(documents: DataFrame, percent: int, block_bytes: int = BLOCK_BYTES)
 def kept_documents(documents: DataFrame, percent: int = 85) -> DataFrame:
     """The rows of ``documents`` that stay: one document of each component, all columns as they were. Of equal texts without doc_id that
     no document with an id holds, one row stays."""
-    kept = _judged(documents, percent).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("body").alias("kept_body")).distinct()
+    kept = stored(_judged(documents, percent).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("body").alias("kept_body")).distinct(), "kept")
     named, bare = kept.filter("kept_id is not null"), kept.filter("kept_id is null")
     body = F.xxhash64(documents["text"].cast("string"))
     rows = documents.join(named, (documents["doc_id"].cast("long") == named["kept_id"]) & (body == named["kept_body"]), "left_semi")
+    if bare.isEmpty():
+        return rows
     others = documents.filter(documents["doc_id"].cast("long").isNull())
     others = others.join(bare, F.xxhash64(others["text"].cast("string")) == bare["kept_body"], "left_semi").dropDuplicates(["text"])
     return rows.unionByName(others)

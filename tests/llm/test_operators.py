@@ -714,9 +714,8 @@ def test_a_hot_anchor_is_judged_in_two_steps(spark, monkeypatch):
 
 
 def test_components_of_hot_nodes(spark, monkeypatch):
-    from tabularium.llm import shared
-
-    monkeypatch.setattr(shared.hot_join, "__defaults__", (3, 2))
+    monkeypatch.setattr(components, "HOT", 3)
+    monkeypatch.setattr(components, "SHARE", 9)
     rng = random.Random(20)
     edges = [(0, k) for k in range(1, 40)] + [(50, k) for k in range(51, 80)] + [(39, 60), (90, 91)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(150)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -729,3 +728,12 @@ def test_components_of_hot_nodes(spark, monkeypatch):
         x, y = sorted((find(a), find(b)))
         root[y] = x
     assert got == {k: find(k) for e in edges if e[0] != e[1] for k in e}
+
+
+def test_hot_keys_are_joined_in_place(spark):
+    from tabularium.llm.shared import hot_join
+
+    rows = spark.createDataFrame([(k % 7 if k % 2 else 0, k) for k in range(200)] + [(None, 1), (99, 1)], "key int, v int")
+    table = rows.filter("key < 50").groupBy("key").agg(F.count("*").alias("n"))
+    plain = sorted(map(tuple, rows.join(table, "key").collect()))
+    assert all(sorted(map(tuple, hot_join(rows, table, "key", "n", least, most).collect())) == plain for least, most in ((1000, 4096), (10, 4096), (1, 2)))
