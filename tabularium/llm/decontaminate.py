@@ -290,7 +290,7 @@ def _searched(documents: DataFrame, name: str, some: list[Index], least: float,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = [Index(**x) for x in shared.value]
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 w = words(part.column("text"), lower=True, separators=PUNCTUATION)
                 h, found = word_hashes(w), part.column(name).to_pylist()
                 for index in own:

@@ -35,7 +35,7 @@ from .wordhash import Words, gram_hashes, mix, slices, whole, word_hashes, words
 SHINGLE, BANDS, ROWS = 5, 48, 6
 BINS = BANDS * ROWS
 #: Shingle bytes of one block of a family; a task holds two blocks.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def shingle_sets(w: Words, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
