@@ -187,15 +187,18 @@ def _resolved(candidates: DataFrame, window: int, last: bool, most: int = 1 << 2
     """Covered windows, as ranges of starts without hashes; equal windows have equal anchors, so they meet in one task.
 
     Windows of hot anchors are first dealt out by (anchor, hash of the id): there all but those of the smallest id are found to be covered, and what
-    is left, at most the windows of one document for each salt, goes on to the ``last`` step."""
+    is left, of equal windows those of one document for each salt, goes on to the ``last`` step, each window by its own hash, so that the many different
+    windows around a common anchor meet in no one task."""
 
     def runs_of(rows: list[tuple], pair: np.ndarray, k: np.ndarray, row: np.ndarray, pos: np.ndarray, hashed: bool) -> pa.RecordBatch:
-        begin = _runs(pos[k], row[k])
+        begin = np.arange(len(k)) if hashed else _runs(pos[k], row[k])
         end = np.append(begin[1:], len(k))
         first = row[k[begin]]
         cols = [np.array([rows[i][c] for i in first], np.int64) for c in range(4)]
         hashes = [pair[k[x:y]].tobytes() for x, y in zip(begin, end, strict=True)] if hashed else pa.nulls(len(begin), pa.binary())
         start = pos[k[begin]]
+        if hashed:  # each window by itself, placed by its own hash
+            cols[0] = np.ascontiguousarray(pair[k, 0]).view(np.int64)
         return pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(start), pa.array(start + (end - begin)), hashes if not hashed else pa.array(hashes, pa.binary())], schema=_PAIRS)
 
     def flush(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
