@@ -31,6 +31,8 @@ ANCHORS = (
 CHAIN, LEAST = 2, 0.8
 #: Text bytes of one bucket of neighbouring documents, and most quantiles of ids (literals of the plan; larger tables cut each cell further).
 BUCKET_BYTES, CELLS = 8 << 20, 2048
+#: Most ranges of a cell: 2 ** 20 buckets in all, whose heads (16 bytes each) are broadcast. Beyond 8 TB of text buckets grow with it: 100 MB at 100 TB.
+PARTS = 512
 
 _MARK = "\u0001"
 
@@ -98,7 +100,7 @@ def _bucket(docs: DataFrame) -> Column:
     cells = min(CELLS, max(1, -(-size // BUCKET_BYTES)))
     if cells == 1:
         return F.lit(0).cast("long")
-    parts = -(-size // (cells * BUCKET_BYTES))
+    parts = min(PARTS, -(-size // (cells * BUCKET_BYTES)))
     shares = [k / cells for k in range(cells + 1)]
     found = docs.agg(F.percentile_approx("doc_id", shares, 100 * cells).alias("p")).first()["p"]
     if found is None:
@@ -124,7 +126,7 @@ def with_next(documents: DataFrame) -> DataFrame:
     order = Window.orderBy(F.desc("bucket"))  # a row a bucket
     around = F.coalesce(F.lead(F.struct("head")).over(order), F.first(F.struct("head")).over(order))["head"]
     tails = heads.select(F.col("bucket").alias("tail_of"), around.alias("head"))
-    tails = docs.join(tails, F.col("doc_id").eqNullSafe(F.col("head"))).select("doc_id", "text", F.col("tail_of").alias("bucket"), F.lit(1).alias("tail"))
+    tails = docs.join(F.broadcast(tails), F.col("doc_id").eqNullSafe(F.col("head"))).select("doc_id", "text", F.col("tail_of").alias("bucket"), F.lit(1).alias("tail"))
     rows = placed.select("doc_id", "text", "bucket", F.lit(0).alias("tail")).unionByName(tails)
     order = Window.partitionBy("bucket").orderBy("tail", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
     return rows.select("*", F.lead("text").over(order).alias("next_text")).filter("tail = 0").select("doc_id", "text", "next_text")
