@@ -31,3 +31,28 @@ CHUNK_WORDS, OVERLAP_WORDS, SEMANTIC_SHARE = 250, 30, 0.85
 BATCH_SIZE, OCR_PAGES, OCR_MIN_PAGES, OCR_CHARS_PER_PAGE, LOOKBACK = 150, 15, 10, 150, 40
 PRICE_IN, PRICE_OUT, PRICE_IMAGE = 0.10, 0.40, 0.00258
 ARTICLE_SCHEMA, RELEASE_SCHEMA, PIPELINE_VERSION = "1.1", "1.0", "1.1.0"
+
+# Names and texts (for printf) of the issues of a split.
+SPLIT_ISSUES = {
+    "E001": ("MISSING_ARTICLE", "Article %d expected but not found in split output"),
+    "E002": ("DUPLICATE_ARTICLE", "Article %d appears %d times: %s"),
+    "E003": ("SEQUENCE_GAP", "Article %d missing and not in repealed_articles (neighbours present — likely a split error)"),
+    "E004": ("EMPTY_BODY", "Article body is empty or near-empty (%d chars)"),
+    "E005": ("OVERSIZED_ARTICLE", "Article %d has %d words (median=%d, ceiling=%d) — review manually: may be a merged split or a genuine long article"),
+    "E006": ("ORPHAN_TEXT", "%d chars appear before the first article marker — unusually large preamble, check for missed markers"),
+    "W001": ("OVER_COUNT", "Found %d articles but expected %d (%s of expected) — check for false marker matches"),
+    "W002": ("UNDER_COUNT", "Found %d articles but expected %d (%s of expected) — possible missed markers"),
+    "W003": ("ISSUANCE_MISMATCH", "No issuance articles found for a law with %d articles — ordinal marker patterns may not have matched"),
+}
+
+# Texts (for printf) of the issues of an enriched corpus.
+CORPUS_ISSUES = {
+    "V001": "Required field '%s' is missing or empty",
+    "V002": "Invalid category '%s' — must be one of %s",
+    "V003": "Stage 3 enrichment failed: %s",
+    "V004": "is_repealed=%s but registry says %s",
+    "V005": "keywords list is empty",
+}
+
+# The files of a release.
+RELEASE_FILES = {"articles_json": "articles.json", "articles_jsonl": "articles.jsonl", "chunks_json": "chunks.json", "chunks_jsonl": "chunks.jsonl"}

@@ -71,6 +71,15 @@ def report(before: DataFrame, after: DataFrame) -> DataFrame:
     return out.select("law_id", "total_articles_in", "total_articles_out", (F.col("total_articles_in") - F.col("total_articles_out")).alias("duplicates_removed"), "repealed_flagged")
 
 
+def full_report(before: DataFrame, after: DataFrame, chunks_before: DataFrame, chunks_after: DataFrame, registry: DataFrame) -> DataFrame:
+    """The report with chunks in and out and the registry's repealed numbers."""
+    out = report(before, after)
+    for chunks, name in ((chunks_before, "total_chunks_in"), (chunks_after, "total_chunks_out")):
+        out = out.join(chunks.groupBy("law_id").agg(F.count("*").alias(name)), "law_id", "left").na.fill(0, [name])
+    gone = registry.select("law_id", F.size(F.array_distinct(F.coalesce("repealed_articles", F.array().cast("array<int>")))).alias("repealed_articles"))
+    return out.join(gone, "law_id", "left").na.fill(0, ["repealed_articles"]).withColumn("is_current_version", F.lit(True))
+
+
 def upserted(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """New rows, and the old ones whose key is not among them."""
     return new.unionByName(old.join(new.select(key).distinct(), key, "left_anti").select(new.columns))

@@ -36,16 +36,30 @@ def _parts(acd: Column, cs: Column, markers: Column, expected: Column, heads: Co
     }
 
 
-def scored(laws: DataFrame) -> DataFrame:
-    """(law_id, text, hits, expected_article_count, expected_chapter_headings) to factors and score, each rounded to four digits."""
+def measured(laws: DataFrame) -> DataFrame:
+    """(law_id, text, hits, expected_article_count, expected_chapter_headings) to factors, raw and normalised, and score, each rounded to four digits."""
     t = F.col("text")
     base = laws.select("law_id", F.length("text").cast("long").alias("char_count"), T.arabic_density(t).alias("_acd"), T.replacement_density(t).alias("_cs"), M.distinct_markers(t, F.col("hits")).alias("_m"), T.headings(t).alias("_h"), "expected_article_count", "expected_chapter_headings")
     parts = _parts(F.col("_acd"), F.col("_cs"), F.col("_m"), F.col("expected_article_count"), F.col("_h"), F.col("expected_chapter_headings"), 4)
-    out = base.select("law_id", "char_count", F.col("_m").cast("long").alias("article_markers_found"), F.col("_h").cast("long").alias("structural_headings_found"), *[c.alias(f"{k}_norm") for k, c in parts.items()])
+    out = base.select("law_id", "char_count", F.col("_m").cast("long").alias("article_markers_found"), F.col("_h").cast("long").alias("structural_headings_found"), *[c.alias(f"{k}_norm") for k, c in parts.items()],
+                      F.round(F.when(F.col("expected_article_count") > 0, F.col("_m") / F.when(F.col("expected_article_count") > 0, F.col("expected_article_count"))).otherwise(F.lit(0.0)), 4).alias("_amd"), F.round("_cs", 4).alias("_cs"))
     out = out.withColumn("confidence_score", _score({k: F.col(f"{k}_norm") for k in WEIGHTS}))
     return out.withColumn("passed", F.col("confidence_score") >= vocab.CONFIDENCE)
 
 
+def scored(laws: DataFrame) -> DataFrame:
+    """Normalised factors and score of each law."""
+    return measured(laws).drop("_amd", "_cs")
+
+
+def breakdown(laws: DataFrame) -> DataFrame:
+    """Five rows a law: raw and normalised value, weight and contribution of each factor. Only the shares of markers and of
+    corruption are normalised beyond their raw value."""
+    raw = lambda k: F.col(f"_{k}" if k in {"amd", "cs"} else f"{k}_norm")
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("factor"), raw(k).alias("raw"), F.col(f"{k}_norm").alias("norm"), F.lit(w).alias("weight")) for k, w in WEIGHTS.items()]))
+    return measured(laws).select("law_id", rows.alias("f")).select("law_id", "f.*", rounded(F.col("f.norm") * F.col("f.weight")).alias("contribution"))
+
+
 def factors(scores: DataFrame) -> DataFrame:
     """Five rows a law: normalised value, weight and contribution of each factor."""
     rows = F.explode(F.array(*[F.struct(F.lit(k).alias("factor"), F.col(f"{k}_norm").alias("norm"), F.lit(w).alias("weight")) for k, w in WEIGHTS.items()]))
@@ -59,7 +73,8 @@ def quick() -> Column:
     return F.when(F.length(t) < vocab.MIN_CHARS, F.lit(0.0)).otherwise(_score(parts))
 
 
-def route(has_txt: Column, cached: Column, quick_score: Column, stripped: Column) -> Column:
-    """Where a text comes from: plain text, cache, native extraction if good enough, else recognition."""
+def route(has_txt: Column, cached: Column, quick_score: Column, stripped: Column, failed: Column | None = None) -> Column:
+    """Where a text comes from: plain text, cache, native extraction if good enough, else recognition; ``failed`` if none gave one."""
     base = F.when(has_txt, "plaintext").when(cached, "cached").when(quick_score >= vocab.CONFIDENCE, "pymupdf").otherwise("gemini_ocr")
-    return F.when(stripped, F.concat(base, F.lit("+dedup_stripped"))).otherwise(base)
+    named = F.when(stripped, F.concat(base, F.lit("+dedup_stripped"))).otherwise(base)
+    return named if failed is None else F.when(failed, "failed").otherwise(named)

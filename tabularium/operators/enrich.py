@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from ..functions import text as T
 from ..functions import vocab
 from ..sources.stages import stored
+from . import release
 from .assemble import ranked
 
 METADATA = "article_id string, topic string, keywords array<string>, article_summary string, article_category string, legal_entities array<string>, concepts array<string>, applicable_to array<string>"
@@ -63,23 +64,43 @@ def stub_client(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         replies = []
         for prompt in frame["prompt"]:
-            items = re.findall(r'<article id="([^"]*)"[^>]*>\n(.*?)\n  </article>', prompt, re.S)
+            items = re.findall(r'<article id="([^"]*)"[^>]*>\n(.*?)\n *</article>', prompt, re.S)
             replies.append(json.dumps([{"article_id": i, "topic": t[:100], "keywords": t.split()[:3], "article_summary": t[:200], "article_category": vocab.OTHER, "legal_entities": [], "concepts": [], "applicable_to": []} for i, t in items], ensure_ascii=False))
         yield frame.assign(reply=replies, error=None)
 
 
+def failing_client(most: int) -> Callable:
+    """A client for trials: the offline one, which fails on prompts of more than ``most`` articles and leaves the first of several out."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in stub_client(frames):
+            large = frame["count"] > most
+            partly = [json.dumps(json.loads(r)[1:], ensure_ascii=False) if n > 1 else r for r, n in zip(frame["reply"], frame["count"], strict=True)]
+            yield frame.assign(reply=[None if x else r for x, r in zip(large, partly, strict=True)], error=["too many articles" if x else None for x in large])
+
+    return run
+
+
 def called(requests: DataFrame, client: Callable = stub_client) -> DataFrame:
     """(law_id, batch, count, prompt, reply, error): the only step that may leave the cluster."""
     return requests.mapInPandas(client, StructType([*requests.schema.fields]).add("reply", "string").add("error", "string"))
 
 
+def checked_concepts(given: Column, known: Column | None = None) -> Column:
+    """(valid, unknown): concepts brought into form, and whether the vocabulary has them. Without one all are valid."""
+    given = F.filter(F.coalesce(given, F.array().cast("array<string>")), lambda c: T.utrim(c) != "")
+    named = F.transform(given, lambda c: F.replace(F.lower(T.utrim(c)), F.lit(" "), F.lit("_")))
+    if known is None:
+        return F.struct(named.alias("valid"), F.slice(named, F.lit(1), F.lit(0)).alias("unknown"))
+    return F.struct(F.filter(named, lambda c: F.array_contains(known, c)).alias("valid"), F.filter(named, lambda c: ~F.array_contains(known, c)).alias("unknown"))
+
+
 def coerced(items: DataFrame, concepts: Column | None = None) -> DataFrame:
     """Replies' items brought into form: unknown categories become other, lists are cut, concepts and domains filtered."""
     strings = lambda c: F.coalesce(F.col(c), F.array().cast("array<string>"))
     cut = lambda c, n, k: F.transform(F.slice(strings(c), F.lit(1), F.lit(k)), lambda x: F.left(x, F.lit(n)))
     kinds = F.when(F.col("article_category").isin(vocab.CATEGORIES), F.col("article_category")).otherwise(F.lit(vocab.OTHER))
-    named = F.transform(F.filter(strings("concepts"), lambda c: T.utrim(c) != ""), lambda c: F.replace(F.lower(T.utrim(c)), F.lit(" "), F.lit("_")))
-    valid = F.filter(named, lambda c: F.array_contains(concepts, c)) if concepts is not None else named
+    valid = checked_concepts(F.col("concepts"), concepts)["valid"]
     domains = F.filter(F.transform(strings("applicable_to"), lambda a: F.lower(T.utrim(a))), lambda a: a.isin(vocab.DOMAINS))
     return items.filter("coalesce(article_id, '') <> ''").select(
         "article_id", F.left(F.coalesce("topic", F.lit("")), F.lit(100)).alias("topic"), cut("keywords", 80, 10).alias("keywords"), F.left(F.coalesce("article_summary", F.lit("")), F.lit(600)).alias("article_summary"),
@@ -152,3 +173,12 @@ def report(merged_rows: DataFrame) -> DataFrame:
     failed = F.col("enrichment_error").isNotNull() & (F.col("enrichment_error") != "")
     fresh = F.col("metadata_source") == "fresh"
     return merged_rows.groupBy("law_id").agg(F.count("*").alias("total_articles"), F.count_if(fresh & ~failed).alias("enriched"), F.count_if(F.col("metadata_source") == "cache").alias("skipped_cache"), F.count_if(fresh & failed).alias("failed"))
+
+
+def run_report(merged_rows: DataFrame, ledger: DataFrame, model: str, size: int = vocab.BATCH_SIZE, stage: str = "stage_3") -> DataFrame:
+    """The report of a run: with its calls and their cost from the ledger, the model and the batch size."""
+    spent = ledger.filter(F.col("stage") == stage)
+    cost = release.total_cost(F.sum("input_tokens"), F.sum("output_tokens"), F.sum("image_pages"))
+    by_law = spent.groupBy("law_id").agg(F.count("*").alias("total_api_calls"), cost.alias("total_cost_usd"))
+    out = report(merged_rows).join(by_law, "law_id", "left").na.fill(0, ["total_api_calls"]).na.fill(0.0, ["total_cost_usd"])
+    return out.withColumns({"model": F.lit(model), "batch_size": F.lit(size)})

@@ -6,21 +6,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions import vocab
 
-ISSUE = ["law_id", "code", "severity", "article_number", "article_id"]
+ISSUE = ["law_id", "code", "severity", "article_number", "article_id", "name", "description"]
 
 
-def _issues(df: DataFrame, code: str | Column, severity: str, number: Column | None = None, article: Column | None = None) -> DataFrame:
-    code = F.lit(code) if isinstance(code, str) else code
+def _described(code: str, *values: Column) -> Column:
+    """(code, name, description) of an issue; the values go into its text in order."""
+    name, form = vocab.SPLIT_ISSUES[code]
+    return F.struct(F.lit(code).alias("code"), F.lit(name).alias("name"), F.format_string(form, *values).alias("description"))
+
+
+def _issues(df: DataFrame, issue: Column, severity: str, number: Column | None = None, article: Column | None = None) -> DataFrame:
     none = F.lit(None)
-    return df.select("law_id", code.alias("code"), F.lit(severity).alias("severity"), (none if number is None else number).cast("long").alias("article_number"), (none if article is None else article).cast("string").alias("article_id"))
+    rows = df.select("law_id", issue.alias("_i"), F.lit(severity).alias("severity"), (none if number is None else number).cast("long").alias("article_number"), (none if article is None else article).cast("string").alias("article_id"))
+    return rows.select("law_id", "_i.code", "severity", "article_number", "article_id", "_i.name", "_i.description")
+
+
+def _percent(part: Column, whole: Column) -> Column:
+    """A share as a percentage with one digit, halves to even, by whole numbers only. No share of nothing."""
+    whole = F.when(whole > 0, whole.cast("long"))
+    scaled = part.cast("long") * 1000
+    down, rest = F.floor(scaled / whole), (scaled % whole) * 2
+    tenths = down + F.when((rest > whole) | ((rest == whole) & (down % 2 == 1)), 1).otherwise(0)
+    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit("%"))
 
 
 def duplicates(found: DataFrame) -> DataFrame:
-    """Numbers that several main articles bear, bis articles apart."""
+    """Numbers that several main articles bear, bis articles apart, with their ids. All articles of a law come from one row's text, so the
+    ids of a number are bounded by it."""
     main = found.filter("article_type = 'main' and marker_kind <> 'bis'")
-    again = main.groupBy("law_id", "article_number").agg(F.count("*").alias("n")).filter("n > 1")
-    return _issues(again, "E002", "error", F.col("article_number"))
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("sequence_index", "article_id"))), lambda x: x["article_id"])
+    again = main.groupBy("law_id", "article_number").agg(F.count("*").alias("n"), ids.alias("ids")).filter("n > 1")
+    listed = F.concat(F.lit("['"), F.array_join("ids", "', '"), F.lit("']"))
+    return _issues(again, _described("E002", F.col("article_number"), F.col("n"), listed), "error", F.col("article_number"))
 
 
 def missing(found: DataFrame, registry: DataFrame) -> DataFrame:
@@ -33,23 +52,30 @@ def missing(found: DataFrame, registry: DataFrame) -> DataFrame:
     gone = wanted.join(there, ["law_id", "n"], "left_anti")
     beside = there.select("law_id", F.explode(F.array(F.col("n") - 1, F.col("n") + 1)).alias("n")).distinct().withColumn("near", F.lit(True))
     marked = gone.join(beside, ["law_id", "n"], "left")
-    return _issues(marked, F.when(F.col("near"), "E003").otherwise("E001"), "error", F.col("n"))
+    return _issues(marked, F.when(F.col("near"), _described("E003", F.col("n"))).otherwise(_described("E001", F.col("n"))), "error", F.col("n"))
 
 
 def bodies(found: DataFrame) -> DataFrame:
     """Near-empty bodies (E004), and bodies of more words than five medians and 500 (E005)."""
-    empty = _issues(found.filter(F.length(T.utrim(F.col("text"))) < 5), "E004", "error", F.col("article_number"), F.col("article_id"))
+    empty = _issues(found.filter(F.length(T.utrim(F.col("text"))) < 5), _described("E004", F.length("text")), "error", F.col("article_number"), F.col("article_id"))
     middle = found.filter("word_count > 0").groupBy("law_id").agg(F.median("word_count").alias("m"))
-    large = found.join(middle, "law_id").filter(F.col("word_count") > F.greatest(F.col("m") * 5, F.lit(500.0)))
-    return empty.unionByName(_issues(large, "E005", "warning", F.col("article_number"), F.col("article_id")))
+    most = F.greatest(F.col("m") * 5, F.lit(500.0))
+    large = found.join(middle, "law_id").filter(F.col("word_count") > most)
+    text = _described("E005", F.col("article_number"), F.col("word_count"), F.bround("m").cast("long"), F.bround(most).cast("long"))
+    return empty.unionByName(_issues(large, text, "warning", F.col("article_number"), F.col("article_id")))
 
 
 def counts(report: DataFrame) -> DataFrame:
     """Large preambles (E006), too many (W001) or too few (W002) articles, no issuance article in a large law (W003)."""
-    ratio = F.col("articles_found") / F.when(F.col("expected_article_count") > 0, F.col("expected_article_count"))
-    rules = [("E006", F.col("orphan_text_chars") > 800), ("W001", ratio > 1.10), ("W002", ratio < 0.90), ("W003", (F.col("issuance_count") == 0) & (F.col("expected_article_count") >= 50))]
-    hit = F.array_compact(F.array(*[F.when(rule, F.lit(code)) for code, rule in rules]))
-    return _issues(report.select("law_id", F.explode(hit).alias("code")), F.col("code"), "warning")
+    found, expected = F.col("articles_found"), F.col("expected_article_count")
+    ratio = found / F.when(expected > 0, expected)
+    counted = (found, expected, _percent(found, expected))
+    rules = [
+        (F.col("orphan_text_chars") > 800, _described("E006", F.col("orphan_text_chars"))), (ratio > 1.10, _described("W001", *counted)), (ratio < 0.90, _described("W002", *counted)),
+        ((F.col("issuance_count") == 0) & (expected >= 50), _described("W003", expected)),
+    ]
+    hit = F.array_compact(F.array(*[F.when(rule, issue) for rule, issue in rules]))
+    return _issues(report.select("law_id", F.explode(hit).alias("i")), F.col("i"), "warning")
 
 
 def all_issues(found: DataFrame, report: DataFrame, registry: DataFrame) -> DataFrame:

@@ -222,4 +222,56 @@ _SELECTS: dict[str, str | tuple[str, str]] = {
 }
 CTES["doubled_kept"] = """select c.law_id, c.text, len(h.numbers) nh, h.numbers numbers, (select sum(coalesce(length(marker), 0) + length(body)) from hits p where p.law_id = c.law_id and p.k <= coalesce(len(h.numbers), 0) // 2)::bigint cut
       from clean c left join (select law_id, list(number order by k) numbers from numbered group by law_id) h using (law_id)"""
+_SHARE = "((articles_found * 1000 // expected_article_count + EXTRA) // 10)::varchar || '.' || ((articles_found * 1000 // expected_article_count + EXTRA) % 10)::varchar || '%'".replace(
+    "EXTRA", "case when articles_found * 1000 % expected_article_count * 2 > expected_article_count or (articles_found * 1000 % expected_article_count * 2 = expected_article_count and articles_found * 1000 // expected_article_count % 2 = 1) then 1 else 0 end"
+)
+_MEDIANS = "(select law_id, median(word_count) m from found where word_count > 0 group by law_id) q"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_SPLIT = {code: _text(form) for code, (_, form) in vocab.SPLIT_ISSUES.items()}
+_CORPUS = {code: _text(form) for code, form in vocab.CORPUS_ISSUES.items()}
+_NAMES = ", ".join(f"('{code}', '{name}')" for code, (name, _) in vocab.SPLIT_ISSUES.items())
+_WORDS = r"list_transform(list_filter(list_concat(string_split(coalesce(text, ''), ' ')[1:8], [' Void Contract', ' ']), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g') <> ''), lambda x: replace(lower(regexp_replace(x, '^\s+|\s+$', '', 'g')), ' ', '_'))"
+_KNOWN = "('void_contract', 'the', 'de', 'la', 'und')"
+_SELECTS |= {
+    "split_issue_texts": f"""select i.law_id, i.code, i.severity, i.article_number, i.article_id, n.name, t.description from issues i join (values {_NAMES}) n (code, name) on n.code = i.code left join (
+      select law_id, 'E002' code, article_number, null article_id, printf({_SPLIT["E002"]}, article_number, count(*), '[''' || string_agg(article_id, ''', ''' order by sequence_index) || ''']') description
+        from found where article_type = 'main' and marker_kind <> 'bis' group by law_id, article_number having count(*) > 1
+      union all select law_id, code, article_number, null, case code when 'E003' then printf({_SPLIT["E003"]}, article_number) else printf({_SPLIT["E001"]}, article_number) end from gaps
+      union all select law_id, 'E004', article_number, article_id, printf({_SPLIT["E004"]}, length(text)) from found
+      union all select f.law_id, 'E005', article_number, article_id, printf({_SPLIT["E005"]}, article_number, word_count, round_even(m, 0)::bigint, round_even(greatest(5 * m, 500), 0)::bigint) from found f join {_MEDIANS} on q.law_id = f.law_id
+      union all select law_id, 'E006', null, null, printf({_SPLIT["E006"]}, orphan_text_chars) from report
+      union all select law_id, 'W001', null, null, printf({_SPLIT["W001"]}, articles_found, expected_article_count, {_SHARE}) from report where expected_article_count > 0
+      union all select law_id, 'W002', null, null, printf({_SPLIT["W002"]}, articles_found, expected_article_count, {_SHARE}) from report where expected_article_count > 0
+      union all select law_id, 'W003', null, null, printf({_SPLIT["W003"]}, expected_article_count) from report
+      ) t on t.law_id = i.law_id and t.code = i.code and t.article_number is not distinct from i.article_number and t.article_id is not distinct from i.article_id""",
+    "corpus_issue_texts": f"""select law_id, article_id, code, field, case code when 'V003' then printf({_CORPUS["V003"]}, enrichment_error) when 'V001' then printf({_CORPUS["V001"]}, field) when 'V005' then {_CORPUS["V005"]}
+      when 'V002' then printf({_CORPUS["V002"]}, article_category, {_text("['" + "', '".join(sorted(vocab.CATEGORIES)) + "']")})
+      else printf({_CORPUS["V004"]}, case when is_repealed then 'True' else 'False' end, case when is_repealed then 'active' else 'repealed' end) end message
+      from ({CTES["corpus_found"].replace("select law_id, article_id, unnest", "select *, unnest", 1)})""",
+    "first_errors": "select law_id, article_id, code, field from corpus_found where severity = 'error' order by law_id, article_id, code, field limit 10",
+    "confidence_breakdown": """select law_id, f.factor factor, f.raw raw, f.norm norm, f.weight weight, floor(f.norm * f.weight * 10000 + 0.5000001::double) / 10000 contribution from (select law_id, unnest([
+      {'factor': 'amd', 'raw': raw_amd, 'norm': amd_norm, 'weight': 0.25::double}, {'factor': 'acd', 'raw': acd_norm, 'norm': acd_norm, 'weight': 0.25::double}, {'factor': 'eacc', 'raw': eacc_norm, 'norm': eacc_norm, 'weight': 0.25::double},
+      {'factor': 'shc', 'raw': shc_norm, 'norm': shc_norm, 'weight': 0.15::double}, {'factor': 'cs', 'raw': raw_cs, 'norm': cs_norm, 'weight': 0.1::double}]) f from scored join (select law_id, round(share::double, 4) raw_amd, round(cs::double, 4) raw_cs from shares) using (law_id))""",
+    "enrichment_run_report": """select law_id, total_articles, enriched, skipped_cache, failed, coalesce(n, 0) total_api_calls, coalesce(c, 0.0::double) total_cost_usd, 'primary' model, 150::bigint batch_size from (
+      select (doc_id % 100)::varchar law_id, count(*) total_articles, count(*) filter (where metadata_source = 'fresh' and coalesce(enrichment_error, '') = '') enriched, count(*) filter (where metadata_source = 'cache') skipped_cache,
+        count(*) filter (where metadata_source = 'fresh' and coalesce(enrichment_error, '') <> '') failed from merged group by all)
+      left join (select law_id, count(*) n, (sum(input_tokens) * 10 + sum(output_tokens) * 40 + sum(image_pages) * 258000 + 50) // 100 / 1000000.0::double c from ledger where stage = 'click' group by law_id) using (law_id)""",
+    "concepts_unknown": f"select doc_id, array_to_string(list_filter(w, lambda x: x in {_KNOWN}), '|') valid, len(list_filter(w, lambda x: x not in {_KNOWN})) unknown from (select doc_id, {_WORDS} w from documents)",
+    "enrichment_cascade": r"""select doc_id::varchar article_id, left(regexp_replace(regexp_replace(coalesce(text, ''), '["<>\\]', ' ', 'g'), '^\s+|\s+$', '', 'g'), 100) topic, 'completed' enrichment_status, 'primary' enrichment_model, '' enrichment_error from documents""",
+    "assembly_report": ("""select a.law_id, i total_articles_in, o total_articles_out, i - o duplicates_removed, f repealed_flagged, coalesce(n, 0) total_chunks_in, coalesce(n, 0) total_chunks_out, 10::bigint repealed_articles, true is_current_version
+      from (select law_id, count(*) i from articles group by law_id) a join (select law_id, count(*) o, count(*) filter (where newly) f from assembled group by law_id) using (law_id) left join (select law_id, count(*) n from chunks group by law_id) using (law_id)""", _ARTICLE_CHUNKS),
+    "release_metadata": (f"""select l.law_id, 'قانون ' || l.law_id law_name_ar, length(l.law_id)::varchar law_number, 2000::bigint "year", '2024-01-01T00:00:00+00:00' exported_at, '1.0' schema_version, total_articles, coalesce(total_chunks, 0) total_chunks,
+      {_MEAN.format('total_article_words', 'total_articles')} avg_words_per_article, other_articles, by_m1, 'chunks.jsonl' chunks_jsonl from laws l join (select law_id, count(*) total_articles, sum(word_count)::bigint total_article_words from assembled group by law_id) using (law_id)
+      left join (select law_id, count(*) total_chunks from chunks group by law_id) using (law_id)
+      join (select law_id, count(*) filter (where coalesce(article_category, 'أخرى') = 'أخرى') other_articles, count(*) filter (where enrichment_model = 'm1') by_m1 from enriched group by law_id) using (law_id)""", _ARTICLE_CHUNKS),
+    "cost_ledger": """select scope, name, total_calls, total_input_tokens, total_output_tokens, total_image_pages, cost_usd, coalesce(failures, 0) failures, case when scope = 'total' then (select count(*) from events where event_id % 97 = 0) else 0 end rotations from (
+      select case grouping(stage, api_key_suffix) when 1 then 'stage' when 2 then 'key' else 'total' end scope, coalesce(stage, api_key_suffix, '') name, count(*) total_calls, sum(input_tokens)::bigint total_input_tokens, sum(output_tokens)::bigint total_output_tokens,
+        sum(image_pages)::bigint total_image_pages, (sum(input_tokens) * 10 + sum(output_tokens) * 40 + sum(image_pages) * 258000 + 50) // 100 / 1000000.0::double cost_usd from ledger group by grouping sets ((stage), (api_key_suffix), ()))
+      left join (select case grouping(k) when 0 then 'key' else 'total' end scope, coalesce(k, '') name, count(*) failures from (select '****' || right('key' || (user_id % 4), 3) k from events where event_id % 13 = 0) group by grouping sets ((k), ())) using (scope, name)""",
+}
 ORACLES: dict[str, str] = {name: _sql(*(s if isinstance(s, tuple) else (s,))) for name, s in _SELECTS.items()}

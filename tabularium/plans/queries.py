@@ -306,7 +306,7 @@ def review_stats(s, d):
 
 @query
 def corpus_issues(s, d):
-    return corpus_checks.issues(X.enriched(s, d), X.article_registry(s, d))
+    return corpus_checks.issues(X.enriched(s, d), X.article_registry(s, d)).drop("message")
 
 
 @query
@@ -408,3 +408,76 @@ def source_resolution(s, d):
     there = reg.filter(F.expr("cast(substring(law_id, 2) as int) % 6 <> 1")).select(readers.source_name().alias("name"))
     keys = text.key_list(F.when(F.col("txt_filename").isNotNull(), F.concat(F.lit(" a, ,"), F.col("law_id"))), F.col("pdf_filename"))
     return readers.with_sources(reg, there).select("law_id", "source", F.col("source_exists").alias("there"), F.array_join(keys, "|").alias("keys"), F.array_join(F.transform(keys, text.mask_key), "|").alias("masked"))
+
+
+@query
+def split_issue_texts(s, d):
+    articles, report, reg = split_once(s, d)
+    return split_checks.all_issues(articles, report, reg)
+
+
+@query
+def corpus_issue_texts(s, d):
+    return corpus_checks.issues(X.enriched(s, d), X.article_registry(s, d)).select("law_id", "article_id", "code", "field", "message")
+
+
+@query
+def first_errors(s, d):
+    return corpus_checks.first(corpus_checks.issues(X.enriched(s, d), X.article_registry(s, d))).select("law_id", "article_id", "code", "field")
+
+
+@query
+def confidence_breakdown(s, d):
+    return confidence.breakdown(laws(s, d))
+
+
+@query
+def enrichment_run_report(s, d):
+    rows = _merged(s, d).withColumn("law_id", F.expr("cast(doc_id % 100 as string)"))
+    return enrich.run_report(rows, X.ledger(s, d), "primary", stage="click")
+
+
+@query
+def concepts_unknown(s, d):
+    given = F.concat(F.slice(F.split(F.coalesce("text", F.lit("")), " "), F.lit(1), F.lit(8)), F.array(F.lit(" Void Contract"), F.lit(" ")))
+    known = F.array(*[F.lit(w) for w in ("void_contract", "the", "de", "la", "und")])
+    rows = X.table(s, d, "documents").select("doc_id", enrich.checked_concepts(given, known).alias("c"))
+    return rows.select("doc_id", F.array_join("c.valid", "|").alias("valid"), F.size("c.unknown").alias("unknown"))
+
+
+@query
+def enrichment_cascade(s, d):
+    """Every article through batches, halves and single calls; the client fails on large batches and answers others in part."""
+    rows = X.articles(s, d).select("law_id", F.col("doc_id").cast("string").alias("article_id"), "article_type", "sequence_index", F.regexp_replace("text", r'["<>\\]', " ").alias("text"))
+    done = enrich.cascade(rows, X.article_registry(s, d), client=enrich.failing_client(100))
+    return done.select("article_id", "topic", "enrichment_status", "enrichment_model", F.coalesce("enrichment_error", F.lit("")).alias("enrichment_error"))
+
+
+@query
+def assembly_report(s, d):
+    chunks = chunk.chunked(X.articles(s, d).select("article_id", "law_id", "text", "is_repealed"))
+    after = assembled(s, d)
+    return assemble.full_report(X.articles(s, d), after, chunks, assemble.chunk_flags(chunks, after), X.article_registry(s, d))
+
+
+@query
+def release_metadata(s, d):
+    """The release document, read back."""
+    chunks = chunk.chunked(X.articles(s, d).select("article_id", "law_id", "text"))
+    stats = release.statistics(assembled(s, d), chunks.select("law_id", "word_count"))
+    rows = X.enriched(s, d)
+    reg = X.article_registry(s, d).withColumns({"law_name_ar": F.concat(F.lit("قانون "), "law_id"), "law_number": F.length("law_id").cast("string"), "year": F.lit(2000)})
+    out = release.metadata(stats, release.histogram(rows, "article_category", vocab.OTHER), release.histogram(rows, "enrichment_model", "unknown"), reg, F.lit("2024-01-01T00:00:00+00:00"))
+    read = lambda p: F.get_json_object("metadata", p)
+    return out.select(
+        "law_id", read("$.law_name_ar").alias("law_name_ar"), read("$.law_number").alias("law_number"), read("$.year").cast("long").alias("year"), read("$.exported_at").alias("exported_at"), read("$.schema_version").alias("schema_version"),
+        read("$.statistics.total_articles").cast("long").alias("total_articles"), read("$.statistics.total_chunks").cast("long").alias("total_chunks"), read("$.statistics.avg_words_per_article").cast("double").alias("avg_words_per_article"),
+        F.coalesce(read(f"$.statistics.article_categories.{vocab.OTHER}").cast("long"), F.lit(0)).alias("other_articles"), F.coalesce(read("$.enrichment.models_used.m1").cast("long"), F.lit(0)).alias("by_m1"), read("$.output_files.chunks_jsonl").alias("chunks_jsonl"),
+    )
+
+
+@query
+def cost_ledger(s, d):
+    events = X.table(s, d, "events").select("event_id", F.expr("concat('****', right(concat('key', user_id % 4), 3))").alias("api_key_suffix"))
+    turned = events.filter("event_id % 97 = 0").select(F.col("api_key_suffix").alias("from_key"), F.lit("****new").alias("to_key"), F.lit("minute").alias("reason"))
+    return release.ledger_report(X.ledger(s, d), events.filter("event_id % 13 = 0").select("api_key_suffix"), turned)
