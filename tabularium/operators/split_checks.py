@@ -33,10 +33,10 @@ def _percent(part: Column, whole: Column) -> Column:
 
 
 def duplicates(found: DataFrame) -> DataFrame:
-    """Numbers that several main articles bear, bis articles apart, with their ids. All articles of a law come from one row's text, so the
+    """Numbers that several main articles bear, bis articles apart, with their ids in order of their places. All articles of a law come from one row's text, so the
     ids of a number are bounded by it."""
     main = found.filter("article_type = 'main' and marker_kind <> 'bis'")
-    ids = F.transform(F.array_sort(F.collect_list(F.struct("sequence_index", "article_id"))), lambda x: x["article_id"])
+    ids = F.transform(F.array_sort(F.collect_list(F.struct(F.length("article_id").alias("n"), "article_id"))), lambda x: x["article_id"])
     again = main.groupBy("law_id", "article_number").agg(F.count("*").alias("n"), ids.alias("ids")).filter("n > 1")
     listed = F.concat(F.lit("['"), F.array_join("ids", "', '"), F.lit("']"))
     return _issues(again, _described("E002", F.col("article_number"), F.col("n"), listed), "error", F.col("article_number"))
