@@ -210,7 +210,9 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = False) -> D
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return manifest.select("archive").repartition("archive").mapInArrow(run, FIELDS + (", payload binary" if payloads else ""))
+    # A count of its own, so that the short names of the manifest aren't coalesced into one task that reads all archives.
+    dealt = manifest.select("archive").repartition(max(1, manifest.count()), "archive")
+    return dealt.mapInArrow(run, FIELDS + (", payload binary" if payloads else ""))
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
