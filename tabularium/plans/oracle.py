@@ -274,4 +274,20 @@ _SELECTS |= {
         sum(image_pages)::bigint total_image_pages, (sum(input_tokens) * 10 + sum(output_tokens) * 40 + sum(image_pages) * 258000 + 50) // 100 / 1000000.0::double cost_usd from ledger group by grouping sets ((stage), (api_key_suffix), ()))
       left join (select case grouping(k) when 0 then 'key' else 'total' end scope, coalesce(k, '') name, count(*) failures from (select '****' || right('key' || (user_id % 4), 3) k from events where event_id % 13 = 0) group by grouping sets ((k), ())) using (scope, name)""",
 }
+_BACK = "select article_id, law_id, article_number, article_number_raw, article_type, md5(text) text_md5, is_repealed, marker_kind, word_count, char_count from articles"
+_SELECTS |= {
+    "articles_from_lines": _BACK,
+    "articles_from_arrays": _BACK,
+    "review_csv_read": """select article_id, doc_id, md5(' "a", ' || text || ' ') text_md5 from articles""",
+    "texts_read": "select law_id, md5(raw_text) text_md5 from corpus_raw",
+    "cached_texts": "select law_id, case when doc_id % 4 = 0 then md5(raw_text) end text_md5, true read_if_forced from corpus_raw",
+    "clean_preferred_texts": "select law_id, md5(case when doc_id % 3 = 0 or doc_id % 5 = 1 then 'c' || raw_text else raw_text end) text_md5 from corpus_raw",
+    "recognised_pages": f"""select page_id::varchar as name, md5(array_to_string(list_transform(range(0, n), lambda k: case when k = 0 then '' when k % {vocab.OCR_PAGES} = 0 then chr(10) || chr(10) else chr(10) end || page_id || ' ' || (k + 1)), '')) text_md5
+      from (select page_id, length(html) // 300 n from pages) where n > 0""",
+    "review_manifest": (f"""select law_id, total_articles, issuance_articles, main_articles, 'chunks.csv' chunks_file, '["approved","needs_edit","rejected"]' states, 'keywords' second_check from ({_SELECTS["review_stats"][0]})""", *_SELECTS["review_stats"][1:]),
+    "confidence_reports_read": "select law_id, case when doc_id % 10 <> 0 then (doc_id % 100) / 100.0::double end confidence_score from registry",
+    "registry_read": """select law_id, case when doc_id % 6 <> 0 then expected_article_count else 0 end expected_article_count, array_to_string(repealed_articles, ',') repealed, expected_chapter_headings, txt_filename, pdf_filename,
+      case when excluding then 1 else 0 end::bigint exclusions from registry""",
+    "upsert_generations": _SELECTS["upsert_merge"],
+}
 ORACLES: dict[str, str] = {name: _sql(*(s if isinstance(s, tuple) else (s,))) for name, s in _SELECTS.items()}

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..clients import remote
 from ..functions import markers, text, vocab
 from ..operators import assemble, chunk, cleanup, confidence, corpus_checks, enrich, refs, release, review, split, split_checks
-from ..sources import readers
-from ..sources.stages import stored
+from ..sources import readers, sinks
+from ..sources.stages import run_dir, stored, temporary
 from . import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -481,3 +482,111 @@ def cost_ledger(s, d):
     events = X.table(s, d, "events").select("event_id", F.expr("concat('****', right(concat('key', user_id % 4), 3))").alias("api_key_suffix"))
     turned = events.filter("event_id % 97 = 0").select(F.col("api_key_suffix").alias("from_key"), F.lit("****new").alias("to_key"), F.lit("minute").alias("reason"))
     return release.ledger_report(X.ledger(s, d), events.filter("event_id % 13 = 0").select("api_key_suffix"), turned)
+
+
+def _place(s: SparkSession, tag: str) -> str:
+    """A folder in the shared one, removed when the application ends."""
+    path = run_dir(s, tag)
+    temporary(s, path)
+    return path
+
+
+def _articles_back(rows: DataFrame) -> DataFrame:
+    return rows.select("article_id", "law_id", "article_number", "article_number_raw", "article_type", F.md5("text").alias("text_md5"), "is_repealed", "marker_kind", "word_count", "char_count")
+
+
+@query
+def articles_from_lines(s, d):
+    """Articles written as JSON lines, read by a fixed schema."""
+    path = _place(s, "lines")
+    sinks.json_lines(X.articles(s, d), path)
+    return _articles_back(readers.stage_table(s, path, multiline=False))
+
+
+@query
+def articles_from_arrays(s, d):
+    """Articles written as one JSON array a law, read by a fixed schema."""
+    path = _place(s, "arrays")
+    sinks.json_arrays(X.articles(s, d), path, "sequence_index")
+    return _articles_back(readers.stage_table(s, path))
+
+
+@query
+def review_csv_read(s, d):
+    """The reviewers' file, read back: first its mark and header, then texts with quotes, commas, line feeds and outer spaces."""
+    path, rows = _place(s, "review"), X.articles(s, d)
+    sinks.review_csv(rows.select("article_id", "doc_id", F.concat(F.lit(' "a", '), "text", F.lit(" ")).alias("text")), path)
+    back = s.read.options(header=True, multiLine=True, escape='"', encoding="UTF-8").csv(path).toDF("article_id", "doc_id", "text")
+    return back.select("article_id", F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("text_md5"))
+
+
+@query
+def texts_read(s, d):
+    """A text file a law, read whole."""
+    path = _place(s, "texts")
+    sinks.texts(X.corpus_raw(s, d), path, "raw_text")
+    return readers.whole_texts(s, path, strip=False).select("law_id", F.md5(F.expr("left(raw_text, length(raw_text) - 1)")).alias("text_md5"))
+
+
+@query
+def cached_texts(s, d):
+    work = X.registry(s, d).select("law_id")
+    cache = X.corpus_raw(s, d).filter("doc_id % 4 = 0").select("law_id", F.col("raw_text").alias("text"))  # what an earlier run left
+    there, left = readers.cached_first(work, cache)
+    _, forced = readers.cached_first(work, cache, force=True)
+    out = there.select("law_id", F.md5("text").alias("text_md5")).unionByName(left.select("law_id", F.lit(None).cast("string").alias("text_md5")))
+    return out.join(forced.select("law_id", F.lit(True).alias("read_if_forced")), "law_id", "left")
+
+
+@query
+def clean_preferred_texts(s, d):
+    texts = X.corpus_raw(s, d)
+    clean = texts.filter("doc_id % 3 = 0 or doc_id % 5 = 1").select("law_id", F.concat(F.lit("c"), "raw_text").alias("text"))
+    return readers.clean_preferred(texts.filter("doc_id % 5 <> 1").select("law_id", F.col("raw_text").alias("text")), clean).select("law_id", F.md5("text").alias("text_md5"))
+
+
+@query
+def recognised_pages(s, d):
+    """Documents cut in page ranges, read by the offline client and put together in page order."""
+    pages = X.table(s, d, "pages").select(F.col("page_id").cast("string").alias("name"), F.expr("cast(length(html) / 300 as int)").alias("page_count"))
+    return readers.recognised(readers.page_ranges(pages), remote.stub_recogniser).select("name", F.md5("raw_text").alias("text_md5"))
+
+
+@query
+def review_manifest(s, d):
+    """The manifest, read back."""
+    out = sinks.manifest(review.stats(X.enriched(s, d), _chunked(s, d)), {"articles": "articles.csv", "chunks": "chunks.csv"}, ["topic", "keywords"])
+    read = lambda p: F.get_json_object("manifest", p)
+    numbers = [read(f"$.statistics.{c}").cast("long").alias(c) for c in ("total_articles", "issuance_articles", "main_articles")]
+    return out.select("law_id", *numbers, read("$.output_files.chunks").alias("chunks_file"), read("$.review_status_values").alias("states"), read("$.fields_to_check[1]").alias("second_check"))
+
+
+@query
+def confidence_reports_read(s, d):
+    """Reports of laws as the sink writes them, every tenth broken, beside the laws."""
+    path, laws_ = _place(s, "reports"), X.registry(s, d).select("law_id", F.expr("cast(substring(law_id, 2) as long)").alias("k"))
+    sinks.report(laws_.filter("k % 10 <> 0").select("law_id", F.expr("(k % 100) / 100D").alias("confidence_score")), path)
+    laws_.filter("k % 10 = 0").select(F.concat(F.lit('{"law_id": "'), "law_id")).write.mode("append").text(path)
+    return laws_.select("law_id").join(readers.confidence_reports(s, path), "law_id", "left")
+
+
+@query
+def registry_read(s, d):
+    """Registry files of a thousand laws each, with counts and lists that are missing."""
+    path, rows = _place(s, "registry"), X.registry(s, d)
+    k = F.expr("cast(substring(law_id, 2) as long)")
+    rows = rows.withColumns({"expected_article_count": F.when(k % 6 != 0, F.col("expected_article_count")), "manual_marker_exclusions": F.when(k % 41 == 0, F.col("manual_marker_exclusions"))})
+    files = rows.groupBy(F.floor(k / 1000).alias("part")).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    files.write.partitionBy("part").text(path)
+    back = readers.registry(s, path)
+    return back.select("law_id", "expected_article_count", F.array_join(F.col("repealed_articles").cast("array<string>"), ",").alias("repealed"), "expected_chapter_headings", "txt_filename", "pdf_filename", F.size("manual_marker_exclusions").alias("exclusions"))
+
+
+@query
+def upsert_generations(s, d):
+    """Two batches into a table of generations, the second of them twice, and what it holds then."""
+    path, rows = _place(s, "upserts"), X.articles(s, d).select("doc_id", "law_id", "char_count")
+    sinks.upsert(rows.filter("doc_id % 3 <> 0").withColumn("version", F.lit(1)), path, "doc_id")
+    for _ in range(2):
+        sinks.upsert(rows.filter("doc_id % 2 = 0").withColumn("version", F.lit(2)), path, "doc_id")
+    return sinks.current(s, path, "doc_id")

@@ -60,9 +60,11 @@ def with_sources(registry_rows: DataFrame, listing: DataFrame) -> DataFrame:
 
 
 def whole_texts(spark: SparkSession, path: str, strip: bool = True) -> DataFrame:
-    """(name, raw_text): one row a file, navigation and footers taken off."""
-    rows = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("name"), "value")
-    return rows.select("name", (T.strip_boilerplate(F.col("value")) if strip else F.col("value")).alias("raw_text"))
+    """(name, raw_text, columns of the folders): one row a file, navigation and footers taken off."""
+    rows = spark.read.text(path, wholetext=True)
+    folders = [c for c in rows.columns if c != "value"]
+    rows = rows.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("name"), "value", *folders)
+    return rows.select("name", (T.strip_boilerplate(F.col("value")) if strip else F.col("value")).alias("raw_text"), *folders)
 
 
 Pages = Callable[[bytes], list[str]]
@@ -122,9 +124,10 @@ def stage_table(spark: SparkSession, path: str, schema: str = ARTICLES, multilin
     return spark.read.schema(schema).json(path, multiLine=multiline)
 
 
-def confidence_reports(spark: SparkSession, path: str) -> DataFrame:
-    """Reports if there are any; one that can't be read has no score."""
-    return spark.read.schema("law_id string, confidence_score double").option("mode", "PERMISSIVE").json(path, multiLine=True)
+def confidence_reports(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Reports, one a line (or one a file); one that can't be read is as if there were none."""
+    rows = spark.read.schema("law_id string, confidence_score double").option("mode", "PERMISSIVE").json(path, multiLine=multiline)
+    return rows.filter(F.col("law_id").isNotNull())
 
 
 @dataclass(frozen=True)

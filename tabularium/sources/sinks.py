@@ -37,10 +37,11 @@ def json_arrays(df: DataFrame, path: str, order: str) -> None:
 
 
 def review_csv(df: DataFrame, path: str) -> None:
-    """Columns in their order, quoted, each file with a byte order mark before its header."""
+    """Columns in their order, each file with a byte order mark before its header: values are quoted where they need it, as a quoted header would
+    begin before the mark."""
     first, *rest = df.columns
     marked = df.select(F.col(f"`{first}`").alias("\ufeff" + first), *[F.col(f"`{c}`") for c in rest])
-    marked.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
+    marked.write.mode("overwrite").options(header=True, escape='"', encoding="UTF-8", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def report(df: DataFrame, path: str) -> None:

@@ -144,7 +144,7 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "lines")).count() == 3
     sinks.review_csv(rows.coalesce(1), str(tmp_path / "csv"))
     data = next((tmp_path / "csv").glob("part*")).read_bytes()
-    assert data.startswith(b"\xef\xbb\xbf") or data.startswith(b'"\xef\xbb\xbf')
+    assert data.startswith(b"\xef\xbb\xbflaw_id,n,text\n")
     sinks.texts(rows.filter("law_id = 'B'"), str(tmp_path / "txt"))
     assert next((tmp_path / "txt" / "law_id=B").glob("part*")).read_text() == "c\n"
     table = str(tmp_path / "table")
