@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, minhash, quality, sharding, spotsigs, substring, warc
+from . import bpe, centroids, chat, decontaminate, langid, minhash, quality, sharding, spotsigs, substring, warc
 from .oracle import ORACLES
 from .shared import columns, table
 
@@ -66,8 +66,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations")).drop("first_error")
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, seed=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op3_warc": op3_warc, "op4_bpe": op4_bpe, "op5_spotsigs": op5_spotsigs, "op6_substring": op6_substring, "op7_decontaminate": op7_decontaminate, "op8_minhash": op8_minhash, "op9_quality": op9_quality, "op10_chat": op10_chat}
+    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op3_warc": op3_warc, "op4_bpe": op4_bpe, "op5_spotsigs": op5_spotsigs, "op6_substring": op6_substring, "op7_decontaminate": op7_decontaminate, "op8_minhash": op8_minhash, "op9_quality": op9_quality, "op10_chat": op10_chat, "op13_centroids": op13_centroids}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -38,4 +38,26 @@ select conv_id, count(*) n_turns, sha256(string_agg(r || chr(10) || x || chr(10)
        bool_and(case r when 'system' then before = '' when 'user' then before in ('', 'system', 'assistant') when 'assistant' then before = 'user' and true else false end and (not last or r = 'assistant')) valid
 from t group by conv_id"""
 
-ORACLES = {"op3_warc": OP3, "op6_substring": OP6, "op8_minhash": OP8, "op10_chat": OP10}
+
+
+def _lloyd(k: int = 40, rounds: int = 5, dims: int = 64, scale: int = 256, seed: int = 2) -> str:
+    """Lloyd's rounds one after the other: m<r> are the centroids before round r, a<r> the assignments by them."""
+    step = """
+     d{r} as materialized (select n, cluster, list_sum(list_transform(list_zip(x.v, m.c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint distance from x, m{r} m),
+     a{r} as materialized (select n, min(distance) distance, arg_min(cluster, (distance, cluster)) cluster from d{r} group by n)"""
+    move = """,
+     s{r} as (select cluster, i, sum(v[i])::hugeint s, count(*) c from a{r} join x using (n), range(1, {dims} + 1) r(i) group by cluster, i),
+     f{r} as (select cluster, list(((s - ((s % c) + c) % c) // c)::bigint order by i) c from s{r} group by cluster),
+     m{n} as materialized (select cluster, coalesce(f.c, m.c) c from m{r} m left join f{r} f using (cluster)),"""
+    every = "".join(step.format(r=r) + (move.format(r=r, n=r + 1, dims=dims) if r < rounds else "") for r in range(rounds + 1))
+    return f"""
+with e as (select vec_id, embedding from embeddings where len(embedding) = {dims} and len(list_filter(embedding, lambda z: z is not null and isfinite(z))) = {dims}),
+     x as materialized (select row_number() over (order by vec_id, embedding) n, vec_id, list_transform(embedding, lambda z: floor({scale} * z::double)::bigint) v from e),
+     m0 as materialized (select (row_number() over (order by sha256('{seed}:' || coalesce(vec_id::varchar, '')), v) - 1)::int cluster, v c from x order by 1 limit {k}),{every}
+select vec_id, cluster, distance, (sum(distance) over (partition by cluster))::bigint cluster_inertia, (sum(distance) over ())::bigint inertia, sha256(array_to_string(c, ',')) centroid_sha256
+from x join a{rounds} using (n) join m{rounds} using (cluster)"""
+
+
+OP13 = _lloyd()
+
+ORACLES = {"op3_warc": OP3, "op6_substring": OP6, "op8_minhash": OP8, "op10_chat": OP10, "op13_centroids": OP13}
