@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, centroids, chat, decontaminate, langid, minhash, packing, quality, sharding, spotsigs, substring, vocabularies, warc
+from . import alignment, bpe, centroids, chat, decontaminate, langid, minhash, packing, quality, sharding, spotsigs, substring, vocabularies, warc
 from .oracle import ORACLES
 from .shared import columns, table
 
@@ -72,12 +72,19 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents", "doc_id"), vocabularies.read(public_tokenizers.path("word_bpe_49k.json")), end=2, capacity=4096)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = (vocabularies.read(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.judged(table(spark, sf_dir, "documents", "doc_id"), a, b)
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, seed=2)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op3_warc": op3_warc, "op4_bpe": op4_bpe, "op5_spotsigs": op5_spotsigs, "op6_substring": op6_substring, "op7_decontaminate": op7_decontaminate, "op8_minhash": op8_minhash, "op9_quality": op9_quality, "op10_chat": op10_chat, "op11_packing": op11_packing, "op13_centroids": op13_centroids}
+    return {"op1_sharding": op1_sharding, "op2_langid": op2_langid, "op3_warc": op3_warc, "op4_bpe": op4_bpe, "op5_spotsigs": op5_spotsigs, "op6_substring": op6_substring, "op7_decontaminate": op7_decontaminate, "op8_minhash": op8_minhash, "op9_quality": op9_quality, "op10_chat": op10_chat, "op11_packing": op11_packing, "op12_alignment": op12_alignment, "op13_centroids": op13_centroids}
 
 
 def oracle_sql() -> dict[str, str]:

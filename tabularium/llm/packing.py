@@ -141,7 +141,7 @@ def tokens(tokenizer: bytes):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_buffer(tokenizer)
-    units = vocabularies.Units([lambda new: [e.ids for e in library.encode_batch_fast(new, add_special_tokens=False)]])
+    units = vocabularies.Units(lambda new: ([e.ids for e in library.encode_batch_fast(new, add_special_tokens=False)],))
     blank = re.compile(r"[ \t\n\r]")
 
     def encode(texts: list[str]) -> Iterator[np.ndarray]:

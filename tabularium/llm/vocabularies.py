@@ -56,16 +56,17 @@ class Flat:
 
 
 class Units:
-    """Numbers of units, in order of appearance, and for each of several encoders the lists of the unit's ids."""
+    """Rows of units, in order of appearance. ``encode`` gives ``kinds`` lists of numbers for each unit (ids, say): first those of one kind for all units,
+    then of the next; ``found`` has them by row."""
 
-    def __init__(self, encoders: list[Callable[[list[str]], list[list[int]]]], most: int = REMEMBERED) -> None:
-        self.encoders, self.most = encoders, most
+    def __init__(self, encode: Callable[[list[str]], tuple[list[list[int]], ...]], kinds: int = 1, most: int = REMEMBERED) -> None:
+        self.encode, self.kinds, self.most = encode, kinds, most
         self._clear()
 
     def _clear(self) -> None:
         self.at: dict[str, int] = {}
         self.characters = 0
-        self.found = [Flat() for _ in self.encoders]
+        self.found = [Flat() for _ in range(self.kinds)]
 
     def rows(self, units: list[str]) -> np.ndarray:
         """A row for each unit; valid until the next call."""
@@ -75,9 +76,9 @@ class Units:
         rows = [get(u, -1) for u in units]
         new = list({u: None for u, r in zip(units, rows, strict=True) if r < 0})
         if new:
-            for encode, flat in zip(self.encoders, self.found, strict=True):
-                for k in range(0, len(new), 4096):
-                    flat.add(encode(new[k : k + 4096]))
+            for k in range(0, len(new), 4096):
+                for flat, lists in zip(self.found, self.encode(new[k : k + 4096]), strict=True):
+                    flat.add(lists)
             base = len(self.at)
             self.at.update({u: base + k for k, u in enumerate(new)})
             rows = [self.at[u] for u in units]
