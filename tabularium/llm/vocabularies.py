@@ -86,9 +86,9 @@ class Units:
         return np.array(rows, np.int64)
 
 
-def stretches(text: str, cut: re.Pattern, most: int = STRETCH) -> Iterator[str]:
-    """A text in parts of about ``most`` characters, cut before the matches of ``cut``."""
-    at = 0
+def stretches(text: str, cut: re.Pattern, most: int | None = None) -> Iterator[str]:
+    """A text in parts of about ``most`` characters (``STRETCH``), cut before the matches of ``cut``."""
+    at, most = 0, most or STRETCH
     while len(text) - at > most:
         hit = cut.search(text, at + most)
         if not hit:
