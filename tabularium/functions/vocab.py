@@ -11,10 +11,21 @@ ORDINALS = [
     ("العاشرة", 10), ("العاشر", 10),
 ]
 
-# Stems that a numbered heading or an issuance marker may name, without and with a second word.
-TEENS = ["الحادي", "الثاني", "الثالث", "الرابع", "الخامس", "السادس", "السابع", "الثامن", "التاسع"]
-STEMS = ["الثاني", "الثالث", "الرابع", "الخامس", "السادس", "السابع", "الثامن", "التاسع", "العاشر"]
-HEADINGS = ["الباب", "الفصل", "القسم", "الكتاب", "الفرع"]
+# Patterns of article markers in normalised text.
+MARKER_ORDINALS = r"الحادي\s+والعشرين|الحادي\s+عشر[ة]?|الثاني\s+عشر[ة]?|الثالث\s+عشر[ة]?|الرابع\s+عشر[ة]?|الخامس\s+عشر[ة]?|السادس\s+عشر[ة]?|السابع\s+عشر[ة]?|الثامن\s+عشر[ة]?|التاسع\s+عشر[ة]?|العشرون|العاشر[ة]?|التاسع[ة]?|الثامن[ة]?|السابع[ة]?|السادس[ة]?|الخامس[ة]?|الرابع[ة]?|الثالث[ة]?|الثاني[ة]?|الاولي|الاول"
+MARKER_LEAD = r"^#{0,6}[ \t]*[:؛.,\-()]{0,2}[ \t]*"
+MARKER_DIGITS = r"[\d٠-٩۰-۹]"
+MARKER_WORD = r"(?:مادة|ماده|المادة|الماده)"
+MARKER_NOT_LAW = r"(?![ \t\n]*من\s+(?:هذا\s+|ذلك\s+)?(?:القانون|المشروع))"
+MARKER_BIS = r"(?:\s*\)?\s*مكرر[ةا]?(?:\s+[أ-ي](?=[\s:\)]))?\s*\)?)?"
+MARKER_ISSUANCE = rf"{MARKER_LEAD}\(\s*المادة\s+(?:{MARKER_ORDINALS})\s*\)"
+MARKER_PAREN = rf"{MARKER_LEAD}{MARKER_WORD}\s*\(\s*{MARKER_DIGITS}+\s*\){MARKER_BIS}{MARKER_NOT_LAW}"
+MARKER_PLAIN = rf"{MARKER_LEAD}{MARKER_WORD}\s+{MARKER_DIGITS}+(?!{MARKER_DIGITS})(?![ \t\n]*[،,]){MARKER_BIS}{MARKER_NOT_LAW}"
+
+# Patterns of numbered headings and of abbreviated markers.
+HEADING_ORDINALS = r"ال[أا]ول[ىة]?|الثاني[ة]?|الثالث[ة]?|الرابع[ة]?|الخامس[ة]?|السادس[ة]?|السابع[ة]?|الثامن[ة]?|التاسع[ة]?|العاشر[ة]?|الحادي\s+عشر[ة]?|الثاني\s+عشر[ة]?|الثالث\s+عشر[ة]?|الرابع\s+عشر[ة]?|الخامس\s+عشر[ة]?|السادس\s+عشر[ة]?|السابع\s+عشر[ة]?|الثامن\s+عشر[ة]?|التاسع\s+عشر[ة]?|العشرون|الحادي\s+والعشرون"
+HEADING = rf"(?:الباب|الفصل|القسم|الكتاب|الفرع)\s+(?:{HEADING_ORDINALS}|\d+|[٠-٩]+)"
+ABBREVIATED = r"(?<!\w)ما\s{0,3}(?=\d)(\d+|[٠-٩]+)"
 
 # Categories of an article, and domains that a law may apply to.
 CATEGORIES = ["تعريف", "حق", "التزام", "إجراء", "عقوبة", "تنظيمية", "انتقالية", "إصدار", "أخرى"]
