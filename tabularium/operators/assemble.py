@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab
+from .places import ranked
 
 
 def keep_last(rows: DataFrame, key: str = "article_id", order: str = "ordinal") -> DataFrame:
@@ -36,20 +35,6 @@ def ordered(rows: DataFrame) -> DataFrame:
     return ranked(rows.withColumns({"_late": late, "_number": number}), "release_rank", "law_id", "_late", "_number", "ordinal", "article_id").drop("_late", "_number")
 
 
-def ranked(rows: DataFrame, name: str, group: str, *order: str) -> DataFrame:
-    """``rows`` with their rank, from 1, in a group. Only the group and the order are sorted; rows that agree in all of them get ranks of their own too."""
-    keys = rows.groupBy(group, *order).agg(F.count("*").alias("_copies"))
-    by = Window.partitionBy(group).orderBy(*order)
-    keys = keys.withColumn("_before", F.sum("_copies").over(by.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_copies"))
-    keys = keys.select(*[F.col(c).alias(f"_{k}") for k, c in enumerate((group, *order))], "_before", "_copies")
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{k}")) for k, c in enumerate((group, *order))])
-    found = rows.join(keys, match).select(*rows.columns, "_before", "_copies")
-    once = found.filter("_copies = 1").withColumn(name, (F.col("_before") + 1).cast("int"))
-    within = Window.partitionBy(group, *order).orderBy(F.lit(1))
-    again = found.filter("_copies > 1").withColumn(name, (F.col("_before") + F.row_number().over(within)).cast("int"))
-    return once.unionByName(again).drop("_before", "_copies")
-
-
 def with_provenance(rows: DataFrame, registry: DataFrame, confidence: DataFrame) -> DataFrame:
     source = registry.select("law_id", F.when(F.col("txt_filename").isNull(), "gemini_ocr").otherwise("text_file").alias("extraction_source"))
     out = rows.join(source, "law_id").join(confidence.select("law_id", "confidence_score"), "law_id", "left")

@@ -17,7 +17,10 @@ from ..functions import text as T
 from ..functions import vocab
 from ..sources.stages import stored
 from . import release
-from .assemble import ranked
+from .places import ranked
+
+#: Bits of a node within a batch: 2 * ``size`` nodes at most.
+_NODE_BITS = 24
 
 METADATA = "article_id string, topic string, keywords array<string>, article_summary string, article_category string, legal_entities array<string>, concepts array<string>, applicable_to array<string>"
 
@@ -158,6 +161,36 @@ def cascade(work: DataFrame, laws: DataFrame, client: Callable = stub_client, si
     return done.unionByName(rows)
 
 
+def bisected(work: DataFrame, laws: DataFrame, client: Callable = stub_client, size: int = vocab.BATCH_SIZE, concepts: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(metadata, calls) by halving what isn't answered, until nothing is left: one bad article of n costs some 2 * log2(n) calls, not n.
+
+    The frontier is a table of articles with the node (root 1, halves 2k and 2k + 1) of the batch whose call they are in. All nodes of a level are asked at
+    once; each level's answers are a stage table, so a lost executor repeats no call. What a call leaves out is halved, in order;
+    a node of one article is asked by itself and, if it fails, stays without metadata. At most log2(``size``) + 1 levels. ``calls``: (law_id, batch, node,
+    level, count, error)."""
+    frontier = batched(work, size).withColumn("node", F.lit(1).cast("long"))
+    level, got, calls = 0, None, None
+    while True:
+        alone = F.count("*").over(Window.partitionBy("law_id", "batch", "node")) == 1  # ``size`` rows at most
+        frontier = stored(frontier.withColumn("_alone", alone), "frontier")
+        if frontier.isEmpty():
+            break
+        many = frontier.filter("not _alone")
+        packed = frontier.withColumn("batch", F.shiftleft("batch", _NODE_BITS) + F.col("node"))
+        one = packed.filter("_alone").drop("sequence_index").withColumn("sequence_index", F.col("batch"))  # a single prompt's batch is its place
+        asked = prompts(packed.filter("not _alone"), laws).unionByName(single_prompts(one))
+        replies = stored(called(asked, client), "replies")
+        fresh = parsed(replies, concepts).dropDuplicates(["article_id"])
+        told = replies.select("law_id", F.shiftright("batch", _NODE_BITS).alias("batch"), F.col("batch").bitwiseAND(F.lit((1 << _NODE_BITS) - 1)).alias("node"), F.lit(level).alias("level"), "count", "error")
+        got, calls = fresh if got is None else got.unionByName(fresh), told if calls is None else calls.unionByName(told)
+        left = many.join(fresh.select("article_id"), "article_id", "left_anti").drop("_alone")
+        by = Window.partitionBy("law_id", "batch", "node")
+        second = F.row_number().over(by.orderBy("sequence_index", "article_id")) > F.floor(F.count("*").over(by) / 2)
+        frontier, level = left.withColumn("node", F.col("node") * 2 + second.cast("long")), level + 1
+    empty = work.sparkSession.createDataFrame([], METADATA), work.sparkSession.createDataFrame([], "law_id string, batch long, node long, level int, count long, error string")
+    return (empty[0] if got is None else got), (empty[1] if calls is None else calls)
+
+
 def merged(found: DataFrame, fresh: DataFrame, cache: DataFrame) -> DataFrame:
     """Articles with metadata: fresh before cached before none (error ``not_reached``)."""
     names = ["topic", "article_category", "enrichment_model", "enrichment_status", "enrichment_error"]

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..operators.assemble import ranked
+from ..operators.places import ranked
+from ..sources.stages import once
 
 LATIN, ARABIC = "abcdefghijklmnopqrstuvwxyzéèêçóñ", "أبتثجحخدإرزسشصضطظعغفقكلىئهَـٌّآو"
 
@@ -56,7 +57,12 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A cheap article table: a source is a law, a document an article; numbers and ids repeat now and then."""
+    """A cheap article table: a source is a law, a document an article; numbers and ids repeat now and then. A stage table, made once for an application
+    and folder, as most queries read it."""
+    return once(spark, f"articles of {sf_dir}", lambda: _articles(spark, sf_dir))
+
+
+def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ranked(table(spark, sf_dir, "documents"), "rn", "source", "doc_id")
     words = F.size(F.filter(F.split("text", r"\s+"), lambda w: w != ""))
     return rows.select(

@@ -200,6 +200,12 @@ _SELECTS: dict[str, str | tuple[str, str]] = {
     "review_articles": ("select e.article_id, e.law_id, article_number, article_number_raw, article_type, article_category, topic, coalesce(array_to_string(keywords, ' | '), '') keywords, coalesce(array_to_string(legal_entities, ' | '), '') legal_entities, article_summary, is_repealed, e.word_count, e.char_count, coalesce(c.n, 0) chunk_count, coalesce(enrichment_error, '') enrichment_error, '' review_status, '' review_notes, md5(e.text) \"text\" from enriched e left join (select article_id, count(*) n from chunks join enriched on id = doc_id::varchar group by article_id) c using (article_id)", _ENRICHED_CHUNKS),
     "review_chunks": ("select article_id || '_C' || lpad((chunk_index + 1)::varchar, 3, '0') chunk_id, article_id, chunk_index, count(*) over (partition by id) chunk_total, coalesce(array_to_string(keywords, ' | '), '') keywords, coalesce(array_to_string(legal_entities, ' | '), '') legal_entities, article_category, '' review_status, md5(c.text) text_md5 from chunks c join enriched e on id = doc_id::varchar", _ENRICHED_CHUNKS),
     "review_stats": ("select e.law_id, count(*) total_articles, count(*) filter (where article_type = 'issuance') issuance_articles, count(*) filter (where article_type <> 'issuance') main_articles, count(*) filter (where coalesce(enrichment_error, '') <> '') enrichment_errors, sum(coalesce(c.n, 0))::bigint total_chunks, count(*) filter (where c.n > 1) multi_chunk_articles, count(*) filter (where coalesce(c.n, 0) <= 1) single_chunk_articles from enriched e left join (select article_id, count(*) n from chunks join enriched on id = doc_id::varchar group by article_id) c using (article_id) group by e.law_id", _ENRICHED_CHUNKS),
+    "review_priority": """select row_number() over (order by priority desc, law_id, sequence_index) review_rank, article_id, doc_id, priority from (select e.law_id, e.article_id, doc_id, sequence_index,
+      coalesce(100 * errors + 10 * warnings, 0)::bigint + case when l.txt_filename is null then 20 else 0 end priority from enriched e left join laws l using (law_id)
+      left join (select article_id, count(*) filter (where severity = 'error') errors, count(*) filter (where severity = 'warning') warnings from corpus_found group by article_id) i using (article_id))""",
+    "bisect_calls": """select law_id, batch, count(*) calls, max(level) + 1 levels, count(*) filter (where list_contains(l, true)) failed, sum(len(l))::bigint asked, any_value(n) - any_value(bad) answered from nodes group by law_id, batch""",
+    "nearest_exact": """select query_id, rank, vec_id, round(distance, 6) distance from (select *, row_number() over (partition by query_id order by distance, vec_id) rank from (select q.vec_id query_id, e.vec_id,
+      list_sum(list_transform(list_zip(q.embedding, e.embedding), lambda p: (p[1]::double - p[2]::double) * (p[1]::double - p[2]::double))) distance from embeddings q, embeddings e where q.vec_id % 100 = 0 and e.vec_id <> q.vec_id)) where rank <= 10""",
     "corpus_issues": "select law_id, article_id, code, field, severity from corpus_found",
     "issue_summary": "select code, count(*) n, count(*) filter (where severity = 'error') errors, count(*) filter (where severity = 'warning') warnings from corpus_found group by code",
     "corpus_gate": "select l.law_id, count(*) filter (where severity = 'error') errors, count(*) filter (where severity = 'warning') warnings, count(*) filter (where severity = 'error') = 0 passed from laws l left join corpus_found c using (law_id) group by l.law_id",
@@ -220,6 +226,9 @@ _SELECTS: dict[str, str | tuple[str, str]] = {
     "source_resolution": "select law_id, coalesce(txt_filename, pdf_filename) source, doc_id % 6 <> 1 there, case when txt_filename is not null then 'a|' || law_id else pdf_filename end keys, case when txt_filename is not null then '****a|****' || right(law_id, 3) else '****pdf' end masked from registry",
     "quick_confidence_route": "select q.law_id, q.quick, case when txt_filename is not null then 'plaintext' when substring(q.law_id, 6, 1) = '5' then 'cached' when quick >= 0.85 then 'pymupdf' else 'gemini_ocr' end || case when d.twice then '+dedup_stripped' else '' end route from (select law_id, txt_filename, case when char_count < 200 then 0.0::double else floor((greatest(0.0::double, 1.0::double - abs(1.0::double - share::double)) * 0.25::double + acd::double * 0.25::double + least(1.0::double, share::double) * 0.25::double + shc::double * 0.15::double + greatest(0.0::double, 1.0::double - cs::double / 0.05::double) * 0.1::double) * 10000 + 0.5000001::double) / 10000 end quick from shares) q join (select law_id, coalesce(nh >= 10 and nh % 2 = 0 and numbers[1:nh // 2] = numbers[nh // 2 + 1:] and (length(text) - cut) / greatest(cut, 1)::double between 0.6 and 1.5, false) twice from doubled_kept) d using (law_id)",
 }
+CTES["numbered_batches"] = "select law_id, doc_id, sequence_index, (row_number() over (partition by law_id order by sequence_index) - 1) // 150 batch from articles"
+CTES["nodes"] = """with recursive t(law_id, batch, l, level, n, bad) as (select law_id, batch, list(doc_id % 100 in (13, 77) order by sequence_index), 0::bigint, count(*), count(*) filter (where doc_id % 100 in (13, 77)) from numbered_batches group by law_id, batch
+      union all select law_id, batch, unnest([l[1:len(l) // 2], l[len(l) // 2 + 1:]]), level + 1, n, bad from t where len(l) > 1 and list_contains(l, true)) select * from t"""
 CTES["doubled_kept"] = """select c.law_id, c.text, len(h.numbers) nh, h.numbers numbers, (select sum(coalesce(length(marker), 0) + length(body)) from hits p where p.law_id = c.law_id and p.k <= coalesce(len(h.numbers), 0) // 2)::bigint cut
       from clean c left join (select law_id, list(number order by k) numbers from numbered group by law_id) h using (law_id)"""
 _SHARE = "((articles_found * 1000 // expected_article_count + EXTRA) // 10)::varchar || '.' || ((articles_found * 1000 // expected_article_count + EXTRA) % 10)::varchar || '%'".replace(

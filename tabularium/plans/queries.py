@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..clients import remote
 from ..functions import markers, text, vocab
-from ..operators import assemble, chunk, cleanup, confidence, corpus_checks, enrich, refs, release, review, split, split_checks
+from ..operators import assemble, chunk, cleanup, confidence, corpus_checks, enrich, nearest, places, refs, release, review, split, split_checks
 from ..sources import readers, sinks
 from ..sources.stages import run_dir, stored, temporary
 from . import fixtures as X
@@ -305,6 +305,51 @@ def review_stats(s, d):
     return review.stats(X.enriched(s, d), _chunked(s, d))
 
 
+@query
+def review_priority(s, d):
+    """All articles in the order in which reviewers see them: a rank over the whole corpus."""
+    rows, laws_ = X.enriched(s, d), X.article_registry(s, d)
+    queue = review.prioritised(rows, corpus_checks.issues(rows, laws_), laws_)
+    return queue.select("review_rank", "article_id", "doc_id", "priority")
+
+
+def _refusing(frames):
+    """The offline client, which refuses prompts that hold an id ending in 13 or 77."""
+    for frame in enrich.stub_client(frames):
+        bad = frame["prompt"].str.contains(r'<article id="[^"]*(?:13|77)"', regex=True)
+        yield frame.assign(reply=frame["reply"].where(~bad, None), error=bad.map({True: "refused", False: None}))
+
+
+@query
+def bisect_calls(s, d):
+    """Calls of the binary split where some articles make any prompt fail that holds them."""
+    text = F.regexp_replace("text", r'["<>\\]', " ").alias("text")
+    work = X.articles(s, d).select("law_id", F.concat("law_id", F.lit("_"), F.col("doc_id").cast("string")).alias("article_id"), "article_type", "sequence_index", text)
+
+    got, calls = enrich.bisected(work, X.article_registry(s, d), _refusing)
+    answered = enrich.batched(work).join(got.select("article_id"), "article_id").groupBy("law_id", "batch").agg(F.count("*").alias("answered"))
+    out = calls.groupBy("law_id", "batch").agg(F.count("*").alias("calls"), (F.max("level") + 1).alias("levels"), F.count("error").alias("failed"), F.sum("count").alias("asked"))
+    return out.join(answered, ["law_id", "batch"], "left").na.fill(0, ["answered"])
+
+
+def _vectors(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = nearest.kept(X.table(s, d, "embeddings"), 64)
+    return rows, rows.filter("id % 100 = 0")
+
+
+@query
+def nearest_exact(s, d):
+    found = nearest.exact(*_vectors(s, d), dims=64)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.round("distance", 6).alias("distance"))
+
+
+@query
+def nearest_indexed(s, d):
+    """The same by the index: approximate, recall is measured in the tests."""
+    found = nearest.searched(*_vectors(s, d), dims=64)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.round("distance", 6).alias("distance"))
+
+
 @query
 def corpus_issues(s, d):
     return corpus_checks.issues(X.enriched(s, d), X.article_registry(s, d)).drop("message")

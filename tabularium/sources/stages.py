@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +37,18 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     df.write.parquet(path)
     temporary(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_MADE: dict[tuple[str, str], tuple[str, object]] = {}
+
+
+def once(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A stage table that several jobs of an application read: written at the first call, read from then on."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _MADE:
+        df, path = make(), run_dir(spark, "once")
+        df.write.parquet(path)
+        temporary(spark, path)
+        _MADE[key] = (path, df.schema)
+    path, schema = _MADE[key]
+    return spark.read.schema(schema).parquet(path)

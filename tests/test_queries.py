@@ -21,7 +21,11 @@ def plain(rows):
     return sorted(tuple(repr(round(v, 6)) if isinstance(v, float) else repr(v) for v in row) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+#: Queries whose rows SQL can't state; tested elsewhere.
+APPROXIMATE = {"nearest_indexed"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - APPROXIMATE))
 def test_query_equals_sql(spark, name):
     import duckdb
 
@@ -36,7 +40,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_all_queries_have_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) | APPROXIMATE
 
 
 def test_entry_works_without_the_optional_parts(tmp_path):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabularium.clients import keys
-from tabularium.operators import assemble, corpus_checks, enrich, refs, release
+from tabularium.operators import assemble, corpus_checks, enrich, places, refs, release
 from tabularium.sources import readers, sinks
 from tabularium.streaming import incremental
 
@@ -195,7 +195,7 @@ def test_a_resting_key_is_limited_once():
 
 def test_ranks_sort_ids_only(spark):
     rows = spark.createDataFrame([("A", 3, "x"), ("A", 1, "y"), ("A", 1, "y"), ("A", None, "z"), (None, 2, "w"), ("B", 5, "v")], "law_id string, n int, text string")
-    got = sorted((r["law_id"] or "", r["r"], r["text"]) for r in assemble.ranked(rows, "r", "law_id", "n").collect())
+    got = sorted((r["law_id"] or "", r["r"], r["text"]) for r in places.ranked(rows, "r", "law_id", "n").collect())
     assert got == [("", 1, "w"), ("A", 1, "z"), ("A", 2, "y"), ("A", 3, "y"), ("A", 4, "x"), ("B", 1, "v")]
 
 
