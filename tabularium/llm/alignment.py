@@ -25,6 +25,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -132,6 +133,8 @@ class Aligner:
     """Both vocabularies on an executor: what becomes of a list of texts."""
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
+    #: Whether a unit may stand between two others.
+    INNER = re.compile(r"\S(.*\S)?", re.DOTALL).fullmatch
 
     def __init__(self, a: bytes, b: bytes) -> None:
         import sentencepiece
@@ -140,7 +143,7 @@ class Aligner:
 
         own = Tokenizer.from_buffer(a)
         own.encode_special_tokens = True
-        alphabet, chars = byte_characters(), ByteLevel.alphabet()
+        alphabet, chars = vocabularies.byte_characters(), ByteLevel.alphabet()
         if set(alphabet.values()) != set(chars):
             raise ValueError("A isn't a byte-level vocabulary")
         back = {c: bytes([x]) for x, c in alphabet.items()}
@@ -157,33 +160,37 @@ class Aligner:
         self.width, self.digits = len(pieces), Digits(max(size_a, len(pieces)))
 
         def encode(new: list[str]) -> tuple[list[list[int]], ...]:
-            ids_a, ids_b = [e.ids for e in own.encode_batch_fast([" " + u for u in new], add_special_tokens=False)], other.encode(new, num_threads=1)
-            join = lambda pieces, ids: b"".join([pieces[i] for i in ids])
-            same = [[int(join(self.bytes_a, x) == b" " + u.encode() == join(self.bytes_b, y))] for u, x, y in zip(new, ids_a, ids_b, strict=True)]
-            return ids_a, ids_b, same
+            one = lambda units: [e.ids for e in own.encode_batch_fast(units, add_special_tokens=False)]
+            want = [b" " + u.encode() for u in new]
+            ids_b, ends = other.encode(new, num_threads=1), np.cumsum([len(u) for u in want])
+            ids_a = None
+            if all(self.INNER(u) for u in new):  # one call for all units: cut where each ends
+                ids = np.array(one([" " + " ".join(new)])[0], np.int64)
+                at = np.cumsum(self.len_a[ids])
+                cut = np.searchsorted(at, ends)
+                if len(at) and at[-1] == ends[-1] and (at[cut] == ends).all():
+                    ids, cut = ids.tolist(), [0, *(cut + 1).tolist()]
+                    ids_a = [ids[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
+            ids_a = one([" " + u for u in new]) if ids_a is None else ids_a
+            good = [1] * len(new)
+            for pieces, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b)):
+                if b"".join(map(pieces.__getitem__, chain.from_iterable(ids))) != b"".join(want):
+                    good = [g & (b"".join([pieces[i] for i in x]) == w) for g, x, w in zip(good, ids, want, strict=True)]
+            return ids_a, ids_b, [[int(g)] for g in good]
 
         self.units = vocabularies.Units(encode, kinds=3)
 
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of A and B, or None if there are none."""
-        if not text:
-            return None
-        a, b, good, lead = [], [], True, 0
-        for part in vocabularies.stretches(text, self.CUT):
-            rows = self.units.rows(self.CUT.split(part[lead:]))  # a stretch but the first begins with the blank of its cut
-            lead = 1
-            (x, _), (y, _), (same, _) = (f.take(rows) for f in self.units.found)
-            a.append(x)
-            b.append(y)
-            good &= bool(same.all())
-        return (np.concatenate(a), np.concatenate(b)) if good else None
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of A and B of each text, none where a text has none."""
+        split = lambda part, first: self.CUT.split(part if first else part[1:])  # noqa: E731  the blank of a cut is part of the unit behind it
+        none = np.zeros(0, np.int64)
+        return [(a, b) if text and same.all() else (none, none) for text, a, b, same in zip(texts, *self.units.texts(texts, split, self.CUT), strict=True)]
 
     def align(self, texts: list[str | None]) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray]:
         """A dict of counts and digest for each text, and (text, pair, times) of all links."""
-        held = [self.tokens(t or "") for t in texts]
-        none = np.zeros(0, np.int64)
-        n_a, n_b = (np.array([0 if h is None else len(h[k]) for h in held], np.int64) for k in (0, 1))
-        ids_a, ids_b = (np.concatenate([none, *[h[k] for h in held if h is not None]]) for k in (0, 1))
+        held = self.tokens([t or "" for t in texts])
+        n_a, n_b = (np.array([len(h[k]) for h in held], np.int64) for k in (0, 1))
+        ids_a, ids_b = (np.concatenate([h[k] for h in held]) for k in (0, 1))
         first_a, first_b = np.append(0, np.cumsum(n_a)), np.append(0, np.cumsum(n_b))
         found = groups(np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b]), first_a, first_b)
         a0, a1, b0, b1 = found
@@ -204,13 +211,6 @@ class Aligner:
         return rows, *links(ids_a, ids_b, found, doc, self.width)
 
 
-def byte_characters() -> dict[int, str]:
-    """The character that stands for each byte in a byte-level vocabulary: printable bytes themselves, the others from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(rest)}
-
-
 _DOC = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 _TABLE = f"chunk long, {_DOC}, at array<int>, times array<int>, pairs array<long>, docs array<int>"
 _NAMES = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]

@@ -24,6 +24,7 @@ task, is taken; other columns are ignored. Special tokens' strings in a text are
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -136,23 +137,73 @@ class Pool:
         yield from self.take()
 
 
+#: What a unit is made of whose words are known without the library: ASCII and the letters of Latin-1, whose lower case and composition depend on
+#: nothing else. ``WORDS``: the vocabulary's own pattern for lower-case units of these characters.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
+WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
+#: Byte that ends a word, as it can't occur in UTF-8.
+END = b"\xff"
+
+
+def plain_words(tokenizer: bytes):
+    """A function from units to their ids, None for units that aren't ``PLAIN`` or may hold a special token. The merges of a word are those of the rank
+    library's core: a word's last character and its end are merged first, then pairs by rank, as ids rise with the merges. A vocabulary that isn't of this
+    kind gives None."""
+    import tiktoken
+
+    rule = json.loads(tokenizer)
+    model, special = rule["model"], {t["content"] for t in rule["added_tokens"]}
+    vocabulary = {t: i for t, i in model["vocab"].items() if t not in special}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [vocabulary.get(a + b, -1) for a, b in pairs]
+    steps = [x.get("type") for k in ("normalizer", "pre_tokenizer") for x in (rule[k] or {}).get("normalizers", (rule[k] or {}).get("pretokenizers", []))]
+    if steps != ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"] or model["end_of_word_suffix"] != "</w>" or ids != sorted(set(ids)) or ids[:1] != [512] or not all("<|" in x for x in special):
+        return None
+    byte_of = {c: bytes([b]) for b, c in vocabularies.byte_characters().items()}
+    ranks = {b"".join(byte_of[c] for c in t.removesuffix("</w>")) + (END if t.endswith("</w>") else b""): i for t, i in vocabulary.items()}
+    merged = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+    def encode(new: list[str]) -> list[list[int] | None]:
+        return [[i for w in WORDS(u.lower()) for i in merged(w.encode() + END)] if not u or PLAIN(u) and "<|" not in u else None for u in new]
+
+    return encode
+
+
+#: Stands between units that are encoded in one call; units that hold it are encoded by themselves.
+MARK = "\ue000"
+
+
 def tokens(tokenizer: bytes):
     """A function from texts to their ids (an array for each)."""
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_buffer(tokenizer)
-    units = vocabularies.Units(lambda new: ([e.ids for e in library.encode_batch_fast(new, add_special_tokens=False)],))
+    one = lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    mark = np.array(one([MARK])[0])
+
+    def encode(new: list[str]) -> tuple[list[list[int]]]:
+        """One call for all units: the mark between blanks is a token run of its own, which no unit without it can hold."""
+        if any(MARK in u for u in new):
+            return (one(new),)
+        ids = np.array(one([f" {MARK} ".join(new)])[0], np.int64)
+        at = np.flatnonzero(np.all([ids[k : len(ids) - len(mark) + 1 + k] == mark[k] for k in range(len(mark))], axis=0)) if len(ids) >= len(mark) else np.zeros(0, np.int64)
+        if len(at) != len(new) - 1:
+            return (one(new),)
+        ids, starts, ends = ids.tolist(), [0, *(at + len(mark)).tolist()], [*at.tolist(), len(ids)]
+        return ([ids[a:b] for a, b in zip(starts, ends, strict=True)],)
+
+    plain = plain_words(tokenizer)
+
+    def both(new: list[str]) -> tuple[list[list[int]]]:
+        found = plain(new) if plain else [None] * len(new)
+        rest = [u for u, x in zip(new, found, strict=True) if x is None]
+        others = iter(encode(rest)[0] if rest else [])
+        return ([next(others) if x is None else x for x in found],)
+
+    units = vocabularies.Units(both)
+    split = lambda part, first: part.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
     blank = re.compile(r"[ \t\n\r]")
-
-    def encode(texts: list[str]) -> Iterator[np.ndarray]:
-        for text in texts:
-            parts = []
-            for part in vocabularies.stretches(text, blank):
-                found = units.rows(part.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
-                parts.append(units.found[0].take(found)[0])
-            yield parts[0] if len(parts) == 1 else np.concatenate(parts)
-
-    return encode
+    return lambda texts: units.texts(texts, split, blank)[0]
 
 
 def packed(documents: DataFrame, tokenizer: bytes, end: int = 2, capacity: int = 4096, cost: Cost = Cost(), ids: bool = False, pool: int = POOL) -> DataFrame:

@@ -8,7 +8,9 @@ travel as bytes, so no task needs a path.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import chain, count, islice
 
 import numpy as np
 
@@ -30,6 +32,13 @@ def read(path: str) -> bytes:
         return f.read()
 
 
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable bytes themselves, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(rest)}
+
+
 class Flat:
     """Integer lists end to end in one growing array."""
 
@@ -43,7 +52,7 @@ class Flat:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.rows + len(lists) > len(self.first):
             self.first, self.n = np.concatenate([self.first, np.zeros_like(self.first)]), np.concatenate([self.n, np.zeros_like(self.n)])
-        self.flat[self.used : self.used + more] = np.fromiter((i for x in lists for i in x), np.int64, more)
+        self.flat[self.used : self.used + more] = np.fromiter(chain.from_iterable(lists), np.int64, more)
         self.first[self.rows : self.rows + len(lists)] = self.used + np.cumsum(counts) - counts
         self.n[self.rows : self.rows + len(lists)] = counts
         self.used, self.rows = self.used + more, self.rows + len(lists)
@@ -64,7 +73,7 @@ class Units:
         self._clear()
 
     def _clear(self) -> None:
-        self.at: dict[str, int] = {}
+        self.at: dict[str, int] = defaultdict(count().__next__)
         self.characters = 0
         self.found = [Flat() for _ in range(self.kinds)]
 
@@ -72,18 +81,26 @@ class Units:
         """A row for each unit; valid until the next call."""
         if len(self.at) > self.most or self.characters > CHARACTERS:
             self._clear()
-        get = self.at.get
-        rows = [get(u, -1) for u in units]
-        new = list({u: None for u, r in zip(units, rows, strict=True) if r < 0})
-        if new:
-            for k in range(0, len(new), 4096):
-                for flat, lists in zip(self.found, self.encode(new[k : k + 4096]), strict=True):
-                    flat.add(lists)
-            base = len(self.at)
-            self.at.update({u: base + k for k, u in enumerate(new)})
-            rows = [self.at[u] for u in units]
-            self.characters += sum(map(len, new))
-        return np.array(rows, np.int64)
+        known = len(self.at)
+        rows = np.fromiter(map(self.at.__getitem__, units), np.int64, len(units))
+        new = list(islice(reversed(self.at), len(self.at) - known))[::-1]
+        for k in range(0, len(new), 4096):
+            for flat, lists in zip(self.found, self.encode(new[k : k + 4096]), strict=True):
+                flat.add(lists)
+        self.characters += sum(map(len, new))
+        return rows
+
+    def texts(self, texts: list[str], split: Callable[[str, bool], list[str]], cut: re.Pattern) -> list[list[np.ndarray]]:
+        """Of each kind the numbers of each text, whose units are what ``split`` gives for its stretches (true: the text's first)."""
+        out: list[list[list[np.ndarray]]] = [[[] for _ in texts] for _ in range(self.kinds)]
+        for run in _runs(texts, cut):
+            lists = [split(part, first) for _, part, first in run]
+            rows, ends = self.rows([u for x in lists for u in x]), np.cumsum([len(x) for x in lists])[:-1]
+            for flat, own in zip(self.found, out, strict=True):
+                numbers, n = flat.take(rows)
+                for (k, *_), part in zip(run, np.split(numbers, np.append(0, np.cumsum(n))[ends]), strict=True):
+                    own[k].append(part)
+        return [[x[0] if len(x) == 1 else np.concatenate(x) for x in own] for own in out]
 
 
 def stretches(text: str, cut: re.Pattern, most: int | None = None) -> Iterator[str]:
@@ -96,3 +113,17 @@ def stretches(text: str, cut: re.Pattern, most: int | None = None) -> Iterator[s
         yield text[at : hit.start()]
         at = hit.start()
     yield text[at:]
+
+
+def _runs(texts: list[str], cut: re.Pattern) -> Iterator[list[tuple[int, str, bool]]]:
+    """Stretches of texts, with the text's number and whether it is its first, in runs of about ``STRETCH`` characters."""
+    run, held = [], 0
+    for k, text in enumerate(texts):
+        for j, part in enumerate(stretches(text, cut)):
+            run.append((k, part, j == 0))
+            held += len(part)
+            if held >= STRETCH:
+                yield run
+                run, held = [], 0
+    if run:
+        yield run

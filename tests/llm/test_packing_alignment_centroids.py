@@ -68,18 +68,31 @@ def test_packing_of_texts_beyond_a_stretch_and_of_nothing(spark, library, monkey
     monkeypatch.setattr(vocabularies, "STRETCH", 50)
     rng = random.Random(4)
     for text in [*STRANGE, prose(rng, 500)]:
-        got = next(packing.tokens(WORD)([text])).tolist()
+        got = packing.tokens(WORD)([text])[0].tolist()
         assert got == library.encode(text, add_special_tokens=False).ids
         parts = list(vocabularies.stretches(text, packing.re.compile(r"[ \t\n\r]"), 50))
         assert "".join(parts) == text
         units = packing.tokens(WORD)
-        assert [i for p in parts for i in next(units([p])).tolist()] == got
+        assert [i for p in parts for i in units([p])[0].tolist()] == got
     assert packing.packed(frame(spark, []), WORD).count() == 0
     repeats = frame(spark, ["same text", "same text", None], [7, 7, 8]).withColumn("doc_id", F.when(F.col("doc_id") == 7, 7).cast("long"))
     rows = packing.packed(repeats, WORD).collect()
     assert sum(r["length"] for r in rows) == 2 * (len(library.encode("same text").ids) + 1) + 1 and {r["doc_id"] for r in rows} == {7, None}
 
 
+def test_plain_words_are_those_of_the_library(library):
+    rng = random.Random(14)
+    plain = packing.plain_words(WORD)
+    chars = "".join(map(chr, range(0x21, 0x7F))) + "ÀÉÎÕÜßàéîõüÿØøÞ" + "aeinrst" * 6 + "AEST'" * 3
+    units = ["".join(rng.choice(chars) for _ in range(rng.randint(1, 14))) for _ in range(30_000)]
+    units += [t.removesuffix("</w>") for t in library.get_vocab()] + ["'S'T'rE", "don't", "x" * 3000, "", "<|endoftext|>", "日本", "a×b", "12ab", "ſ", "İ"]
+    got = plain(units)
+    known = [k for k, x in enumerate(got) if x is not None]
+    assert len(known) > 60_000 and got[units.index("<|endoftext|>")] is None and got[units.index("İ")] is None
+    want = library.encode_batch([units[k] for k in known], add_special_tokens=False)
+    assert [got[k] for k in known] == [e.ids for e in want]
+
+
 def test_assignment_goes_to_the_lowest_cost_that_has_room():
     rng = np.random.default_rng(5)
     cost = packing.Cost(1.0, 0.01)
@@ -113,7 +126,7 @@ def brute(texts):
 
     a_library, b_library = Tokenizer.from_buffer(BYTE), sentencepiece.SentencePieceProcessor(model_proto=PIECE)
     a_library.encode_special_tokens = True
-    byte_of = {c: b for b, c in alignment.byte_characters().items()}
+    byte_of = {c: b for b, c in vocabularies.byte_characters().items()}
     token = {i: t for t, i in a_library.get_vocab().items()}
 
     def piece(i):
@@ -171,11 +184,10 @@ def test_alignment_in_stretches_and_of_large_groups(monkeypatch):
     rng = random.Random(7)
     texts = [*STRANGE, prose(rng, 400)]
     one = alignment.Aligner(BYTE, PIECE)
-    whole = [one.tokens(t) for t in texts]
+    whole = one.tokens(texts)
     monkeypatch.setattr(vocabularies, "STRETCH", 20)
-    parts = [one.tokens(t) for t in texts]
-    same = lambda x, y: x is y is None or x is not None and y is not None and all(map(np.array_equal, x, y))
-    assert all(map(same, whole, parts))
+    again = alignment.Aligner(BYTE, PIECE)
+    assert all(np.array_equal(x, y) for p in (one, again) for q, r in zip(whole, p.tokens(texts), strict=True) for x, y in zip(q, r, strict=True))
     a, b = np.array([1, 2, 1, 3, 2]), np.array([4, 4, 5])
     found = tuple(np.array([x]) for x in (0, 5, 0, 3))
     small = alignment.links(a, b, found, np.array([0]), 10)
