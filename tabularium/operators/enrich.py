@@ -9,7 +9,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -84,6 +84,17 @@ def failing_client(most: int) -> Callable:
     return run
 
 
+def refusing_client(pattern: str) -> Callable:
+    """A client for trials: the offline one, which refuses prompts that the pattern occurs in."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in stub_client(frames):
+            bad = frame["prompt"].str.contains(pattern, regex=True)
+            yield frame.assign(reply=frame["reply"].where(~bad, None), error=bad.map({True: "refused", False: None}))
+
+    return run
+
+
 def called(requests: DataFrame, client: Callable = stub_client) -> DataFrame:
     """(law_id, batch, count, prompt, reply, error): the only step that may leave the cluster."""
     return requests.mapInPandas(client, StructType([*requests.schema.fields]).add("reply", "string").add("error", "string"))
@@ -131,6 +142,11 @@ def semantic_prompts(long: DataFrame, limit: int = vocab.CHUNK_WORDS) -> DataFra
     return long.filter(T.word_count(text) > limit).select("article_id", F.concat(head, text, F.lit("\n</article>")).alias("prompt"))
 
 
+def none(spark: SparkSession) -> DataFrame:
+    """No metadata at all, in the form of ``cascade``."""
+    return spark.createDataFrame([], METADATA + ", enrichment_model string, enrichment_status string, enrichment_error string")
+
+
 def cascade(work: DataFrame, laws: DataFrame, client: Callable = stub_client, size: int = vocab.BATCH_SIZE, model: str = "primary", concepts: Column | None = None) -> DataFrame:
     """Metadata of all articles of a work list: whole batches, then halves of batches that failed altogether, then one by one; what is still
     missing is a row with an error. Each level's answers are a stage table, so no call is made twice.

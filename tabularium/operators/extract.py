@@ -16,13 +16,13 @@ def extracted(registry: DataFrame, texts: DataFrame, cache: DataFrame | None = N
     """(law_id, text, extraction_source, char_count, page_count, arabic_density, replacement_density, success, error), a row for each law.
 
     ``texts`` (name, raw_text) are whole text files, ``cache`` (law_id, text) what an earlier run left, ``native`` (name, raw_text, page_count) texts out of
-    documents, which count if their quick score is good enough. ``recognise`` takes (name, page_count) of the others and returns (name,
+    documents, whose presentation forms are folded before anything looks for markers, and which count if their quick score is good enough. ``recognise`` takes (name, page_count) of the others and returns (name,
     raw_text); it is asked for no law that has a text already. A law that no source has a text for fails, and has no text. A null or blank text is none."""
     there = lambda c: T.utrim(F.coalesce(F.col(c), F.lit(""))) != ""
     laws = registry.select("law_id", "txt_filename", "pdf_filename", "expected_article_count", "expected_chapter_headings")
     rows = laws.join(texts.select(F.col("name").alias("txt_filename"), F.col("raw_text").alias("_plain")), "txt_filename", "left")
     rows = rows.join(cache.select("law_id", F.col("text").alias("_cached")), "law_id", "left") if cache is not None else rows.withColumn("_cached", F.lit(None).cast("string"))
-    pages = native.select(F.col("name").alias("pdf_filename"), F.coalesce("raw_text", F.lit("")).alias("text"), "page_count") if native is not None else None
+    pages = native.select(F.col("name").alias("pdf_filename"), T.standard_forms(F.coalesce("raw_text", F.lit(""))).alias("text"), "page_count") if native is not None else None
     if pages is None:
         rows = rows.withColumns({"_native": F.lit(None).cast("string"), "page_count": F.lit(0)})
     else:

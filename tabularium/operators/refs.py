@@ -36,6 +36,15 @@ def number_index(assembled: DataFrame) -> DataFrame:
     return rows.groupBy("law_id", F.col("article_number").alias("number")).agg(F.max_by("article_id", order).alias("target"))
 
 
+def dangling(assembled: DataFrame) -> DataFrame:
+    """(law_id, article_id, number, repealed): numbers that an article refers to and that no article of its law has (``repealed`` false), or only a repealed one.
+    Numbers of one article are told once; the index has a row for each law and number, so a number that all articles cite is joined by Spark's skew join."""
+    cited = assembled.select("law_id", "article_id", F.explode("cross_refs").alias("ref")).select("law_id", "article_id", F.explode("ref.article_numbers").alias("number")).distinct()
+    there = assembled.filter("article_number is not null").groupBy("law_id", F.col("article_number").alias("number")).agg(F.bool_and(F.coalesce("is_repealed", F.lit(False))).alias("repealed"))
+    out = cited.join(there, ["law_id", "number"], "left").filter("repealed is null or repealed")
+    return out.select("law_id", "article_id", "number", F.coalesce("repealed", F.lit(False)).alias("repealed"))
+
+
 def resolved(assembled: DataFrame) -> DataFrame:
     """(law_id, article_id, ref_no, ref_text, target_article_ids): targets in the order of the numbers, null if there is none."""
     refs = assembled.select("law_id", "article_id", F.posexplode("cross_refs").alias("ref_no", "ref"))

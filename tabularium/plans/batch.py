@@ -6,6 +6,7 @@ and goes on from the first that isn't; a law that fails a gate is in no later ta
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 from collections.abc import Callable
 
@@ -21,12 +22,13 @@ STAGES = ("extract", "clean", "confidence", "split", "split_check", "enrich", "c
 
 
 class Batch:
-    """The stages over one registry. ``native`` reads documents that aren't text files, ``recognise`` those that it can't, ``client`` answers prompts."""
+    """The stages over one registry. ``native`` holds the texts of documents that aren't text files, ``recognise`` reads those that it lacks, ``client`` answers prompts;
+    without one no metadata is made up: articles that no earlier run has completed stay ``not_reached``. ``settings``: batch size and model."""
 
     def __init__(self, registry: DataFrame, texts: DataFrame, out: str, native: DataFrame | None = None, recognise: Callable[[DataFrame], DataFrame] | None = None,
-                 client: Callable = enrich.stub_client, cutter: Callable | None = None, concepts=None, model: str = "primary") -> None:
+                 client: Callable | None = None, cutter: Callable | None = None, concepts=None, settings: readers.Settings = readers.Settings()) -> None:
         self.spark, self.registry, self.texts, self.out = registry.sparkSession, registry, texts, out.rstrip("/")
-        self.native, self.recognise, self.client, self.cutter, self.concepts, self.model = native, recognise, client, cutter, concepts, model
+        self.native, self.recognise, self.client, self.cutter, self.concepts, self.settings = native, recognise, client, cutter, concepts, settings
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.out}/{name}")
@@ -91,10 +93,12 @@ class Batch:
         """Metadata is an upserted table by article: what earlier runs completed isn't asked for again."""
         place, rows = f"{self.out}/metadata", self._good()
         old = sinks.current(self.spark, place, "article_id")
-        work = rows if old is None else enrich.work_list(rows, old, reenrich)
-        fresh = enrich.cascade(work, self.registry, self.client, model=self.model, concepts=self.concepts)
-        sinks.upsert(fresh, place, "article_id")
-        known = sinks.current(self.spark, place, "article_id")
+        if self.client is not None:
+            work = rows if old is None else enrich.work_list(rows, old, reenrich)
+            fresh = enrich.cascade(work, self.registry, self.client, self.settings.batch_size, self.settings.primary_model, self.concepts)
+            sinks.upsert(fresh, place, "article_id")
+            old = sinks.current(self.spark, place, "article_id")
+        known = enrich.none(self.spark) if old is None else old
         out = rows.join(known, "article_id", "left")
         self.write(out.withColumn("enrichment_error", F.when(F.col("enrichment_status").isNull(), "not_reached").otherwise(F.col("enrichment_error"))), "enrich")
 
@@ -177,6 +181,14 @@ def code(counts: dict[str, int]) -> int:
     return exit_code(next(iter(failed))) if sum(counts.values()) == 1 and failed else int(bool(failed))
 
 
+def named(place: str | None) -> Callable | None:
+    """The function that ``module:function`` names."""
+    if place is None:
+        return None
+    module, _, name = place.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(description="Laws from their sources to a release. Without ids: all laws whose source is there.")
     parser.add_argument("registry")
@@ -186,6 +198,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     parser.add_argument("--stages", nargs="+", choices=STAGES, help="run these anew, from the tables that are there")
     parser.add_argument("--force", action="store_true", help="run all stages anew")
     parser.add_argument("--force-reenrich", action="store_true", help="ask again for metadata that is there")
+    parser.add_argument("--client", metavar="MODULE:FUNCTION", help="answers prompts (a function of mapInPandas); without one no article is enriched")
+    parser.add_argument("--native", metavar="TABLE", help="a Parquet table (name, raw_text, page_count) of the texts of documents")
+    parser.add_argument("--recognise", metavar="MODULE:FUNCTION", help="from (name, page_count) of documents without a text to (name, raw_text)")
     given = parser.parse_args(argv)
     spark = spark or SparkSession.builder.appName("batch").getOrCreate()
     laws = readers.with_sources(readers.registry(spark, given.registry), readers.files(spark, given.sources))
@@ -199,7 +214,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if laws.isEmpty():
         print("no law to run")
         return 1
-    batch = Batch(laws.drop("source", "source_exists"), readers.whole_texts(spark, given.sources), given.out)
+    batch = Batch(laws.drop("source", "source_exists"), readers.whole_texts(spark, given.sources), given.out, spark.read.parquet(given.native) if given.native else None, named(given.recognise),
+                  named(given.client), settings=readers.Settings.from_env())
     return code(shown(batch.run(set(given.stages) if given.stages else None, given.force, given.force_reenrich)))
 
 

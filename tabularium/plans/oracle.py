@@ -186,6 +186,8 @@ _SELECTS: dict[str, str | tuple[str, str]] = {
     "duplication_strip": r"select law_id, twice stripped, length(case when twice then regexp_replace(substring(text, 1, cut), '\s+$', '') else text end)::bigint chars, length(text)::bigint original_chars, (case when twice then nh // 2 else 0 end)::bigint duplicate_marker_count from (select *, coalesce(nh >= 10 and nh % 2 = 0 and numbers[1:nh // 2] = numbers[nh // 2 + 1:] and (length(text) - cut) / greatest(cut, 1)::double between 0.6 and 1.5, false) twice from doubled)",
     "cross_refs": "select article_id, ref_no, ref_text, array_to_string(nums, ',') numbers, true same_law from refs",
     "cross_refs_resolved": "select article_id, ref_no, string_agg(target, ',' order by j) targets from (select r.article_id, r.ref_no, r.law_id, unnest(nums) num, generate_subscripts(nums, 1) j from refs r) r left join targets t using (law_id, num) group by article_id, ref_no",
+    "refs_dangling": """select r.law_id, r.article_id, r.number::bigint number, coalesce(t.repealed, false) repealed from (select distinct law_id, article_id, unnest(nums) number from refs_new) r
+      left join (select law_id, article_number number, bool_and(is_repealed) repealed from found group by all) t on r.law_id = t.law_id and r.number = t.number where t.repealed is null or t.repealed""",
     "chunks_rule": ("select id article_id, chunk_index, count(*) over (partition by id) chunk_total, md5(text) text_md5, has_overlap, word_count, length(text)::bigint char_count from chunks", _DOC_CHUNKS),
     "chunk_stats": ("select law_id, count(*) total_chunks, round(sum(word_count)::double / count(*), 1) avg_chunk_words, max(word_count) max_chunk_words, min(word_count) min_chunk_words, 0::bigint semantic_chunks, count(*) rule_based_chunks from chunks group by law_id", _DOC_CHUNKS),
     "chunk_single_multi": ("select law_id, count(*) filter (where n = 1) single_chunk_articles, count(*) filter (where n > 1) multi_chunk_articles from (select law_id, id, count(*) n from chunks group by all) group by law_id", _DOC_CHUNKS),

@@ -194,6 +194,12 @@ def cross_refs(s, d):
     return rows.select("article_id", "ref_no", "r.ref_text", F.array_join(F.col("r.article_numbers").cast("array<string>"), ",").alias("numbers"), "r.same_law")
 
 
+@query
+def refs_dangling(s, d):
+    rows = stored(found(s, d).select("law_id", "article_id", "article_number", "is_repealed", refs.cross_refs(F.col("text")).alias("cross_refs")), "refs")
+    return refs.dangling(rows)
+
+
 @query
 def cross_refs_resolved(s, d):
     rows = found(s, d).withColumn("ordinal", F.col("article_number") * 100000 + F.col("sequence_index")).withColumn("cross_refs", refs.cross_refs(F.col("text")))
@@ -313,20 +319,13 @@ def review_priority(s, d):
     return queue.select("review_rank", "article_id", "doc_id", "priority")
 
 
-def _refusing(frames):
-    """The offline client, which refuses prompts that hold an id ending in 13 or 77."""
-    for frame in enrich.stub_client(frames):
-        bad = frame["prompt"].str.contains(r'<article id="[^"]*(?:13|77)"', regex=True)
-        yield frame.assign(reply=frame["reply"].where(~bad, None), error=bad.map({True: "refused", False: None}))
-
-
 @query
 def bisect_calls(s, d):
     """Calls of the binary split where some articles make any prompt fail that holds them."""
     text = F.regexp_replace("text", r'["<>\\]', " ").alias("text")
     work = X.articles(s, d).select("law_id", F.concat("law_id", F.lit("_"), F.col("doc_id").cast("string")).alias("article_id"), "article_type", "sequence_index", text)
 
-    got, calls = enrich.bisected(work, X.article_registry(s, d), _refusing)
+    got, calls = enrich.bisected(work, X.article_registry(s, d), enrich.refusing_client('<article id="[^"]*(?:13|77)"'))
     answered = enrich.batched(work).join(got.select("article_id"), "article_id").groupBy("law_id", "batch").agg(F.count("*").alias("answered"))
     out = calls.groupBy("law_id", "batch").agg(F.count("*").alias("calls"), (F.max("level") + 1).alias("levels"), F.count("error").alias("failed"), F.sum("count").alias("asked"))
     return out.join(answered, ["law_id", "batch"], "left").na.fill(0, ["answered"])

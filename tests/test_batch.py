@@ -32,7 +32,11 @@ def sources(tmp_path):
 
 def test_batch_runs_resumes_and_reports(spark, sources, capsys):
     where = [str(sources / "registry.json"), str(sources / "texts"), str(sources / "out")]
+    client = ["--client", "tabularium.operators.enrich:stub_client"]
     assert batch.main(where, spark) == 1
+    bare = spark.read.parquet(f"{where[2]}/enrich").select("enrichment_error", "topic").distinct().collect()
+    assert [(r["enrichment_error"], r["topic"]) for r in bare] == [("not_reached", None)]  # without a client nothing is made up
+    assert batch.main([*where, *client, "--stages", *batch.STAGES[5:]], spark) == 1
     said = capsys.readouterr().out
     assert "gap failed at split" in said and "poor failed at confidence" in said
     out = str(sources / "out")
@@ -116,3 +120,13 @@ def test_semantic_cuts_by_a_client(spark):
 def test_shares_round_halves_to_even(spark, part, whole, said):
     row = spark.range(1).selectExpr(f"{part} as a", f"{whole} as b")
     assert row.select(split_checks._percent(row["a"], row["b"])).first()[0] == said == f"{part / whole:.1%}"
+
+
+def test_presentation_forms_of_documents_are_folded(spark):
+    laws = spark.createDataFrame([("a", None, "a.pdf", 12, 0)], "law_id string, txt_filename string, pdf_filename string, expected_article_count int, expected_chapter_headings int")
+    plain = law_text(12)
+    forms = plain.replace("مادة", "\ufee3\ufe8e\ufea9\ufe93").replace("يلتزم", "\ufef3\ufee0\ufe98\ufeb0\ufee1")
+    native = spark.createDataFrame([("a.pdf", forms, 3)], "name string, raw_text string, page_count int")
+    texts = spark.createDataFrame([], "name string, raw_text string")
+    row = extract.extracted(laws, texts, native=native).first()
+    assert (row["text"], row["extraction_source"], row["success"]) == (plain, "pymupdf", True)

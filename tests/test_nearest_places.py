@@ -40,17 +40,11 @@ def test_a_group_of_all_rows_is_ranked_by_many_tasks(spark):
     assert all(want[r["x"]] == r["r"] for r in got.limit(2000).collect())
 
 
-def refusing(frames):
-    for frame in enrich.stub_client(frames):
-        bad = frame["prompt"].str.contains('id="bad')
-        yield frame.assign(reply=frame["reply"].where(~bad, None), error=bad.map({True: "refused", False: None}))
-
-
 @pytest.mark.parametrize(("bad", "n"), [([70], 150), ([], 150), ([0, 1, 149], 150), (range(5), 5), ([0], 1), ([], 0)])
 def test_calls_of_the_binary_split(spark, bad, n):
     rows = [("L", f"bad{k}" if k in bad else f"a{k}", "main", k, f"text {k}") for k in range(n)]
     work = spark.createDataFrame(rows, "law_id string, article_id string, article_type string, sequence_index int, text string")
-    got, calls = enrich.bisected(work, spark.createDataFrame([("L",)], "law_id string"), refusing)
+    got, calls = enrich.bisected(work, spark.createDataFrame([("L",)], "law_id string"), enrich.refusing_client('id="bad'))
     assert sorted(r["article_id"] for r in got.collect()) == sorted(r[1] for r in rows if not r[1].startswith("bad"))
 
     def counted(part):
