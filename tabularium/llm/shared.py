@@ -7,9 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.stages import run_dir, shared_dir, stored
+from ..sources.stages import run_dir, shared_dir, stored, temporary
 
-__all__ = ["columns", "free", "hot_join", "run_dir", "shared_dir", "stored", "table"]
+__all__ = ["columns", "free", "hot_join", "run_dir", "shared_dir", "stored", "table", "temporary"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
@@ -30,7 +30,7 @@ def free(names: Iterable[str], *wanted: str) -> list[str]:
 def hot_join(rows: DataFrame, table: DataFrame, key: str, count: str, least: int = 1000, most: int = 4096) -> DataFrame:
     """``rows.join(table, key)`` where a key may hold any share of ``rows``. ``count`` of the table tells how many rows a key has: its ``most``
     commonest keys (of ``least`` rows or more) are broadcast, so their rows stay where they are; every other key, with less than a
-    ``most``-th of the rows, is joined by a shuffle."""
+    ``most``-th of the rows, is joined by a shuffle. Both inputs are read several times: they should be stored tables or cheap."""
     hot = table.filter(F.col(count) >= least).orderBy(F.desc(count), key).limit(most)
     cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table, key)
     return rows.join(F.broadcast(hot), key).unionByName(cold)

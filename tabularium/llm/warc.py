@@ -30,7 +30,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import columns, hot_join, run_dir
+from .shared import columns, hot_join, run_dir, stored, temporary
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: An archive of more bytes is closed and the next one begun.
@@ -144,7 +144,7 @@ def decided(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """(page_id, url, html, refers_to): refers_to is null for responses."""
     rows = columns(pages, page_id="long", url="string", html="string").withColumn("html", F.coalesce("html", F.lit("")))
     sha = F.sha1(F.col("html").cast("binary"))
-    small = rows.select("page_id", sha.alias("sha"), F.octet_length("html").alias("n")).filter(F.col("n") >= min_bytes)
+    small = stored(rows.select("page_id", sha.alias("sha"), F.octet_length("html").alias("n")), "page-digests").filter(F.col("n") >= min_bytes)  # html is read here and when it is written
     first = small.groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null")
     refers = hot_join(small.select("page_id", "sha"), first, "sha", "n").filter("page_id is null or page_id <> first").select(F.col("page_id").alias("_page"), "sha", "first").distinct()
     keyed = rows.withColumn("sha", sha)
@@ -218,4 +218,5 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = False) -> D
 def round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write the pages as archives in the shared folder, then read them back."""
     folder = run_dir(spark, "warc")
+    temporary(spark, folder)  # archives and manifest go when the application ends
     return read_archives(write_archives(pages, folder, min_bytes), folder)
