@@ -5,7 +5,8 @@
 2. Centres and code books are fitted on the ``SAMPLE`` vectors whose ids have the smallest hashes (bounded, the only vectors the driver sees); there are about as many
    lists as the square root of the entries, ``LISTS`` at most.
 3. Every entry goes to the list of its nearest centre as a code of one byte for each ``PART`` components of its residual. A list of more than ``ROWS`` entries is split by
-   a hash of the id; a query visits all splits of its ``probes`` nearest lists, and a split keeps its ``keep`` best by the codes.
+   a hash of the id; a query visits all splits of its ``probes`` nearest lists, and a split keeps its best by the codes, some
+   ``4 * keep`` for a query in all.
 4. The best ``keep`` of all splits are compared with the query exactly.
 
 Unless they are given, ``probes`` are chosen on the sample: as many lists as hold the share ``TARGET`` of the exact neighbours, within the sample, of some of its vectors.
@@ -177,6 +178,7 @@ def searched(vectors: DataFrame, queries: DataFrame, dims: int, k: int = 10, pro
 
     visits = wanted.mapInArrow(visit, "entry long, at_list int, at_split int, v array<double>")
     schema = pa.schema([("entry", pa.int64()), ("id", pa.int64()), ("distance", pa.float64())])
+    own = max(k, -(-4 * keep // probes))  # candidates of a visit: all ``k`` may be in one list, and all lists together give ``keep`` several times
 
     def compared(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
@@ -188,7 +190,7 @@ def searched(vectors: DataFrame, queries: DataFrame, dims: int, k: int = 10, pro
                 d = np.zeros((len(v[j : j + 64]), len(ids)))
                 for m, (part, book) in enumerate(zip(shared.value.parts(v[j : j + 64]), shared.value.books, strict=True)):
                     d += distances(part, book)[:, code[:, m]]
-                top = np.argpartition(d, min(keep, d.shape[1]) - 1, axis=1)[:, :keep]
+                top = np.argpartition(d, min(own, d.shape[1]) - 1, axis=1)[:, :own]
                 out[0].append(np.repeat(entry[j : j + 64], top.shape[1]))
                 out[1].append(ids[top].ravel())
                 out[2].append(d[np.arange(len(d))[:, None], top].ravel())
@@ -200,7 +202,7 @@ def searched(vectors: DataFrame, queries: DataFrame, dims: int, k: int = 10, pro
     square = F.aggregate(F.zip_with("v", "w", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x)
     near = best(both.select("entry", "id", square.alias("distance")), "entry", k + 1).select("entry", F.col("id").alias("found"), "distance")
     member = limited.select("id", "v").join(first.withColumnRenamed("entry", "found"), "v").select("found", "id")  # k + 1 rows of an entry at most
-    own = best(near.join(member, "found").select("entry", "id", "distance"), "entry", k + 1)
-    listed = own.groupBy("entry").agg(F.sort_array(F.collect_list(F.struct("distance", "id"))).alias("l"))  # k + 1 ids
+    nearby = best(near.join(member, "found").select("entry", "id", "distance"), "entry", k + 1)
+    listed = nearby.groupBy("entry").agg(F.sort_array(F.collect_list(F.struct("distance", "id"))).alias("l"))  # k + 1 ids
     found = asked.join(listed, "entry").select("query_id", F.slice(F.filter("l", lambda x: x["id"] != F.col("query_id")), 1, k).alias("l"))
     return found.select("query_id", F.posexplode("l").alias("p", "x")).select("query_id", "x.id", "x.distance", (F.col("p") + 1).alias("rank"))

@@ -57,8 +57,8 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A cheap article table: a source is a law, a document an article; numbers and ids repeat now and then. A stage table, made once for an application
-    and folder, as most queries read it."""
+    """A cheap article table: a source is a law, a document an article; numbers and ids repeat now and then. Texts are ranked, moved
+    and stored once for an application and folder, as most queries read them."""
     return once(spark, f"articles of {sf_dir}", lambda: _articles(spark, sf_dir))
 
 

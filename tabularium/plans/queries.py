@@ -314,7 +314,7 @@ def review_stats(s, d):
 @query
 def review_priority(s, d):
     """All articles in the order in which reviewers see them: a rank over the whole corpus."""
-    rows, laws_ = X.enriched(s, d), X.article_registry(s, d)
+    rows, laws_ = X.enriched(s, d).drop("text"), X.article_registry(s, d)  # the queue moves no text
     queue = review.prioritised(rows, corpus_checks.issues(rows, laws_), laws_)
     return queue.select("review_rank", "article_id", "doc_id", "priority")
 

@@ -39,16 +39,12 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_MADE: dict[tuple[str, str], tuple[str, object]] = {}
+_MADE: dict[tuple[str, str], DataFrame] = {}
 
 
 def once(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A stage table that several jobs of an application read: written at the first call, read from then on."""
+    """What ``make`` builds on its own stage tables, built at the first call of an application. Each call has columns of its own, so that the results can be joined."""
     key = (spark.sparkContext.applicationId, name)
     if key not in _MADE:
-        df, path = make(), run_dir(spark, "once")
-        df.write.parquet(path)
-        temporary(spark, path)
-        _MADE[key] = (path, df.schema)
-    path, schema = _MADE[key]
-    return spark.read.schema(schema).parquet(path)
+        _MADE[key] = make()
+    return _MADE[key].toDF(*_MADE[key].columns)
