@@ -16,6 +16,8 @@ from ..sources.stages import stored
 
 #: ``monotonically_increasing_id`` has the partition above these bits and the row in it below.
 _BITS = 33
+#: Groups whose first places are broadcast at most.
+GROUPS = 1 << 16
 
 
 def placed(rows: DataFrame, name: str, *order: str | Column) -> DataFrame:
@@ -32,9 +34,10 @@ def placed(rows: DataFrame, name: str, *order: str | Column) -> DataFrame:
 
 
 def ranked(rows: DataFrame, name: str, group: str, *order: str) -> DataFrame:
-    """``rows`` with their rank, from 1, in a group. Groups' first places are joined; a group that most rows belong to is split by Spark's skew join, as the
-    side of first places has one row for it."""
+    """``rows`` with their rank, from 1, in a group. First places, a row for each group, are counted and broadcast if there are ``GROUPS`` at most, so that no row
+    moves again; else they are joined by a shuffle, where Spark's skew join splits a group that most rows belong to."""
     places = placed(rows, name, group, *order)
     first = places.groupBy(F.col(group).alias("_ranked_group")).agg(F.min(name).alias("_ranked_first"))
-    out = places.join(first, F.col(group).eqNullSafe(F.col("_ranked_group")))
+    first = stored(first, "first-places")
+    out = places.join(F.broadcast(first) if first.count() <= GROUPS else first, F.col(group).eqNullSafe(F.col("_ranked_group")))
     return out.select(*rows.columns, (F.col(name) - F.col("_ranked_first") + 1).cast("int").alias(name))

@@ -25,7 +25,9 @@ def test_places_are_those_of_a_sort(spark, n):
     assert sorted(r["k"] for r in got) == list(range(n))
 
 
-def test_a_group_of_all_rows_is_ranked_by_many_tasks(spark):
+@pytest.mark.parametrize("groups", [0, 1 << 16])
+def test_a_group_of_all_rows_is_ranked_by_many_tasks(spark, monkeypatch, groups):
+    monkeypatch.setattr(places, "GROUPS", groups)  # joined by a shuffle, and broadcast
     rows = spark.range(20_000).select(F.lit("law").alias("g"), (F.col("id") * 7919 % 20_011).alias("x"))
     got = places.ranked(rows.repartition(8), "r", "g", "x")
     assert got.filter("r < 1 or r > 20000").count() == 0 and got.select("r").distinct().count() == 20_000
