@@ -56,7 +56,7 @@ def test_queries_with_sql_equal_it(spark):
     from tabularium.llm import entry
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.sql(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
     for name, sql in entry.oracle_sql().items():
         df, found = entry.queries()[name](spark, DATA), con.sql(sql)
@@ -80,5 +80,17 @@ def test_queries_without_sql(spark):
         assert {i for i, x in items.items() if x in texts[r["doc_id"]]} <= set(r["item_ids"])
 
 
+def test_packing_and_alignment_of_the_test_table(spark):
+    from tabularium.llm import entry
+    from tests.llm.test_packing_alignment_centroids import COLUMNS, WORD, brute, check_pieces
+    from tokenizers import Tokenizer
+
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    library = Tokenizer.from_buffer(WORD)
+    check_pieces([r.asDict() for r in entry.queries()["op11_packing"](spark, DATA).collect()], {i: [*library.encode(t or "", add_special_tokens=False).ids, 2] for i, t in texts.items()})
+    got = {r["doc_id"]: tuple(r[c] for c in COLUMNS) for r in entry.queries()["op12_alignment"](spark, DATA).collect()}
+    assert got == dict(zip(texts, brute(list(texts.values())), strict=True))
+
+
 def test_removed_matches_a_hand_made_case():
     assert [x[1] for x in removed(["a b c d", "x a b c y", "a b c"], [0, 1, 2], 3)] == [0, 3, 3]
