@@ -331,6 +331,25 @@ def test_substring_is_exact_with_a_full_sketch(spark):
     assert a == b and [(n, k) for _, n, k in a] == [x[1:] for x in removed(texts, range(13), 6)]
 
 
+def test_the_sketch_grows_with_its_anchors(spark, monkeypatch):
+    """Of texts that share nothing, few anchors are estimated in two documents whatever their number; of a sketch that is too small, all are."""
+    monkeypatch.setattr(substring, "RANGE", 256)
+    monkeypatch.setattr(substring, "HEAVY", 6)
+    monkeypatch.setattr(substring, "GATHERED", 1000)
+    rng = random.Random(71)
+    for n in (40, 400, 2000):
+        texts = [" ".join(f"{rng.randrange(1 << 40):x}" for _ in range(60)) for _ in range(n)]
+        docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "key long, text string").repartition(5)
+        total = substring.anchor_table(docs, 12, 4).agg(F.sum("n")).first()[0]
+        assert substring.estimated(docs, 12, 4).count() < 0.05 * total
+        assert substring.estimated(docs, 12, 4, bits=1).count() > 0.9 * total
+        # what does repeat is found, by the broadcast cells (20 documents) and in its range (3 documents) alike, and told hot by HOT
+        often, twice = prose(rng, 12), prose(rng, 12)
+        more = docs.unionByName(spark.createDataFrame([(n + k, often) for k in range(80)] + [(n + 90 + k, twice) for k in range(3)], "key long, text string"))
+        got = {r["key"]: r["hot"] for r in substring.estimated(more, 12, 4).filter(F.col("key") >= n).collect()}
+        assert got == {n + k: True for k in range(80)} | {n + 90 + k: False for k in range(3)}
+
+
 # decontamination
 
 
