@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..clients.keys import exit_code
-from ..operators import assemble, chunk, cleanup, confidence, corpus_checks, enrich, extract, refs, release, review, split, split_checks
+from ..operators import assemble, chunk, cleanup, confidence, corpus_checks, enrich, extract, refs, release, review, split, split_checks, state
 from ..sources import readers, sinks
+from ..sources.stages import stored
 
 #: Stages in order. ``confidence`` and ``split_check`` are gates; validation only warns.
 STAGES = ("extract", "clean", "confidence", "split", "split_check", "enrich", "chunk", "review", "validate", "assemble", "release")
@@ -161,6 +162,94 @@ class Batch:
         return out.select("law_id", "extraction_source", "confidence", "articles_found", "chunks", "forms", "warnings", "status", why.alias("reason"))
 
 
+#: The stages that work law by law, and what each reads besides the table of the stage before it: columns of the registry, ``_plain`` and ``_native`` are fingerprints of the law's texts.
+_COUNTS = ("expected_article_count", "expected_chapter_headings")
+INPUTS = {
+    "extract": ("txt_filename", "pdf_filename", "_plain", "_native"), "clean": (), "confidence": (*_COUNTS, "manual_marker_exclusions"), "split": ("repealed_articles",), "split_check": _COUNTS,
+    "enrich": ("law_name_ar", "law_number", "year", "_client"), "chunk": ("_cutter",),
+}
+#: Tables that a stage writes besides its own.
+_OF_STAGE = {name: name for name in INPUTS} | {"hits": "split", "split_issues": "split_check"}
+
+
+class Incremental(Batch):
+    """A batch that is run again and again as laws come, change and go: a stage reads and writes only laws whose inputs are not those of its last run.
+
+    Tables of the stages that work law by law are folders of generations, one a run; ``state`` tells which generation of a law and stage counts, and is appended to once a
+    stage's rows are whole, so a run that breaks off is taken up after its last whole stage. Review, validation, assembly and release order the whole corpus: they run
+    anew, over the rows that count, if any law has changed. Laws that have left the registry are read no more. Articles of a law that is enriched anew are asked for anew."""
+
+    generation, running, only = 0, "", None
+
+    def state(self) -> DataFrame:
+        place = f"{self.out}/state"
+        return self.spark.read.schema(state.STATE).parquet(place) if self._there(place) else self.spark.createDataFrame([], state.STATE)
+
+    def _there(self, path: str) -> bool:
+        fs, place = sinks._folder(self.spark, path)
+        return fs.exists(place)
+
+    def whole(self, name: str) -> bool:
+        return self._there(f"{self.out}/{name}") if name in _OF_STAGE else super().whole(name)
+
+    def table(self, name: str) -> DataFrame:
+        if name not in _OF_STAGE:
+            return super().table(name)
+        if _OF_STAGE[name] == self.running:  # what this stage has just written
+            return self.spark.read.parquet(f"{self.out}/{name}/generation={self.generation}")
+        laws = self.registry.select("law_id") if self.only is None else self.only
+        counts = state.newest(self.state().filter(F.col("stage") == _OF_STAGE[name])).join(laws, "law_id", "left_semi").select("law_id", "generation")
+        folders = [r["generation"] for r in counts.select("generation").distinct().collect()]  # a row a run at most
+        rows = self.spark.read.parquet(f"{self.out}/{name}").withColumn("generation", F.col("generation").cast("long"))
+        return rows.filter(F.col("generation").isin(folders)).join(counts, ["law_id", "generation"], "left_semi").drop("generation")
+
+    def write(self, df: DataFrame, name: str) -> None:
+        super().write(df, f"{name}/generation={self.generation}" if name in _OF_STAGE else name)
+
+    def prints(self) -> DataFrame:
+        """Fingerprints of all stages of all laws."""
+        plain = self.texts.select(F.col("name").alias("txt_filename"), F.sha2("raw_text", 256).alias("_plain"))
+        laws = self.registry.join(plain, "txt_filename", "left")
+        if self.native is not None:
+            native = self.native.select(F.col("name").alias("pdf_filename"), F.sha2(F.concat_ws("\n", "raw_text", "page_count"), 256).alias("_native"))
+            laws = laws.join(native, "pdf_filename", "left")
+        inputs = dict(INPUTS) | ({"extract": (*INPUTS["extract"], *_COUNTS)} if self.native is not None else {})  # its score decides there
+        laws = laws.withColumns({"_client": F.lit(self.client is not None), "_cutter": F.lit(self.cutter is not None)})
+        return state.fingerprints(laws, inputs)
+
+    def run(self, stages: set[str] | None = None, force: bool = False, reenrich: bool = False) -> DataFrame:
+        """The results. ``stages``: run these for all laws, whatever state says; ``force``: all stages."""
+        if unknown := set(stages or ()) - set(STAGES):
+            raise ValueError(f"no such stage: {sorted(unknown)}; there are {list(STAGES)}")
+        laws, last = self.registry, self.state()
+        self.generation = (last.agg(F.max("generation")).first()[0] or 0) + 1
+        now = stored(self.prints(), "prints")
+        chain = list(INPUTS)
+        first = 0 if force else min((chain.index(x) for x in stages or () if x in chain), default=len(chain))
+        anyway = [*chain[first:], *(["enrich", "chunk"] if reenrich else [])]  # what follows a stage that runs is out of date
+        todo = stored(state.stale(now, last).unionByName(now.filter(F.col("stage").isin(anyway))).distinct(), "stale")
+        for name in chain:
+            rows = todo.filter(F.col("stage") == name)
+            if rows.isEmpty():
+                continue
+            self.only, self.running = rows.select("law_id"), name
+            self.registry = laws.join(self.only, "law_id", "left_semi")
+            try:
+                getattr(self, f"_{name}")(name == "enrich")
+            finally:
+                self.registry, self.only, self.running = laws, None, ""
+            rows.select("law_id", "stage", "print", F.lit(self.generation).cast("long").alias("generation")).write.mode("append").parquet(f"{self.out}/state")
+        corpus = [n for n in STAGES if n not in INPUTS]
+        # the corpus as a whole is one more row of state
+        print_ = now.filter(F.col("stage") == chain[-1]).agg(F.concat_ws(",", F.count("*"), F.expr("bit_xor(xxhash64(law_id, print))")).alias("print"))
+        whole = print_.select(F.lit("").alias("law_id"), F.lit("corpus").alias("stage"), "print")
+        if anyway or stages or not todo.isEmpty() or not all(self.whole(n) for n in corpus) or not state.stale(whole, last).isEmpty():
+            for name in corpus:
+                getattr(self, f"_{name}")(False)
+            whole.withColumn("generation", F.lit(self.generation).cast("long")).write.mode("append").parquet(f"{self.out}/state")
+        return self.results()
+
+
 def shown(results: DataFrame) -> dict[str, int]:
     """Print totals and the first failures; how many laws have each status."""
     totals = results.groupBy("status").agg(F.count("*").alias("laws"), F.sum("articles_found").alias("articles"), F.sum("chunks").alias("chunks"), F.round(F.avg("confidence"), 4).alias("confidence"))
@@ -196,6 +285,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     parser.add_argument("out")
     parser.add_argument("law_ids", nargs="*", metavar="LAW_ID")
     parser.add_argument("--stages", nargs="+", choices=STAGES, help="run these anew, from the tables that are there")
+    parser.add_argument("--incremental", action="store_true", help="keep generations: a later run works on the laws that are new or changed only")
     parser.add_argument("--force", action="store_true", help="run all stages anew")
     parser.add_argument("--force-reenrich", action="store_true", help="ask again for metadata that is there")
     parser.add_argument("--client", metavar="MODULE:FUNCTION", help="answers prompts (a function of mapInPandas); without one no article is enriched")
@@ -214,7 +304,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if laws.isEmpty():
         print("no law to run")
         return 1
-    batch = Batch(laws.drop("source", "source_exists"), readers.whole_texts(spark, given.sources), given.out, spark.read.parquet(given.native) if given.native else None, named(given.recognise),
+    kind = Incremental if given.incremental else Batch
+    batch = kind(laws.drop("source", "source_exists"), readers.whole_texts(spark, given.sources), given.out, spark.read.parquet(given.native) if given.native else None, named(given.recognise),
                   named(given.client), settings=readers.Settings.from_env())
     return code(shown(batch.run(set(given.stages) if given.stages else None, given.force, given.force_reenrich)))
 

@@ -160,6 +160,10 @@ _ENRICHED_CHUNKS = "select doc_id::varchar id, law_id, text from enriched"
 _ARTICLE_CHUNKS = "select doc_id::varchar id, law_id, text from articles"
 _MEAN = "case when {1} > 0 then round({0} / {1}::double, 1) else 0.0::double end"
 
+_VERSIONS = """select *, lead(valid_from) over (partition by law_id order by version_no) valid_to from (select *, row_number() over (partition by law_id order by valid_from, version_id) version_no
+  from (select printf('L%05d', doc_id // 4) law_id, doc_id version_id, date '2000-01-01' + (doc_id * 37 % 1000 // 7 * 7)::int valid_from from documents))"""
+_LINES = f"select law_id, version_no, version_id, unnest(string_split(text, chr(10))) line, generate_subscripts(string_split(text, chr(10)), 1) number from ({_VERSIONS}) join documents on doc_id = version_id"
+
 _SELECTS: dict[str, str | tuple[str, str]] = {
     "cleanup_audit": "select law_id, length(raw_text)::bigint chars_before, length(text)::bigint chars_after, (length(raw_text) - length(text))::bigint chars_removed, 0::bigint presentation_forms_normalized, (abs(length(raw_text) - length(nfc_normalize(raw_text))) + len(list_filter(list_zip(regexp_extract_all(raw_text, '(?s).'), regexp_extract_all(nfc_normalize(raw_text), '(?s).'), true), lambda x: x[1] <> x[2])))::bigint nfc_changed, (length(raw_text) - length(t3))::bigint tatweel_removed, (length(t3) - length(t4))::bigint diacritics_removed, (length(t4) - length(regexp_replace(t4, '[أإآٱ]', '', 'g')))::bigint hamza_normalised, (length(t4) - length(replace(t4, 'ى', '')))::bigint yeh_normalised, (length(t6) - length(t7))::bigint control_removed, (length(t7) - length(t8))::bigint spaces_collapsed, (length(t8) - length(t9))::bigint newlines_collapsed from clean",
     "clean_text_hash": "select law_id, md5(text) text_md5 from clean",
@@ -299,6 +303,15 @@ _SELECTS |= {
     "confidence_reports_read": "select law_id, case when doc_id % 10 <> 0 then (doc_id % 100) / 100.0::double end confidence_score from registry",
     "registry_read": """select law_id, case when doc_id % 6 <> 0 then expected_article_count else 0 end expected_article_count, array_to_string(repealed_articles, ',') repealed, expected_chapter_headings, txt_filename, pdf_filename,
       case when excluding then 1 else 0 end::bigint exclusions from registry""",
+    "stale_stages": """select law_id, stage from (select law_id, least(case when doc_id % 50 = 1 or doc_id % 40 = 3 then 0 end, case when doc_id % 30 = 7 then 2 end, case when doc_id % 25 = 9 then 3 end) since from registry)
+      join (select unnest(['extract', 'clean', 'confidence', 'split', 'split_check', 'enrich', 'chunk']) stage, unnest(range(7)) k) on k >= since""",
+    "current_versions": f"""select v.law_id, v.version_no, version_id, valid_from::varchar valid_from, valid_to::varchar valid_to, valid_to is null is_current, n_articles, n_unchanged, n_amended, n_articles - n_unchanged - n_amended n_added,
+      coalesce(lag(n_articles) over (partition by v.law_id order by v.version_no), 0) - n_unchanged - n_amended n_removed
+      from ({_VERSIONS}) v join (select a.version_id, count(*) n_articles, count(*) filter (where b.line = a.line) n_unchanged, count(*) filter (where b.line <> a.line) n_amended
+      from ({_LINES}) a left join ({_LINES}) b on a.law_id = b.law_id and a.version_no = b.version_no + 1 and a.number = b.number group by a.version_id) using (version_id)""",
+    "articles_as_of": f"""select ask_id, e.law_id, "at"::varchar "at", version_no, version_id, len(string_split(d.text, chr(10)))::bigint n_articles
+      from (select event_id ask_id, printf('L%05d', user_id % 300) law_id, date '2000-01-01' + (event_id * 31 % 1100 - 50)::int "at" from events) e
+      left join ({_VERSIONS}) v on e.law_id = v.law_id and valid_from <= "at" and (valid_to is null or valid_to > "at") left join documents d on d.doc_id = version_id""",
     "upsert_generations": _SELECTS["upsert_merge"],
 }
 ORACLES: dict[str, str] = {name: _sql(*(s if isinstance(s, tuple) else (s,))) for name, s in _SELECTS.items()}

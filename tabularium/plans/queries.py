@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ..clients import remote
 from ..functions import markers, text, vocab
-from ..operators import assemble, chunk, cleanup, confidence, corpus_checks, enrich, nearest, places, refs, release, review, split, split_checks
+from ..operators import assemble, chunk, cleanup, confidence, corpus_checks, enrich, nearest, places, refs, release, review, split, split_checks, state, versions
 from ..sources import readers, sinks
 from ..sources.stages import run_dir, stored, temporary
+from . import batch
 from . import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -634,3 +635,40 @@ def upsert_generations(s, d):
     for _ in range(2):
         sinks.upsert(rows.filter("doc_id % 2 = 0").withColumn("version", F.lit(2)), path, "doc_id")
     return sinks.current(s, path, "doc_id")
+
+
+@query
+def stale_stages(s, d):
+    """Laws before and after some are new and some have other texts, counts or repealed articles: what must run again."""
+    laws = X.registry(s, d).join(X.table(s, d, "documents").select(F.format_string("L%05d", "doc_id").alias("law_id"), F.sha2("text", 256).alias("_plain"), "doc_id"), "law_id")
+    before = laws.filter("doc_id % 50 <> 1").withColumns({
+        "_plain": F.expr("if(doc_id % 40 = 3, 'other', _plain)"), "expected_article_count": F.expr("if(doc_id % 30 = 7, expected_article_count + 1, expected_article_count)"),
+        "repealed_articles": F.expr("if(doc_id % 25 = 9, array_append(repealed_articles, 0), repealed_articles)"),
+    })
+    ran = state.fingerprints(before, batch.INPUTS).withColumn("generation", F.lit(1).cast("long"))
+    return state.stale(state.fingerprints(laws, batch.INPUTS), ran).select("law_id", "stage")
+
+
+def _versions(s: SparkSession, d: str) -> DataFrame:
+    """Four documents are versions of one law; some begin on one day."""
+    docs = X.table(s, d, "documents").select(F.expr("format_string('L%05d', doc_id div 4)").alias("law_id"), F.col("doc_id").alias("version_id"), F.expr("date_add(date'2000-01-01', cast(doc_id * 37 % 1000 div 7 * 7 as int))").alias("valid_from"))
+    return versions.intervals(docs)
+
+
+@query
+def current_versions(s, d):
+    """Versions with the time they are in force and what each changed; a line is an article."""
+    found = stored(_versions(s, d), "intervals")
+    lines = X.table(s, d, "documents").select(F.col("doc_id").alias("version_id"), F.posexplode(F.split("text", "\n")).alias("number", "text"))
+    changed = versions.changes(lines.join(found.select("law_id", "version_no", "version_id"), "version_id"))
+    out = found.join(changed, ["law_id", "version_no"])
+    return out.withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")})
+
+
+@query
+def articles_as_of(s, d):
+    """For each event the version of a law that was in force on a day, and how many articles it has."""
+    asks = X.table(s, d, "events").select(F.col("event_id").alias("ask_id"), F.expr("format_string('L%05d', user_id % 300)").alias("law_id"), F.expr("date_add(date'2000-01-01', cast(event_id * 31 % 1100 - 50 as int))").alias("at"))
+    sizes = X.table(s, d, "documents").select(F.col("doc_id").alias("version_id"), F.size(F.split("text", "\n")).cast("long").alias("n_articles"))
+    out = versions.as_of(asks, stored(_versions(s, d), "intervals")).join(sizes, "version_id", "left")
+    return out.withColumn("at", F.col("at").cast("string"))

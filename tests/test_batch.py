@@ -67,6 +67,53 @@ def test_batch_runs_resumes_and_reports(spark, sources, capsys):
         new.run({"split"})
 
 
+def test_a_later_run_works_on_new_and_changed_laws_only(spark, sources):
+    registry, texts = str(sources / "registry.json"), str(sources / "texts")
+    kept = ["law_id", "article_id", "article_number", "text", "topic", "enrichment_status", "release_rank"]
+
+    def run(kind, out, client=enrich.stub_client):
+        laws = readers.registry(spark, registry).filter("law_id <> 'gone'")
+        b = kind(laws, readers.whole_texts(spark, texts), str(sources / out), client=client)
+        return b, sorted(map(tuple, b.run().collect())), sorted(map(tuple, b.table("assemble").select(*kept).collect()))
+
+    def made(b, name, generation):
+        place = f"{b.out}/{name}/generation={generation}"
+        return sorted({r["law_id"] for r in spark.read.parquet(place).collect()}) if (sources / "inc" / name / f"generation={generation}").exists() else None
+
+    def entry(**law):
+        rows = json.loads((sources / "registry.json").read_text(encoding="utf-8"))
+        rows = [r for r in rows if r["law_id"] != law["law_id"]] + [{"law_name_ar": "قانون", "law_number": "1", "year": 2001, "txt_filename": f"{law['law_id']}.txt"} | law]
+        (sources / "registry.json").write_text(json.dumps(rows, ensure_ascii=False), encoding="utf-8")
+
+    b, *first = run(batch.Incremental, "inc")
+    assert made(b, "extract", 1) == ["gap", "good", "poor"]
+    # a law more: it alone is read and written
+    (sources / "texts" / "more.txt").write_text(law_text(12) + " آخر", encoding="utf-8")
+    entry(law_id="more", expected_article_count=12)
+    b, *second = run(batch.Incremental, "inc")
+    assert [made(b, n, 2) for n in ("extract", "split", "enrich", "chunk")] == [["more"]] * 4
+    assert {r[0] for r in first[1]} == {"good"} and {r[0] for r in second[1]} == {"good", "more"}
+    # nothing has changed: nothing runs, nor is anything asked
+    before = (sources / "inc" / "release" / "_SUCCESS").stat().st_mtime_ns
+
+    def never(frames):
+        raise AssertionError("asked again")
+        yield
+
+    b, *third = run(batch.Incremental, "inc", never)
+    assert third == second and made(b, "extract", 3) is None and (sources / "inc" / "release" / "_SUCCESS").stat().st_mtime_ns == before
+    # another count goes on from the confidence gate, another text from extraction
+    entry(law_id="gap", expected_article_count=11)
+    (sources / "texts" / "good.txt").write_text(law_text(12) + " جديد", encoding="utf-8")
+    b, *fourth = run(batch.Incremental, "inc")
+    assert made(b, "extract", 3) == ["good"] and made(b, "confidence", 3) == ["gap", "good"]
+    assert fourth == list(run(batch.Batch, "all")[1:]) and any("جديد" in r[3] for r in fourth[1])
+    # a law that has left is in no table that is read
+    rows = [r for r in json.loads((sources / "registry.json").read_text(encoding="utf-8")) if r["law_id"] != "more"]
+    (sources / "registry.json").write_text(json.dumps(rows, ensure_ascii=False), encoding="utf-8")
+    assert {r[0] for r in run(batch.Incremental, "inc")[2]} == {"good"}
+
+
 def test_exit_codes():
     assert batch.code({"ok": 3}) == 0 and batch.code({}) == 1 and batch.code({"ok": 1, "fail:split": 1}) == 1
     assert batch.code({"fail:confidence": 1}) == 2 and batch.code({"fail:split": 1}) == 3 and batch.code({"fail:extract": 1}) == 1
