@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import columns, stored
+from .shared import columns, hot_join, stored
 from .wordhash import Words, gram_hashes, mix, slices, whole, word_hashes, words
 
 SHINGLE, BANDS, ROWS = 5, 48, 6
@@ -207,13 +207,14 @@ def _judged(documents: DataFrame, percent: int, block_bytes: int = BLOCK_BYTES)
         full.filter("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.max("n_shingles").alias("n")), "classes"
     )
     buckets = classes.select("rep", "n", F.explode("bands").alias("key"))
-    centres = buckets.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).filter("centre <> last").select("key", "centre")
-    stars = buckets.join(centres, "key").filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    centres = buckets.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last"), F.count("*").alias("held")).filter("centre <> last")
+    centres = stored(centres.select("key", "centre", "held"), "centres")
+    stars = hot_join(buckets, centres, "key", "held").filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     families = components(stars)
     sized = families.join(classes.select(F.col("rep").alias("node"), "n"), "node")
-    sized = sized.groupBy("node", "component").agg(F.max("n").alias("n"))  # a doc_id on several rows is one node
-    blocks = sized.groupBy("component").agg(F.ceil(F.sum("n") * 8 / F.lit(block_bytes)).cast("int").alias("blocks"))
-    members = sized.join(blocks, "component").select(
+    sized = stored(sized.groupBy("node", "component").agg(F.max("n").alias("n")), "sized")  # a doc_id on several rows is one node
+    blocks = sized.groupBy("component").agg(F.ceil(F.sum("n") * 8 / F.lit(block_bytes)).cast("int").alias("blocks"), F.count("*").alias("held"))
+    members = hot_join(sized, stored(blocks, "blocks"), "component", "held").select(
         F.col("component").alias("family"), F.col("node").alias("doc_id"), F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.col("blocks").cast("long").alias("blocks")
     )
     sets = full_sets(docs.join(members, "doc_id"))
