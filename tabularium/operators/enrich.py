@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from ..functions import text as T
 from ..functions import vocab
 from ..sources.stages import stored
-from . import release
+from . import release, replies
 from .places import ranked
 
 #: Bits of a node within a batch: 2 * ``size`` nodes at most.
@@ -100,6 +100,14 @@ def called(requests: DataFrame, client: Callable = stub_client) -> DataFrame:
     return requests.mapInPandas(client, StructType([*requests.schema.fields]).add("reply", "string").add("error", "string"))
 
 
+def _asked(requests: DataFrame, client: Callable, log: str | None, model: str) -> DataFrame:
+    """A level's answers as a stage table; with a ``log``, what it has answered readably is not asked again."""
+    if log is None:
+        return stored(called(requests, client), "replies")
+    readable = F.from_json("reply", "array<struct<article_id:string>>").isNotNull()
+    return replies.asked(requests, lambda r: called(r, client), log, model, readable)
+
+
 def checked_concepts(given: Column, known: Column | None = None) -> Column:
     """(valid, unknown): concepts brought into form, and whether the vocabulary has them. Without one all are valid."""
     given = F.filter(F.coalesce(given, F.array().cast("array<string>")), lambda c: T.utrim(c) != "")
@@ -147,21 +155,21 @@ def none(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], METADATA + ", enrichment_model string, enrichment_status string, enrichment_error string")
 
 
-def cascade(work: DataFrame, laws: DataFrame, client: Callable = stub_client, size: int = vocab.BATCH_SIZE, model: str = "primary", concepts: Column | None = None) -> DataFrame:
+def cascade(work: DataFrame, laws: DataFrame, client: Callable = stub_client, size: int = vocab.BATCH_SIZE, model: str = "primary", concepts: Column | None = None, log: str | None = None) -> DataFrame:
     """Metadata of all articles of a work list: whole batches, then halves of batches that failed altogether, then one by one; what is still
-    missing is a row with an error. Each level's answers are a stage table, so no call is made twice.
+    missing is a row with an error. Each level's answers are a stage table, so no call is made twice; with a ``log`` (a folder) they also outlive a run that breaks.
 
     Of a batch that was answered in part, the rest goes one by one at once."""
     batches = batched(work, size)
-    first = stored(called(prompts(batches, laws), client), "replies")
+    first = _asked(prompts(batches, laws), client, log, model)
     got = parsed(first, concepts)
     left = batches.join(got.select("article_id"), "article_id", "left_anti")
     broken = first.filter(F.col("error").isNotNull() | F.col("reply").isNull()).select("law_id", "batch")
     parts = halves(left.join(broken, ["law_id", "batch"], "left_semi"))
-    second = stored(called(prompts(parts.withColumn("batch", F.col("batch") * 1_000_000 + F.col("part")), laws), client), "replies")
+    second = _asked(prompts(parts.withColumn("batch", F.col("batch") * 1_000_000 + F.col("part")), laws), client, log, model)
     got = got.unionByName(parsed(second, concepts))
     rest = batches.join(got.select("article_id"), "article_id", "left_anti")
-    third = stored(called(single_prompts(rest), client), "replies")
+    third = _asked(single_prompts(rest), client, log, model)
     alone = parsed(third, concepts)
     done = got.unionByName(alone).withColumns({"enrichment_model": F.lit(model), "enrichment_status": F.lit("completed"), "enrichment_error": F.lit(None).cast("string")})
     # The id is in the prompt, so that equal places in a law can't be mixed up.
@@ -177,7 +185,7 @@ def cascade(work: DataFrame, laws: DataFrame, client: Callable = stub_client, si
     return done.unionByName(rows)
 
 
-def bisected(work: DataFrame, laws: DataFrame, client: Callable = stub_client, size: int = vocab.BATCH_SIZE, concepts: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def bisected(work: DataFrame, laws: DataFrame, client: Callable = stub_client, size: int = vocab.BATCH_SIZE, concepts: Column | None = None, log: str | None = None, model: str = "primary") -> tuple[DataFrame, DataFrame]:
     """(metadata, calls) by halving what isn't answered, until nothing is left: one bad article of n costs some 2 * log2(n) calls, not n.
 
     The frontier is a table of articles with the node (root 1, halves 2k and 2k + 1) of the batch whose call they are in. All nodes of a level are asked at
@@ -195,9 +203,9 @@ def bisected(work: DataFrame, laws: DataFrame, client: Callable = stub_client, s
         packed = frontier.withColumn("batch", F.shiftleft("batch", _NODE_BITS) + F.col("node"))
         one = packed.filter("_alone").drop("sequence_index").withColumn("sequence_index", F.col("batch"))  # a single prompt's batch is its place
         asked = prompts(packed.filter("not _alone"), laws).unionByName(single_prompts(one))
-        replies = stored(called(asked, client), "replies")
-        fresh = parsed(replies, concepts).dropDuplicates(["article_id"])
-        told = replies.select("law_id", F.shiftright("batch", _NODE_BITS).alias("batch"), F.col("batch").bitwiseAND(F.lit((1 << _NODE_BITS) - 1)).alias("node"), F.lit(level).alias("level"), "count", "error")
+        answers = _asked(asked, client, log, model)
+        fresh = parsed(answers, concepts).dropDuplicates(["article_id"])
+        told = answers.select("law_id", F.shiftright("batch", _NODE_BITS).alias("batch"), F.col("batch").bitwiseAND(F.lit((1 << _NODE_BITS) - 1)).alias("node"), F.lit(level).alias("level"), "count", "error")
         got, calls = fresh if got is None else got.unionByName(fresh), told if calls is None else calls.unionByName(told)
         left = many.join(fresh.select("article_id"), "article_id", "left_anti").drop("_alone")
         by = Window.partitionBy("law_id", "batch", "node")

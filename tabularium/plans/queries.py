@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..clients import remote
 from ..functions import markers, text, vocab
-from ..operators import assemble, chunk, cleanup, confidence, corpus_checks, enrich, nearest, places, refs, release, review, split, split_checks, state, versions
+from ..operators import assemble, chunk, cleanup, confidence, corpus_checks, enrich, nearest, places, refs, release, replies, review, split, split_checks, state, versions
 from ..sources import readers, sinks
 from ..sources.stages import run_dir, stored, temporary
 from . import batch
@@ -201,6 +201,15 @@ def refs_dangling(s, d):
     return refs.dangling(rows)
 
 
+@query
+def refs_reachable(s, d):
+    """Articles from which references lead, over any number of others, to a number that no article has or to a repealed article."""
+    rows = found(s, d).withColumn("ordinal", F.col("article_number") * 100000 + F.col("sequence_index")).withColumn("cross_refs", refs.cross_refs(F.col("text")))
+    rows = stored(rows.select("law_id", "article_id", "article_number", "article_type", "ordinal", "is_repealed", "cross_refs"), "refs")
+    out = refs.reaching(refs.edges(rows), refs.dangling(rows))
+    return out.select("law_id", "article_id", (F.col("steps") == 0).alias("itself"))
+
+
 @query
 def cross_refs_resolved(s, d):
     rows = found(s, d).withColumn("ordinal", F.col("article_number") * 100000 + F.col("sequence_index")).withColumn("cross_refs", refs.cross_refs(F.col("text")))
@@ -332,6 +341,18 @@ def bisect_calls(s, d):
     return out.join(answered, ["law_id", "batch"], "left").na.fill(0, ["answered"])
 
 
+@query
+def reply_log(s, d):
+    """How often each prompt was asked by two runs on one log, the first of which was refused some."""
+    work = X.articles(s, d).select("law_id", F.concat("law_id", F.lit("_"), F.col("doc_id").cast("string")).alias("article_id"), "article_type", "sequence_index", F.regexp_replace("text", r'["<>\\]', " ").alias("text"))
+    asks, log = stored(enrich.prompts(enrich.batched(work), X.article_registry(s, d)), "prompts"), run_dir(s, "reply-log")
+    temporary(s, log)
+    replies.asked(asks, lambda r: enrich.called(r, enrich.refusing_client('<article id="[^"]*(?:13|77)"')), log)
+    after = replies.asked(asks, enrich.called, log)
+    calls = replies.logged(s, log).groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("calls"), F.count("error").alias("refused"))
+    return replies.keyed(after, "primary").join(calls, "_key").select("law_id", "batch", "count", "calls", "refused", F.col("reply").isNotNull().alias("answered"))
+
+
 def _vectors(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rows = nearest.kept(X.table(s, d, "embeddings"), 64)
     return rows, rows.filter("id % 100 = 0")
