@@ -19,7 +19,8 @@ def scanned(laws: DataFrame, text: str = "text", exclusions: str | None = None)
 def articles(laws: DataFrame, repealed: str | None = None) -> DataFrame:
     """One row for each article of scanned laws: (law_id, hits[, repealed]). Narrow but for the last article 1, which is found within the row."""
     last_first = F.coalesce(F.array_max(F.transform("hits", lambda h, i: F.when((h["number"] == 1) & (h["kind"] != "ordinal"), i + 1))), F.lit(0))
-    rows = laws.select("law_id", last_first.alias("_last"), (F.col(repealed) if repealed else F.array().cast("array<int>")).alias("_gone"), F.posexplode("hits").alias("_pos", "_h"))
+    # Not posexplode: the optimiser filters by the size of what that takes, and repeats the whole scan for the filter, twice.
+    rows = laws.select("law_id", last_first.alias("_last"), (F.col(repealed) if repealed else F.array().cast("array<int>")).alias("_gone"), F.posexplode_outer("hits").alias("_pos", "_h")).filter("_pos is not null")
     body = F.regexp_replace(T.utrim(F.col("_h.body")), rf"(?U)^:{T.WS}*", "")
     seq, number, ordinal = F.col("_pos") + 1, F.col("_h.number"), F.col("_h.kind") == "ordinal"
     kind = F.when(ordinal | (seq < F.col("_last")), "issuance").otherwise("main")
