@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import vocab
+from ..sources.stages import stored
 
 ISSUE = ["law_id", "code", "severity", "article_number", "article_id", "name", "description"]
 
@@ -56,11 +57,15 @@ def missing(found: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def bodies(found: DataFrame) -> DataFrame:
-    """Near-empty bodies (E004), and bodies of more words than five medians and 500 (E005)."""
-    empty = _issues(found.filter(F.length(T.utrim(F.col("text"))) < 5), _described("E004", F.length("text")), "error", F.col("article_number"), F.col("article_id"))
-    middle = found.filter("word_count > 0").groupBy("law_id").agg(F.median("word_count").alias("m"))
+    """Near-empty bodies (E004), and bodies of more words than five medians and 500 (E005). Three steps look at the articles; their sizes are measured once, as a stage
+    table without texts, and only laws that have an article of more than 500 words need a median."""
+    sizes = found.select("law_id", "article_number", "article_id", "word_count", F.length("text").alias("_chars"), F.length(T.utrim(F.col("text"))).alias("_bare"))
+    sizes = stored(sizes, "sizes")
+    empty = _issues(sizes.filter("_bare < 5"), _described("E004", F.col("_chars")), "error", F.col("article_number"), F.col("article_id"))
+    long = sizes.filter("word_count > 500")
+    middle = sizes.filter("word_count > 0").join(long.select("law_id").distinct(), "law_id", "left_semi").groupBy("law_id").agg(F.median("word_count").alias("m"))
     most = F.greatest(F.col("m") * 5, F.lit(500.0))
-    large = found.join(middle, "law_id").filter(F.col("word_count") > most)
+    large = long.join(middle, "law_id").filter(F.col("word_count") > most)
     text = _described("E005", F.col("article_number"), F.col("word_count"), F.bround("m").cast("long"), F.bround(most).cast("long"))
     return empty.unionByName(_issues(large, text, "warning", F.col("article_number"), F.col("article_id")))
 
