@@ -22,6 +22,9 @@ from .places import ranked
 #: Bits of a node within a batch: 2 * ``size`` nodes at most.
 _NODE_BITS = 24
 
+#: Requests that a client sees at once.
+PROMPTS = 16
+
 METADATA = "article_id string, topic string, keywords array<string>, article_summary string, article_category string, legal_entities array<string>, concepts array<string>, applicable_to array<string>"
 
 
@@ -95,9 +98,18 @@ def refusing_client(pattern: str) -> Callable:
     return run
 
 
+def few(client: Callable, rows: int = PROMPTS) -> Callable:
+    """``client`` on frames of ``rows`` requests at most, so that a worker holds few answers at once, however large the batches are that it is given."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return client(frame.iloc[at : at + rows] for frame in frames for at in range(0, len(frame), rows))
+
+    return run
+
+
 def called(requests: DataFrame, client: Callable = stub_client) -> DataFrame:
     """(law_id, batch, count, prompt, reply, error): the only step that may leave the cluster."""
-    return requests.mapInPandas(client, StructType([*requests.schema.fields]).add("reply", "string").add("error", "string"))
+    return requests.mapInPandas(few(client), StructType([*requests.schema.fields]).add("reply", "string").add("error", "string"))
 
 
 def _asked(requests: DataFrame, client: Callable, log: str | None, model: str) -> DataFrame:

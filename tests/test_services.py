@@ -266,3 +266,15 @@ def test_stream_cleans_splits_and_merges(spark, tmp_path):
         assert query.exception() is None and k >= 0
     rows = {r["article_id"]: r["text"] for r in sinks.current(spark, table, "article_id").collect()}
     assert rows == {"L_001": "جديد", "L_002": "نص"}
+
+
+def test_clients_see_few_requests_at_once(spark):
+    """However many requests a task holds, in one batch or several; their order and rows stay."""
+
+    def sizes(frames):
+        for frame in frames:
+            yield frame.assign(reply=str(len(frame)), error=None)
+
+    rows = spark.range(0, 1000, 1, 1).select(F.lit("l").alias("law_id"), F.col("id").alias("batch"), F.lit(1).cast("long").alias("count"), F.lit("p").alias("prompt"))
+    got = enrich.called(rows, sizes).collect()
+    assert [r["batch"] for r in got] == list(range(1000)) and {int(r["reply"]) for r in got} == {enrich.PROMPTS, 1000 % enrich.PROMPTS}
