@@ -9,7 +9,7 @@ from ..functions import text as T
 from ..sources.stages import run_dir, stored, temporary
 
 _NUMBER = "[٠-٩۰-۹0-9]{1,4}"
-_SPAN = rf"(?U)(?:المواد|المادتين|المادة)\s*(?:البند\s*\([^)]+\)\s*من\s*المادة\s*)?\(?(?:{_NUMBER})?\)?(?:\s*[،,و\s]+\(?(?:{_NUMBER})?\)?)*+"
+_SPAN = rf"(?U)(?=الم)(?:المواد|المادتين|المادة)\s*(?:البند\s*\([^)]+\)\s*من\s*المادة\s*)?\(?(?:{_NUMBER})?\)?(?:\s*[،,و\s]+\(?(?:{_NUMBER})?\)?)*+"
 
 
 def cross_refs(text: Column) -> Column:
