@@ -59,8 +59,11 @@ def missing(found: DataFrame, registry: DataFrame) -> DataFrame:
 def bodies(found: DataFrame) -> DataFrame:
     """Near-empty bodies (E004), and bodies of more words than five medians and 500 (E005). Three steps look at the articles; their sizes are measured once, as a stage
     table without texts, and only laws that have an article of more than 500 words need a median."""
-    sizes = found.select("law_id", "article_number", "article_id", "word_count", F.length("text").alias("_chars"), F.length(T.utrim(F.col("text"))).alias("_bare"))
-    sizes = stored(sizes, "sizes")
+    names = ["law_id", "article_number", "article_id", "word_count"]
+    if "bare_chars" in found.columns:  # measured and stored before
+        sizes = found.select(*names, F.col("char_count").alias("_chars"), F.col("bare_chars").alias("_bare"))
+    else:
+        sizes = stored(found.select(*names, F.length("text").alias("_chars"), F.length(T.utrim(F.col("text"))).alias("_bare")), "sizes")
     empty = _issues(sizes.filter("_bare < 5"), _described("E004", F.col("_chars")), "error", F.col("article_number"), F.col("article_id"))
     long = sizes.filter("word_count > 500")
     middle = sizes.filter("word_count > 0").join(long.select("law_id").distinct(), "law_id", "left_semi").groupBy("law_id").agg(F.median("word_count").alias("m"))
