@@ -7,20 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-COUNTERS = ["presentation_forms_normalized", "nfc_changed", "tatweel_removed", "diacritics_removed", "hamza_normalised", "yeh_normalised", "control_removed", "spaces_collapsed", "newlines_collapsed"]
+COUNTERS = list(T.CLEANED)
 
 
 def clean(raw: DataFrame, text: str = "raw_text") -> DataFrame:
     """Each step's result becomes the next step's input; a counter is what the step changed or removed."""
     n = F.length
-    # No two of the first steps touch the same characters, so what three of them remove goes in one pass, and only what a query asks for is counted.
-    step = raw.withColumn("_0", F.coalesce(F.col(text), F.lit(""))).withColumn("_u", T.composed(F.col("_0"))).withColumn("_2", F.coalesce("_u.text", "_0"))
-    step = step.withColumn("_5", F.regexp_replace("_2", T.REMOVED, "")).withColumn("_7", F.replace(F.regexp_replace("_5", T.HAMZA, "ا"), F.lit("ى"), F.lit("ي")))
-    step = step.withColumn("_8", F.regexp_replace("_7", T.BLANKS, " ")).withColumn("_9", T.few_newlines(F.col("_8"))).withColumn("text", T.utrim(F.col("_9")))
-    tatweel, control = T.count_of(F.col("_2"), T.TATWEEL[0]), T.count_of(F.col("_2"), T.CONTROL)
+    step = raw.withColumn("_0", F.coalesce(F.col(text), F.lit(""))).withColumn("_u", T.cleaned(F.col("_0"))).withColumn("text", F.col("_u.text"))
     return step.select(
         *[x for x in raw.columns if x != text], "text", n("_0").alias("chars_before"), n("text").alias("chars_after"), (n("_0") - n("text")).alias("chars_removed"),
-        F.coalesce("_u.forms", F.lit(0)).alias("presentation_forms_normalized"), F.coalesce("_u.nfc", F.lit(0)).alias("nfc_changed"), tatweel.alias("tatweel_removed"), (n("_2") - n("_5") - tatweel - control).alias("diacritics_removed"),
-        T.count_of(F.col("_5"), T.HAMZA).alias("hamza_normalised"), T.count_of(F.col("_5"), "ى").alias("yeh_normalised"),
-        control.alias("control_removed"), (n("_7") - n("_8")).alias("spaces_collapsed"), (n("_8") - n("_9")).alias("newlines_collapsed"),
+        *[F.col(f"_u.{field}").alias(counter) for counter, field in T.CLEANED.items()],
     )
