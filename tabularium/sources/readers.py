@@ -22,6 +22,9 @@ ARTICLES = (
     "marker_kind string, split_source string, word_count int, char_count int"
 )
 
+#: Characters of packed texts: before a mark that stands for itself, at the end of a record, before each field.
+PACK_ESCAPE, PACK_RECORD, PACK_FIELD = "\x1b", "\x1e", "\x1f"
+
 
 def registry(spark: SparkSession, path: str) -> DataFrame:
     """The laws of a JSON array file; lists that are missing are empty, counts that are missing 0."""
@@ -67,6 +70,21 @@ def whole_texts(spark: SparkSession, path: str, strip: bool = True) -> DataFrame
     return rows.select("name", (T.strip_boilerplate(F.col("value")) if strip else F.col("value")).alias("raw_text"), *folders)
 
 
+def packed_texts(spark: SparkSession, path: str, strip: bool = True) -> DataFrame:
+    """(law_id, raw_text): one row a law from files of ``sinks.packed_texts``, navigation and footers taken off. Large files are cut at records."""
+
+    def field(c: Column) -> Column:
+        bare = c
+        for k, mark in reversed(list(enumerate((PACK_ESCAPE, PACK_RECORD, PACK_FIELD), 1))):
+            bare = F.replace(bare, F.lit(f"{PACK_ESCAPE}{k}"), F.lit(mark))
+        return F.when(c != f"{PACK_ESCAPE}0", bare)
+
+    value = F.substring("value", 2, 2**31 - 1)
+    rows = spark.read.text(path, lineSep=PACK_RECORD).select(F.substring_index(value, PACK_FIELD, 1).alias("i"), F.substring_index(value, PACK_FIELD, -1).alias("t"))
+    text = field(F.col("t"))
+    return rows.select(field(F.col("i")).alias("law_id"), (T.strip_boilerplate(text) if strip else text).alias("raw_text"))
+
+
 Pages = Callable[[bytes], list[str]]
 
 

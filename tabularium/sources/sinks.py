@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import assemble
+from .readers import PACK_ESCAPE, PACK_FIELD, PACK_RECORD
 
 
 #: Most rows of a law in one JSON array.
@@ -16,10 +17,23 @@ ARRAY_ROWS = 100_000
 
 
 def texts(df: DataFrame, path: str, text: str = "text") -> None:
-    """A folder for each law."""
+    """A folder for each law: for hundreds or some thousands of them. More go by ``packed_texts``, as each costs several calls to the file system."""
     df.select("law_id", F.col(text).alias("value")).write.mode("overwrite").partitionBy("law_id").text(path)
 
 
+def packed_texts(df: DataFrame, path: str, text: str = "text") -> None:
+    """Texts by law, many a file, as many files as tasks: records of ``PACK_RECORD`` at the end, each field behind a ``PACK_FIELD``. Both are escaped within
+    fields, so any text comes back as it was, null too; ``readers.packed_texts`` reads them."""
+
+    def field(c: Column) -> Column:
+        c = c.cast("string")
+        for k, mark in enumerate((PACK_ESCAPE, PACK_RECORD, PACK_FIELD), 1):  # the escape first
+            c = F.replace(c, F.lit(mark), F.lit(f"{PACK_ESCAPE}{k}"))
+        return F.concat(F.lit(PACK_FIELD), F.coalesce(c, F.lit(f"{PACK_ESCAPE}0")))
+
+    df.select(F.concat(field(F.col("law_id")), field(F.col(text))).alias("value")).write.mode("overwrite").option("lineSep", PACK_RECORD).text(path)
+
+
 def json_lines(df: DataFrame, path: str, by_law: bool = True) -> None:
     writer = df.write.mode("overwrite")
     (writer.partitionBy("law_id") if by_law else writer).json(path)

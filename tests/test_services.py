@@ -155,6 +155,29 @@ def test_sinks(spark, tmp_path):
     assert sent.agg(F.sum("written")).first()[0] == 3
 
 
+def test_packed_texts_come_back_as_they_were_from_few_files(spark, tmp_path):
+    odd = ["", None, "\x1b", "\x1e\x1f\x1b1\x1b2", "\x1b0", "\n a\r\n\n", "\ufeffنص", "\x1f", "x\x1e", "\x1b\x1b3\x1f"]
+    rows = [(i, t) for i in (*odd, *(f"L{k}" for k in range(40))) for t in odd]
+    df = spark.createDataFrame(rows, "law_id string, text string").repartition(3)
+    sinks.packed_texts(df, str(tmp_path / "packed"))
+    assert len(list((tmp_path / "packed").rglob("part-*"))) == 3
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200b")  # records lie across splits
+    try:
+        back = readers.packed_texts(spark, str(tmp_path / "packed"), strip=False).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    key = lambda r: tuple((x is not None, x or "") for x in r)
+    assert sorted(map(tuple, back), key=key) == sorted(rows, key=key)
+    sinks.packed_texts(spark.createDataFrame([("A", "menu نص القانون مادة 1 Creative Commons")], "law_id string, text string"), str(tmp_path / "page"))
+    assert readers.packed_texts(spark, str(tmp_path / "page")).collect() == [("A", "مادة 1")]
+
+
+def test_texts_read_writes_no_file_for_each_law(spark):
+    from tabularium.plans import queries
+
+    assert len(queries.QUERIES["texts_read"](spark, "/root/testdata/sf0.001").inputFiles()) < 20
+
+
 def test_upsert_outlives_broken_and_repeated_batches(spark, tmp_path):
     table = str(tmp_path / "t")
     rows = lambda ids, n: spark.createDataFrame([(i, n) for i in ids], "id int, n int")
