@@ -112,10 +112,11 @@ def called(requests: DataFrame, client: Callable = stub_client) -> DataFrame:
     return requests.mapInPandas(few(client), StructType([*requests.schema.fields]).add("reply", "string").add("error", "string"))
 
 
-def _asked(requests: DataFrame, client: Callable, log: str | None, model: str) -> DataFrame:
-    """A level's answers as a stage table; with a ``log``, what it has answered readably is not asked again."""
+def _asked(requests: DataFrame, client: Callable, log: str | None, model: str, keep: bool = True) -> DataFrame:
+    """A level's answers as a stage table, prompts only where they are to be kept; with a ``log``, what it has answered readably is not asked again."""
     if log is None:
-        return stored(called(requests, client), "replies")
+        answers = called(requests, client)
+        return stored(answers if keep else answers.drop("prompt"), "replies")
     readable = F.from_json("reply", "array<struct<article_id:string>>").isNotNull()
     return replies.asked(requests, lambda r: called(r, client), log, model, readable)
 
@@ -215,7 +216,7 @@ def bisected(work: DataFrame, laws: DataFrame, client: Callable = stub_client, s
         packed = frontier.withColumn("batch", F.shiftleft("batch", _NODE_BITS) + F.col("node"))
         one = packed.filter("_alone").drop("sequence_index").withColumn("sequence_index", F.col("batch"))  # a single prompt's batch is its place
         asked = prompts(packed.filter("not _alone"), laws).unionByName(single_prompts(one))
-        answers = _asked(asked, client, log, model)
+        answers = _asked(asked, client, log, model, keep=False)
         fresh = parsed(answers, concepts).dropDuplicates(["article_id"])
         told = answers.select("law_id", F.shiftright("batch", _NODE_BITS).alias("batch"), F.col("batch").bitwiseAND(F.lit((1 << _NODE_BITS) - 1)).alias("node"), F.lit(level).alias("level"), "count", "error")
         got, calls = fresh if got is None else got.unionByName(fresh), told if calls is None else calls.unionByName(told)

@@ -60,6 +60,15 @@ def test_calls_of_the_binary_split(spark, bad, n):
     assert calls.filter("level > 8").count() == 0
 
 
+def test_answers_of_the_binary_split_are_stored_without_prompts(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(enrich, "stored", lambda df, tag, store=enrich.stored: kept.setdefault(tag, []).append(df.columns) or store(df, tag))
+    work = spark.createDataFrame([("L", f"a{k}", "main", k, "text") for k in range(3)], "law_id string, article_id string, article_type string, sequence_index int, text string")
+    got, _ = enrich.bisected(work, spark.createDataFrame([("L",)], "law_id string"), enrich.refusing_client('id="a1'))
+    assert sorted(r["article_id"] for r in got.collect()) == ["a0", "a2"]
+    assert kept["replies"] and all("prompt" not in columns and "reply" in columns for columns in kept["replies"])
+
+
 def neighbours(rows, k):
     out = {}
     for i, v in rows:
