@@ -1,4 +1,4 @@
-"""Checks of a split: gaps, duplicates, empty and oversized articles, preambles and counts. All laws at once; joins are equi-joins on (law, number)."""
+"""Checks of a split: gaps, duplicates, empty and oversized articles, preambles and counts. All laws at once; joins are equi-joins on the law."""
 
 from __future__ import annotations
 
@@ -44,16 +44,20 @@ def duplicates(found: DataFrame) -> DataFrame:
 
 
 def missing(found: DataFrame, registry: DataFrame) -> DataFrame:
-    """Expected numbers that are neither found nor repealed: a gap (E003) if a neighbour is there, else missing (E001)."""
-    counts = found.groupBy("law_id").agg(F.count_if(F.col("article_type") == "issuance").alias("issuance"), F.max(F.when(F.col("article_type") == "main", F.col("article_number"))).alias("most"))
-    known = registry.select("law_id", "expected_article_count", "repealed_articles").join(counts, "law_id")
+    """Expected numbers that are neither found nor repealed: a gap (E003) if a neighbour is there, else missing (E001). Numbers meet within their law's row, as in
+    ``duplicates``; the one join is of laws and merges, as a small file may hold too many rows to broadcast."""
+    main = F.when(F.col("article_type") == "main", F.col("article_number"))
+    numbers = found.groupBy("law_id").agg(F.count_if(F.col("article_type") == "issuance").alias("issuance"), F.max(main).alias("most"), F.collect_set(main).alias("there"))
+    known = registry.select("law_id", "expected_article_count", F.coalesce("repealed_articles", F.array().cast("array<int>")).alias("repealed")).join(numbers.hint("merge"), "law_id")
     upto = F.greatest(F.col("expected_article_count") - F.col("issuance"), F.coalesce("most", F.lit(0))).cast("int")
-    wanted = known.select("law_id", "repealed_articles", upto.alias("upto")).filter("upto >= 1").select("law_id", F.explode(F.array_except(F.sequence(F.lit(1), F.col("upto")), F.coalesce("repealed_articles", F.array().cast("array<int>")))).alias("n"))
-    there = found.filter("article_type = 'main'").select("law_id", F.col("article_number").alias("n")).distinct()
-    gone = wanted.join(there, ["law_id", "n"], "left_anti")
-    beside = there.select("law_id", F.explode(F.array(F.col("n") - 1, F.col("n") + 1)).alias("n")).distinct().withColumn("near", F.lit(True))
-    marked = gone.join(beside, ["law_id", "n"], "left")
-    return _issues(marked, F.when(F.col("near"), _described("E003", F.col("n"))).otherwise(_described("E001", F.col("n"))), "error", F.col("n"))
+    wanted = F.array_except(F.array_except(F.sequence(F.lit(1), F.col("upto")), "repealed"), "there")
+    beside = F.array_union(F.transform("there", lambda n: n - 1), F.transform("there", lambda n: n + 1))
+    gone = known.withColumn("upto", upto).filter("upto >= 1").select("law_id", wanted.alias("gone"), beside.alias("beside"))
+    coded = lambda code, ns: F.transform(ns, lambda n: F.struct(n.alias("n"), F.lit(code).alias("code")))
+    parted = F.concat(coded("E003", F.array_intersect("gone", "beside")), coded("E001", F.array_except("gone", "beside")))
+    rows = gone.select("law_id", F.explode_outer(parted).alias("_m")).filter("_m is not null")  # outer as in split.articles
+    number = F.col("_m.n")
+    return _issues(rows, F.when(F.col("_m.code") == "E003", _described("E003", number)).otherwise(_described("E001", number)), "error", number)
 
 
 def bodies(found: DataFrame) -> DataFrame:
