@@ -46,15 +46,32 @@ def semantic_chunks(reply: Column, text: Column) -> Column:
     return F.when(good, F.filter(F.transform(parsed, lambda c: F.struct(T.utrim(c).alias("text"), F.lit(False).alias("has_overlap"))), lambda c: c["text"] != ""))
 
 
+def _chunks(text: Column, reply: Column | None = None) -> Column:
+    """array<struct<text, has_overlap, method>> of a text that is trimmed and not empty. A reply, if given, is for long articles only."""
+    named = lambda chunks, method: F.transform(chunks, lambda c: F.struct(c["text"].alias("text"), c["has_overlap"].alias("has_overlap"), F.lit(method).alias("method")))
+    parts = named(rule_chunks(text), "rule_based")
+    if reply is None:
+        return parts
+    return F.coalesce(named(F.when(T.word_count(text) > vocab.CHUNK_WORDS, semantic_chunks(reply, text)), "semantic"), parts)
+
+
+def _trimmed(found: DataFrame) -> DataFrame:
+    return found.withColumn("_t", T.utrim(F.coalesce("text", F.lit(""))))
+
+
+def methods(found: DataFrame, reply: str) -> DataFrame:
+    """How each article is cut and into how many chunks of its reply: (article_id, chunk_method, semantic_chunks). A row for each, also where there is no text and so no
+    chunk; what no reply cuts is left to the rule."""
+    cut = F.when(F.col("_t") != "", F.size(F.filter(_chunks(F.col("_t"), F.col(reply)), lambda c: c["method"] == "semantic")))
+    n = F.col("semantic_chunks")
+    rows = _trimmed(found).select("article_id", F.coalesce(cut, F.lit(0)).alias("semantic_chunks"))
+    return rows.select("article_id", F.when(n > 0, "semantic").otherwise("rule_based").alias("chunk_method"), n)
+
+
 def chunked(found: DataFrame, reply: str | None = None) -> DataFrame:
     """One row for each chunk of the articles that have text, with the article's columns. A reply, if given, is for long articles only."""
-    text = T.utrim(F.coalesce("text", F.lit("")))
-    rows = found.withColumn("_t", text).filter("_t <> ''")
-    named = lambda chunks, method: F.transform(chunks, lambda c: F.struct(c["text"].alias("text"), c["has_overlap"].alias("has_overlap"), F.lit(method).alias("method")))
-    parts = named(rule_chunks(F.col("_t")), "rule_based")
-    if reply:
-        long = T.word_count(F.col("_t")) > vocab.CHUNK_WORDS
-        parts = F.coalesce(named(F.when(long, semantic_chunks(F.col(reply), F.col("_t"))), "semantic"), parts)
+    rows = _trimmed(found).filter("_t <> ''")
+    parts = _chunks(F.col("_t"), F.col(reply) if reply else None)
     whole = T.let(parts, lambda p: F.transform(p, lambda c: F.struct(c["text"].alias("text"), c["has_overlap"].alias("has_overlap"), c["method"].alias("method"), F.size(p).alias("total"))))
     keep = [c for c in found.columns if c not in {"text", "word_count", "char_count", reply}]
     out = rows.select(*keep, F.posexplode(whole).alias("chunk_index", "_x"))

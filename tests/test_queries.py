@@ -39,6 +39,22 @@ def test_query_equals_sql(spark, name):
     assert plain(df.select(*[f"`{n}`" for n in names]).collect()) == plain(found.select(", ".join(f'"{n}"' for n in names)).fetchall())
 
 
+#: Texts that are missing, empty or blank, at the limit of a chunk and beyond, of which half is blank, and with ids that repeat, are negative or missing.
+ODD = [(i, t) for i in range(8) for t in (None, "", " \n", "word " * 250, "word " * 251, "word " * 400 + " " * 2500, "x")] + [(3, "word " * 300), (-1, "word " * 300), (None, "word " * 300)]
+
+
+@pytest.mark.parametrize("name", ["chunks_semantic_fallback"])
+def test_query_equals_sql_on_odd_texts(spark, name, tmp_path):
+    import duckdb
+
+    rows = [(i, t, "en", f"s{k % 3}", len(t or "")) for k, (i, t) in enumerate(ODD)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    df, found = QUERIES[name](spark, str(tmp_path)), con.sql(ORACLES[name])
+    assert plain(df.collect()) == plain(found.select(", ".join(df.columns)).fetchall())
+
+
 def test_all_queries_have_sql():
     assert set(QUERIES) == set(ORACLES) | APPROXIMATE
 
